@@ -155,28 +155,42 @@ def with_hits(body: str) -> str:
     return f"WITH hits AS ({HITS_SELECT}) {body}"
 
 
-QUALIFIED = f"""
+def qualified(params: tuple[str, ...] = ("q", "p"), where: str = "true", keep: str = "") -> str:
+    return f"""
 SELECT * FROM (
-  SELECT event_id, d AS search_engine_domain,
-    {keyword('referrer')} AS search_keyword,
+  SELECT {keep}event_id, d AS search_engine_domain,
+    {keyword('referrer', params)} AS search_keyword,
     {revenue('product_list')} AS revenue
-  FROM (SELECT *, {domain('referrer')} AS d FROM hits) h
+  FROM (SELECT *, {domain('referrer')} AS d FROM hits WHERE {where}) h
   WHERE {is_search('d')} AND {purchase('event_list')}
 ) WHERE revenue > 0
 """
 
-KEYWORD_REVENUE = f"""
-SELECT search_engine_domain, search_keyword, {exact_sum('revenue')} AS revenue
-FROM ({QUALIFIED}) GROUP BY search_engine_domain, search_keyword
+
+def keyword_revenue(
+    params: tuple[str, ...] = ("q", "p"), where: str = "true", keep: str = "", key: str = ""
+) -> str:
+    """Revenue by [key,] domain, keyword; ``keep`` adds hit columns the key reads."""
+    keys = f"{key}search_engine_domain, search_keyword"
+    return f"""
+SELECT {keys}, {exact_sum('revenue')} AS revenue
+FROM ({qualified(params, where, keep)}) GROUP BY ALL
 """
 
-REPORT = f"""
+
+def report(where: str = "true") -> str:
+    return f"""
 SELECT search_engine_domain AS "{REPORT_DOMAIN}", search_keyword AS "{REPORT_KEYWORD}",
   revenue AS "{REPORT_REVENUE}"
-FROM ({KEYWORD_REVENUE})
+FROM ({keyword_revenue(where=where)})
 """
 
 
+QUALIFIED = qualified()
+KEYWORD_REVENUE = keyword_revenue()
+REPORT = report()
+
+
 def _nullif_empty(cols: str) -> str:
     return ", ".join(f"nullif({c.strip()}, '') AS {c.strip()}" for c in cols.split(","))
 
@@ -231,13 +245,23 @@ def oracle_sql() -> dict[str, str]:
         "hits_scan": with_hits(f"SELECT {_nullif_empty(HIT_COLS)} FROM hits"),
         "hits_schema": with_hits(
             "SELECT TRY_CAST(hit_time_gmt AS BIGINT) AS hit_time_gmt, "
-            "try_strptime(date_time, '%Y-%m-%d %H:%M:%S') AS date_time, "
-            + _nullif_empty("user_agent, ip, event_list, geo_city, geo_region, geo_country, pagename, page_url, product_list, referrer")
+            "try_strptime(date_time, '%Y-%m-%d %H:%M:%S') AS date_time, CAST(NULL AS VARCHAR) AS geo_city, "
+            + _nullif_empty("user_agent, ip, event_list, geo_region, geo_country, pagename, page_url, product_list, referrer")
             + " FROM hits"
         ),
         "hits_from_lines": with_hits(REPORT),
-        "hits_short_rows": with_hits(REPORT.replace("FROM hits", "FROM hits WHERE event_id % 7 <> 3")),
+        "hits_short_rows": with_hits(report("event_id % 7 <> 3")),
         "report_sink": with_hits(report_text),
-        "report_table": with_hits(f"SELECT DATE '2024-01-31' AS run_date, * FROM ({KEYWORD_REVENUE})"),
+        "report_rerun": with_hits(
+            f"SELECT *, DATE '2024-01-30' AS run_date FROM ({KEYWORD_REVENUE}) UNION ALL "
+            f"SELECT *, DATE '2024-01-31' AS run_date FROM ({keyword_revenue(('p', 'q'))})"
+        ),
+        "report_table": with_hits(f"SELECT *, DATE '2024-01-30' AS run_date FROM ({KEYWORD_REVENUE})"),
+        "report_empty": (
+            f"SELECT '{REPORT_DOMAIN}' || chr(9) || '{REPORT_KEYWORD}' || chr(9) || '{REPORT_REVENUE}' AS line"
+        ),
+        "incremental_report": with_hits(
+            keyword_revenue(keep="substr(date_time, 1, 10) AS day, ", key="day, ")
+        ),
         "running_revenue": with_hits(KEYWORD_REVENUE),
     }

@@ -25,10 +25,20 @@ from clicklens.operators import (
     qualified_hits,
     exact_sum,
 )
+from clicklens.plans import SearchKeywordJob, read_input
 from clicklens.session import scratch_path
+from clicklens.sinks import read_report_file, read_report_table, write_report_file, write_report_table
 from clicklens.sources.derived import derived_hits, read_events
 from clicklens.sources.schema import typed
-from clicklens.sources.tsv import hits_from_lines, read_hits, write_hits_tsv, write_lines
+from clicklens.sources.tsv import (
+    WRITE_OPTIONS,
+    hits_from_lines,
+    read_hits,
+    tsv_line,
+    write_hits_tsv,
+    write_lines,
+)
+from clicklens.streaming import incremental_report, running_revenue
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,6 +122,134 @@ def q_events_by_type_revenue(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# --- sources: files written from the derived hits and read back -------------
+
+
+def _hits_tsv(spark: SparkSession, sf: str, name: str) -> str:
+    path = scratch_path(spark, name)
+    write_hits_tsv(derived_hits(spark, sf).drop("event_id"), path)
+    return path
+
+
+def q_hits_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return read_hits(spark, _hits_tsv(spark, sf, "hits-scan"))
+
+
+def q_hits_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Header reversed, names padded with spaces, one column absent; typed result."""
+    hits = derived_hits(spark, sf).drop("event_id", "geo_city")
+    padded = hits.select(*[F.col(c).alias(f" {c} ") for c in reversed(hits.columns)])
+    path = scratch_path(spark, "hits-schema")
+    write_hits_tsv(padded, path)
+    return typed(read_hits(spark, path))
+
+
+def q_hits_from_lines(spark: SparkSession, sf: str) -> DataFrame:
+    lines = spark.read.text(_hits_tsv(spark, sf, "hits-lines"))
+    return keyword_report(hits_from_lines(lines))
+
+
+SHORT_ROW_ORDER = ("referrer", "event_list", "product_list") + tuple(
+    c for c in HIT_COLUMNS if c not in ("referrer", "event_list", "product_list")
+)
+
+
+def q_hits_short_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Used columns first; some rows lack the last two fields, some have an extra
+    field, some are followed by a blank line. Short rows must not count."""
+    hits = derived_hits(spark, sf)
+    eid = F.col("event_id")
+    cols = [F.col(c) for c in SHORT_ROW_ORDER]
+    line = (
+        F.when(eid % 7 == 3, tsv_line(*cols[:-2]))
+        .when(eid % 7 == 5, tsv_line(*cols, F.lit("extra")))
+        .otherwise(tsv_line(*cols))
+    )
+    lines = hits.select(
+        F.explode(F.when(eid % 11 == 0, F.array(line, F.lit(""))).otherwise(F.array(line))).alias("line")
+    )
+    path = scratch_path(spark, "hits-short")
+    write_lines(lines, "\t".join(SHORT_ROW_ORDER), path)
+    return keyword_report(read_input(spark, path))
+
+
+# --- sinks ------------------------------------------------------------------
+
+
+def q_report_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole job: TSV in, one dated report file out; the file read back."""
+    job = SearchKeywordJob(
+        input_path=_hits_tsv(spark, sf, "sink-in"),
+        output_prefix=scratch_path(spark, "sink-out"),
+        run_date=REPORT_DATE,
+    )
+    return read_report_file(spark, job.run(spark).output_file)
+
+
+REVERSED_PARAMS = ("p", "q")
+DAY_BEFORE = REPORT_DATE - dt.timedelta(days=1)
+
+
+def _two_day_table(spark: SparkSession, sf: str) -> str:
+    """Day before: a first run with other parameters, then a re-run (must replace it).
+    Report day: the reversed-parameter run."""
+    path = scratch_path(spark, "report-table")
+    hits = derived_hits(spark, sf)
+    write_report_table(keyword_revenue(hits, params=REVERSED_PARAMS), path, DAY_BEFORE)
+    write_report_table(keyword_revenue(hits, params=REVERSED_PARAMS), path, REPORT_DATE)
+    write_report_table(keyword_revenue(hits), path, DAY_BEFORE)
+    return path
+
+
+def q_report_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    return read_report_table(spark, _two_day_table(spark, sf))
+
+
+def q_report_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Read one day back: the filter on run_date prunes to that partition."""
+    return read_report_table(spark, _two_day_table(spark, sf), DAY_BEFORE)
+
+
+def q_report_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """No referrer in the data is on this host list: a header-only file."""
+    report = keyword_report(derived_hits(spark, sf), hosts=("search.example.invalid",))
+    out = write_report_file(report, scratch_path(spark, "empty-out"), REPORT_DATE)
+    return spark.read.text(out).withColumnRenamed("value", "line")
+
+
+# --- streams ----------------------------------------------------------------
+
+
+def _daily_files(spark: SparkSession, sf: str) -> str:
+    """The derived hits as one TSV file per day, under day=YYYY-MM-DD/ folders."""
+    path = scratch_path(spark, "daily-in")
+    hits = derived_hits(spark, sf).drop("event_id").withColumn("day", F.substring("date_time", 1, 10))
+    hits.repartition("day").write.mode("overwrite").options(**WRITE_OPTIONS).partitionBy("day").csv(path)
+    return path
+
+
+def q_incremental_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Each daily file gets its own report; a second run finds nothing new."""
+    src = _daily_files(spark, sf)
+    table, ckpt = scratch_path(spark, "incr-table"), scratch_path(spark, "incr-ckpt")
+    for _ in range(2):
+        incremental_report(
+            spark, src, table, ckpt, output_prefix=scratch_path(spark, "incr-out"),
+            run_date=REPORT_DATE, max_files_per_trigger=8,
+        ).awaitTermination()
+    return read_report_table(spark, table, REPORT_DATE).select(
+        F.regexp_extract("input_file", r"day=([0-9-]+)", 1).alias("day"), DOMAIN, KEYWORD, REVENUE
+    )
+
+
+def q_running_revenue(spark: SparkSession, sf: str) -> DataFrame:
+    src = _daily_files(spark, sf)
+    table, ckpt = scratch_path(spark, "running-table"), scratch_path(spark, "running-ckpt")
+    for _ in range(2):
+        running_revenue(spark, src, table, ckpt, max_files_per_trigger=8).awaitTermination()
+    return spark.read.parquet(table)
+
+
 QUERIES: dict[str, Query] = {
     "has_text": q_has_text,
     "referrer_domain": q_referrer_domain,
@@ -127,4 +265,14 @@ QUERIES: dict[str, Query] = {
     "pages_domain": q_pages_domain,
     "pages_query_param": q_pages_query_param,
     "events_by_type_revenue": q_events_by_type_revenue,
+    "hits_scan": q_hits_scan,
+    "hits_schema": q_hits_schema,
+    "hits_from_lines": q_hits_from_lines,
+    "hits_short_rows": q_hits_short_rows,
+    "report_sink": q_report_sink,
+    "report_rerun": q_report_rerun,
+    "report_table": q_report_table,
+    "report_empty": q_report_empty,
+    "incremental_report": q_incremental_report,
+    "running_revenue": q_running_revenue,
 }

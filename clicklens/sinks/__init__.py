@@ -1,0 +1,22 @@
+"""Report sinks: one dated TSV file, or a run-date partitioned table."""
+
+from clicklens.sinks.report_file import (
+    build_output_path,
+    output_filename,
+    publish_single_file,
+    read_report_file,
+    report_as_text,
+    write_report_file,
+)
+from clicklens.sinks.report_table import read_report_table, write_report_table
+
+__all__ = [
+    "build_output_path",
+    "output_filename",
+    "publish_single_file",
+    "read_report_file",
+    "read_report_table",
+    "report_as_text",
+    "write_report_file",
+    "write_report_table",
+]

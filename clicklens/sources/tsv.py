@@ -162,3 +162,15 @@ def write_lines(lines: DataFrame, header_line: str, path: str, mode: str = "over
         .options(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
         .csv(path)
     )
+
+
+def tsv_field(c: Column) -> Column:
+    """A value as one TSV field: quoted (inner quotes doubled) when it holds a quote,
+    tab or line break; NULL as empty."""
+    quoted = F.concat(F.lit('"'), F.regexp_replace(c, '"', '""'), F.lit('"'))
+    return F.when(c.rlike('["\t\r\n]'), quoted).otherwise(F.coalesce(c, F.lit("")))
+
+
+def tsv_line(*cols: Column) -> Column:
+    """Columns joined into one TSV line (no line break)."""
+    return F.concat_ws("\t", *[tsv_field(c) for c in cols])

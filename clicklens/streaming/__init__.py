@@ -1,0 +1,5 @@
+"""Structured Streaming jobs over arriving hit files."""
+
+from clicklens.streaming.incremental import incremental_report, running_revenue
+
+__all__ = ["incremental_report", "running_revenue"]
