@@ -39,19 +39,18 @@ def _file_report_batch(table_path: str, run_date: dt.date, output_prefix: str |
         used = batch.select("input_file", "_mtime", "referrer", "event_list", "product_list")
         used = used.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            agg = keyword_revenue(used, extra_keys=("input_file",))
-            write_report_table(agg, table_path, run_date, partition_by=("run_date", "input_file"))
             # Newest file of the batch: one row per file reaches the driver.
             files = used.groupBy("input_file").agg(F.max("_mtime").alias("m"))
             newest = files.orderBy(F.col("m").desc(), F.col("input_file").desc()).first()
+            if newest is None:
+                return
+            agg = keyword_revenue(used, extra_keys=("input_file",))
+            write_report_table(agg, table_path, run_date, partition_by=("run_date", "input_file"))
+            # Its report (header only when none of its hits qualifies).
+            mine = agg.where(F.col("input_file") == F.lit(newest["input_file"])).drop("input_file")
+            write_report_file(labelled(mine), output_prefix, run_date)
         finally:
             used.unpersist()
-        if newest is None:
-            return
-        written = batch.sparkSession.read.parquet(table_path).where(
-            (F.col("run_date") == F.lit(run_date)) & (F.col("input_file") == F.lit(newest["input_file"]))
-        )
-        write_report_file(labelled(written), output_prefix, run_date)
 
     return handle
 

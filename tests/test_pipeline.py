@@ -1,0 +1,247 @@
+"""Sources, report, sinks, streams and the command, end to end."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicklens.constants import HIT_COLUMNS, REPORT_DOMAIN, REPORT_KEYWORD, REPORT_REVENUE
+from clicklens.operators import keyword_report, keyword_revenue, qualified_hits
+from clicklens.plans import SearchKeywordJob, read_input
+from clicklens.sinks import output_filename, read_report_file, read_report_table, write_report_file
+from clicklens.sources.derived import derived_hits
+from clicklens.sources.tsv import hits_from_lines, read_hits, write_hits_tsv
+from tests.conftest import SF_CHECK, SF_SMALL
+
+HEADER = "\t".join(HIT_COLUMNS)
+
+
+def hit(referrer, event_list, product_list, ip="1.2.3.4", ua="Mozilla"):
+    return "\t".join(
+        ["1254033280", "2009-09-27 06:34:40", ua, ip, event_list, "Salem", "OR", "US", "Home",
+         "http://www.esshopzilla.com", product_list, referrer]
+    )
+
+
+# Retyped from the reference's sample: the seven purchase hits plus three others.
+GOLDEN = [
+    hit("http://www.google.com/search?hl=en&q=Ipod&aq=f&oq=&aqi=", "", ""),
+    hit("http://www.bing.com/search?q=Zune&go=&form=QBLH&qs=n", "2", "Electronics;Zune - 328GB;1;;",
+        ua='"Mozilla/5.0 (Macintosh; U; Intel Mac OS X 10_4_11; en)"'),
+    hit("http://search.yahoo.com/search?p=cd+player&toggle=1&cop=mss&ei=UTF-8", "", ""),
+    hit("https://www.esshopzilla.com/checkout/?a=confirm", "1", "Electronics;Zune - 32GB;1;250;"),
+    hit("https://www.esshopzilla.com/checkout/?a=confirm", "1", "Electronics;Ipod - Nano - 8GB;1;190;"),
+    hit("https://www.esshopzilla.com/checkout/?a=confirm", "1", "Electronics;Ipod - Touch - 32GB;1;290;"),
+    hit("http://www.google.com/search?q=ipod+classic", "1", "Electronics;Ipod - Classic;1;320;"),
+    hit("http://www.bing.com/search?q=zune", "1", "Electronics;Zune - 32GB;1;250;"),
+    hit("http://search.yahoo.com/search?p=cd+player", "1", "Electronics;CD Player;1;180;"),
+    hit("http://www.google.com/search?q=ipod+classic", "1", "Electronics;Ipod - Nano;1;90;"),
+    hit("http://www.esshopzilla.com/product/?pid=as32213", "12", "Electronics;Ipod - Nano - 8GB;1;;"),
+]
+GOLDEN_REPORT = [
+    ("google.com", "ipod classic", 410.0),
+    ("bing.com", "zune", 250.0),
+    ("search.yahoo.com", "cd player", 180.0),
+]
+
+
+def write_text(path, lines, end="\n"):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write(end.join(lines) + (end if lines else ""))
+
+
+def report_rows(df):
+    return [(r[0], r[1], r[2]) for r in df.collect()]
+
+
+def test_golden_sample_file(spark, tmp):
+    path = f"{tmp}/hits.tab"
+    write_text(path, [HEADER] + GOLDEN)
+    assert report_rows(keyword_report(read_input(spark, path))) == GOLDEN_REPORT
+
+
+def test_golden_sample_lines(spark):
+    lines = spark.createDataFrame([(x,) for x in [HEADER] + GOLDEN], "value string")
+    assert report_rows(keyword_report(hits_from_lines(lines))) == GOLDEN_REPORT
+
+
+def test_lines_same_key_sums(spark):
+    lines = [
+        HEADER,
+        hit("http://www.google.com/search?q=zune", "1", "Electronics;Zune;1;100;"),
+        hit("http://www.google.com/search?q=zune", "1", "Electronics;Ipod;1;50;", ip="1.2.3.5"),
+    ]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    assert report_rows(keyword_report(hits_from_lines(df))) == [("google.com", "zune", 150.0)]
+
+
+def test_output_filename():
+    assert output_filename(dt.date(2009, 10, 8)) == "2009-10-08_SearchKeywordPerformance.tab"
+
+
+def test_file_shapes(spark, tmp):
+    """Reordered and padded header, short row, extra field, blank line, CRLF, quotes."""
+    cols = ["referrer ", " product_list", "event_list", "ip"]
+    rows = [
+        "\t".join(["http://www.google.com/search?q=a", "A;B;1;10;", "1", "x"]),
+        "\t".join(["http://www.google.com/search?q=a", "A;B;1;20;", "1"]),  # short: dropped
+        "\t".join(["http://www.google.com/search?q=a", "A;B;1;30;", "1", "x", "extra"]),
+        "",
+        "\t".join(['"http://www.bing.com/search?q=""quoted"""', "A;B;1;5;", "1", "y"]),
+    ]
+    path = f"{tmp}/shapes.tab"
+    write_text(path, ["\t".join(cols)] + rows, end="\r\n")
+    got = report_rows(keyword_report(read_input(spark, path)))
+    assert got == [("google.com", "a", 40.0), ("bing.com", '"quoted"', 5.0)]
+    # The lines path gives the same.
+    lines = spark.read.text(path)
+    assert report_rows(keyword_report(hits_from_lines(lines))) == got
+
+
+def test_multi_line_field(spark, tmp):
+    path = f"{tmp}/ml.tab"
+    write_text(path, [HEADER, hit("http://www.google.com/search?q=a", "1", "A;B;1;7;", ua='"two\nlines"')])
+    assert report_rows(keyword_report(read_hits(spark, path, multi_line=True))) == [("google.com", "a", 7.0)]
+
+
+def test_header_only_and_empty_files(spark, tmp):
+    write_text(f"{tmp}/h/only.tab", [HEADER])
+    write_text(f"{tmp}/e/empty.tab", [])
+    for p in (f"{tmp}/h", f"{tmp}/e"):
+        df = read_input(spark, p)
+        assert df.columns == list(HIT_COLUMNS)
+        assert keyword_report(df).count() == 0
+
+
+def test_tsv_round_trip_equals_source(spark, tmp):
+    hits = derived_hits(spark, SF_SMALL).drop("event_id")
+    write_hits_tsv(hits, f"{tmp}/rt")
+    back = read_hits(spark, f"{tmp}/rt")
+    # Empty text reads back as NULL; every rule treats the two alike.
+    norm = hits.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in HIT_COLUMNS])
+    assert norm.exceptAll(back).count() == 0 and back.exceptAll(norm).count() == 0
+
+
+def test_report_matches_fixture_at_sf001(spark):
+    got = report_rows(keyword_report(derived_hits(spark, SF_CHECK)))
+    assert len(got) == 19
+    assert got[0] == ("yahoo.com", "(not set)", 4607.07)
+    assert got[1] == ("search.msn.com", "zune 32gb", 4416.81)
+    assert got[-1] == ("google.com", "ipod 4", 277.52)
+
+
+def test_report_invariant_under_repartitioning(spark):
+    hits = derived_hits(spark, SF_CHECK)
+    a = report_rows(keyword_report(hits))
+    b = report_rows(keyword_report(hits.repartition(13, "user_agent")))
+    c = report_rows(keyword_report(hits.orderBy(F.rand(7))))
+    assert a == b == c
+
+
+def test_report_total_equals_qualified_total(spark):
+    hits = derived_hits(spark, SF_CHECK)
+    total = keyword_revenue(hits).agg(F.sum("revenue")).first()[0]
+    hit_total = qualified_hits(hits).agg(F.sum(F.col("revenue").cast("decimal(28,6)"))).first()[0]
+    assert round(total, 6) == float(hit_total)
+
+
+def test_job_file_sorted_and_rerun_replaces(spark, tmp):
+    src = f"{tmp}/in"
+    write_hits_tsv(derived_hits(spark, SF_CHECK).drop("event_id"), src)
+    out = f"{tmp}/out"
+    day = dt.date(2024, 2, 1)
+    first = SearchKeywordJob(src, out, day).run(spark)
+    assert first.rows == 19 and first.output_file.endswith("2024-02-01_SearchKeywordPerformance.tab")
+    local = first.output_file.replace("file:", "")
+    with open(local, encoding="utf-8") as f:
+        lines = f.read().split("\n")
+    assert lines[0] == f"{REPORT_DOMAIN}\t{REPORT_KEYWORD}\t{REPORT_REVENUE}"
+    assert lines[1] == "yahoo.com\t(not set)\t4607.07"
+    revenues = [float(x.split("\t")[2]) for x in lines[1:] if x]
+    assert revenues == sorted(revenues, reverse=True)
+    # Re-run the same day on other data: the file is replaced, not duplicated.
+    write_text(f"{tmp}/in2/hits.tab", [HEADER] + GOLDEN)
+    again = SearchKeywordJob(f"{tmp}/in2", out, day, table_path=f"{tmp}/table").run(spark)
+    assert again.output_file == first.output_file and again.rows == 3
+    back = read_report_file(spark, again.output_file).collect()
+    assert [(r[0], r[1], r[2]) for r in back] == [
+        ("google.com", "ipod classic", "410.00"), ("bing.com", "zune", "250.00"),
+        ("search.yahoo.com", "cd player", "180.00"),
+    ]
+    assert [f for f in os.listdir(out) if "_stage" in f] == []
+    assert read_report_table(spark, f"{tmp}/table", day).count() == 3
+
+
+def test_empty_report_writes_header_only(spark, tmp):
+    report = keyword_report(derived_hits(spark, SF_SMALL), hosts=("nothing.invalid",))
+    path = write_report_file(report, f"{tmp}/o", dt.date(2026, 3, 15))
+    with open(path.replace("file:", ""), encoding="utf-8") as f:
+        assert f.read() == f"{REPORT_DOMAIN}\t{REPORT_KEYWORD}\t{REPORT_REVENUE}\n"
+
+
+def test_revenue_text_rounds_like_python(spark, tmp):
+    from clicklens.sinks.report_file import revenue_text
+
+    vals = [2.675, 0.125, 1234567.005, 410.0, 0.005, 1e-7]
+    df = spark.createDataFrame([(v,) for v in vals], f"`{REPORT_REVENUE}` double")
+    got = [r[0] for r in df.select(revenue_text()).collect()]
+    assert got == [f"{v:.2f}" for v in vals]
+
+
+def test_incremental_equals_batch_per_file(spark, tmp):
+    from clicklens.streaming import incremental_report, running_revenue
+
+    hits = derived_hits(spark, SF_SMALL).drop("event_id")
+    src = f"{tmp}/inbox"
+    even = F.substring("hit_time_gmt", -1, 1).isin("0", "2", "4", "6", "8")
+    halves = [hits.where(even), hits.where(~even)]
+    out, table, ckpt = f"{tmp}/out", f"{tmp}/table", f"{tmp}/ckpt"
+    day = dt.date(2024, 3, 1)
+    for i, part in enumerate(halves):
+        write_hits_tsv(part.coalesce(1), f"{src}/upload{i}", mode="overwrite")
+        incremental_report(spark, f"{src}/*", table, ckpt, output_prefix=out, run_date=day).awaitTermination()
+    incremental_report(spark, f"{src}/*", table, ckpt, output_prefix=out, run_date=day).awaitTermination()
+    got = read_report_table(spark, table, day)
+    assert got.select("input_file").distinct().count() == 2
+    for i, part in enumerate(halves):
+        want = {tuple(r) for r in keyword_revenue(part).collect()}
+        have = {
+            tuple(r)
+            for r in got.where(F.col("input_file").contains(f"upload{i}"))
+            .select("search_engine_domain", "search_keyword", "revenue").collect()
+        }
+        assert have == want
+    # Running totals over both uploads equal the batch totals.
+    running_revenue(spark, f"{src}/*", f"{tmp}/rt", f"{tmp}/rck").awaitTermination()
+    want = {tuple(r) for r in keyword_revenue(hits).collect()}
+    assert {tuple(r) for r in spark.read.parquet(f"{tmp}/rt").collect()} == want
+
+
+def test_cli(spark, tmp, capsys):
+    from clicklens.cli import main
+
+    write_text(f"{tmp}/hits.tab", [HEADER] + GOLDEN)
+    assert main([f"{tmp}/hits.tab", "--output-dir", f"{tmp}/o", "--run-date", "2009-10-08"]) == 0
+    assert "Wrote 3 rows" in capsys.readouterr().out
+    assert os.path.exists(f"{tmp}/o/2009-10-08_SearchKeywordPerformance.tab")
+    assert main([f"{tmp}/missing.tab"]) == 1
+
+
+def test_entry_and_registry(spark):
+    import __spark_entry__ as E
+
+    df = E.entry(spark)
+    assert df.columns == [REPORT_DOMAIN, REPORT_KEYWORD, REPORT_REVENUE]
+    assert df.count() > 0
+    assert set(E.oracle_sql()) <= set(E.queries())
+
+
+@pytest.mark.parametrize("key", ["keyword_report", "hits_short_rows", "report_sink", "incremental_report"])
+def test_registered_queries_run(spark, key):
+    import __spark_entry__ as E
+
+    assert E.queries()[key](spark, SF_SMALL).count() > 0
