@@ -4,7 +4,9 @@ from clicklens.functions.hits import has_event, hit_revenue, parse_price, produc
 from clicklens.functions.text import has_text, strip_ws
 from clicklens.functions.url import (
     clean_url,
+    accepted_domains,
     is_search_domain,
+    is_search_referrer,
     percent_decode,
     query_pairs,
     query_param,
@@ -18,7 +20,9 @@ __all__ = [
     "has_event",
     "has_text",
     "hit_revenue",
+    "accepted_domains",
     "is_search_domain",
+    "is_search_referrer",
     "parse_price",
     "percent_decode",
     "product_array",

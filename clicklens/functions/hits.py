@@ -28,7 +28,9 @@ def has_event(event_list: Column | str, code: str = PURCHASE_EVENT) -> Column:
     One regex instead of split/transform: stays inside whole-stage codegen,
     which matters because this predicate runs on every hit.
     """
-    return F.coalesce(_col(event_list).rlike(event_pattern(code)), F.lit(False))
+    c = _col(event_list)
+    # The substring test first: most hits fail it without running the regex.
+    return F.coalesce(c.contains(code) & c.rlike(event_pattern(code)), F.lit(False))
 
 
 def parse_price(text: Column) -> Column:
@@ -37,6 +39,11 @@ def parse_price(text: Column) -> Column:
     return F.when(t.rlike(NUMBER_PATTERN), F.regexp_replace(t, "_", "").try_cast("double"))
 
 
+# The 4th ';'-field of each ','-separated product that has at least four
+# fields, left to right (a match cannot cross a ',').
+_FOURTH_FIELD = r"(?:^|,)[^;,]*;[^;,]*;[^;,]*;([^;,]*)"
+
+
 def _price_field(product: Column) -> Column:
     return F.get(F.split(product, ";"), 3)
 
@@ -48,11 +55,9 @@ def hit_revenue(product_list: Column | str) -> Column:
     same bit pattern as a sequential float sum. The price is a line total:
     the quantity field is not a factor.
     """
-    prices = F.transform(
-        F.split(_col(product_list), ","),
-        lambda p: F.coalesce(parse_price(_price_field(p)), F.lit(0.0)),
-    )
-    return F.coalesce(F.aggregate(prices, F.lit(0.0), lambda acc, x: acc + x), F.lit(0.0))
+    fields = F.regexp_extract_all(_col(product_list), F.lit(_FOURTH_FIELD), F.lit(1))
+    total = F.aggregate(fields, F.lit(0.0), lambda acc, x: acc + F.coalesce(parse_price(x), F.lit(0.0)))
+    return F.coalesce(total, F.lit(0.0))
 
 
 def product_array(product_list: Column | str) -> Column:

@@ -18,6 +18,7 @@ define the attribution contract:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -26,14 +27,23 @@ from pyspark.sql import functions as F
 from clicklens.constants import KEYWORD_NOT_SET, KEYWORD_PARAMS, SEARCH_ENGINE_HOSTS
 from clicklens.functions.text import _col, strip_ws
 
-_UNSAFE = r"^[\x00-\x20]+|[\t\n\r]"
 _NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
+# The same location without one leading "www." (any case): lower-casing it
+# gives the domain, except for the bracket check and the empty case.
+_HOST = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[wW][wW][wW]\.)?([^/?#]*)"
 _QUERY = r"^[^?#]*\?([^#]*)"
 _STRAY_PERCENT = r"%(?![0-9A-Fa-f]{2})"
 
 
+# Leading C0 controls and spaces, and TAB/CR/LF anywhere (removed by urlsplit).
+_UNSAFE = r"^[\x00-\x20]+|[\t\n\r]"
+
+
 def clean_url(c: Column | str) -> Column:
-    """Trimmed URL without leading controls/spaces and without TAB/CR/LF."""
+    """Trimmed URL without leading controls/spaces and without TAB/CR/LF.
+
+    One regex pass (measured faster than ``translate`` + ``ltrim``).
+    """
     return F.regexp_replace(strip_ws(c), _UNSAFE, "")
 
 
@@ -93,11 +103,41 @@ def first_param(pairs: Column, names: Sequence[str]) -> Column:
     return strip_ws(percent_decode(raw))
 
 
+def _hex_byte(b: int) -> str:
+    return "%" + "".join(d if d.isdigit() else f"[{d}{d.lower()}]" for d in f"{b:02X}")
+
+
+def key_pattern(name: str) -> str | None:
+    """Regex for every raw key that decodes to ``name`` (each character literal or
+    %-escaped, hex in either case; a space also as '+'). None when ``name`` holds
+    '%' or '+', whose raw forms depend on their neighbours."""
+    if "%" in name or "+" in name or not name:
+        return None
+    parts = []
+    for ch in name:
+        alts = [re.escape(ch), "".join(_hex_byte(b) for b in ch.encode("utf-8"))]
+        if ch == " ":
+            alts.append(r"\+")
+        parts.append("(?:" + "|".join(alts) + ")")
+    return "".join(parts)
+
+
+def raw_param(query: Column, name: str) -> Column:
+    """Raw value of the first pair whose key decodes to ``name`` and whose raw value
+    is not empty; NULL when there is none. One regex, no array lambdas: the
+    leftmost match is the first such pair."""
+    pattern = key_pattern(name)
+    if pattern is None:
+        return F.get(F.filter(query_pairs(query), _key_is(name)), 0)["v"]
+    return F.nullif(F.regexp_extract(query, f"(?:^|&){pattern}=([^&]+)", 1), F.lit(""))
+
+
 def query_param(c: Column | str, names: Sequence[str] | str) -> Column:
     """URL -> value of the first query parameter among ``names`` ('' if blank), or NULL."""
     if isinstance(names, str):
         names = (names,)
-    return first_param(query_pairs(query_string(clean_url(c))), names)
+    query = query_string(clean_url(c))
+    return strip_ws(percent_decode(F.coalesce(*[raw_param(query, n) for n in names])))
 
 
 def search_keyword(c: Column | str, params: Sequence[str] = KEYWORD_PARAMS) -> Column:
@@ -105,8 +145,24 @@ def search_keyword(c: Column | str, params: Sequence[str] = KEYWORD_PARAMS) -> C
     return F.coalesce(F.nullif(query_param(c, params), F.lit("")), F.lit(KEYWORD_NOT_SET))
 
 
+def accepted_domains(hosts: Sequence[str] = SEARCH_ENGINE_HOSTS) -> list[str]:
+    """Domains d with d in hosts or 'www.' + d in hosts (one set, one lookup)."""
+    out = dict.fromkeys(hosts)
+    out.update(dict.fromkeys(h[4:] for h in hosts if h.startswith("www.") and len(h) > 4))
+    return list(out)
+
+
 def is_search_domain(domain: Column | str, hosts: Sequence[str] = SEARCH_ENGINE_HOSTS) -> Column:
     """Exact membership of the domain (or 'www.' + domain) in the host list; never NULL."""
-    d = _col(domain)
-    hit = d.isin(list(hosts)) | F.concat(F.lit("www."), d).isin(list(hosts))
-    return F.coalesce(hit, F.lit(False))
+    return F.coalesce(_col(domain).isin(accepted_domains(hosts)), F.lit(False))
+
+
+def is_search_referrer(c: Column | str, hosts: Sequence[str] = SEARCH_ENGINE_HOSTS) -> Column:
+    """Same answer as ``is_search_domain(url_domain(c))``, as one regex and one set lookup.
+
+    Listed hosts hold no brackets and are not empty, so the validity and empty
+    checks of ``url_domain`` cannot change the answer. Built for the per-hit
+    filter: it reads the referrer once and stays inside whole-stage codegen.
+    """
+    host = F.lower(F.regexp_extract(clean_url(c), _HOST, 1))
+    return F.coalesce(host.isin(accepted_domains(hosts)), F.lit(False))

@@ -12,6 +12,7 @@ from clicklens.operators.attribution import (
     external_search_hits,
     purchase_hits,
     qualified_hits,
+    search_purchases,
     with_attribution,
     with_domain,
 )
@@ -28,6 +29,7 @@ __all__ = [
     "qualified_hits",
     "report_order",
     "revenue_by",
+    "search_purchases",
     "with_attribution",
     "with_domain",
 ]

@@ -19,7 +19,7 @@ from clicklens.constants import (
     REVENUE_SUM_TYPE,
     SEARCH_ENGINE_HOSTS,
 )
-from clicklens.operators.attribution import qualified_hits
+from clicklens.operators.attribution import search_purchases
 
 
 def exact_sum(c: Column | str) -> Column:
@@ -49,10 +49,17 @@ def keyword_revenue(
 
     One hash shuffle on (domain, keyword) after map-side partial sums, so a
     hot pair costs one row per task in the shuffle, never one task's worth of
-    hits.
+    hits. The positive-revenue rule is applied inside the sum (only positive
+    hits are added; a pair without any is dropped), which equals filtering
+    hits first but computes each hit's revenue once and keeps the scan-side
+    filter free of array lambdas.
     """
-    q = qualified_hits(hits, hosts, params, purchase_event, keep=extra_keys)
-    return revenue_by(q, [*extra_keys, DOMAIN, KEYWORD])
+    cand = search_purchases(hits, hosts, params, purchase_event, keep=extra_keys)
+    rev = F.col(REVENUE)
+    agg = cand.groupBy(*extra_keys, DOMAIN, KEYWORD).agg(
+        exact_sum(F.when(rev > 0, rev)).alias(REVENUE)
+    )
+    return agg.where(F.col(REVENUE).isNotNull())
 
 
 def report_order() -> list[Column]:

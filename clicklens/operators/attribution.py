@@ -22,7 +22,14 @@ from clicklens.constants import (
     SEARCH_ENGINE_HOSTS,
     UNKNOWN_DOMAIN,
 )
-from clicklens.functions import has_event, hit_revenue, is_search_domain, search_keyword, url_domain
+from clicklens.functions import (
+    has_event,
+    hit_revenue,
+    is_search_domain,
+    is_search_referrer,
+    search_keyword,
+    url_domain,
+)
 
 
 def with_domain(df: DataFrame) -> DataFrame:
@@ -49,8 +56,7 @@ def with_attribution(
 
 def external_search_hits(df: DataFrame, hosts: Sequence[str] = SEARCH_ENGINE_HOSTS) -> DataFrame:
     """Hits whose referrer host is a search engine, with ``search_engine_domain``."""
-    d = with_domain(df)
-    return d.where(is_search_domain(DOMAIN, hosts))
+    return with_domain(df.where(is_search_referrer("referrer", hosts)))
 
 
 def purchase_hits(df: DataFrame, purchase_event: str = PURCHASE_EVENT) -> DataFrame:
@@ -58,28 +64,35 @@ def purchase_hits(df: DataFrame, purchase_event: str = PURCHASE_EVENT) -> DataFr
     return df.where(has_event("event_list", purchase_event))
 
 
-def qualified_hits(
+def search_purchases(
     df: DataFrame,
     hosts: Sequence[str] = SEARCH_ENGINE_HOSTS,
     params: Sequence[str] = KEYWORD_PARAMS,
     purchase_event: str = PURCHASE_EVENT,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Purchases from external search with positive revenue.
+    """Purchases from external search, attributed; revenue not yet checked.
 
     Output: ``keep`` columns + domain, keyword, revenue (double). The cheap
-    tests (host list, purchase regex) run first, on every hit, inside
-    whole-stage codegen; keyword and revenue (array lambdas) are computed only
-    for hits that pass them.
+    tests (one host regex + set lookup, one purchase regex) run on every hit
+    next to the scan, inside whole-stage codegen; keyword and revenue (array
+    lambdas) are computed once, only for hits that pass them.
     """
-    candidates = (
-        df.select(*keep, "referrer", "event_list", "product_list", url_domain("referrer").alias(DOMAIN))
-        .where(is_search_domain(DOMAIN, hosts) & has_event("event_list", purchase_event))
-    )
-    attributed = candidates.select(
+    candidates = df.where(is_search_referrer("referrer", hosts) & has_event("event_list", purchase_event))
+    return candidates.select(
         *keep,
-        F.coalesce(F.col(DOMAIN), F.lit(UNKNOWN_DOMAIN)).alias(DOMAIN),
+        F.coalesce(url_domain("referrer"), F.lit(UNKNOWN_DOMAIN)).alias(DOMAIN),
         search_keyword("referrer", params).alias(KEYWORD),
         hit_revenue("product_list").alias(REVENUE),
     )
-    return attributed.where(F.col(REVENUE) > 0)
+
+
+def qualified_hits(
+    df: DataFrame,
+    hosts: Sequence[str] = SEARCH_ENGINE_HOSTS,
+    params: Sequence[str] = KEYWORD_PARAMS,
+    purchase_event: str = PURCHASE_EVENT,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Purchases from external search with positive revenue: keep + domain, keyword, revenue."""
+    return search_purchases(df, hosts, params, purchase_event, keep).where(F.col(REVENUE) > 0)
