@@ -4,10 +4,12 @@ Steps: format the revenue as text with two decimals, sort, write one part
 file to a stage folder next to the target, then rename it onto the dated
 name, replacing an older file of the same day, and remove the stage.
 
-Scale: the sort runs distributed (range partitioning); ``coalesce(1)`` then
-streams the already-sorted partitions, in order, through the one writer task
-that a single file needs. Its input is the aggregated report (one row per
-domain and keyword), not the hits.
+Scale: the sort runs distributed (range partitioning) and is materialised
+with ``checkpoint()`` in the shared folder; ``coalesce(1)`` then streams the
+sorted partitions, in order, through the one writer task that a single file
+needs. (Without the checkpoint, ``coalesce(1)`` would pull the sort itself
+into that one task.) Its input is the aggregated report (one row per domain
+and keyword), not the hits.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from clicklens.constants import REPORT_DOMAIN, REPORT_FILE_SUFFIX, REPORT_KEYWORD, REPORT_REVENUE
 from clicklens.operators.aggregate import report_order
+from clicklens.session import shared_dir
 from clicklens.sources.tsv import WRITE_OPTIONS
 
 
@@ -87,12 +90,17 @@ def write_report_file(
     (after the sort, so the sort's sampling pass does not count).
     """
     spark = report.sparkSession
+    shared_dir(spark)  # checkpoint() needs the shared folder set
     target = build_output_path(output_prefix, run_date)
     stage = f"{target}._stage-{uuid.uuid4().hex[:12]}"
     text = report_as_text(report)
     if observation is not None:
         text = text.observe(observation, F.count(F.lit(1)).alias("rows"))
-    text.coalesce(1).write.mode("overwrite").options(**WRITE_OPTIONS).csv(stage)
+    # Materialise the range-sorted partitions (sorted by all tasks, written to
+    # the shared checkpoint folder); the single writer then only streams them
+    # in partition order, and a retried writer restarts from the checkpoint.
+    ordered = text.checkpoint(eager=True)
+    ordered.coalesce(1).write.mode("overwrite").options(**WRITE_OPTIONS).csv(stage)
     return publish_single_file(spark, stage, target)
 
 

@@ -245,3 +245,19 @@ def test_registered_queries_run(spark, key):
     import __spark_entry__ as E
 
     assert E.queries()[key](spark, SF_SMALL).count() > 0
+
+
+def test_single_file_order_with_many_keys(spark, tmp):
+    """Thousands of report rows over many range partitions come out in one sorted file."""
+    hits = derived_hits(spark, SF_CHECK).withColumn(
+        "referrer", F.concat(F.lit("http://www.bing.com/search?q=k"), (F.col("event_id") % 3001).cast("string"))
+    ).withColumn("event_list", F.lit("1"))
+    report = keyword_report(hits.repartition(16))
+    path = write_report_file(report, f"{tmp}/o", dt.date(2024, 5, 5))
+    with open(path.replace("file:", ""), encoding="utf-8") as f:
+        rows = [line.split("\t") for line in f.read().splitlines()[1:]]
+    assert len(rows) > 2000
+    want = sorted(rows, key=lambda r: (-float(r[2]), r[0], r[1]))
+    assert rows == want
+    expected = [(r[0], r[1], f"{r[2]:.2f}") for r in report.collect()]
+    assert [tuple(r) for r in rows] == expected
