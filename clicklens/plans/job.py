@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from clicklens.operators import keyword_report, keyword_revenue, labelled
 from clicklens.sinks import read_report_table, write_report_file, write_report_table
-from clicklens.sources.tsv import header_of, read_hits, short_rows_matter
+from clicklens.sources.schema import conform
+from clicklens.sources.tsv import read_hits, read_raw, short_rows_matter
 
 
 def transform_hits(hits: DataFrame) -> DataFrame:
@@ -23,8 +24,10 @@ def read_input(spark: SparkSession, input_path: str, multi_line: bool = False) -
     With the standard column order short rows cannot reach the report, so the
     native, column-pruned CSV scan is used.
     """
-    drop = (not multi_line) and short_rows_matter(header_of(spark, input_path, multi_line))
-    return read_hits(spark, input_path, multi_line=multi_line, short_rows="drop" if drop else "pad")
+    raw = read_raw(spark, input_path, multi_line)  # one small job reads the header
+    if not multi_line and short_rows_matter(raw.columns):
+        return read_hits(spark, input_path, short_rows="drop")
+    return conform(raw)
 
 
 @dataclass

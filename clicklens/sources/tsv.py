@@ -42,9 +42,14 @@ REPORT_INPUTS = ("referrer", "event_list", "product_list")
 _FIELD = r'(?:^|\t)(?:"(?:[^"]|"")*"[^\t]*|[^\t]*)'
 
 
+def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The native CSV scan with the file's own header names (all strings)."""
+    return spark.read.options(header="true", multiLine=str(multi_line).lower(), **TSV_OPTIONS).csv(path)
+
+
 def header_of(spark: SparkSession, path: str, multi_line: bool = False) -> list[str]:
     """Header names of the first file (reads one line)."""
-    return spark.read.options(header="true", multiLine=str(multi_line).lower(), **TSV_OPTIONS).csv(path).columns
+    return read_raw(spark, path, multi_line).columns
 
 
 def short_rows_matter(header: Sequence[str]) -> bool:
@@ -67,8 +72,7 @@ def read_hits(
         return hits_from_lines(spark.read.text(path), columns=columns)
     if short_rows != "pad":
         raise ValueError(f"short_rows must be 'pad' or 'drop', not {short_rows!r}")
-    raw = spark.read.options(header="true", multiLine=str(multi_line).lower(), **TSV_OPTIONS).csv(path)
-    return conform(raw, columns)
+    return conform(read_raw(spark, path, multi_line), columns)
 
 
 def field_count(line: Column) -> Column:
