@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from clicklens.constants import REPORT_DOMAIN, REPORT_FILE_SUFFIX, REPORT_KEYWORD, REPORT_REVENUE
 from clicklens.operators.aggregate import report_order
 from clicklens.session import shared_dir
-from clicklens.sources.tsv import WRITE_OPTIONS
+from clicklens.sources.tsv import tsv_line
 
 
 def output_filename(run_date: dt.date | None = None) -> str:
@@ -49,6 +49,39 @@ def report_as_text(report: DataFrame) -> DataFrame:
     )
 
 
+HEADER_LINE = "\t".join((REPORT_DOMAIN, REPORT_KEYWORD, REPORT_REVENUE))
+
+
+def report_lines(report: DataFrame, observation: Observation | None = None) -> DataFrame:
+    """The file's lines, in order: the header, then one TSV line per report row.
+
+    Fields holding a tab, quote or line break are quoted with inner quotes
+    doubled (minimal quoting, as Python's csv writer does). An
+    ``observation`` receives ``rows``, counted above the sort, so the sort's
+    sampling pass does not count.
+    """
+    rows = report.select(
+        F.lit(1).alias("_part"),
+        F.col(f"`{REPORT_REVENUE}`").alias("_rev"),
+        F.col(f"`{REPORT_DOMAIN}`").alias("_dom"),
+        F.col(f"`{REPORT_KEYWORD}`").alias("_kw"),
+        tsv_line(F.col(f"`{REPORT_DOMAIN}`"), F.col(f"`{REPORT_KEYWORD}`"), revenue_text()).alias("line"),
+    )
+    header = report.sparkSession.range(1).select(
+        F.lit(0).alias("_part"),
+        F.lit(None).cast("double").alias("_rev"),
+        F.lit(None).cast("string").alias("_dom"),
+        F.lit(None).cast("string").alias("_kw"),
+        F.lit(HEADER_LINE).alias("line"),
+    )
+    ordered = header.unionByName(rows).orderBy(
+        F.col("_part"), F.col("_rev").desc(), F.col("_dom"), F.col("_kw")
+    )
+    if observation is not None:
+        ordered = ordered.observe(observation, F.count(F.when(F.col("_part") == 1, True)).alias("rows"))
+    return ordered.select("line")
+
+
 def _hadoop(spark: SparkSession):
     jvm = spark.sparkContext._jvm
     return jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -82,25 +115,24 @@ def write_report_file(
     output_prefix: str,
     run_date: dt.date | None = None,
     observation: Observation | None = None,
+    line_sep: str = "\r\n",
 ) -> str:
     """Write the labelled report as ``<prefix>/<date>_SearchKeywordPerformance.tab``.
 
-    Zero rows give a header-only file. Returns the file path. An
-    ``observation`` receives ``rows``, counted in the writing pass itself
-    (after the sort, so the sort's sampling pass does not count).
+    Header line, then rows by revenue (descending), domain, keyword; lines end
+    in CRLF by default, as the reference's file does. Zero rows give a
+    header-only file. Returns the file path. An ``observation`` receives
+    ``rows``, the number of report rows.
     """
     spark = report.sparkSession
     shared_dir(spark)  # checkpoint() needs the shared folder set
     target = build_output_path(output_prefix, run_date)
     stage = f"{target}._stage-{uuid.uuid4().hex[:12]}"
-    text = report_as_text(report)
-    if observation is not None:
-        text = text.observe(observation, F.count(F.lit(1)).alias("rows"))
     # Materialise the range-sorted partitions (sorted by all tasks, written to
     # the shared checkpoint folder); the single writer then only streams them
     # in partition order, and a retried writer restarts from the checkpoint.
-    ordered = text.checkpoint(eager=True)
-    ordered.coalesce(1).write.mode("overwrite").options(**WRITE_OPTIONS).csv(stage)
+    ordered = report_lines(report, observation).checkpoint(eager=True)
+    ordered.coalesce(1).write.mode("overwrite").option("lineSep", line_sep).text(stage)
     return publish_single_file(spark, stage, target)
 
 

@@ -157,8 +157,10 @@ def test_job_file_sorted_and_rerun_replaces(spark, tmp):
     first = SearchKeywordJob(src, out, day).run(spark)
     assert first.rows == 19 and first.output_file.endswith("2024-02-01_SearchKeywordPerformance.tab")
     local = first.output_file.replace("file:", "")
-    with open(local, encoding="utf-8") as f:
-        lines = f.read().split("\n")
+    with open(local, encoding="utf-8", newline="") as f:
+        content = f.read()
+    assert content.endswith("\r\n") and "\n" not in content.replace("\r\n", "")
+    lines = content.split("\r\n")
     assert lines[0] == f"{REPORT_DOMAIN}\t{REPORT_KEYWORD}\t{REPORT_REVENUE}"
     assert lines[1] == "yahoo.com\t(not set)\t4607.07"
     revenues = [float(x.split("\t")[2]) for x in lines[1:] if x]
@@ -179,8 +181,8 @@ def test_job_file_sorted_and_rerun_replaces(spark, tmp):
 def test_empty_report_writes_header_only(spark, tmp):
     report = keyword_report(derived_hits(spark, SF_SMALL), hosts=("nothing.invalid",))
     path = write_report_file(report, f"{tmp}/o", dt.date(2026, 3, 15))
-    with open(path.replace("file:", ""), encoding="utf-8") as f:
-        assert f.read() == f"{REPORT_DOMAIN}\t{REPORT_KEYWORD}\t{REPORT_REVENUE}\n"
+    with open(path.replace("file:", ""), encoding="utf-8", newline="") as f:
+        assert f.read() == f"{REPORT_DOMAIN}\t{REPORT_KEYWORD}\t{REPORT_REVENUE}\r\n"
 
 
 def test_revenue_text_rounds_like_python(spark, tmp):
@@ -254,10 +256,33 @@ def test_single_file_order_with_many_keys(spark, tmp):
     ).withColumn("event_list", F.lit("1"))
     report = keyword_report(hits.repartition(16))
     path = write_report_file(report, f"{tmp}/o", dt.date(2024, 5, 5))
-    with open(path.replace("file:", ""), encoding="utf-8") as f:
-        rows = [line.split("\t") for line in f.read().splitlines()[1:]]
+    with open(path.replace("file:", ""), encoding="utf-8", newline="") as f:
+        rows = [line.split("\t") for line in f.read().split("\r\n")[1:-1]]
     assert len(rows) > 2000
     want = sorted(rows, key=lambda r: (-float(r[2]), r[0], r[1]))
     assert rows == want
     expected = [(r[0], r[1], f"{r[2]:.2f}") for r in report.collect()]
     assert [tuple(r) for r in rows] == expected
+
+
+def test_report_file_bytes_match_python_csv_writer(spark, tmp):
+    """Same bytes as Python's csv writer (tab, CRLF, minimal quoting, '%.2f')."""
+    import csv
+    import io
+
+    rows = [
+        ("google.com", 'say "hi"', 12.5),
+        ("bing.com", "tab\there", 7.0),
+        ("bing.com", "line\nbreak", 7.0),
+        ("yahoo.com", "café ☕", 0.125),
+        ("msn.com", "(not set)", 1234567.891),
+    ]
+    df = spark.createDataFrame(rows, f"`{REPORT_DOMAIN}` string, `{REPORT_KEYWORD}` string, `{REPORT_REVENUE}` double")
+    path = write_report_file(df, f"{tmp}/o", dt.date(2024, 6, 1))
+    buf = io.StringIO()
+    w = csv.writer(buf, delimiter="\t")
+    w.writerow([REPORT_DOMAIN, REPORT_KEYWORD, REPORT_REVENUE])
+    for d, k, r in sorted(rows, key=lambda x: (-x[2], x[0], x[1])):
+        w.writerow([d, k, f"{r:.2f}"])
+    with open(path.replace("file:", ""), encoding="utf-8", newline="") as f:
+        assert f.read() == buf.getvalue()
