@@ -109,13 +109,16 @@ def _hex_byte(b: int) -> str:
 
 def key_pattern(name: str) -> str | None:
     """Regex for every raw key that decodes to ``name`` (each character literal or
-    %-escaped, hex in either case; a space also as '+'). None when ``name`` holds
-    '%' or '+', whose raw forms depend on their neighbours."""
+    %-escaped, hex in either case; a space also as '+'; '&' and '=' only
+    escaped). None when ``name`` holds '%' or '+', whose raw forms depend on
+    their neighbours."""
     if "%" in name or "+" in name or not name:
         return None
     parts = []
     for ch in name:
-        alts = [re.escape(ch), "".join(_hex_byte(b) for b in ch.encode("utf-8"))]
+        alts = ["".join(_hex_byte(b) for b in ch.encode("utf-8"))]
+        if ch not in "&=":  # these two can only appear %-escaped inside a key
+            alts.append(re.escape(ch))
         if ch == " ":
             alts.append(r"\+")
         parts.append("(?:" + "|".join(alts) + ")")
