@@ -20,6 +20,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--run-date", type=dt.date.fromisoformat, default=None)
     parser.add_argument("--table", default=None, help="also keep the report in this run-date table")
     parser.add_argument("--multi-line", action="store_true", help="quoted fields may hold newlines")
+    parser.add_argument("--by-input", action="store_true", help="table keeps one report per input file")
     try:
         args = parser.parse_args(argv)
     except SystemExit as exc:
@@ -40,6 +41,7 @@ def main(argv: list[str] | None = None) -> int:
         run_date=args.run_date,
         table_path=args.table,
         multi_line=args.multi_line,
+        by_input=args.by_input,
     )
     result = job.run(spark)
     print(f"Wrote {result.rows} rows to {result.output_file}")

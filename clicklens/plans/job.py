@@ -7,10 +7,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from clicklens.operators import keyword_report, keyword_revenue, labelled
+from clicklens.constants import DOMAIN, HIT_COLUMNS, KEYWORD, REVENUE
+from clicklens.operators import exact_sum, keyword_report, keyword_revenue, labelled
 from clicklens.sinks import read_report_table, write_report_file, write_report_table
-from clicklens.sources.schema import conform
-from clicklens.sources.tsv import read_hits, read_raw, short_rows_matter
+from clicklens.sources.tsv import (
+    read_hits,
+    read_raw,
+    renamed_duplicates,
+    short_rows_matter,
+    with_rows_file,
+)
 
 
 def transform_hits(hits: DataFrame) -> DataFrame:
@@ -18,16 +24,19 @@ def transform_hits(hits: DataFrame) -> DataFrame:
     return keyword_report(hits)
 
 
-def read_input(spark: SparkSession, input_path: str, multi_line: bool = False) -> DataFrame:
-    """Read the hit files, choosing the exact short-row path only when it matters.
+def read_input(
+    spark: SparkSession, input_path: str, multi_line: bool = False, with_input_file: bool = False
+) -> DataFrame:
+    """Read the hit files, choosing the exact line path only when it matters.
 
     With the standard column order short rows cannot reach the report, so the
-    native, column-pruned CSV scan is used.
+    native, column-pruned CSV scan is used; the line path is taken when the
+    header order lets short rows matter or repeats a contract column name.
     """
     raw = read_raw(spark, input_path, multi_line)  # one small job reads the header
-    if not multi_line and short_rows_matter(raw.columns):
-        return read_hits(spark, input_path, short_rows="drop")
-    return conform(raw)
+    if not multi_line and (short_rows_matter(raw.columns) or renamed_duplicates(raw.columns)):
+        return read_hits(spark, input_path, short_rows="drop", with_input_file=with_input_file)
+    return with_rows_file(raw, HIT_COLUMNS, with_input_file)
 
 
 @dataclass
@@ -50,14 +59,21 @@ class SearchKeywordJob:
     run_date: dt.date | None = None
     table_path: str | None = None
     multi_line: bool = False
+    by_input: bool = False
 
     def run(self, spark: SparkSession) -> JobResult:
+        """With ``by_input`` the table keeps one report per input file
+        (partitions ``run_date``/``input_file``), so two files of the same day
+        both survive; the dated file still holds the report over all inputs."""
         run_date = self.run_date or dt.date.today()
-        hits = read_input(spark, self.input_path, self.multi_line)
-        agg = keyword_revenue(hits)
+        hits = read_input(spark, self.input_path, self.multi_line, with_input_file=self.by_input)
+        keys = ("input_file",) if self.by_input else ()
+        agg = keyword_revenue(hits, extra_keys=keys)
         if self.table_path:
-            write_report_table(agg, self.table_path, run_date)
+            write_report_table(agg, self.table_path, run_date, partition_by=("run_date", *keys))
             agg = read_report_table(spark, self.table_path, run_date).drop("run_date")
+        if self.by_input:
+            agg = agg.groupBy(DOMAIN, KEYWORD).agg(exact_sum(REVENUE).alias(REVENUE))
         obs = Observation("report")
         out = write_report_file(labelled(agg), self.output_prefix, run_date, observation=obs)
         return JobResult(out, int(obs.get["rows"]))

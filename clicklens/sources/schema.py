@@ -16,21 +16,27 @@ def hits_schema(columns: Sequence[str] = HIT_COLUMNS) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def conform(df: DataFrame, columns: Sequence[str] = HIT_COLUMNS) -> DataFrame:
-    """Trim column names, then select the contract columns by name.
-
-    Columns missing from the input become NULL strings, so an input without a
-    header (zero columns) turns into an empty, correctly shaped table. Later
-    duplicates of a trimmed name are ignored (the first one wins).
+def conform(
+    df: DataFrame, columns: Sequence[str] = HIT_COLUMNS, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Trim column names, then select the contract columns by exact name.
+
+    Names match case-sensitively; when a trimmed name repeats, the last
+    column wins. Columns missing from the input become NULL strings, so an
+    input without a header (zero columns) turns into an empty, correctly
+    shaped table. Columns are picked by position, so names that differ only
+    in case cannot clash. ``keep`` names extra input columns to pass through.
     """
-    by_name: dict[str, str] = {}
-    for raw in df.columns:
-        by_name.setdefault(raw.strip(), raw)
-    return df.select(
+    names = list(df.columns)
+    position = {n.strip(): i for i, n in enumerate(names)}
+    extra = [names.index(k) for k in keep]
+    by_pos = df.toDF(*[f"_in{i}" for i in range(len(names))])
+    return by_pos.select(
         *[
-            (F.col(f"`{by_name[c]}`") if c in by_name else F.lit(None).cast("string")).alias(c)
+            (F.col(f"_in{position[c]}") if c in position else F.lit(None).cast("string")).alias(c)
             for c in columns
-        ]
+        ],
+        *[F.col(f"_in{i}").alias(names[i]) for i in extra],
     )
 
 

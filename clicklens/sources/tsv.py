@@ -57,6 +57,18 @@ def short_rows_matter(header: Sequence[str]) -> bool:
     return bool(header) and header[-1].strip() not in REPORT_INPUTS
 
 
+def renamed_duplicates(header: Sequence[str], columns: Sequence[str] = HIT_COLUMNS) -> bool:
+    """True when Spark's CSV reader renamed a repeated contract column name
+    (it appends the position: ``referrer`` -> ``referrer11``); the line path
+    then resolves the repeat exactly (the last one wins)."""
+    wanted = {c.lower() for c in columns}
+    for i, name in enumerate(header):
+        tail = str(i)
+        if name.endswith(tail) and name[: -len(tail)].strip().lower() in wanted:
+            return True
+    return False
+
+
 def read_hits(
     spark: SparkSession,
     path: str,
@@ -64,15 +76,29 @@ def read_hits(
     multi_line: bool = False,
     short_rows: str = "pad",
     columns: Sequence[str] = HIT_COLUMNS,
+    with_input_file: bool = False,
 ) -> DataFrame:
-    """Read hit TSV file(s) into the contract columns (all strings, empty text as NULL)."""
+    """Read hit TSV file(s) into the contract columns (all strings, empty text as NULL).
+
+    ``with_input_file`` adds ``input_file``, the path of each row's file.
+    """
     if short_rows == "drop":
         if multi_line:
             raise ValueError("short_rows='drop' reads line by line; multi_line is not supported")
-        return hits_from_lines(spark.read.text(path), columns=columns)
+        text = spark.read.text(path)
+        if with_input_file:
+            text = text.withColumn("input_file", F.col("_metadata.file_path"))
+        return hits_from_lines(text, columns=columns, keep=("input_file",) if with_input_file else ())
     if short_rows != "pad":
         raise ValueError(f"short_rows must be 'pad' or 'drop', not {short_rows!r}")
-    return conform(read_raw(spark, path, multi_line), columns)
+    return with_rows_file(read_raw(spark, path, multi_line), columns, with_input_file)
+
+
+def with_rows_file(raw: DataFrame, columns: Sequence[str], with_input_file: bool) -> DataFrame:
+    """``conform`` a native scan, optionally keeping each row's file path."""
+    if not with_input_file:
+        return conform(raw, columns)
+    return conform(raw.withColumn("input_file", F.col("_metadata.file_path")), columns, keep=("input_file",))
 
 
 def field_count(line: Column) -> Column:
@@ -92,21 +118,28 @@ def _schema_ddl(names: Sequence[str]) -> tuple[str, list[str]]:
     return ddl, fields
 
 
+def lines_frame(spark: SparkSession, lines: Sequence[str]) -> DataFrame:
+    """A DataFrame of lines from a Python list (for small, in-memory inputs)."""
+    return spark.createDataFrame([(line,) for line in lines], "value string")
+
+
 def hits_from_lines(
     lines: DataFrame,
     header: Sequence[str] | None = None,
     *,
     drop_short_rows: bool = True,
     columns: Sequence[str] = HIT_COLUMNS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Parse a one-column DataFrame of TSV lines into the contract columns.
+    """Parse TSV lines (the first column of ``lines``) into the contract columns.
 
     Without ``header`` the first line is the header (one row reaches the
     driver); lines equal to it, as at the top of every part file, are skipped.
     Blank lines are skipped; with ``drop_short_rows`` rows with fewer fields
-    than the header are dropped; extra fields are ignored.
+    than the header are dropped; extra fields are ignored. ``keep`` names
+    other columns of ``lines`` to pass through.
     """
-    text = lines.select(F.col(lines.columns[0]).cast("string").alias("value"))
+    text = lines.select(F.col(lines.columns[0]).cast("string").alias("value"), *keep)
     body = text.where(F.col("value") != F.lit(""))
     if header is None:
         first = text.first()
@@ -123,8 +156,8 @@ def hits_from_lines(
     ddl, fields = _schema_ddl(names)
     if drop_short_rows:
         body = body.where(field_count(F.col("value")) >= len(names))
-    parsed = body.select(F.from_csv("value", ddl, TSV_OPTIONS).alias("r")).select("r.*")
-    return conform(parsed, columns)
+    parsed = body.select(F.from_csv("value", ddl, TSV_OPTIONS).alias("r"), *keep).select("r.*", *keep)
+    return conform(parsed, columns, keep=keep)
 
 
 def read_hits_stream(

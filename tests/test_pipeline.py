@@ -286,3 +286,39 @@ def test_report_file_bytes_match_python_csv_writer(spark, tmp):
         w.writerow([d, k, f"{r:.2f}"])
     with open(path.replace("file:", ""), encoding="utf-8", newline="") as f:
         assert f.read() == buf.getvalue()
+
+
+def test_by_input_keeps_both_files_of_a_day(spark, tmp):
+    from clicklens.sources.tsv import lines_frame
+
+    a = [HEADER, hit("http://www.google.com/search?q=zune", "1", "E;Zune;1;100;")]
+    b = [HEADER, hit("http://www.google.com/search?q=zune", "1", "E;Zune;1;50;"),
+         hit("http://www.bing.com/search?q=ipod", "1", "E;Ipod;1;20;")]
+    write_text(f"{tmp}/in/a.tab", a)
+    write_text(f"{tmp}/in/b.tab", b)
+    day = dt.date(2024, 7, 1)
+    res = SearchKeywordJob(f"{tmp}/in", f"{tmp}/o", day, table_path=f"{tmp}/t", by_input=True).run(spark)
+    assert res.rows == 2
+    table = read_report_table(spark, f"{tmp}/t", day)
+    assert table.select("input_file").distinct().count() == 2
+    back = [(r[0], r[1], r[2]) for r in read_report_file(spark, res.output_file).collect()]
+    assert back == [("google.com", "zune", "150.00"), ("bing.com", "ipod", "20.00")]
+    # The same rows through the in-memory lines path.
+    got = report_rows(keyword_report(hits_from_lines(lines_frame(spark, a))))
+    assert got == [("google.com", "zune", 100.0)]
+
+
+def test_header_names_are_case_sensitive_and_last_duplicate_wins(spark):
+    from clicklens.sources.tsv import lines_frame
+
+    header = "Referrer\tevent_list\tproduct_list\treferrer\treferrer"
+    row = "\t".join(["http://www.google.com/search?q=a", "1", "A;B;1;5;", "http://x.com/", "http://www.bing.com/?q=b"])
+    got = report_rows(keyword_report(hits_from_lines(lines_frame(spark, [header, row]))))
+    assert got == [("bing.com", "b", 5.0)]
+
+
+def test_repeated_header_name_in_files(spark, tmp):
+    header = "Referrer\tevent_list\tproduct_list\treferrer\treferrer"
+    row = "\t".join(["http://www.google.com/search?q=a", "1", "A;B;1;5;", "http://x.com/", "http://www.bing.com/?q=b"])
+    write_text(f"{tmp}/dup.tab", [header, row])
+    assert report_rows(keyword_report(read_input(spark, f"{tmp}/dup.tab"))) == [("bing.com", "b", 5.0)]
