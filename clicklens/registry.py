@@ -38,7 +38,7 @@ from clicklens.sources.tsv import (
     write_hits_tsv,
     write_lines,
 )
-from clicklens.streaming import incremental_report, running_revenue
+from clicklens.streaming import incremental_report, read_running_revenue, running_revenue
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -240,7 +240,7 @@ def q_incremental_report(spark: SparkSession, sf: str) -> DataFrame:
             spark, src, table, ckpt, output_prefix=scratch_path(spark, "incr-out"),
             run_date=REPORT_DATE, max_files_per_trigger=16,
         ).awaitTermination()
-    per_file = read_report_table(spark, table, REPORT_DATE).withColumn(
+    per_file = read_report_table(spark, table, REPORT_DATE).drop("batch_id").withColumn(
         "day", F.regexp_extract("input_file", r"day=([0-9-]+)", 1)
     )
     return per_file.groupBy("day", DOMAIN, KEYWORD).agg(exact_sum(REVENUE).alias(REVENUE))
@@ -251,7 +251,7 @@ def q_running_revenue(spark: SparkSession, sf: str) -> DataFrame:
     table, ckpt = scratch_path(spark, "running-table"), scratch_path(spark, "running-ckpt")
     for _ in range(2):
         running_revenue(spark, src, table, ckpt, max_files_per_trigger=8).awaitTermination()
-    return spark.read.parquet(table)
+    return read_running_revenue(spark, table)
 
 
 QUERIES: dict[str, Query] = {

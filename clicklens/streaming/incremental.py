@@ -2,13 +2,17 @@
 
 ``incremental_report``: every new hit file yields its own report. Each
 micro-batch is aggregated by (input file, domain, keyword) and written to a
-table partitioned by (``run_date``, ``input_file``) with dynamic partition
-overwrite, so a micro-batch replayed after a failure rewrites the same
-partitions and changes nothing. The dated single file holds the report of the
-newest file of the batch (the last upload of a day wins).
-
-``running_revenue``: totals over all files seen so far, a streaming
-aggregation in complete mode; the state holds one row per (domain, keyword).
+table partitioned by (``run_date``, ``batch_id``) with dynamic partition
+overwrite, so a micro-batch replayed after a failure rewrites its own
+partition and changes nothing; the folder count follows micro-batches, not
+files. The dated single file holds the report of the newest file of the batch
+(the last upload of a day wins).
+
+``running_revenue``: totals over all files seen so far. A streaming
+aggregation in update mode: each micro-batch appends only the (domain,
+keyword) totals it changed, under its own ``batch_id`` partition, so the
+write per batch grows with what changed, not with all keys seen.
+``read_running_revenue`` takes the latest total of each pair.
 
 Both are checkpointed: a restart resumes after the last committed batch, and
 a run with no new file does nothing.
@@ -29,11 +33,16 @@ from clicklens.sinks import write_report_file, write_report_table
 from clicklens.sources.tsv import read_hits_stream
 
 
+def _write_batch(agg: DataFrame, table_path: str, run_date: dt.date, epoch_id: int) -> None:
+    write_report_table(
+        agg.withColumn("batch_id", F.lit(epoch_id)), table_path, run_date, partition_by=("run_date", "batch_id")
+    )
+
+
 def _file_report_batch(table_path: str, run_date: dt.date, output_prefix: str | None):
     def handle(batch: DataFrame, epoch_id: int) -> None:
         if output_prefix is None:
-            agg = keyword_revenue(batch, extra_keys=("input_file",))
-            write_report_table(agg, table_path, run_date, partition_by=("run_date", "input_file"))
+            _write_batch(keyword_revenue(batch, extra_keys=("input_file",)), table_path, run_date, epoch_id)
             return
         # Two outputs from one read of the batch's files (bounded by maxFilesPerTrigger).
         used = batch.select("input_file", "_mtime", "referrer", "event_list", "product_list")
@@ -45,7 +54,7 @@ def _file_report_batch(table_path: str, run_date: dt.date, output_prefix: str |
             if newest is None:
                 return
             agg = keyword_revenue(used, extra_keys=("input_file",))
-            write_report_table(agg, table_path, run_date, partition_by=("run_date", "input_file"))
+            _write_batch(agg, table_path, run_date, epoch_id)
             # Its report (header only when none of its hits qualifies).
             mine = agg.where(F.col("input_file") == F.lit(newest["input_file"])).drop("input_file")
             write_report_file(labelled(mine), output_prefix, run_date)
@@ -80,13 +89,25 @@ def incremental_report(
     return writer.start()
 
 
-def _overwrite_batch(table_path: str):
+def _append_changes(table_path: str):
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(table_path)
+        (
+            batch.withColumn("batch_id", F.lit(epoch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(table_path)
+        )
 
     return handle
 
 
+def read_running_revenue(spark: SparkSession, table_path: str) -> DataFrame:
+    """Latest running total of each (domain, keyword)."""
+    changes = spark.read.parquet(table_path)
+    return changes.groupBy(DOMAIN, KEYWORD).agg(F.max_by(REVENUE, "batch_id").alias(REVENUE))
+
+
 def running_revenue(
     spark: SparkSession,
     input_dir: str,
@@ -96,12 +117,13 @@ def running_revenue(
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Running (domain, keyword, revenue) over every file so far, kept in ``table_path``."""
+    """Running (domain, keyword, revenue) over every file so far; changes land in
+    ``table_path`` (read them with ``read_running_revenue``)."""
     stream = read_hits_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger)
     totals = qualified_hits(stream).groupBy(DOMAIN, KEYWORD).agg(exact_sum(REVENUE).alias(REVENUE))
     writer = (
-        totals.writeStream.outputMode("complete")
-        .foreachBatch(_overwrite_batch(table_path))
+        totals.writeStream.outputMode("update")
+        .foreachBatch(_append_changes(table_path))
         .option("checkpointLocation", checkpoint_path)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -218,9 +218,13 @@ def test_incremental_equals_batch_per_file(spark, tmp):
         }
         assert have == want
     # Running totals over both uploads equal the batch totals.
-    running_revenue(spark, f"{src}/*", f"{tmp}/rt", f"{tmp}/rck").awaitTermination()
+    from clicklens.streaming import read_running_revenue
+
+    # One upload per micro-batch: the second batch appends only the totals it changed.
+    running_revenue(spark, f"{src}/*", f"{tmp}/rt", f"{tmp}/rck", max_files_per_trigger=1).awaitTermination()
     want = {tuple(r) for r in keyword_revenue(hits).collect()}
-    assert {tuple(r) for r in spark.read.parquet(f"{tmp}/rt").collect()} == want
+    assert {tuple(r) for r in read_running_revenue(spark, f"{tmp}/rt").collect()} == want
+    assert spark.read.parquet(f"{tmp}/rt").select("batch_id").distinct().count() == 2
 
 
 def test_cli(spark, tmp, capsys):
