@@ -26,12 +26,11 @@ def local_session(cores: int | str = "*", app: str = "clicklens", **conf: str) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
-    if "spark.checkpoint.dir" not in conf:
-        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clicklens-ckpt-"))
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    shared_dir(spark)  # keeps a configured spark.checkpoint.dir; sets one only if unset
     return spark
 
 
@@ -45,8 +44,11 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder is not visible to the other nodes.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="clicklens-ckpt-")
-        log.warning("spark.checkpoint.dir is unset; using local folder %s", d)
+        log.warning("spark.checkpoint.dir is unset; local session, using %s", d)
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
