@@ -3,9 +3,17 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
-from clicklens.functions import has_event, has_text, hit_revenue, is_search_domain, search_keyword, url_domain
+from clicklens.functions import (
+    has_event,
+    has_text,
+    hit_revenue,
+    is_search_domain,
+    is_search_referrer,
+    query_param,
+    search_keyword,
+    url_domain,
+)
 from tests.conftest import one_col
 
 # (referrer, domain, is search engine, keyword); expected values from rules R1-R3.
@@ -77,6 +85,7 @@ def referrers(spark):
         "id",
         url_domain("referrer").alias("d"),
         is_search_domain(url_domain("referrer")).alias("s"),
+        is_search_referrer("referrer").alias("s2"),
         search_keyword("referrer").alias("k"),
     ).collect()
     return {r.id: r for r in rows}
@@ -87,6 +96,7 @@ def test_referrer_rules(referrers, i):
     ref, domain, search, keyword = REFERRERS[i]
     got = referrers[i]
     assert (got.d, got.s, got.k) == (domain, search, keyword)
+    assert got.s2 == search  # the one-regex filter agrees with the full domain rule
 
 
 EVENT_LISTS = [
@@ -148,13 +158,25 @@ def test_search_hosts_are_configurable(spark):
     assert [r[0] for r in flags] == [True, False]
 
 
-def test_plan_keeps_cheap_filters_in_codegen(spark):
-    """The per-hit filters run inside whole-stage codegen (no array lambdas there)."""
-    from clicklens.operators import qualified_hits
-    from clicklens.sources.derived import derived_hits
-    from tests.conftest import SF_SMALL
-
-    q = qualified_hits(derived_hits(spark, SF_SMALL))
-    plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "WholeStageCodegen" in plan or "*(" in plan
-    assert F is not None
+def test_query_param_key_encodings_and_fallback(spark):
+    urls = [
+        "http://x.com/?utm%5Fsource=a&utm_source=b",
+        "http://x.com/?utm%5fsource=&utm_source=c",
+        "http://x.com/?a%2Bb=1&a+b=2",
+        "http://x.com/?a%25=3",
+        "http://x.com/?x=1&a%26b=4&a&b=5",
+        "http://x.com/?a%3Db=6",
+    ]
+    df = one_col(spark, urls)
+    got = df.orderBy("id").select(
+        query_param("v", "utm_source"), query_param("v", "a+b"), query_param("v", "a%"),
+        query_param("v", "a&b"), query_param("v", "a=b"), query_param("v", "a b"),
+    ).collect()
+    assert [tuple(r) for r in got] == [
+        ("a", None, None, None, None, None),
+        ("c", None, None, None, None, None),
+        (None, "1", None, None, None, "2"),
+        (None, None, "3", None, None, None),
+        (None, None, None, "4", None, None),
+        (None, None, None, None, "6", None),
+    ]
