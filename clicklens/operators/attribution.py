@@ -74,11 +74,13 @@ def search_purchases(
     """Purchases from external search, attributed; revenue not yet checked.
 
     Output: ``keep`` columns + domain, keyword, revenue (double). The cheap
-    tests (one host regex + set lookup, one purchase regex) run on every hit
-    next to the scan, inside whole-stage codegen; keyword and revenue (array
-    lambdas) are computed once, only for hits that pass them.
+    tests run on every hit next to the scan, inside whole-stage codegen, in
+    this order: the purchase test (a substring check, then a short regex)
+    first, because purchases are the rarer condition, then the host test (one
+    regex and a set lookup) only on purchases. Keyword and revenue are
+    computed once, only for hits that pass both.
     """
-    candidates = df.where(is_search_referrer("referrer", hosts) & has_event("event_list", purchase_event))
+    candidates = df.where(has_event("event_list", purchase_event) & is_search_referrer("referrer", hosts))
     return candidates.select(
         *keep,
         F.coalesce(url_domain("referrer"), F.lit(UNKNOWN_DOMAIN)).alias(DOMAIN),
