@@ -7,8 +7,11 @@ from clicklens.operators.aggregate import (
     labelled,
     report_order,
     revenue_by,
+    sum_positive,
 )
 from clicklens.operators.attribution import (
+    attribute,
+    candidate_flag,
     external_search_hits,
     purchase_hits,
     qualified_hits,
@@ -19,6 +22,9 @@ from clicklens.operators.attribution import (
 from clicklens.operators.products import product_rows
 
 __all__ = [
+    "attribute",
+    "candidate_flag",
+    "sum_positive",
     "exact_sum",
     "external_search_hits",
     "keyword_report",

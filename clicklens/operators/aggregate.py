@@ -55,10 +55,14 @@ def keyword_revenue(
     filter free of array lambdas.
     """
     cand = search_purchases(hits, hosts, params, purchase_event, keep=extra_keys)
+    return sum_positive(cand, extra_keys)
+
+
+def sum_positive(attributed: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
+    """Attributed hits -> revenue by ([extra keys,] domain, keyword), counting only
+    hits with positive revenue; pairs without one are dropped."""
     rev = F.col(REVENUE)
-    agg = cand.groupBy(*extra_keys, DOMAIN, KEYWORD).agg(
-        exact_sum(F.when(rev > 0, rev)).alias(REVENUE)
-    )
+    agg = attributed.groupBy(*extra_keys, DOMAIN, KEYWORD).agg(exact_sum(F.when(rev > 0, rev)).alias(REVENUE))
     return agg.where(F.col(REVENUE).isNotNull())
 
 

@@ -64,6 +64,23 @@ def purchase_hits(df: DataFrame, purchase_event: str = PURCHASE_EVENT) -> DataFr
     return df.where(has_event("event_list", purchase_event))
 
 
+def candidate_flag(
+    hosts: Sequence[str] = SEARCH_ENGINE_HOSTS, purchase_event: str = PURCHASE_EVENT
+):
+    """The per-hit test: a purchase (checked first: the rarer condition) from a search host."""
+    return has_event("event_list", purchase_event) & is_search_referrer("referrer", hosts)
+
+
+def attribute(df: DataFrame, params: Sequence[str] = KEYWORD_PARAMS, keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` + domain, keyword, revenue for hits already known to be candidates."""
+    return df.select(
+        *keep,
+        F.coalesce(url_domain("referrer"), F.lit(UNKNOWN_DOMAIN)).alias(DOMAIN),
+        search_keyword("referrer", params).alias(KEYWORD),
+        hit_revenue("product_list").alias(REVENUE),
+    )
+
+
 def search_purchases(
     df: DataFrame,
     hosts: Sequence[str] = SEARCH_ENGINE_HOSTS,
@@ -80,13 +97,7 @@ def search_purchases(
     regex and a set lookup) only on purchases. Keyword and revenue are
     computed once, only for hits that pass both.
     """
-    candidates = df.where(has_event("event_list", purchase_event) & is_search_referrer("referrer", hosts))
-    return candidates.select(
-        *keep,
-        F.coalesce(url_domain("referrer"), F.lit(UNKNOWN_DOMAIN)).alias(DOMAIN),
-        search_keyword("referrer", params).alias(KEYWORD),
-        hit_revenue("product_list").alias(REVENUE),
-    )
+    return attribute(df.where(candidate_flag(hosts, purchase_event)), params, keep)
 
 
 def qualified_hits(

@@ -28,7 +28,15 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from clicklens.constants import DOMAIN, KEYWORD, REVENUE
-from clicklens.operators import exact_sum, keyword_revenue, labelled, qualified_hits
+from clicklens.operators import (
+    attribute,
+    candidate_flag,
+    exact_sum,
+    keyword_revenue,
+    labelled,
+    qualified_hits,
+    sum_positive,
+)
 from clicklens.sinks import write_report_file, write_report_table
 from clicklens.sources.tsv import read_hits_stream
 
@@ -44,22 +52,31 @@ def _file_report_batch(table_path: str, run_date: dt.date, output_prefix: str |
         if output_prefix is None:
             _write_batch(keyword_revenue(batch, extra_keys=("input_file",)), table_path, run_date, epoch_id)
             return
-        # Two outputs from one read of the batch's files (bounded by maxFilesPerTrigger).
-        used = batch.select("input_file", "_mtime", "referrer", "event_list", "product_list")
-        used = used.persist(StorageLevel.MEMORY_AND_DISK)
+        # Two outputs (the file list, the reports) from one read of the batch.
+        # Only candidate hits keep their text; the others keep their file and
+        # time only, so the cached rows are mostly NULLs, which the columnar
+        # cache stores in next to no space.
+        flag = candidate_flag()
+        slim = batch.select(
+            "input_file",
+            "_mtime",
+            flag.alias("_cand"),
+            F.when(flag, F.col("referrer")).alias("referrer"),
+            F.when(flag, F.col("product_list")).alias("product_list"),
+        ).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # Newest file of the batch: one row per file reaches the driver.
-            files = used.groupBy("input_file").agg(F.max("_mtime").alias("m"))
+            files = slim.groupBy("input_file").agg(F.max("_mtime").alias("m"))
             newest = files.orderBy(F.col("m").desc(), F.col("input_file").desc()).first()
             if newest is None:
                 return
-            agg = keyword_revenue(used, extra_keys=("input_file",))
+            agg = sum_positive(attribute(slim.where("_cand"), keep=("input_file",)), ("input_file",))
             _write_batch(agg, table_path, run_date, epoch_id)
             # Its report (header only when none of its hits qualifies).
             mine = agg.where(F.col("input_file") == F.lit(newest["input_file"])).drop("input_file")
             write_report_file(labelled(mine), output_prefix, run_date)
         finally:
-            used.unpersist()
+            slim.unpersist()
 
     return handle
 
@@ -72,10 +89,14 @@ def incremental_report(
     *,
     output_prefix: str | None = None,
     run_date: dt.date | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 1000,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start the per-file report stream; with ``available_now`` it stops when caught up."""
+    """Start the per-file report stream; with ``available_now`` it stops when caught up.
+
+    ``max_files_per_trigger`` bounds a micro-batch, so a backlog is worked
+    off in batches of bounded size.
+    """
     run_date = run_date or dt.date.today()
     stream = read_hits_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger).withColumn(
         "_mtime", F.col("_metadata.file_modification_time")
@@ -114,7 +135,7 @@ def running_revenue(
     table_path: str,
     checkpoint_path: str,
     *,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 1000,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Running (domain, keyword, revenue) over every file so far; changes land in
