@@ -180,3 +180,23 @@ def test_query_param_key_encodings_and_fallback(spark):
         (None, None, None, "4", None, None),
         (None, None, None, None, "6", None),
     ]
+
+
+def test_with_attribution_and_typed(spark):
+    from clicklens.constants import HIT_COLUMNS
+    from clicklens.operators import with_attribution
+    from clicklens.sources.schema import typed
+
+    row = {c: None for c in HIT_COLUMNS}
+    row.update(
+        hit_time_gmt="1254033280", date_time="2009-09-27 06:34:40", event_list="2,1",
+        product_list="A;B;1;2.5;,C;D;1;1;", referrer="http://www.Bing.com/s?q=z+z",
+    )
+    df = spark.createDataFrame([tuple(row[c] for c in HIT_COLUMNS)], ", ".join(f"{c} string" for c in HIT_COLUMNS))
+    got = with_attribution(df).select(
+        "search_engine_domain", "search_keyword", "is_external_search", "is_purchase", "revenue"
+    ).first()
+    assert tuple(got) == ("bing.com", "z z", True, True, 3.5)
+    t = typed(df).select("hit_time_gmt", "date_time").first()
+    assert t.hit_time_gmt == 1254033280
+    assert str(t.date_time) == "2009-09-27 06:34:40"

@@ -32,3 +32,17 @@ def test_report_plan_shape(spark, tmp):
     assert "Broadcast" not in plan
     # The per-hit filter sits in a whole-stage-codegen stage next to the scan.
     assert re.search(r"\*\(\d+\) Filter", plan), plan[:2000]
+
+
+def test_report_table_read_prunes_partitions(spark, tmp):
+    import datetime as dt
+
+    from clicklens.sinks import read_report_table, write_report_table
+
+    agg = keyword_revenue(derived_hits(spark, SF_SMALL))
+    for day in (dt.date(2024, 1, 1), dt.date(2024, 1, 2)):
+        write_report_table(agg, f"{tmp}/t", day)
+    one = read_report_table(spark, f"{tmp}/t", dt.date(2024, 1, 2))
+    plan = executed(one)
+    assert re.search(r"PartitionFilters: \[[^\]]*run_date", plan)
+    assert one.count() == agg.count()
