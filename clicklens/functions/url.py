@@ -33,8 +33,6 @@ _NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 _HOST = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[wW][wW][wW]\.)?([^/?#]*)"
 _QUERY = r"^[^?#]*\?([^#]*)"
 _STRAY_PERCENT = r"%(?![0-9A-Fa-f]{2})"
-
-
 # Leading C0 controls and spaces, and TAB/CR/LF anywhere (removed by urlsplit).
 _UNSAFE = r"^[\x00-\x20]+|[\t\n\r]"
 

@@ -247,6 +247,8 @@ def q_incremental_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_running_revenue(spark: SparkSession, sf: str) -> DataFrame:
+    """Running totals over every arriving file (several micro-batches, then a
+    run with nothing new); equals the batch totals."""
     src = _daily_files(spark, sf)
     table, ckpt = scratch_path(spark, "running-table"), scratch_path(spark, "running-ckpt")
     for _ in range(2):
