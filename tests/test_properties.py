@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from urllib.parse import parse_qs, urlsplit
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from clicklens.functions import search_keyword, url_domain
+from clicklens.functions import has_event, hit_revenue, search_keyword, url_domain
 from tests.conftest import one_col
 
 KEYS = ["q", "p", "%71", "%70", "Q", "qq", "x", "", "q+", "%7"]
@@ -50,3 +51,46 @@ def test_referrer_rules_match_urllib(spark, refs):
     got = df.orderBy("id").select(url_domain("r"), search_keyword("r")).collect()
     for ref, row in zip(refs, got):
         assert (row[0], row[1]) == expected(ref), ref
+
+
+def price_of(text):
+    """Python's float() on the trimmed 4th field; nan/inf and errors add 0."""
+    try:
+        v = float(text.strip())
+    except ValueError:
+        return 0.0
+    return v if math.isfinite(v) and text.strip().lower().lstrip("+-") not in ("nan", "inf", "infinity") else 0.0
+
+
+def revenue_of(product_list):
+    total = 0.0
+    if product_list is None:
+        return total
+    for product in product_list.split(","):
+        fields = product.strip().split(";")
+        if len(fields) >= 4 and fields[3]:
+            total += price_of(fields[3])
+    return total
+
+
+PRICES = ["250", "4.00", " 5 ", "-1.5", "1e3", "1_000", "1__0", "_1", ".5", "5.", "+2", "nan", "inf", "abc",
+          "", " ", "0x10", "1e1_0", "　 7 ", "1,5"]
+product = st.builds(
+    lambda cat, qty, price, extra: ";".join(["Cat", "Item", qty, price] + extra)[: None if cat else 7],
+    st.booleans(), st.sampled_from(["1", "4", ""]), st.sampled_from(PRICES), st.lists(st.sampled_from(["", "x"]), max_size=2),
+)
+product_list = st.one_of(st.none(), st.lists(product, max_size=4).map(",".join))
+TOKENS = ["1", "2", "12", "11", "200", " 1 ", "1　", "", " "]
+event_list = st.one_of(st.none(), st.lists(st.sampled_from(TOKENS), max_size=4).map(",".join))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(product_list, event_list), min_size=300, max_size=300))
+def test_revenue_and_purchase_match_python(spark, rows):
+    df = spark.createDataFrame(list(enumerate(rows)), "id long, p struct<pl:string, ev:string>").select(
+        "id", "p.pl", "p.ev"
+    )
+    got = df.orderBy("id").select(hit_revenue("pl"), has_event("ev")).collect()
+    for (pl, ev), row in zip(rows, got):
+        want_purchase = ev is not None and "1" in [t.strip() for t in ev.split(",") if t.strip()]
+        assert (row[0], row[1]) == (revenue_of(pl), want_purchase), (pl, ev)
