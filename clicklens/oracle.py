@@ -19,7 +19,8 @@ from clicklens.constants import (
 )
 from clicklens.functions.hits import NUMBER_PATTERN, event_pattern
 
-_WS = "'" + WHITESPACE + "'"
+# The white-space set as chr() calls, so the SQL text holds no control characters.
+_WS = "(" + " || ".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
 
 
 def _q(s: str) -> str:
