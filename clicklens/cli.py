@@ -1,22 +1,27 @@
-"""Command: ``python -m clicklens.cli <input> [--output-dir DIR] [--run-date YYYY-MM-DD]``.
+"""Command: ``python -m clicklens <input> [--output-dir DIR] [--run-date YYYY-MM-DD]``.
 
 Writes ``<date>_SearchKeywordPerformance.tab`` into the output folder (default:
 the current folder) and prints the number of report rows. Under spark-submit
-it uses the cluster's session; alone, a local one.
+it uses the cluster's session; alone, a local one. The job's argument names
+``--input_path``/``--output_path`` and a JSON payload holding them
+(``--execution-input FILE``) are accepted as well.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 import os
 import sys
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="clicklens", description="Revenue by search engine and keyword")
-    parser.add_argument("input", help="hit TSV file or folder (any Hadoop path)")
-    parser.add_argument("--output-dir", default=os.getcwd())
+    parser.add_argument("input", nargs="?", help="hit TSV file or folder (any Hadoop path)")
+    parser.add_argument("--input_path", "--input-path", dest="input_path", default=None)
+    parser.add_argument("--output-dir", "--output_path", dest="output_dir", default=None)
+    parser.add_argument("--execution-input", default=None, help="JSON with input_path and output_path")
     parser.add_argument("--run-date", type=dt.date.fromisoformat, default=None)
     parser.add_argument("--table", default=None, help="also keep the report in this run-date table")
     parser.add_argument("--multi-line", action="store_true", help="quoted fields may hold newlines")
@@ -25,6 +30,15 @@ def main(argv: list[str] | None = None) -> int:
         args = parser.parse_args(argv)
     except SystemExit as exc:
         return int(exc.code or 1)
+    payload = {}
+    if args.execution_input:
+        with open(args.execution_input, encoding="utf-8") as f:
+            payload = json.load(f)
+    args.input = args.input or args.input_path or payload.get("input_path")
+    args.output_dir = args.output_dir or payload.get("output_path") or os.getcwd()
+    if not args.input:
+        print("Usage: python -m clicklens <input_file> [--output-dir DIR]", file=sys.stderr)
+        return 1
     if "://" not in args.input and not os.path.exists(args.input):
         print(f"File not found: {args.input}", file=sys.stderr)
         return 1

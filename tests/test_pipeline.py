@@ -235,6 +235,13 @@ def test_cli(spark, tmp, capsys):
     assert "Wrote 3 rows" in capsys.readouterr().out
     assert os.path.exists(f"{tmp}/o/2009-10-08_SearchKeywordPerformance.tab")
     assert main([f"{tmp}/missing.tab"]) == 1
+    assert main([]) == 1
+    with open(f"{tmp}/payload.json", "w") as f:
+        f.write(f'{{"input_path": "{tmp}/hits.tab", "output_path": "{tmp}/p"}}')
+    assert main(["--execution-input", f"{tmp}/payload.json", "--run-date", "2009-10-09"]) == 0
+    assert os.path.exists(f"{tmp}/p/2009-10-09_SearchKeywordPerformance.tab")
+    assert main(["--input_path", f"{tmp}/hits.tab", "--output_path", f"{tmp}/q", "--run-date", "2009-10-10"]) == 0
+    assert os.path.exists(f"{tmp}/q/2009-10-10_SearchKeywordPerformance.tab")
 
 
 def test_entry_and_registry(spark):
