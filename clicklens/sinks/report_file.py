@@ -1,8 +1,10 @@
 """The report as one dated, tab-separated file.
 
-Steps: format the revenue as text with two decimals, sort, write one part
-file to a stage folder next to the target, then rename it onto the dated
-name, replacing an older file of the same day, and remove the stage.
+Steps: format each row as one TSV line (revenue with two decimals, minimal
+quoting), put the header line first and sort, write one part file (CRLF line
+ends, as Python's csv writer) to a stage folder next to the target, then
+rename it onto the dated name, replacing an older file of the same day, and
+remove the stage.
 
 Scale: the sort runs distributed (range partitioning) and is materialised
 with ``checkpoint()`` in the shared folder; ``coalesce(1)`` then streams the
