@@ -26,5 +26,15 @@ def has_text(c: Column | str) -> Column:
 
 
 def ws_regex_class() -> str:
-    """The white-space set as a Java/RE2 character class, e.g. ``[\\x{9}...]``."""
-    return "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITESPACE) + "]"
+    """The white-space set as a Java/RE2 character class of ranges, e.g.
+    ``[\\x{9}-\\x{d}...]``. Ranges keep the class short: Java tests a class
+    outside Latin-1 member by member."""
+    points = sorted(ord(ch) for ch in WHITESPACE)
+    runs: list[list[int]] = []
+    for p in points:
+        if runs and p == runs[-1][1] + 1:
+            runs[-1][1] = p
+        else:
+            runs.append([p, p])
+    parts = [f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs]
+    return "[" + "".join(parts) + "]"

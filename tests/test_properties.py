@@ -8,12 +8,20 @@ from urllib.parse import parse_qs, urlsplit
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from clicklens.functions import has_event, hit_revenue, search_keyword, url_domain
+from clicklens.functions import (
+    accepted_domains,
+    has_event,
+    hit_revenue,
+    is_search_referrer,
+    search_keyword,
+    url_domain,
+)
 from tests.conftest import one_col
 
 KEYS = ["q", "p", "%71", "%70", "Q", "qq", "x", "", "q+", "%7"]
 VALUES = ["", "a", "+", "a+b", "%20", "%41b", "%", "100%", "%zz", "x=y", " a ", "%E2%82%AC", "caf\u00e9", "%FF"]
-HOSTS = ["www.google.com", "google.com", "Bing.com", "www.www.google.com", "host:80", "u@h", "", "www."]
+HOSTS = ["www.google.com", "google.com", "Bing.com", "www.www.google.com", "host:80", "u@h", "", "www.",
+         "goo\tgle.com", "WWW.\nbing.com", "msn.com\u3000", "yahoo.com\x01", "[bing.com"]
 
 
 def expected(ref):
@@ -35,22 +43,25 @@ def expected(ref):
 pair = st.builds(lambda k, v, eq: f"{k}={v}" if eq else k, st.sampled_from(KEYS), st.sampled_from(VALUES), st.booleans())
 referrer = st.builds(
     lambda scheme, host, path, pairs, frag, pad: f"{pad}{scheme}{host}{path}?{'&'.join(pairs)}{frag}{pad}",
-    st.sampled_from(["http://", "https://", "//", "", "ftp://", "x y://"]),
+    st.sampled_from(["http://", "https://", "//", "", "ftp://", "x y://", "ht\ttp://", "http:/\n/", "a:b://"]),
     st.sampled_from(HOSTS),
     st.sampled_from(["", "/", "/search", "/a?b"]),
     st.lists(pair, max_size=5),
     st.sampled_from(["", "#top", "#q=z"]),
-    st.sampled_from(["", " ", "\t", "\u3000"]),
+    st.sampled_from(["", " ", "\t", "\u3000", "\x01 ", " \x01", "\u3000\x01", "\r\n"]),
 )
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(referrer, min_size=300, max_size=300))
 def test_referrer_rules_match_urllib(spark, refs):
     df = one_col(spark, refs, "r")
-    got = df.orderBy("id").select(url_domain("r"), search_keyword("r")).collect()
+    got = df.orderBy("id").select(url_domain("r"), search_keyword("r"), is_search_referrer("r")).collect()
+    hosts = set(accepted_domains())
     for ref, row in zip(refs, got):
-        assert (row[0], row[1]) == expected(ref), ref
+        want = expected(ref)
+        assert (row[0], row[1]) == want, ref
+        assert row[2] == (want[0] in hosts), ref
 
 
 def price_of(text):
