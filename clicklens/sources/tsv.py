@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from clicklens.constants import HIT_COLUMNS
 from clicklens.sources.schema import conform, hits_schema
@@ -43,8 +44,23 @@ _FIELD = r'(?:^|\t)(?:"(?:[^"]|"")*"[^\t]*|[^\t]*)'
 
 
 def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """The native CSV scan with the file's own header names (all strings)."""
-    return spark.read.options(header="true", multiLine=str(multi_line).lower(), **TSV_OPTIONS).csv(path)
+    """The native CSV scan with the header names of the first file (all strings).
+
+    Spark maps every file by position to those names; so that a file with
+    another header cannot be read silently into the wrong columns, each
+    file's header is checked against them (``enforceSchema=false``) and a
+    mismatch fails the read. Headers Spark had to rename (repeated or empty
+    names) are left unchecked; the job reads those through the line path.
+    """
+    def reader():
+        return spark.read.options(header="true", multiLine=str(multi_line).lower(), **TSV_OPTIONS)
+
+    raw = reader().csv(path)
+    names = raw.columns
+    if not names or _spark_renamed(names):
+        return raw
+    schema = StructType([StructField(n, StringType(), True) for n in names])
+    return reader().schema(schema).option("enforceSchema", "false").csv(path)
 
 
 def header_of(spark: SparkSession, path: str, multi_line: bool = False) -> list[str]:
@@ -57,6 +73,21 @@ def short_rows_matter(header: Sequence[str]) -> bool:
     return bool(header) and header[-1].strip() not in REPORT_INPUTS
 
 
+def _spark_renamed(names: Sequence[str]) -> bool:
+    """True when Spark may have renamed header names: an empty name becomes
+    ``_c<position>``; every copy of a repeated name gets its position appended
+    (two or more names then share a base). A false alarm only skips a check."""
+    bases: dict[str, int] = {}
+    for i, n in enumerate(names):
+        if n == f"_c{i}":
+            return True
+        tail = str(i)
+        if n.endswith(tail) and len(n) > len(tail):
+            base = n[: -len(tail)].lower()
+            bases[base] = bases.get(base, 0) + 1
+    return any(count > 1 for count in bases.values())
+
+
 def renamed_duplicates(header: Sequence[str], columns: Sequence[str] = HIT_COLUMNS) -> bool:
     """True when Spark's CSV reader renamed a repeated contract column name
     (it appends the position: ``referrer`` -> ``referrer11``); the line path

@@ -357,3 +357,15 @@ def test_replayed_micro_batch_changes_nothing(spark, tmp):
     append(totals, 0)
     append(totals, 0)  # replay
     assert spark.read.parquet(f"{tmp}/r").count() == totals.count()
+
+
+def test_files_with_different_headers_fail_instead_of_misreading(spark, tmp):
+    a = [HEADER, hit("http://www.google.com/search?q=a", "1", "A;B;1;5;")]
+    cols = HEADER.split("\t")
+    b = ["\t".join(reversed(cols)), "\t".join(reversed(hit("http://www.bing.com/?q=b", "1", "A;B;1;7;").split("\t")))]
+    write_text(f"{tmp}/in/a.tab", a)
+    write_text(f"{tmp}/in/b.tab", b)
+    with pytest.raises(Exception, match="(?i)header"):
+        keyword_report(read_input(spark, f"{tmp}/in")).collect()
+    # Each file alone reads fine.
+    assert report_rows(keyword_report(read_input(spark, f"{tmp}/in/b.tab"))) == [("bing.com", "b", 7.0)]
