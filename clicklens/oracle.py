@@ -214,6 +214,11 @@ def oracle_sql() -> dict[str, str]:
         "referrer_domain": with_hits(f"SELECT event_id, {domain('referrer')} AS search_engine_domain FROM hits"),
         "search_keyword": with_hits(f"SELECT event_id, {keyword('referrer')} AS search_keyword FROM hits"),
         "hit_revenue": with_hits(f"SELECT event_id, {revenue('product_list')} AS revenue FROM hits"),
+        "hit_attribution": with_hits(
+            f"SELECT event_id, d AS search_engine_domain, {keyword('referrer')} AS search_keyword, "
+            f"{is_search('d')} AS is_external_search, {purchase('event_list')} AS is_purchase, "
+            f"{revenue('product_list')} AS revenue FROM (SELECT *, {domain('referrer')} AS d FROM hits)"
+        ),
         "product_rows": with_hits(
             f"""SELECT event_id, CAST(idx AS BIGINT) AS product_index,
                 string_split(prods[idx + 1], ';')[1] AS category,

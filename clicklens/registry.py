@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from clicklens.constants import DOMAIN, HIT_COLUMNS, KEYWORD, REVENUE
 from clicklens.functions import has_text, hit_revenue, query_param, search_keyword, url_domain
 from clicklens.operators import (
+    with_attribution,
     external_search_hits,
     keyword_report,
     keyword_revenue,
@@ -69,6 +70,13 @@ def q_hit_revenue(spark: SparkSession, sf: str) -> DataFrame:
     return derived_hits(spark, sf).select("event_id", hit_revenue("product_list").alias(REVENUE))
 
 
+def q_hit_attribution(spark: SparkSession, sf: str) -> DataFrame:
+    """Every hit with all derived columns (the per-row step before filtering)."""
+    return with_attribution(derived_hits(spark, sf)).select(
+        "event_id", DOMAIN, KEYWORD, "is_external_search", "is_purchase", REVENUE
+    )
+
+
 def q_product_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = product_rows(derived_hits(spark, sf))
     return rows.withColumn("product_index", F.col("product_index").cast("bigint"))
@@ -261,6 +269,7 @@ QUERIES: dict[str, Query] = {
     "referrer_domain": q_referrer_domain,
     "search_keyword": q_search_keyword,
     "hit_revenue": q_hit_revenue,
+    "hit_attribution": q_hit_attribution,
     "product_rows": q_product_rows,
     "external_search_hits": q_external_search_hits,
     "purchase_hits": q_purchase_hits,
