@@ -369,3 +369,14 @@ def test_files_with_different_headers_fail_instead_of_misreading(spark, tmp):
         keyword_report(read_input(spark, f"{tmp}/in")).collect()
     # Each file alone reads fine.
     assert report_rows(keyword_report(read_input(spark, f"{tmp}/in/b.tab"))) == [("bing.com", "b", 7.0)]
+
+
+def test_stream_rejects_a_file_with_another_header(spark, tmp):
+    from clicklens.streaming import incremental_report
+
+    cols = HEADER.split("\t")
+    row = hit("http://www.bing.com/?q=b", "1", "A;B;1;7;").split("\t")
+    write_text(f"{tmp}/inbox/odd.tab", ["\t".join(reversed(cols)), "\t".join(reversed(row))])
+    q = incremental_report(spark, f"{tmp}/inbox", f"{tmp}/t", f"{tmp}/ck", run_date=dt.date(2024, 9, 1))
+    with pytest.raises(Exception, match="(?i)header"):
+        q.awaitTermination()
