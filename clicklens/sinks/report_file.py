@@ -134,8 +134,21 @@ def write_report_file(
     # the shared checkpoint folder); the single writer then only streams them
     # in partition order, and a retried writer restarts from the checkpoint.
     ordered = report_lines(report, observation).checkpoint(eager=True)
-    ordered.coalesce(1).write.mode("overwrite").option("lineSep", line_sep).text(stage)
-    return publish_single_file(spark, stage, target)
+    try:
+        ordered.coalesce(1).write.mode("overwrite").option("lineSep", line_sep).text(stage)
+        return publish_single_file(spark, stage, target)
+    except Exception:
+        _remove(spark, stage)  # a failed attempt leaves no stage behind; the target is untouched
+        raise
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    jvm, conf = _hadoop(spark)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        p.getFileSystem(conf).delete(p, True)
+    except Exception:  # best effort: the failure being raised matters more
+        pass
 
 
 def read_report_file(spark: SparkSession, path: str) -> DataFrame:

@@ -380,3 +380,15 @@ def test_stream_rejects_a_file_with_another_header(spark, tmp):
     q = incremental_report(spark, f"{tmp}/inbox", f"{tmp}/t", f"{tmp}/ck", run_date=dt.date(2024, 9, 1))
     with pytest.raises(Exception, match="(?i)header"):
         q.awaitTermination()
+
+
+def test_failed_publish_leaves_no_stage(spark, tmp, monkeypatch):
+    from clicklens.sinks import report_file
+
+    report = keyword_report(derived_hits(spark, SF_SMALL))
+    def boom(*args, **kwargs):
+        raise RuntimeError("publish failed")
+    monkeypatch.setattr(report_file, "publish_single_file", boom)
+    with pytest.raises(RuntimeError, match="publish failed"):
+        report_file.write_report_file(report, f"{tmp}/o", dt.date(2024, 10, 1))
+    assert [f for f in os.listdir(f"{tmp}/o") if "_stage" in f] == []
