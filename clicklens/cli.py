@@ -26,6 +26,9 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--table", default=None, help="also keep the report in this run-date table")
     parser.add_argument("--multi-line", action="store_true", help="quoted fields may hold newlines")
     parser.add_argument("--by-input", action="store_true", help="table keeps one report per input file")
+    parser.add_argument("--hosts", default=None, help="comma-separated search hosts (default: the built-in list)")
+    parser.add_argument("--params", default=None, help="comma-separated keyword parameters, in priority order")
+    parser.add_argument("--purchase-event", default=None, help="event code of a purchase")
     try:
         args = parser.parse_args(argv)
     except SystemExit as exc:
@@ -49,6 +52,13 @@ def main(argv: list[str] | None = None) -> int:
     from clicklens.session import local_session
 
     spark = SparkSession.getActiveSession() or local_session()
+    lists = {}
+    if args.hosts:
+        lists["hosts"] = tuple(h.strip() for h in args.hosts.split(",") if h.strip())
+    if args.params:
+        lists["params"] = tuple(p.strip() for p in args.params.split(",") if p.strip())
+    if args.purchase_event:
+        lists["purchase_event"] = args.purchase_event
     job = SearchKeywordJob(
         input_path=args.input,
         output_prefix=args.output_dir,
@@ -56,6 +66,7 @@ def main(argv: list[str] | None = None) -> int:
         table_path=args.table,
         multi_line=args.multi_line,
         by_input=args.by_input,
+        **lists,
     )
     result = job.run(spark)
     print(f"Wrote {result.rows} rows to {result.output_file}")

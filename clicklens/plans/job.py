@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from clicklens.constants import DOMAIN, HIT_COLUMNS, KEYWORD, REVENUE
+from clicklens.constants import (
+    DOMAIN,
+    HIT_COLUMNS,
+    KEYWORD,
+    KEYWORD_PARAMS,
+    PURCHASE_EVENT,
+    REVENUE,
+    SEARCH_ENGINE_HOSTS,
+)
 from clicklens.operators import exact_sum, keyword_report, keyword_revenue, labelled
 from clicklens.sinks import read_report_table, write_report_file, write_report_table
 from clicklens.sources.tsv import (
@@ -60,6 +69,9 @@ class SearchKeywordJob:
     table_path: str | None = None
     multi_line: bool = False
     by_input: bool = False
+    hosts: Sequence[str] = SEARCH_ENGINE_HOSTS
+    params: Sequence[str] = KEYWORD_PARAMS
+    purchase_event: str = PURCHASE_EVENT
 
     def run(self, spark: SparkSession) -> JobResult:
         """With ``by_input`` the table keeps one report per input file
@@ -68,7 +80,7 @@ class SearchKeywordJob:
         run_date = self.run_date or dt.date.today()
         hits = read_input(spark, self.input_path, self.multi_line, with_input_file=self.by_input)
         keys = ("input_file",) if self.by_input else ()
-        agg = keyword_revenue(hits, extra_keys=keys)
+        agg = keyword_revenue(hits, self.hosts, self.params, self.purchase_event, extra_keys=keys)
         if self.table_path:
             write_report_table(agg, self.table_path, run_date, partition_by=("run_date", *keys))
             agg = read_report_table(spark, self.table_path, run_date).drop("run_date")

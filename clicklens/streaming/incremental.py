@@ -21,13 +21,21 @@ a run with no new file does nothing.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
-from clicklens.constants import DOMAIN, KEYWORD, REVENUE
+from clicklens.constants import (
+    DOMAIN,
+    KEYWORD,
+    KEYWORD_PARAMS,
+    PURCHASE_EVENT,
+    REVENUE,
+    SEARCH_ENGINE_HOSTS,
+)
 from clicklens.operators import (
     attribute,
     candidate_flag,
@@ -47,16 +55,24 @@ def _write_batch(agg: DataFrame, table_path: str, run_date: dt.date, epoch_id: i
     )
 
 
-def _file_report_batch(table_path: str, run_date: dt.date, output_prefix: str | None):
+def _file_report_batch(
+    table_path: str,
+    run_date: dt.date,
+    output_prefix: str | None,
+    hosts: Sequence[str] = SEARCH_ENGINE_HOSTS,
+    params: Sequence[str] = KEYWORD_PARAMS,
+    purchase_event: str = PURCHASE_EVENT,
+):
     def handle(batch: DataFrame, epoch_id: int) -> None:
         if output_prefix is None:
-            _write_batch(keyword_revenue(batch, extra_keys=("input_file",)), table_path, run_date, epoch_id)
+            agg = keyword_revenue(batch, hosts, params, purchase_event, extra_keys=("input_file",))
+            _write_batch(agg, table_path, run_date, epoch_id)
             return
         # Two outputs (the file list, the reports) from one read of the batch.
         # Only candidate hits keep their text; the others keep their file and
         # time only, so the cached rows are mostly NULLs, which the columnar
         # cache stores in next to no space.
-        flag = candidate_flag()
+        flag = candidate_flag(hosts, purchase_event)
         slim = batch.select(
             "input_file",
             "_mtime",
@@ -70,7 +86,7 @@ def _file_report_batch(table_path: str, run_date: dt.date, output_prefix: str |
             newest = files.orderBy(F.col("m").desc(), F.col("input_file").desc()).first()
             if newest is None:
                 return
-            agg = sum_positive(attribute(slim.where("_cand"), keep=("input_file",)), ("input_file",))
+            agg = sum_positive(attribute(slim.where("_cand"), params, keep=("input_file",)), ("input_file",))
             _write_batch(agg, table_path, run_date, epoch_id)
             # Its report (header only when none of its hits qualifies).
             mine = agg.where(F.col("input_file") == F.lit(newest["input_file"])).drop("input_file")
@@ -91,6 +107,9 @@ def incremental_report(
     run_date: dt.date | None = None,
     max_files_per_trigger: int | None = 1000,
     available_now: bool = True,
+    hosts: Sequence[str] = SEARCH_ENGINE_HOSTS,
+    params: Sequence[str] = KEYWORD_PARAMS,
+    purchase_event: str = PURCHASE_EVENT,
 ) -> StreamingQuery:
     """Start the per-file report stream; with ``available_now`` it stops when caught up.
 
@@ -102,7 +121,9 @@ def incremental_report(
         "_mtime", F.col("_metadata.file_modification_time")
     )
     writer = (
-        stream.writeStream.foreachBatch(_file_report_batch(table_path, run_date, output_prefix))
+        stream.writeStream.foreachBatch(
+            _file_report_batch(table_path, run_date, output_prefix, hosts, params, purchase_event)
+        )
         .option("checkpointLocation", checkpoint_path)
         .queryName(f"clicklens-incremental-{abs(hash(checkpoint_path))}")
     )
@@ -137,11 +158,15 @@ def running_revenue(
     *,
     max_files_per_trigger: int | None = 1000,
     available_now: bool = True,
+    hosts: Sequence[str] = SEARCH_ENGINE_HOSTS,
+    params: Sequence[str] = KEYWORD_PARAMS,
+    purchase_event: str = PURCHASE_EVENT,
 ) -> StreamingQuery:
     """Running (domain, keyword, revenue) over every file so far; changes land in
     ``table_path`` (read them with ``read_running_revenue``)."""
     stream = read_hits_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger)
-    totals = qualified_hits(stream).groupBy(DOMAIN, KEYWORD).agg(exact_sum(REVENUE).alias(REVENUE))
+    hits = qualified_hits(stream, hosts, params, purchase_event)
+    totals = hits.groupBy(DOMAIN, KEYWORD).agg(exact_sum(REVENUE).alias(REVENUE))
     writer = (
         totals.writeStream.outputMode("update")
         .foreachBatch(_append_changes(table_path))

@@ -242,6 +242,8 @@ def test_cli(spark, tmp, capsys):
     assert os.path.exists(f"{tmp}/p/2009-10-09_SearchKeywordPerformance.tab")
     assert main(["--input_path", f"{tmp}/hits.tab", "--output_path", f"{tmp}/q", "--run-date", "2009-10-10"]) == 0
     assert os.path.exists(f"{tmp}/q/2009-10-10_SearchKeywordPerformance.tab")
+    assert main([f"{tmp}/hits.tab", "--output-dir", f"{tmp}/b", "--hosts", "bing.com", "--run-date", "2009-10-11"]) == 0
+    assert "Wrote 1 rows" in capsys.readouterr().out
 
 
 def test_entry_and_registry(spark):
@@ -392,3 +394,22 @@ def test_failed_publish_leaves_no_stage(spark, tmp, monkeypatch):
     with pytest.raises(RuntimeError, match="publish failed"):
         report_file.write_report_file(report, f"{tmp}/o", dt.date(2024, 10, 1))
     assert [f for f in os.listdir(f"{tmp}/o") if "_stage" in f] == []
+
+
+def test_job_and_stream_take_other_lists(spark, tmp):
+    from clicklens.streaming import incremental_report, read_running_revenue, running_revenue
+
+    lines = [HEADER, hit("http://duckduckgo.com/?kw=zune", "7", "A;B;1;9;"),
+             hit("http://www.google.com/search?q=x", "1", "A;B;1;5;")]
+    write_text(f"{tmp}/in/a.tab", lines)
+    day = dt.date(2024, 11, 1)
+    lists = dict(hosts=("duckduckgo.com",), params=("kw",), purchase_event="7")
+    res = SearchKeywordJob(f"{tmp}/in", f"{tmp}/o", day, **lists).run(spark)
+    assert [(r[0], r[1], r[2]) for r in read_report_file(spark, res.output_file).collect()] == [
+        ("duckduckgo.com", "zune", "9.00")
+    ]
+    incremental_report(spark, f"{tmp}/in", f"{tmp}/t", f"{tmp}/ck", run_date=day, **lists).awaitTermination()
+    assert [tuple(r)[:3] for r in read_report_table(spark, f"{tmp}/t", day).select(
+        "search_engine_domain", "search_keyword", "revenue").collect()] == [("duckduckgo.com", "zune", 9.0)]
+    running_revenue(spark, f"{tmp}/in", f"{tmp}/r", f"{tmp}/rck", **lists).awaitTermination()
+    assert [tuple(r) for r in read_running_revenue(spark, f"{tmp}/r").collect()] == [("duckduckgo.com", "zune", 9.0)]
