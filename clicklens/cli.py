@@ -15,6 +15,9 @@ import json
 import os
 import sys
 
+if __package__ in (None, ""):  # run as a file, e.g. spark-submit clicklens/cli.py
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="clicklens", description="Revenue by search engine and keyword")
@@ -51,7 +54,13 @@ def main(argv: list[str] | None = None) -> int:
     from clicklens.plans import SearchKeywordJob
     from clicklens.session import local_session
 
-    spark = SparkSession.getActiveSession() or local_session()
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        # Under spark-submit the JVM is already up with the submitted
+        # configuration (master included) and hands its gateway to Python;
+        # run alone, the command uses a local session.
+        submitted = "PYSPARK_GATEWAY_PORT" in os.environ
+        spark = SparkSession.builder.getOrCreate() if submitted else local_session()
     lists = {}
     if args.hosts:
         lists["hosts"] = tuple(h.strip() for h in args.hosts.split(",") if h.strip())
@@ -69,7 +78,7 @@ def main(argv: list[str] | None = None) -> int:
         **lists,
     )
     result = job.run(spark)
-    print(f"Wrote {result.rows} rows to {result.output_file}")
+    print(f"Wrote {result.rows} rows to {result.output_file} (master {spark.sparkContext.master})")
     return 0
 
 
