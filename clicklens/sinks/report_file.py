@@ -102,7 +102,8 @@ def publish_single_file(spark: SparkSession, stage_dir: str, target: str) -> str
     parts = [s.getPath() for s in fs.listStatus(stage) if s.getPath().getName().startswith("part-")]
     if len(parts) != 1:
         raise RuntimeError(f"expected one part file under {stage_dir}, found {len(parts)}")
-    dst = Path(target)
+    target_path = Path(target)
+    dst = target_path.getFileSystem(conf).makeQualified(target_path)  # scheme + authority explicit
     fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(dst.toUri(), conf)
     rename = jvm.org.apache.hadoop.fs.Options.Rename
     opts = spark.sparkContext._gateway.new_array(rename, 1)
