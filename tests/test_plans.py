@@ -46,3 +46,45 @@ def test_report_table_read_prunes_partitions(spark, tmp):
     plan = executed(one)
     assert re.search(r"PartitionFilters: \[[^\]]*run_date", plan)
     assert one.count() == agg.count()
+
+
+def _nodes(node):
+    """All nodes of an executed (adaptive) plan, stages included."""
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        kids = [node.executedPlan()]
+    elif "QueryStage" in name:
+        kids = [node.plan()]
+    else:
+        children = node.children()
+        kids = [children.apply(i) for i in range(children.size())]
+    out = [node]
+    for k in kids:
+        out.extend(_nodes(k))
+    return out
+
+
+def test_hot_key_costs_one_shuffle_row_per_task(spark):
+    """A third of all hits on one (domain, keyword): the shuffle still carries
+    at most one row per key per map task, thanks to the map-side partial sum."""
+    from pyspark.sql import functions as F
+
+    hits = derived_hits(spark, "/root/testdata/sf0.01").repartition(8)
+    hot = F.col("event_id") % 3 == 0
+    skewed = hits.withColumn(
+        "referrer", F.when(hot, F.lit("http://www.google.com/search?q=hot")).otherwise(F.col("referrer"))
+    ).withColumn("event_list", F.when(hot, F.lit("1")).otherwise(F.col("event_list")))
+    agg = keyword_revenue(skewed)
+    rows = agg.collect()
+    keys = len(rows)
+    assert any(r["search_keyword"] == "hot" for r in rows)
+    exchanges = [
+        n for n in _nodes(agg._jdf.queryExecution().executedPlan())
+        if n.nodeName() == "Exchange" and "hashpartitioning" in str(n.outputPartitioning())
+    ]
+    assert len(exchanges) == 1
+    written = exchanges[0].metrics().get("shuffleRecordsWritten").get().value()
+    map_tasks = 8
+    assert 0 < written <= keys * map_tasks
+    # Far fewer than the hot key's hits alone.
+    assert written < skewed.where(hot).count() / 10
