@@ -38,9 +38,12 @@ WRITE_OPTIONS = {
 # Columns the report reads.
 REPORT_INPUTS = ("referrer", "event_list", "product_list")
 
-# One field per match: a quoted field (doubled quotes inside, free text up to
-# the next tab after the closing quote) or plain text up to the next tab.
-_FIELD = r'(?:^|\t)(?:"(?:[^"]|"")*"[^\t]*|[^\t]*)'
+# One match per field separator: a field (quoted, with doubled quotes inside
+# and free text after the closing quote; or plain, not starting with a quote;
+# or empty) and the tab after it,
+# each match starting where the previous one ended (\G). A match is never
+# empty, so no separator is skipped; the last field has no tab after it.
+_FIELD_AND_TAB = r'\G(?:"(?:[^"]|"")*"[^\t]*|[^\t"][^\t]*|)\t'
 
 
 def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -135,7 +138,7 @@ def with_rows_file(raw: DataFrame, columns: Sequence[str], with_input_file: bool
 def field_count(line: Column) -> Column:
     """Number of tab-separated fields of a line, honouring quotes."""
     plain = F.size(F.split(line, "\t", -1))
-    quoted = F.size(F.regexp_extract_all(line, F.lit(_FIELD), F.lit(0)))
+    quoted = F.size(F.regexp_extract_all(line, F.lit(_FIELD_AND_TAB), F.lit(0))) + 1
     return F.when(F.instr(line, '"') == 0, plain).otherwise(quoted)
 
 
