@@ -212,3 +212,41 @@ def test_report_matches_python_on_generated_files(spark, tmp, order, rows):
     assert got.keys() == want.keys()
     for k in want:
         assert abs(got[k] - want[k]) < 1e-9, k
+
+
+NAME_CHARS = ["a", "b", "_", ".", "-", "é", " ", "Q"]
+
+
+def encode_key(name, choices):
+    """One raw spelling of ``name``: each character literal, %-escaped (either
+    hex case) or, for a space, '+'."""
+    out = []
+    for ch, c in zip(name, choices):
+        hexed = "".join(f"%{b:02X}" for b in ch.encode("utf-8"))
+        forms = [hexed, hexed.lower()] + ([ch] if ch != " " else ["+", "%20"])
+        out.append(forms[c % len(forms)])
+    return "".join(out)
+
+
+param_name = st.lists(st.sampled_from(NAME_CHARS), min_size=1, max_size=4).map("".join)
+
+
+@settings(max_examples=5, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(param_name, st.lists(st.tuples(param_name, st.lists(st.integers(0, 5), min_size=4, max_size=4),
+                                                          st.sampled_from(VALUES)), max_size=4)), min_size=50, max_size=50))
+def test_query_param_matches_parse_qs(spark, cases):
+    from clicklens.functions import query_param
+
+    urls, names, wants = [], [], []
+    for name, pairs in cases:
+        query = "&".join(f"{encode_key(k, ch)}={v}" for k, ch, v in pairs)
+        url = f"http://x.com/p?{query}"
+        got_qs = parse_qs(urlsplit(url).query)
+        urls.append(url)
+        names.append(name)
+        wants.append(got_qs[name][0].strip() if got_qs.get(name) else None)
+    # One row, one URL column per case (real columns, not literals, so the
+    # expressions run in the executed plan); one job per example.
+    df = spark.createDataFrame([tuple(urls)], ", ".join(f"u{i} string" for i in range(len(urls))))
+    got = list(df.select(*[query_param(f"u{i}", n) for i, n in enumerate(names)]).first())
+    assert got == wants
