@@ -250,3 +250,40 @@ def test_query_param_matches_parse_qs(spark, cases):
     df = spark.createDataFrame([tuple(urls)], ", ".join(f"u{i} string" for i in range(len(urls))))
     got = list(df.select(*[query_param(f"u{i}", n) for i, n in enumerate(names)]).first())
     assert got == wants
+
+
+def python_products(pl):
+    """(index, category, name, quantity, price text, price) per non-empty product."""
+    out = []
+    if pl is None:
+        return out
+    products = [p.strip() for p in pl.split(",") if p.strip()]
+    for i, p in enumerate(products):
+        parts = p.split(";")
+        field = lambda k: parts[k] if len(parts) > k else None
+        text = field(3)
+        out.append((i, field(0), field(1), field(2), text, number_or_none(text)))
+    return out
+
+
+def number_or_none(text):
+    """Python's float() of the trimmed text; None when absent, invalid, nan or inf."""
+    if text is None:
+        return None
+    try:
+        v = float(text.strip())
+    except ValueError:
+        return None
+    special = text.strip().lower().lstrip("+-") in ("nan", "inf", "infinity")
+    return None if special or not math.isfinite(v) else v
+
+
+@settings(max_examples=5, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(product_list, file_products), min_size=30, max_size=30))
+def test_product_rows_match_python(spark, lists):
+    from clicklens.operators import product_rows
+
+    df = spark.createDataFrame(list(enumerate(lists)), "event_id long, product_list string")
+    got = sorted(tuple(r) for r in product_rows(df).collect())
+    want = sorted((eid, *row) for eid, pl in enumerate(lists) for row in python_products(pl))
+    assert got == want
