@@ -8,6 +8,7 @@ from urllib.parse import parse_qs, urlsplit
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from clicklens.constants import WHITESPACE
 from clicklens.functions import (
     accepted_domains,
     has_event,
@@ -287,3 +288,14 @@ def test_product_rows_match_python(spark, lists):
     got = sorted(tuple(r) for r in product_rows(df).collect())
     want = sorted((eid, *row) for eid, pl in enumerate(lists) for row in python_products(pl))
     assert got == want
+
+
+@settings(max_examples=3, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=list(WHITESPACE) + ["a", "\x01", "\u200b"], max_size=6)),
+                min_size=100, max_size=100))
+def test_has_text_matches_python_strip(spark, values):
+    from clicklens.functions import has_text
+
+    df = spark.createDataFrame(list(enumerate(values)), "id long, v string")
+    got = [r[0] for r in df.orderBy("id").select(has_text("v")).collect()]
+    assert got == [bool(v and v.strip()) for v in values]
