@@ -299,3 +299,33 @@ def test_has_text_matches_python_strip(spark, values):
     df = spark.createDataFrame(list(enumerate(values)), "id long, v string")
     got = [r[0] for r in df.orderBy("id").select(has_text("v")).collect()]
     assert got == [bool(v and v.strip()) for v in values]
+
+
+@settings(max_examples=3, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(
+    st.dictionaries(
+        st.tuples(st.sampled_from(["google.com", "bing.com", "msn.com"]),
+                  st.text(alphabet=["a", "B", " ", "\t", '"', "\n", "é", "€", ";"], min_size=1, max_size=6)),
+        st.decimals(min_value="0.000001", max_value="99999", places=6).map(float),
+        min_size=1, max_size=40,
+    )
+)
+def test_report_file_bytes_match_python_csv(spark, tmp, report):
+    import csv
+    import datetime as dt
+    import io
+    import uuid
+
+    from clicklens.constants import REPORT_DOMAIN, REPORT_KEYWORD, REPORT_REVENUE
+    from clicklens.sinks import write_report_file
+
+    rows = [(d, k, r) for (d, k), r in report.items()]
+    schema = f"`{REPORT_DOMAIN}` string, `{REPORT_KEYWORD}` string, `{REPORT_REVENUE}` double"
+    path = write_report_file(spark.createDataFrame(rows, schema), f"{tmp}/{uuid.uuid4().hex}", dt.date(2024, 1, 2))
+    buf = io.StringIO()
+    w = csv.writer(buf, delimiter="\t")
+    w.writerow([REPORT_DOMAIN, REPORT_KEYWORD, REPORT_REVENUE])
+    for d, k, r in sorted(rows, key=lambda x: (-x[2], x[0].encode(), x[1].encode())):
+        w.writerow([d, k, f"{r:.2f}"])
+    with open(path.replace("file:", ""), encoding="utf-8", newline="") as f:
+        assert f.read() == buf.getvalue()
