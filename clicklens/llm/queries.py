@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from . import mixing
 from .common import ship, stored, table
 from .simhash import hex_print, near_duplicates
 from .tokens import read_token_digests, token_ids, write_token_files
@@ -32,13 +33,19 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_digests(spark, path)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that the mix takes, beside its source's target."""
+    found = mixing.allot(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("picks")).alias("taken"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"), SHINGLE_WORDS, MAX_BITS)
     return found.select("doc_id", hex_print(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-_QUERIES = [op1_token_files, op6_simhash]
+_QUERIES = [op1_token_files, op3_mixing, op6_simhash]
 
 
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
@@ -51,4 +58,4 @@ def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 
 QUERIES = {q.__name__: _shipped(q) for q in _QUERIES}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_mixing": mixing.ORACLE_SQL}
