@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import mixing
+from . import langid, mixing, warc
 from .common import ship, stored, table
 from .simhash import hex_print, near_duplicates
 from .tokens import read_token_digests, token_ids, write_token_files
@@ -45,7 +45,22 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_print(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-_QUERIES = [op1_token_files, op3_mixing, op6_simhash]
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.predict(docs, langid.fit(langid.training_rows(docs)))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back from them."""
+    path = scratch_path(spark, "warc")
+    warc.write_archive(warc.records(table(spark, sf_dir, "pages")), path)
+    found = warc.read_records(spark, path)
+    return found.select("page_id", F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+_QUERIES = [op1_token_files, op3_mixing, op6_simhash, op7_language, op8_warc]
 
 
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
