@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import langid, mixing, warc
+from . import langid, mixing, secret_scan, warc
 from .common import ship, stored, table
 from .simhash import hex_print, near_duplicates
 from .tokens import read_token_digests, token_ids, write_token_files
@@ -60,7 +60,15 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
 
 
-_QUERIES = [op1_token_files, op3_mixing, op6_simhash, op7_language, op8_warc]
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: the fixed patterns' and those the character models add."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.fit(docs))
+    counts = [secret_scan.kind_count("base", k).alias(f"n_{k}") for k in secret_scan.KINDS]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.listed("base"), 256).alias("base_sha256"), secret_scan.listed("spans").alias("spans"))
+
+
+_QUERIES = [op1_token_files, op3_mixing, op6_simhash, op7_language, op8_warc, op9_secrets]
 
 
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
