@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import langid, mixing, secret_scan, warc
+from . import langid, mixing, secret_scan, warc, weighted
 from .common import ship, stored, table
 from .simhash import hex_print, near_duplicates
 from .tokens import read_token_digests, token_ids, write_token_files
@@ -68,7 +68,12 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(secret_scan.listed("base"), 256).alias("base_sha256"), secret_scan.listed("spans").alias("spans"))
 
 
-_QUERIES = [op1_token_files, op3_mixing, op6_simhash, op7_language, op8_warc, op9_secrets]
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted-sample fingerprints of every document and of its edited text."""
+    return weighted.fingerprints(table(spark, sf_dir, "documents"))
+
+
+_QUERIES = [op1_token_files, op3_mixing, op6_simhash, op7_language, op8_warc, op9_secrets, op10_fingerprints]
 
 
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
