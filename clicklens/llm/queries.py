@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import langid, mixing, secret_scan, warc, weighted
+from . import langid, main_text, mixing, secret_scan, warc, weighted
 from .common import ship, stored, table
 from .simhash import hex_print, near_duplicates
 from .tokens import read_token_digests, token_ids, write_token_files
@@ -39,6 +39,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("picks")).alias("taken"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = main_text.extract(pages, main_text.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"), SHINGLE_WORDS, MAX_BITS)
@@ -73,7 +80,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.fingerprints(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op1_token_files, op3_mixing, op6_simhash, op7_language, op8_warc, op9_secrets, op10_fingerprints]
+_QUERIES = [op1_token_files, op3_mixing, op5_main_text, op6_simhash, op7_language, op8_warc, op9_secrets, op10_fingerprints]
 
 
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
