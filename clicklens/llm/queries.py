@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import langid, main_text, mixing, secret_scan, warc, weighted
+from . import decontam, langid, main_text, mixing, secret_scan, warc, weighted
 from .common import ship, stored, table
 from .simhash import hex_print, near_duplicates
 from .tokens import read_token_digests, token_ids, write_token_files
@@ -39,6 +39,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("picks")).alias("taken"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that documents hold; documents without a row are clean."""
+    docs, benchmark = (table(spark, sf_dir, n) for n in ("documents", "benchmark"))
+    return decontam.contaminated(docs.select("doc_id", "text"), benchmark)
+
+
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -80,7 +86,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.fingerprints(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op1_token_files, op3_mixing, op5_main_text, op6_simhash, op7_language, op8_warc, op9_secrets, op10_fingerprints]
+_QUERIES = [op1_token_files, op3_mixing, op4_decontamination, op5_main_text, op6_simhash, op7_language, op8_warc, op9_secrets, op10_fingerprints]
 
 
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
