@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, langid, main_text, mixing, secret_scan, warc, weighted
+from . import decontam, langid, main_text, mixing, secret_scan, suffixes, warc, weighted
 from .common import ship, stored, table
 from .simhash import hex_print, near_duplicates
 from .tokens import read_token_digests, token_ids, write_token_files
@@ -33,6 +33,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_digests(spark, path)
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of every document that another text repeats."""
+    return suffixes.repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that the mix takes, beside its source's target."""
     found = mixing.allot(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -86,7 +91,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.fingerprints(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op1_token_files, op3_mixing, op4_decontamination, op5_main_text, op6_simhash, op7_language, op8_warc, op9_secrets, op10_fingerprints]
+_QUERIES = [op1_token_files, op2_repeats, op3_mixing, op4_decontamination, op5_main_text, op6_simhash, op7_language, op8_warc, op9_secrets, op10_fingerprints]
 
 
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
