@@ -14,8 +14,8 @@ outputs, between 0 and 1.
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 with no labelled row, so are all; ties go to the smallest language name; null
 doc_ids are predicted, never held out and never trained on; an empty table
-gives no rows; the input's columns other than doc_id, text and lang are kept,
-those named lang_pred or score are replaced.
+gives no rows; the input's columns are kept,
+those named like a result column are replaced.
 """
 
 from __future__ import annotations
@@ -124,11 +124,11 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
     return Model(languages, np.ascontiguousarray(marks.T), np.linalg.solve(left, k_nm.T @ (y * weight)).astype(np.float32))
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score; only the text column is looked at."""
+def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with language and score, in columns called ``names``; only the text column is looked at."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*(c for c in docs.columns if c not in ("lang_pred", "score")))
-    rows = rows.withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0))
+    rows = docs.select(*(c for c in docs.columns if c not in names))
+    rows = rows.withColumn(names[0], F.lit("")).withColumn(names[1], F.lit(0.0))
     at = rows.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,6 +35,7 @@ from .common import WORD, stored
 from .components import components
 
 SEED = 42
+NULL_ID = -(1 << 63)
 N_PIVOTS = 32
 #: Rows of a bucket that one task compares with one another.
 TILE = 4096
@@ -60,14 +61,15 @@ def _simhash(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp): the 64-bit fingerprint of each whole text, as a signed long."""
+    """(doc_id, th, fp): the 64-bit fingerprint of each whole text, as a signed long; th is a hash that tells texts apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([_simhash(t, shingle) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.array([_simhash(t, shingle) for t in b.column(2).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], ["doc_id", "th", "fp"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, th long, fp long")
 
 
 def pivots(n: int = N_PIVOTS) -> np.ndarray:
@@ -175,16 +177,32 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int, max_bits: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable over links."""
+    """(doc_id, th, fp, component_id, group): component_id is the smallest doc_id reachable over links.
+
+    ``group`` is the component's smallest fingerprint: it tells components
+    apart even where ids are null or repeat. ``th`` is a hash of the text.
+    """
     prints = stored(fingerprints(docs, shingle, text, doc_id), "simhash")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "simhash-distinct")
     found = stored(links(distinct.select("fp"), max_bits), "simhash-links")
     member = components(found)  # (node, root) of linked fingerprints
     smallest = member.join(distinct.withColumnRenamed("fp", "node"), "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    linked = member.join(smallest, "root").select(F.col("node").alias("fp"), "component_id")
-    ids = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "doc_id").alias("component_id"))
+    linked = member.join(smallest, "root").select(F.col("node").alias("fp"), "component_id", F.col("root").alias("group"))
+    ids = distinct.join(linked, "fp", "left")
+    ids = ids.select("fp", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("group", "fp").alias("group"))
     ids = stored(ids, "simhash-components")  # a fingerprint may be shared by very many rows: the join can split it
-    return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(ids, "fp").select("doc_id", "th", "fp", "component_id", "group")
+
+
+def one_of_each(docs: DataFrame, shingle: int, max_bits: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` with one document of each component: that of the smallest id (null last), then text hash."""
+    found = near_duplicates(docs, shingle, max_bits, text, doc_id)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    best = found.groupBy("group").agg(F.min(order).alias("b"))
+    best = best.select(F.coalesce("b.doc_id", F.lit(NULL_ID)).alias("_key"), F.col("b.th").alias("_th")).distinct()
+    rows = docs.withColumn("_key", F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID))).withColumn("_th", F.xxhash64(text))
+    # Rows of equal id and text are one document.
+    return rows.join(stored(best, "simhash-best"), ["_key", "_th"], "left_semi").dropDuplicates(["_key", "_th"]).select(*docs.columns)
 
 
 def hex_print(fp) -> F.Column:
