@@ -8,10 +8,14 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
+# Workers live on from task to task: freed Arrow memory should go back to the system.
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: Spaces as the text contracts have them: 0x20 and 0x09-0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
