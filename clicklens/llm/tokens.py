@@ -19,7 +19,10 @@ an empty table gives a folder without blocks. Other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
+import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -30,15 +33,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import span_hashes, stored
 
 LANES = 256
 STEPS_PER_CHECKPOINT = 256
 BLOCK_TOKENS = LANES * STEPS_PER_CHECKPOINT * 4
-GROUP = 8  # blocks coded at once in a task
+GROUP = 16  # blocks coded at once in a task
 LOW = np.uint64(1 << 31)
-#: Distinct words whose ids a worker remembers; past it, the memory starts anew.
-CACHE_WORDS = 400_000
+#: Distinct words whose ids a worker remembers, at some 40 bytes each; past it, the memory starts anew.
+CACHE_WORDS = 1_500_000
 
 IDS = "doc_id long, n_tokens long, ids binary"
 BLOCKS = (
@@ -49,83 +52,115 @@ BLOCKS = (
 
 # ---------------------------------------------------------------- text to ids
 
-#: Kind of each byte: a word byte, white space, comma or full stop, other.
-_KIND = bytes(
-    97 if b > 127 or chr(b).isalnum() else 32 if b in (32, 9, 10, 11, 12, 13) else 44 if b in (44, 46) else 33
-    for b in range(256)
-)
+#: A comma or full stop that belongs to a run of marks, so that its word must stay whole.
+_ODD_MARK = r"[^\p{L}\p{N}\s][,.][ \n]"
+#: Texts whose words are encoded together.
+SLICE = 2000
 
 
 class TextEncoder:
     """Encodes texts with a tokenizer that cuts at white space and ignores case.
 
-    Each distinct word goes to the tokenizer once; ids of a text are those of
-    its words in a row. A tokenizer of another kind gets whole texts.
+    Each distinct word of a worker's recent texts goes to the tokenizer once;
+    ids of a text are those of its words in a row. A tokenizer of another kind
+    gets whole texts.
     """
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.by_word = '"type":"Lowercase"' in tokenizer_json.replace(" ", "") and self._splits()
-        self.memory: dict[bytes, bytes] = {}
-
-    def _splits(self) -> bool:
-        probe = ["One two,  three.\nfour\tfive\r\nsix", "a.b, c,d . e", "naïve café. x"]
-        ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
-        return all(ids(t) == [i for w in self._words(t.encode()) for i in ids(w.decode())] for t in probe)
-
-    @staticmethod
-    def _words(data: bytes) -> list[bytes]:
-        data = data.lower() + b" "
-        kind = data.translate(_KIND)
-        if b"!, " in kind or b",, " in kind:  # a mark that belongs to a run of marks stays in its word
-            return data.split()
-        for mark in (b", ", b". ", b",\n", b".\n"):
-            data = data.replace(mark, b" " + mark)
-        return data.split()
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        if not self.by_word:
-            return self._whole(texts)
-        out: list[bytes] = []
-        for at in range(0, len(texts), 1000):
-            part = texts[at : at + 1000]
-            words: list[list[bytes]] = []
-            odd = [i for i, t in enumerate(part) if "<|" in t]  # may hold a special token, in any case
-            for t in part:
-                words.append([] if "<|" in t else self._words(t.encode()))
-            out += self._by_words(words)
-            for i, ids in zip(odd, self._whole([part[i] for i in odd]), strict=True):
-                out[at + i] = ids
-        return out
-
-    def _by_words(self, words: list[list[bytes]]) -> list[bytes]:
-        counts = np.array([len(w) for w in words])
-        flat = pa.array([x for w in words for x in w], pa.binary()).dictionary_encode()
-        known = flat.dictionary.to_pylist()
-        if len(self.memory) > CACHE_WORDS:
-            self.memory.clear()
-        missing = [w for w in known if w not in self.memory]
-        for w, ids in zip(missing, self._whole([w.decode() for w in missing]), strict=True):
-            self.memory[w] = ids
-        parts = [self.memory[w] for w in known]
-        sizes = np.array([len(p) >> 2 for p in parts], np.int64)
-        table, begin = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes) - sizes
-        index = flat.indices.to_numpy(zero_copy_only=False)
-        sizes = sizes[index]
-        ends = np.cumsum(sizes)
-        ids = table[np.repeat(begin[index] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        data, cuts = ids.tobytes(), (cuts * 4).tolist()
-        return [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        # The visible character that stands for each byte of a word of letters.
+        alone = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.shown = {c: "".join(p for p, _ in alone.pre_tokenize_str(chr(c))) for c in range(128, 0x250) if chr(c).isalpha()}
+        self.forget()
+        self.by_word = '"type":"Lowercase"' in tokenizer_json.replace(" ", "") and self._cuts_at_spaces()
+
+    def forget(self) -> None:
+        """Starts the memory anew: sorted hashes of words, and where their ids stand in ``table``."""
+        self.hashes, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.table, self.begin, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def _cuts_at_spaces(self) -> bool:
+        probe = ["One two,  three.\nfour\tfive\r\nsix", "a.b, c,d . e", "naïve Café. x", "Straße über’s ÉTÉ. won't ***, ok"]
+        want = [i for ids in self._whole(probe) for i in ids]
+        return self._by_words(pa.array(probe))[0].tolist() == want
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word(self, word: str) -> list[int] | None:
+        """Ids of a word that is one run of lower-case Latin letters, straight from the tokenizer's model."""
+        if not word.isalpha():
+            return None
+        if not word.isascii():
+            if max(word) > "\u024f" or not word.islower() or not unicodedata.is_normalized("NFC", word):
+                return None
+            word = word.translate(self.shown)
+        return [t.id for t in self.tokenizer.model.tokenize(word)]
+
+    def _learn(self, words: list[str], hashes: np.ndarray) -> None:
+        ids = [self._word(w) for w in words]
+        rest = [i for i, x in enumerate(ids) if x is None]
+        for i, x in zip(rest, self._whole([words[i] for i in rest]), strict=True):
+            ids[i] = x
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+        rows = np.arange(len(self.sizes), len(self.sizes) + len(ids), dtype=np.int32)
+        self.begin = np.concatenate([self.begin, (len(self.table) + np.cumsum(sizes) - sizes).astype(np.int32)])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.table = np.concatenate([self.table, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum()))])
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.hashes, hashes[order])
+        self.hashes, self.rows = np.insert(self.hashes, at, hashes[order]), np.insert(self.rows, at, rows[order])
+
+    def _rows(self, words: pa.StringArray) -> np.ndarray:
+        """Rows of distinct words, by 64-bit hash; the words that are not remembered are learned."""
+        offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+        data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if len(words) else np.zeros(0, np.uint8)
+        hashes = span_hashes(data, offsets[:-1] - offsets[0], offsets[1:] - offsets[0])
+        if len(self.hashes) > CACHE_WORDS:
+            self.forget()
+        at = np.searchsorted(self.hashes, hashes)
+        known = np.append(self.hashes, np.uint64(0))[at] == hashes
+        known &= at < len(self.hashes)
+        if not known.all():
+            self._learn(words.filter(pa.array(~known)).to_pylist(), hashes[~known])
+            at = np.searchsorted(self.hashes, hashes)
+        return self.rows[at]
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        low = pc.ascii_lower(texts)
+        odd = pc.match_substring_regex(low, _ODD_MARK)
+        apart = low
+        for mark in (", ", ". ", ",\n", ".\n"):
+            apart = pc.replace_substring(apart, mark, f" {mark[0]} ")
+        apart = pc.replace_substring_regex(apart, r"([\p{L}\p{N}])([,.])$", r"\1 \2")
+        lists = pc.ascii_split_whitespace(pc.if_else(odd, low, apart))
+        words = lists.flatten().dictionary_encode()
+        index = self._rows(words.dictionary)[words.indices.to_numpy(zero_copy_only=False)]
+        n = self.sizes[index]
+        stop = np.cumsum(n, dtype=np.int64)
+        total = int(stop[-1]) if len(stop) else 0
+        at = np.repeat((self.begin[index] - (stop - n)).astype(np.int32), n)
+        at += np.arange(total, dtype=np.int32)
+        cuts = lists.offsets.to_numpy()
+        return self.table[at], np.concatenate([[0], stop])[cuts - cuts[0]]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and where each text's ids begin and the last one's end."""
+        special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False) if self.by_word else np.ones(len(texts), bool)
+        if not special.any():
+            return self._by_words(texts)
+        # A text that may hold a special token, or any text of an unknown tokenizer, is encoded whole.
+        whole = self._whole([t.as_py() for t in texts.filter(pa.array(special))])
+        ids, cuts = self._by_words(texts.filter(pa.array(~special))) if not special.all() else (np.zeros(0, np.uint32), np.zeros(1, np.int64))
+        rest, parts = iter(np.split(ids, cuts[1:-1])), iter(whole)
+        found = [np.array(next(parts), np.uint32) if s else next(rest) for s in special]
+        return np.concatenate(found), np.concatenate([[0], np.cumsum([len(x) for x in found])])
 
 
 _ENCODERS: dict[int, TextEncoder] = {}
@@ -140,7 +175,7 @@ def token_ids(docs: DataFrame, tokenizer_json: str, end_id: int, text: str = "te
     from tokenizers import Tokenizer
 
     size = max(Tokenizer.from_str(tokenizer_json).get_vocab_size(with_added_tokens=True), end_id + 1)
-    kind = "<u2" if size <= 1 << 16 else "<u4"
+    kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,19 +183,27 @@ def token_ids(docs: DataFrame, tokenizer_json: str, end_id: int, text: str = "te
         if key not in _ENCODERS:
             _ENCODERS.clear()
             _ENCODERS[key] = TextEncoder(shared.value)
-        end = np.array([end_id], kind).tobytes()
         for b in batches:
-            found = _ENCODERS[key].encode(b.column(1).to_pylist())
-            ids = [np.frombuffer(x, "<u4").astype(kind).tobytes() + end for x in found]
-            n = [len(x) // np.dtype(kind).itemsize for x in ids]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+            for at in range(0, b.num_rows, SLICE):
+                part = b.slice(at, SLICE)
+                ids, cuts = _ENCODERS[key].encode(part.column(1).cast(pa.string()))
+                ids = np.insert(ids.astype(kind), cuts[1:], end_id)
+                cuts = cuts + np.arange(len(cuts))
+                data = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer((cuts * kind.itemsize).astype(np.int32)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(cuts)), data], ["doc_id", "n_tokens", "ids"])
 
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return source.mapInArrow(encode, IDS)
 
 
-def _as_ids(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4")
+def _id_batches(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, where each row begins) of a batch whose last two columns are n_tokens and ids, without copying."""
+    n = b.column(b.num_columns - 2).to_numpy()
+    data = b.column(b.num_columns - 1)
+    offsets = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data) + 1]
+    raw = np.frombuffer(data.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    width = len(raw) // max(1, int(n.sum()))
+    yield raw.view("<u2" if width == 2 else "<u4"), np.concatenate([[0], np.cumsum(n)])
 
 
 # ------------------------------------------------------------ frequency table
@@ -172,11 +215,11 @@ def token_counts(ids: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for b in batches:
-            for n, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found = np.bincount(_as_ids(data, n), minlength=len(total))
+            for ids, _ in _id_batches(b):
+                found = np.bincount(ids)
                 if len(found) > len(total):
-                    total = np.pad(total, (0, len(found) - len(total)))
-                total += found
+                    found, total = total, found
+                total[: len(found)] += found
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["token", "n"])
 
@@ -251,10 +294,12 @@ def decode_segments(
         out[:, s] = sym
         x = freq[sym] * (x >> shift) + slot - start[sym]
         need = x < LOW
-        rank = np.cumsum(need, axis=1)
-        at = (pos[:, None] + rank - 1)[need]
-        x[need] = (x[need] << np.uint64(32)) | words[at]
-        pos += rank[:, -1]
+        n = np.count_nonzero(need, axis=1)
+        lane = np.flatnonzero(need.ravel())
+        at = np.arange(len(lane)) + np.repeat(pos - (np.cumsum(n) - n), n)
+        flat = x.ravel()
+        flat[lane] = (flat[lane] << np.uint64(32)) | words[at]
+        pos += n
     return out.reshape(len(x), -1)
 
 
@@ -288,7 +333,7 @@ class _Packer:
     def _cut(self, open_: bool) -> None:
         if not self.docs:
             return
-        ids = np.concatenate(self.parts).astype(np.int64)
+        ids = np.concatenate(self.parts).astype(np.uint32)
         self.ready.append(
             {
                 "shard": self.shard, "block": self.block, "offset": self.offset, "n_tokens": len(ids),
@@ -308,7 +353,7 @@ class _Packer:
             steps = [-(-r["n_tokens"] // LANES) for r in group]
             for n in sorted(set(steps)):
                 same = [r for r, k in zip(group, steps, strict=True) if k == n]
-                symbols = np.full((len(same), n * LANES), self.pad, np.int64)
+                symbols = np.full((len(same), n * LANES), self.pad, np.uint32)
                 for row, r in zip(symbols, same, strict=True):
                     ids = r.pop("ids")
                     row[: len(ids)] = ids
@@ -342,10 +387,12 @@ def write_token_files(ids: DataFrame, path: str) -> None:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(TaskContext.get().partitionId(), shared.value, bits)
         for b in batches:
-            for i, n, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                packer.add(i, _as_ids(data, n))
-                for r in packer.coded():
-                    yield pa.RecordBatch.from_pylist([r], schema)
+            doc_ids = b.column(0).to_pylist()
+            for ids, cuts in _id_batches(b):
+                for i, start, stop in zip(doc_ids, cuts, cuts[1:], strict=False):
+                    packer.add(i, ids[start:stop])
+                    for r in packer.coded():
+                        yield pa.RecordBatch.from_pylist([r], schema)
         for r in packer.coded(last=True):
             yield pa.RecordBatch.from_pylist([r], schema)
 
@@ -424,8 +471,8 @@ def _with_ids(path: str, spark: SparkSession, emit, schema: str) -> DataFrame:
                 freq, bits = shared.value
                 slots = np.repeat(np.arange(len(freq), dtype=np.uint32 if len(freq) > 1 << 16 else np.uint16), freq.astype(np.int64))
                 tables = (freq, np.cumsum(freq) - freq, slots, bits)
-            for at in range(0, b.num_rows, GROUP * 2):
-                for r, ids in _decoded(b.slice(at, GROUP * 2).to_pylist(), *tables):
+            for at in range(0, b.num_rows, GROUP):
+                for r, ids in _decoded(b.slice(at, GROUP).to_pylist(), *tables):
                     yield emit(r, ids)
 
     return spark.read.schema(BLOCKS).parquet(f"{path}/blocks").mapInArrow(decode, schema)
