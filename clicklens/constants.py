@@ -74,6 +74,8 @@ REVENUE = "revenue"
 IS_PURCHASE = "is_purchase"
 IS_EXTERNAL_SEARCH = "is_external_search"
 
-# Exact decimal type for revenue sums: order-free, so a sum is the same on any
-# partitioning. Per-hit revenues are rounded to 6 decimals before summing.
+# Exact decimal type of revenue sums, and the size from which a double has no
+# six decimal places left, so that the decimal part would gain nothing. A sum
+# has room for 1e17 values below it.
 REVENUE_SUM_TYPE = "decimal(28,6)"
+DECIMAL_BELOW = 1e15

@@ -36,7 +36,11 @@ def has_event(event_list: Column | str, code: str = PURCHASE_EVENT) -> Column:
 def parse_price(text: Column) -> Column:
     """Trimmed price text -> double; NULL when absent or not a finite decimal."""
     t = strip_ws(text)
-    return F.when(t.rlike(NUMBER_PATTERN), F.regexp_replace(t, "_", "").try_cast("double"))
+    value = F.regexp_replace(t, "_", "").try_cast("double")
+    # Only an exponent or very many digits can leave the range of a double.
+    ordinary = ~t.rlike("[eE]") & (F.length(t) < 300)
+    finite = F.when(F.abs(value) < F.lit(float("inf")), value)
+    return F.when(t.rlike(NUMBER_PATTERN), F.when(ordinary, value).otherwise(finite))
 
 
 # The 4th ';'-field of each ','-separated product that has at least four

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicklens.constants import (
+    DECIMAL_BELOW,
     DOMAIN,
     KEYWORD,
     KEYWORD_PARAMS,
@@ -23,14 +24,22 @@ from clicklens.operators.attribution import search_purchases
 
 
 def exact_sum(c: Column | str) -> Column:
-    """Order-free sum of doubles: each value rounded to 6 decimals, summed exactly.
+    """Sum of doubles that loses nothing and, for ordinary prices, doesn't depend on row order.
 
     A double sum depends on the order rows arrive in, which differs between
-    runs and partitionings; a decimal sum does not. Values beyond the decimal
-    range are ignored (``try_cast`` gives NULL).
+    runs and partitionings. So three sums are added: the decimal parts (six
+    places, summed exactly), what rounding to six places left over, and the
+    values too large for the decimal part, each as they are. A value within a
+    few units in its last place of a decimal with six places is that decimal,
+    so ordinary prices leave nothing over and their sum is the same bit
+    pattern on any partitioning. NULL when every value is NULL.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.try_cast(REVENUE_SUM_TYPE)).cast("double")
+    small = F.abs(c) < F.lit(DECIMAL_BELOW)
+    part = F.when(small, c).cast(REVENUE_SUM_TYPE)
+    over = c - part.cast("double")
+    rest = F.when(~small, c).when(F.abs(over) > F.abs(c) * F.lit(2.0**-49), over).when(small, F.lit(0.0))
+    return F.coalesce(F.sum(part).cast("double"), F.when(F.sum(rest).isNotNull(), F.lit(0.0))) + F.sum(rest)
 
 
 def revenue_by(df: DataFrame, keys: Sequence[str], value: str = REVENUE, name: str = REVENUE) -> DataFrame:
