@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from clicklens.constants import (
     DOMAIN,
-    HIT_COLUMNS,
     KEYWORD,
     KEYWORD_PARAMS,
     PURCHASE_EVENT,
@@ -19,13 +18,7 @@ from clicklens.constants import (
 )
 from clicklens.operators import exact_sum, keyword_report, keyword_revenue, labelled
 from clicklens.sinks import read_report_table, write_report_file, write_report_table
-from clicklens.sources.tsv import (
-    read_hits,
-    read_raw,
-    renamed_duplicates,
-    short_rows_matter,
-    with_rows_file,
-)
+from clicklens.sources.tsv import read_hits
 
 
 def transform_hits(hits: DataFrame) -> DataFrame:
@@ -36,16 +29,8 @@ def transform_hits(hits: DataFrame) -> DataFrame:
 def read_input(
     spark: SparkSession, input_path: str, multi_line: bool = False, with_input_file: bool = False
 ) -> DataFrame:
-    """Read the hit files, choosing the exact line path only when it matters.
-
-    With the standard column order short rows cannot reach the report, so the
-    native, column-pruned CSV scan is used; the line path is taken when the
-    header order lets short rows matter or repeats a contract column name.
-    """
-    raw = read_raw(spark, input_path, multi_line)  # one small job reads the header
-    if not multi_line and (short_rows_matter(raw.columns) or renamed_duplicates(raw.columns)):
-        return read_hits(spark, input_path, short_rows="drop", with_input_file=with_input_file)
-    return with_rows_file(raw, HIT_COLUMNS, with_input_file)
+    """The job's hit files in the contract columns."""
+    return read_hits(spark, input_path, multi_line=multi_line, with_input_file=with_input_file)
 
 
 @dataclass
@@ -74,16 +59,16 @@ class SearchKeywordJob:
     purchase_event: str = PURCHASE_EVENT
 
     def run(self, spark: SparkSession) -> JobResult:
-        """With ``by_input`` the table keeps one report per input file
-        (partitions ``run_date``/``input_file``), so two files of the same day
-        both survive; the dated file still holds the report over all inputs."""
+        """With ``by_input`` the table keeps one report per input file (column
+        ``input_file``); the dated file still holds the report over all inputs."""
         run_date = self.run_date or dt.date.today()
         hits = read_input(spark, self.input_path, self.multi_line, with_input_file=self.by_input)
         keys = ("input_file",) if self.by_input else ()
         agg = keyword_revenue(hits, self.hosts, self.params, self.purchase_event, extra_keys=keys)
         if self.table_path:
-            write_report_table(agg, self.table_path, run_date, partition_by=("run_date", *keys))
-            agg = read_report_table(spark, self.table_path, run_date).drop("run_date")
+            write_report_table(agg, self.table_path, run_date)
+            agg = read_report_table(spark, self.table_path, run_date, extra=", ".join(f"{k} string" for k in keys))
+            agg = agg.drop("run_date")
         if self.by_input:
             agg = agg.groupBy(DOMAIN, KEYWORD).agg(exact_sum(REVENUE).alias(REVENUE))
         obs = Observation("report")

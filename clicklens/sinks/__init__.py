@@ -1,8 +1,7 @@
 """Report sinks: one dated TSV file, or a run-date partitioned table."""
 
 from clicklens.sinks.report_file import (
-    build_output_path,
-    output_filename,
+    dated_name,
     publish_single_file,
     read_report_file,
     report_as_text,
@@ -11,8 +10,7 @@ from clicklens.sinks.report_file import (
 from clicklens.sinks.report_table import read_report_table, write_report_table
 
 __all__ = [
-    "build_output_path",
-    "output_filename",
+    "dated_name",
     "publish_single_file",
     "read_report_file",
     "read_report_table",

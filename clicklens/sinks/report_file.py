@@ -1,17 +1,14 @@
 """The report as one dated, tab-separated file.
 
 Steps: format each row as one TSV line (revenue with two decimals, minimal
-quoting), put the header line first and sort, write one part file (CRLF line
-ends, as Python's csv writer) to a stage folder next to the target, then
-rename it onto the dated name, replacing an older file of the same day, and
-remove the stage.
-
-Scale: the sort runs distributed (range partitioning) and is materialised
-with ``checkpoint()`` in the shared folder; ``coalesce(1)`` then streams the
-sorted partitions, in order, through the one writer task that a single file
-needs. (Without the checkpoint, ``coalesce(1)`` would pull the sort itself
-into that one task.) Its input is the aggregated report (one row per domain
-and keyword), not the hits.
+quoting), put the header line first, sort, write one part file (CRLF line
+ends, as Python's csv writer) to a stage folder next to the target, copy it
+over the dated name, and only then remove the stage.
+
+Scale: the hits are aggregated before; the lines, one per domain and keyword,
+go through the one sorted task that a single file needs (its sort spills).
+Where that is too much, ``part_files=True`` writes a folder instead: sorted
+part files, written by all tasks, and the header in a file of its own.
 """
 
 from __future__ import annotations
@@ -19,22 +16,18 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clicklens.constants import REPORT_DOMAIN, REPORT_FILE_SUFFIX, REPORT_KEYWORD, REPORT_REVENUE
 from clicklens.operators.aggregate import report_order
-from clicklens.session import shared_dir
+from clicklens.sinks.files import child, copy_over, listed, qualified, remove
 from clicklens.sources.tsv import tsv_line
 
 
-def output_filename(run_date: dt.date | None = None) -> str:
-    """``<ISO date>_SearchKeywordPerformance.tab``; default: today (driver's local day)."""
-    return f"{(run_date or dt.date.today()).isoformat()}{REPORT_FILE_SUFFIX}"
-
-
-def build_output_path(output_prefix: str, run_date: dt.date | None = None) -> str:
-    return f"{output_prefix.rstrip('/')}/{output_filename(run_date)}"
+def dated_name(day: dt.date | None = None) -> str:
+    """File name of a day's report; the driver's own day unless given."""
+    return str(day or dt.date.today()) + REPORT_FILE_SUFFIX
 
 
 def revenue_text(c: str = REPORT_REVENUE):
@@ -54,63 +47,53 @@ def report_as_text(report: DataFrame) -> DataFrame:
 HEADER_LINE = "\t".join((REPORT_DOMAIN, REPORT_KEYWORD, REPORT_REVENUE))
 
 
-def report_lines(report: DataFrame, observation: Observation | None = None) -> DataFrame:
-    """The file's lines, in order: the header, then one TSV line per report row.
+def _line_order() -> list[Column]:
+    return [F.col("_part"), F.col("_rev").desc(), F.col("_dom"), F.col("_kw")]
 
-    Fields holding a tab, quote or line break are quoted with inner quotes
-    doubled (minimal quoting, as Python's csv writer does). An
-    ``observation`` receives ``rows``, counted above the sort, so the sort's
-    sampling pass does not count.
-    """
-    rows = report.select(
+
+def _keyed_lines(report: DataFrame) -> DataFrame:
+    return report.select(
         F.lit(1).alias("_part"),
         F.col(f"`{REPORT_REVENUE}`").alias("_rev"),
         F.col(f"`{REPORT_DOMAIN}`").alias("_dom"),
         F.col(f"`{REPORT_KEYWORD}`").alias("_kw"),
         tsv_line(F.col(f"`{REPORT_DOMAIN}`"), F.col(f"`{REPORT_KEYWORD}`"), revenue_text()).alias("line"),
     )
-    header = report.sparkSession.range(1).select(
+
+
+def report_lines(report: DataFrame, observation: Observation | None = None) -> DataFrame:
+    """The file's lines, in order, in one partition: the header, then one TSV line per report row.
+
+    Fields holding a tab, quote or line break are quoted with inner quotes
+    doubled (minimal quoting, as Python's csv writer does). An
+    ``observation`` receives ``rows``.
+    """
+    rows = _keyed_lines(report)
+    if observation is not None:
+        rows = rows.observe(observation, F.count(F.lit(1)).alias("rows"))
+    header = report.sparkSession.range(0, 1, 1, 1).select(
         F.lit(0).alias("_part"),
         F.lit(None).cast("double").alias("_rev"),
         F.lit(None).cast("string").alias("_dom"),
         F.lit(None).cast("string").alias("_kw"),
         F.lit(HEADER_LINE).alias("line"),
     )
-    ordered = header.unionByName(rows).orderBy(
-        F.col("_part"), F.col("_rev").desc(), F.col("_dom"), F.col("_kw")
-    )
-    if observation is not None:
-        ordered = ordered.observe(observation, F.count(F.when(F.col("_part") == 1, True)).alias("rows"))
-    return ordered.select("line")
-
-
-def _hadoop(spark: SparkSession):
-    jvm = spark.sparkContext._jvm
-    return jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    return header.unionByName(rows).repartition(1).sortWithinPartitions(*_line_order()).select("line")
 
 
 def publish_single_file(spark: SparkSession, stage_dir: str, target: str) -> str:
-    """Rename the one part file of ``stage_dir`` onto ``target`` (overwriting), drop the stage.
+    """Copy the one part file of ``stage_dir`` over ``target``, then drop the stage.
 
-    Uses ``FileContext.rename`` with ``OVERWRITE``: ``FileSystem.rename`` onto
-    an existing name fails without an error on some file systems.
+    Where this fails, the stage stays: it holds the whole report, whatever
+    became of the target. (A rename onto an existing name is not one step on
+    every file system, and object stores have none.)
     """
-    jvm, conf = _hadoop(spark)
-    Path = jvm.org.apache.hadoop.fs.Path
-    stage = Path(stage_dir)
-    fs = stage.getFileSystem(conf)
-    parts = [s.getPath() for s in fs.listStatus(stage) if s.getPath().getName().startswith("part-")]
+    parts = [p for p in listed(spark, stage_dir) if p.rpartition("/")[2].startswith("part-")]
     if len(parts) != 1:
         raise RuntimeError(f"expected one part file under {stage_dir}, found {len(parts)}")
-    target_path = Path(target)
-    dst = target_path.getFileSystem(conf).makeQualified(target_path)  # scheme + authority explicit
-    fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(dst.toUri(), conf)
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    opts = spark.sparkContext._gateway.new_array(rename, 1)
-    opts[0] = rename.OVERWRITE
-    fc.rename(parts[0], dst, opts)
-    fs.delete(stage, True)
-    return str(dst)
+    copy_over(spark, parts[0], target)
+    remove(spark, stage_dir)
+    return qualified(spark, target)
 
 
 def write_report_file(
@@ -119,39 +102,36 @@ def write_report_file(
     run_date: dt.date | None = None,
     observation: Observation | None = None,
     line_sep: str = "\r\n",
+    part_files: bool = False,
 ) -> str:
-    """Write the labelled report as ``<prefix>/<date>_SearchKeywordPerformance.tab``.
+    """Write the labelled report under its dated name in the folder ``output_prefix``; returns the path.
 
     Header line, then rows by revenue (descending), domain, keyword; lines end
-    in CRLF by default, as the reference's file does. Zero rows give a
-    header-only file. Returns the file path. An ``observation`` receives
-    ``rows``, the number of report rows.
+    in CRLF by default. Zero rows give a header-only file. An ``observation``
+    receives ``rows``, the number of report rows. With ``part_files`` the
+    dated name is a folder: ``header.tab`` and sorted ``rows/part-*`` files.
     """
     spark = report.sparkSession
-    shared_dir(spark)  # checkpoint() needs the shared folder set
-    target = build_output_path(output_prefix, run_date)
+    target = child(output_prefix, dated_name(run_date))
+    if part_files:
+        rows = _keyed_lines(report).orderBy(*_line_order())
+        if observation is not None:  # above the sort, whose sampling would count too
+            rows = rows.observe(observation, F.count(F.lit(1)).alias("rows"))
+        write = {"lineSep": line_sep}
+        rows.select("line").write.mode("overwrite").options(**write).text(child(target, "rows"))
+        header = spark.range(0, 1, 1, 1).select(F.lit(HEADER_LINE).alias("line"))
+        header.write.mode("overwrite").options(**write).text(child(target, "_header"))
+        publish_single_file(spark, child(target, "_header"), child(target, "header.tab"))
+        return qualified(spark, target)
     stage = f"{target}._stage-{uuid.uuid4().hex[:12]}"
-    # Materialise the range-sorted partitions (sorted by all tasks, written to
-    # the shared checkpoint folder); the single writer then only streams them
-    # in partition order, and a retried writer restarts from the checkpoint.
-    ordered = report_lines(report, observation).checkpoint(eager=True)
     try:
-        ordered.coalesce(1).write.mode("overwrite").option("lineSep", line_sep).text(stage)
-        return publish_single_file(spark, stage, target)
+        report_lines(report, observation).write.option("lineSep", line_sep).text(stage)
     except Exception:
-        _remove(spark, stage)  # a failed attempt leaves no stage behind; the target is untouched
+        remove(spark, stage)  # nothing was published
         raise
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm, conf = _hadoop(spark)
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    try:
-        p.getFileSystem(conf).delete(p, True)
-    except Exception:  # best effort: the failure being raised matters more
-        pass
+    return publish_single_file(spark, stage, target)
 
 
 def read_report_file(spark: SparkSession, path: str) -> DataFrame:
-    """Read a published report back (all columns as text)."""
-    return spark.read.options(header="true", sep="\t", quote='"', escape='"').csv(path)
+    """Read a published report back (all columns as text; quoted fields may hold line breaks)."""
+    return spark.read.options(header="true", sep="\t", quote='"', escape='"', multiLine="true").csv(path)

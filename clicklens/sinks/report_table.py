@@ -1,35 +1,55 @@
 """The report as a Parquet table partitioned by ``run_date``.
 
-Re-running a day replaces that day's partition only (dynamic partition
-overwrite, set as a write option so no session setting changes); other days
-stay. Readers that filter on ``run_date`` read only that partition.
+A run replaces its whole day (with ``part``, one part of the day): the rows
+are written beside the table and moved into place, so rows of an earlier run
+cannot survive, also where the new report is empty. Other days stay. Readers
+that filter on ``run_date`` read only that partition.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clicklens.constants import DOMAIN, KEYWORD, REVENUE
+from clicklens.sinks.files import child, exists, move, remove
 
-def write_report_table(
-    agg: DataFrame,
-    path: str,
-    run_date: dt.date,
-    partition_by: Sequence[str] = ("run_date",),
-) -> None:
-    """Write (domain, keyword, revenue [, more keys]) rows for ``run_date``."""
-    (
-        agg.withColumn("run_date", F.lit(run_date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-
-
-def read_report_table(spark: SparkSession, path: str, run_date: dt.date | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df if run_date is None else df.where(F.col("run_date") == F.lit(run_date))
+SCHEMA = f"{DOMAIN} string, {KEYWORD} string, {REVENUE} double"
+
+
+def replace_folder(rows: DataFrame, table: str, folder: str) -> None:
+    """``folder`` of ``table`` holds exactly ``rows`` afterwards.
+
+    Written to a hidden folder first; the old content is moved aside before
+    the new is moved in, and removed last, so a failure leaves one of them.
+    """
+    spark = rows.sparkSession
+    mark = uuid.uuid4().hex[:12]
+    stage, old, target = child(table, f"_stage-{mark}"), child(table, f"_old-{mark}"), child(table, folder)
+    rows.write.parquet(stage)
+    if exists(spark, target):
+        move(spark, target, old)
+    move(spark, stage, target)
+    remove(spark, old)
+
+
+def write_report_table(agg: DataFrame, path: str, run_date: dt.date, part: str | None = None) -> None:
+    """Replace ``run_date`` (of it, the ``part``) with these (domain, keyword, revenue [, more columns]) rows."""
+    day = f"run_date={run_date.isoformat()}"
+    replace_folder(agg, path, f"{day}/part={part}" if part else day)
+
+
+def read_report_table(
+    spark: SparkSession, path: str, run_date: dt.date | None = None, extra: str = ""
+) -> DataFrame:
+    """The table's rows, of one day where given; ``extra`` declares further columns (DDL).
+
+    The schema is declared, so a table that only has empty reports reads as no rows.
+    """
+    schema = f"{SCHEMA}, {extra + ', ' if extra else ''}run_date date"
+    df = spark.read.schema(schema).option("basePath", path).parquet(path)
+    df = df.select(*(c.split()[0] for c in schema.split(", ")))
+    return df.where(F.col("run_date").isNotNull() if run_date is None else F.col("run_date") == F.lit(run_date))
