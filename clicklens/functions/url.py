@@ -95,12 +95,6 @@ def _key_is(name: str):
     return lambda p: p["k"] == F.lit(name)
 
 
-def first_param(pairs: Column, names: Sequence[str]) -> Column:
-    """Decoded, trimmed value of the first pair of the first name present; or NULL."""
-    raw = F.coalesce(*[F.get(F.filter(pairs, _key_is(n)), 0)["v"] for n in names])
-    return strip_ws(percent_decode(raw))
-
-
 def _hex_byte(b: int) -> str:
     return "%" + "".join(d if d.isdigit() else f"[{d}{d.lower()}]" for d in f"{b:02X}")
 

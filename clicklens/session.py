@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import os
 import tempfile
 import uuid
 
@@ -56,12 +55,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (nothing is created)."""
     return f"{shared_dir(spark)}/clicklens-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def to_local(path: str) -> str:
-    """Strip a ``file:`` scheme, for helpers that need a local path."""
-    if path.startswith("file://"):
-        return path[len("file://") :]
-    if path.startswith("file:"):
-        return path[len("file:") :]
-    return os.fspath(path)

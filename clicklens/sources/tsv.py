@@ -1,32 +1,29 @@
 """Tab-separated hit logs: batch files, lines of text, and a file stream.
 
 Format: one header line, tab separator, ``"`` quotes with ``""`` inside a
-quoted field. Columns are resolved by (trimmed) header name.
-
-Short rows (fewer fields than the header) are dropped by the contract. Spark's
-native CSV scan pads them with NULL instead, and its malformed-row detection
-depends on column pruning, so there are two read paths:
-
-* ``short_rows="pad"`` (default): the native, splittable, column-pruned CSV
-  scan. The report is still exact whenever the header's last column is one
-  the report reads (``referrer``, ``event_list`` or ``product_list``, which
-  includes the standard column order): a short row then lacks that column and
-  fails the attribution rules anyway. ``short_rows_matter`` tells.
-* ``short_rows="drop"``: text lines parsed with ``from_csv``; a quote-aware
-  field count drops short rows exactly. Not for ``multi_line`` input.
+quoted field. Columns are resolved by (trimmed) header name, file by file:
+files are grouped by their header lines and each group is read by its own
+names, so files with padded, reordered or absent columns mix freely.
+
+Rows with fewer fields than their header (and blank lines) are dropped; extra
+fields are ignored. Lines are split where they are read, whole files may be
+split over tasks. Lines without a quote are split at the tabs; the others go
+through ``from_csv``. A line that leaves a quote open belongs to a field with
+a line break in it: reading it line by line would lose the row, so the read
+fails and asks for ``multi_line=True``, which reads each file in one task.
 """
 
 from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from clicklens.constants import HIT_COLUMNS
-from clicklens.sources.schema import conform, hits_schema
+from clicklens.sources.schema import conform
 
 TSV_OPTIONS = {"sep": "\t", "quote": '"', "escape": '"'}
 WRITE_OPTIONS = {
@@ -35,8 +32,6 @@ WRITE_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
-# Columns the report reads.
-REPORT_INPUTS = ("referrer", "event_list", "product_list")
 
 # One match per field separator: a field (quoted, with doubled quotes inside
 # and free text after the closing quote; or plain, not starting with a quote;
@@ -46,69 +41,64 @@ REPORT_INPUTS = ("referrer", "event_list", "product_list")
 _FIELD_AND_TAB = r'\G(?:"(?:[^"]|"")*"[^\t]*|[^\t"][^\t]*|)\t'
 
 
-def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """The native CSV scan with the header names of the first file (all strings).
-
-    Spark maps every file by position to those names; so that a file with
-    another header cannot be read silently into the wrong columns, each
-    file's header is checked against them (``enforceSchema=false``) and a
-    mismatch fails the read. Headers Spark had to rename (repeated or empty
-    names) are left unchecked; the job reads those through the line path.
+def data_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """Files under a path, glob, or list of them (folders searched, hidden names skipped), in order."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = set()
+    for given in [path] if isinstance(path, str) else path:
+        p = jvm.org.apache.hadoop.fs.Path(given)
+        fs = p.getFileSystem(conf)
+        hits = fs.globStatus(p)
+        if not hits:
+            raise FileNotFoundError(given)
+        for hit in hits:
+            files = fs.listFiles(hit.getPath(), True)
+            base = str(fs.makeQualified(hit.getPath()))
+            while files.hasNext():
+                name = str(files.next().getPath())
+                if not any(part[:1] in "._" for part in name[len(base) :].split("/") if part):
+                    found.add(name)
+    return sorted(found)
+
+
+def header_line(spark: SparkSession, file: str) -> str | None:
+    """First line of a file (compressed or not); None when it has none."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(file)
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+        source = codec.createInputStream(stream) if codec else stream
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return line.removeprefix("\ufeff") if line else None
+
+
+def header_groups(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
+    """Header line -> the files that begin with it; files without a line are left out.
+
+    Reads one line of each file, 32 files at a time.
     """
-    def reader():
-        return spark.read.options(header="true", multiLine=str(multi_line).lower(), **TSV_OPTIONS)
-
-    raw = reader().csv(path)
-    names = raw.columns
-    if not names or _spark_renamed(names):
-        return raw
-    schema = StructType([StructField(n, StringType(), True) for n in names])
-    return reader().schema(schema).option("enforceSchema", "false").csv(path)
-
-
-def header_of(spark: SparkSession, path: str, multi_line: bool = False) -> list[str]:
-    """Header names of the first file (reads one line)."""
-    return read_raw(spark, path, multi_line).columns
-
-
-def short_rows_matter(header: Sequence[str]) -> bool:
-    """True when a short row could pass the report rules if padded with NULL."""
-    return bool(header) and header[-1].strip() not in REPORT_INPUTS
-
-
-def _spark_renamed(names: Sequence[str]) -> bool:
-    """True when Spark may have renamed header names: an empty name becomes
-    ``_c<position>``; every copy of a repeated name gets its position appended
-    (two or more names then share a base). A false alarm only skips a check."""
-    bases: dict[str, int] = {}
-    for i, n in enumerate(names):
-        if n == f"_c{i}":
-            return True
-        tail = str(i)
-        if n.endswith(tail) and len(n) > len(tail):
-            base = n[: -len(tail)].lower()
-            bases[base] = bases.get(base, 0) + 1
-    return any(count > 1 for count in bases.values())
-
-
-def renamed_duplicates(header: Sequence[str], columns: Sequence[str] = HIT_COLUMNS) -> bool:
-    """True when Spark's CSV reader renamed a repeated contract column name
-    (it appends the position: ``referrer`` -> ``referrer11``); the line path
-    then resolves the repeat exactly (the last one wins)."""
-    wanted = {c.lower() for c in columns}
-    for i, name in enumerate(header):
-        tail = str(i)
-        if name.endswith(tail) and name[: -len(tail)].strip().lower() in wanted:
-            return True
-    return False
+    files = data_files(spark, path)
+    with ThreadPoolExecutor(32) as pool:
+        lines = list(pool.map(lambda f: header_line(spark, f), files))
+    groups: dict[str, list[str]] = {}
+    for f, line in zip(files, lines, strict=True):
+        if line:
+            groups.setdefault(line, []).append(f)
+    return groups
+
+
+def header_names(line: str) -> list[str]:
+    return [n.strip() for n in next(csv.reader([line], delimiter="\t"), [])]
 
 
 def read_hits(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     *,
     multi_line: bool = False,
-    short_rows: str = "pad",
     columns: Sequence[str] = HIT_COLUMNS,
     with_input_file: bool = False,
 ) -> DataFrame:
@@ -116,23 +106,40 @@ def read_hits(
 
     ``with_input_file`` adds ``input_file``, the path of each row's file.
     """
-    if short_rows == "drop":
+    keep = ("input_file",) if with_input_file else ()
+    out = None
+    for line, files in header_groups(spark, path).items():
+        names = header_names(line)
         if multi_line:
-            raise ValueError("short_rows='drop' reads line by line; multi_line is not supported")
-        text = spark.read.text(path)
-        if with_input_file:
-            text = text.withColumn("input_file", F.col("_metadata.file_path"))
-        return hits_from_lines(text, columns=columns, keep=("input_file",) if with_input_file else ())
-    if short_rows != "pad":
-        raise ValueError(f"short_rows must be 'pad' or 'drop', not {short_rows!r}")
-    return with_rows_file(read_raw(spark, path, multi_line), columns, with_input_file)
-
-
-def with_rows_file(raw: DataFrame, columns: Sequence[str], with_input_file: bool) -> DataFrame:
-    """``conform`` a native scan, optionally keeping each row's file path."""
-    if not with_input_file:
-        return conform(raw, columns)
-    return conform(raw.withColumn("input_file", F.col("_metadata.file_path")), columns, keep=("input_file",))
+            part = conform(_whole_records(spark, files, names, keep), columns, keep=keep)
+        else:
+            text = spark.read.text(files)
+            if with_input_file:
+                text = text.withColumn("input_file", F.col("_metadata.file_path"))
+            # A byte order mark may stand before the first file's header.
+            text = text.where(~F.col("value").isin(line, "\ufeff" + line))
+            part = hits_from_lines(text, names, columns=columns, keep=keep)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        schema = ", ".join(f"`{c}` string" for c in (*columns, *keep))
+        return spark.createDataFrame([], schema)
+    return out
+
+
+def _whole_records(spark: SparkSession, files: Sequence[str], names: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """Records that may span lines, each file in one task; short ones are dropped.
+
+    The reader marks records of another length than the header; columns are
+    not pruned, for the mark depends on all of them.
+    """
+    reader = spark.read.schema(f"{_ddl(len(names))}, _record STRING").options(header="true", multiLine="true", **TSV_OPTIONS)
+    raw = reader.options(columnNameOfCorruptRecord="_record", columnPruning="false").csv(list(files))
+    if keep:
+        raw = raw.withColumn("input_file", F.col("_metadata.file_path"))
+    # Read along with a field: the reader refuses to give its marks alone.
+    record = F.when(F.length(F.coalesce("_f0", F.lit(""))) >= 0, F.col("_record"))
+    raw = raw.where(record.isNull() | (field_count(record) >= len(names))).drop("_record")
+    return raw.toDF(*_fields(names), *keep)
 
 
 def field_count(line: Column) -> Column:
@@ -142,14 +149,14 @@ def field_count(line: Column) -> Column:
     return F.when(F.instr(line, '"') == 0, plain).otherwise(quoted)
 
 
-def _schema_ddl(names: Sequence[str]) -> tuple[str, list[str]]:
-    """DDL for from_csv; for duplicate names the last one keeps the name."""
-    fields = []
-    for i, n in enumerate(names):
-        later = n in names[i + 1 :]
-        fields.append(f"_dup{i}" if later or not n else n)
-    ddl = ", ".join("`" + f.replace("`", "``") + "` STRING" for f in fields)
-    return ddl, fields
+def _ddl(count: int) -> str:
+    """Fields by position; names may differ in case only, which a schema cannot hold."""
+    return ", ".join(f"_f{i} STRING" for i in range(count))
+
+
+def _fields(names: Sequence[str]) -> list[str]:
+    """Names of the fields; of a repeated name the last field keeps it."""
+    return [f"_dup{i}" if n in names[i + 1 :] or not n else n for i, n in enumerate(names)]
 
 
 def lines_frame(spark: SparkSession, lines: Sequence[str]) -> DataFrame:
@@ -187,32 +194,54 @@ def hits_from_lines(
     names = [n.strip() for n in names]
     if not names:
         return conform(body.where(F.lit(False)).select(), columns)
-    ddl, fields = _schema_ddl(names)
+    return conform(_split_lines(body, names, drop_short_rows, keep), columns, keep=keep)
+
+
+def _split_lines(body: DataFrame, names: Sequence[str], drop_short_rows: bool, keep: Sequence[str]) -> DataFrame:
+    """Fields of the lines ``value`` under ``names``.
+
+    Plain lines are split at the tabs once; only lines with a quote are
+    parsed. An open quote means the row goes on in the next line.
+    """
+    quoted = F.instr("value", '"') > 0
+    staged = body.select(
+        F.when(~quoted, F.split("value", "\t", -1)).alias("_plain"), F.when(quoted, F.col("value")).alias("_quoted"), *keep
+    )
+    count = F.coalesce(F.size("_plain"), field_count(F.col("_quoted")))
+    text = "a line leaves a quote open: a field holds a line break; read the input with multi_line=True"
+    opens = F.coalesce(F.col("_quoted").rlike(_OPEN_QUOTE), F.lit(False))
+    staged = staged.where(F.when(opens, F.raise_error(F.lit(text)).cast("boolean")).otherwise(F.lit(True)))
     if drop_short_rows:
-        body = body.where(field_count(F.col("value")) >= len(names))
-    parsed = body.select(F.from_csv("value", ddl, TSV_OPTIONS).alias("r"), *keep).select("r.*", *keep)
-    return conform(parsed, columns, keep=keep)
+        staged = staged.where(count >= len(names))
+    staged = staged.select("_plain", F.from_csv("_quoted", _ddl(len(names)), TSV_OPTIONS).alias("_parsed"), *keep)
+    picked = [
+        F.nullif(F.coalesce(F.get("_plain", i), F.col(f"_parsed._f{i}")), F.lit("")).alias(f"_f{i}")
+        for i in range(len(names))
+    ]
+    return staged.select(*picked, *keep).toDF(*_fields(names), *keep)
+
+
+# Whole fields and their tabs, then a field that begins with a quote which the
+# line does not end.
+_OPEN_QUOTE = r'^(?:(?:"(?:[^"]|"")*+"[^\t]*+|[^"\t][^\t]*+|)\t)*+"(?:[^"]|"")*+$'
 
 
 def read_hits_stream(
     spark: SparkSession,
     path: str,
     *,
-    columns: Sequence[str] = HIT_COLUMNS,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Stream of hit TSV files under ``path``, with the source file in ``input_file``.
+    """Stream of arriving files (path, modificationTime, length): one small row per file, no content.
 
-    A stream needs its schema up front: the contract columns, checked against
-    each file's header (``enforceSchema=false``), so a file with another
-    header fails instead of being read by position.
+    The files of a micro-batch are then read with ``read_hits``, each by its
+    own header; a stream of rows would need one header for all.
     """
-    reader = spark.readStream.schema(hits_schema(columns)).options(
-        header="true", enforceSchema="false", **TSV_OPTIONS
-    )
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    reader = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.csv(path).withColumn("input_file", F.col("_metadata.file_path"))
+    return reader.load(path).select("path", "modificationTime", "length")
 
 
 def write_hits_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
