@@ -43,16 +43,14 @@ def main(argv: list[str] | None = None) -> int:
     args.input = args.input or args.input_path or payload.get("input_path")
     args.output_dir = args.output_dir or payload.get("output_path") or os.getcwd()
     if not args.input:
-        print("Usage: python -m clicklens <input_file> [--output-dir DIR]", file=sys.stderr)
-        return 1
-    if "://" not in args.input and not os.path.exists(args.input):
-        print(f"File not found: {args.input}", file=sys.stderr)
+        parser.print_usage(sys.stderr)
         return 1
 
     from pyspark.sql import SparkSession
 
     from clicklens.plans import SearchKeywordJob
     from clicklens.session import local_session
+    from clicklens.sinks.files import matching
 
     spark = SparkSession.getActiveSession()
     if spark is None:
@@ -61,6 +59,10 @@ def main(argv: list[str] | None = None) -> int:
         # run alone, the command uses a local session.
         submitted = "PYSPARK_GATEWAY_PORT" in os.environ
         spark = SparkSession.builder.getOrCreate() if submitted else local_session()
+    # Asked of the input's own file system, so that globs and remote paths count.
+    if not matching(spark, args.input):
+        print(f"clicklens: nothing to read at {args.input}", file=sys.stderr)
+        return 1
     lists = {}
     if args.hosts:
         lists["hosts"] = tuple(h.strip() for h in args.hosts.split(",") if h.strip())
@@ -78,7 +80,7 @@ def main(argv: list[str] | None = None) -> int:
         **lists,
     )
     result = job.run(spark)
-    print(f"Wrote {result.rows} rows to {result.output_file} (master {spark.sparkContext.master})")
+    print(f"{result.rows} report rows in {result.output_file} (master {spark.sparkContext.master})")
     return 0
 
 

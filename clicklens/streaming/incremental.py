@@ -1,32 +1,35 @@
 """New-file processing with Structured Streaming.
 
-``incremental_report``: every new hit file yields its own report. Each
-micro-batch is aggregated by (input file, domain, keyword) and written to a
-table partitioned by (``run_date``, ``batch_id``) with dynamic partition
-overwrite, so a micro-batch replayed after a failure rewrites its own
-partition and changes nothing; the folder count follows micro-batches, not
-files. The dated single file holds the report of the newest file of the batch
-(the last upload of a day wins).
-
-``running_revenue``: totals over all files seen so far. A streaming
-aggregation in update mode: each micro-batch appends only the (domain,
-keyword) totals it changed, under its own ``batch_id`` partition, so the
-write per batch grows with what changed, not with all keys seen.
-``read_running_revenue`` takes the latest total of each pair.
-
-Both are checkpointed: a restart resumes after the last committed batch, and
-a run with no new file does nothing.
+Both streams are streams of *files* (path and modification time, one small row
+each); a micro-batch reads its files with ``read_hits``, each by its own
+header. They are checkpointed: a restart resumes after the last committed
+batch, and a run with no new file does nothing.
+
+``incremental_report``: every upload yields its own report, kept in a table
+under its day and file, and the day's newest upload as the dated file (header
+only where none of its hits qualifies). The day is the upload's modification
+date (UTC) unless given. A ledger beside the table lists what was processed,
+by path and modification time: a replayed batch, or another stream into the
+same table, finds its uploads done and changes nothing, and a file uploaded
+again under its name is processed again. A file that cannot be read is noted
+in the ledger with its error and does not stop the others.
+
+``running_revenue``: totals over all files seen so far. Each micro-batch adds
+its own sums, replaced where the batch is replayed; every ``SNAPSHOT_EVERY``
+batches they are folded into a snapshot, so a read sees one snapshot and a
+bounded tail however long the stream runs.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.storagelevel import StorageLevel
 
 from clicklens.constants import (
     DOMAIN,
@@ -36,65 +39,114 @@ from clicklens.constants import (
     REVENUE,
     SEARCH_ENGINE_HOSTS,
 )
-from clicklens.operators import (
-    attribute,
-    candidate_flag,
-    exact_sum,
-    keyword_revenue,
-    labelled,
-    qualified_hits,
-    sum_positive,
-)
-from clicklens.sinks import write_report_file, write_report_table
-from clicklens.sources.tsv import read_hits_stream
+from clicklens.operators import exact_sum, keyword_revenue, labelled
+from clicklens.sinks import read_report_table, write_report_file
+from clicklens.sinks.files import child, exists, listed, move, remove
+from clicklens.sinks.report_table import SCHEMA, replace_folder
+from clicklens.sources.tsv import read_hits, read_hits_stream
 
+LEDGER = "path string, mtime timestamp, run_date date, error string"
+SNAPSHOT_EVERY = 50
 
-def _write_batch(agg: DataFrame, table_path: str, run_date: dt.date, epoch_id: int) -> None:
-    write_report_table(
-        agg.withColumn("batch_id", F.lit(epoch_id)), table_path, run_date, partition_by=("run_date", "batch_id")
-    )
+Upload = tuple[str, dt.datetime]
 
 
-def _file_report_batch(
-    table_path: str,
-    run_date: dt.date,
-    output_prefix: str | None,
-    hosts: Sequence[str] = SEARCH_ENGINE_HOSTS,
-    params: Sequence[str] = KEYWORD_PARAMS,
-    purchase_event: str = PURCHASE_EVENT,
-):
-    def handle(batch: DataFrame, epoch_id: int) -> None:
-        if output_prefix is None:
-            agg = keyword_revenue(batch, hosts, params, purchase_event, extra_keys=("input_file",))
-            _write_batch(agg, table_path, run_date, epoch_id)
+def _plain_path(c: Column) -> Column:
+    """A file path as the file source's metadata and a listing both spell it."""
+    decoded = F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^([a-z0-9]+):/+", "$1:/")
+
+
+def _part(path: str) -> str:
+    return hashlib.sha256(path.encode()).hexdigest()[:16]
+
+
+def read_ledger(spark: SparkSession, table_path: str) -> DataFrame:
+    """Processed uploads: path, modification time, day, and the error of those that could not be read."""
+    path = child(table_path, "_ledger")
+    return spark.read.schema(LEDGER).parquet(path) if exists(spark, path) else spark.createDataFrame([], LEDGER)
+
+
+class _Reports:
+    """Processes uploads into the report table, the ledger and the dated files."""
+
+    def __init__(self, spark: SparkSession, table_path: str, output_prefix: str | None, run_date: dt.date | None, multi_line: bool, rules: dict):
+        self.spark, self.table, self.prefix, self.run_date = spark, table_path, output_prefix, run_date
+        self.multi_line, self.rules = multi_line, rules
+
+    def changed(self, input_dir: str) -> list[Upload]:
+        """Files of the folder whose modification time is later than the ledger's."""
+        ledger = read_ledger(self.spark, self.table).groupBy("path").agg(F.max("mtime").alias("done"))
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(input_dir)
+        files = files.select(_plain_path(F.col("path")).alias("path"), "modificationTime")
+        again = files.join(ledger, "path").where(F.col("modificationTime") > F.col("done"))
+        return [(r["path"], r["modificationTime"]) for r in again.select("path", "modificationTime").collect()]
+
+    def process(self, uploads: list[Upload]) -> None:
+        """``uploads`` is a micro-batch's list of files; those in the ledger are left alone."""
+        if not uploads:
+            return
+        given = self.spark.createDataFrame(uploads, "path string, mtime timestamp")
+        given = given.join(read_ledger(self.spark, self.table), ["path", "mtime"], "left_anti")
+        todo = sorted({(r["path"], r["mtime"], self.run_date or r["day"]) for r in given.withColumn("day", F.to_date("mtime")).collect()})
+        if not todo:
             return
-        # Two outputs (the file list, the reports) from one read of the batch.
-        # Only candidate hits keep their text; the others keep their file and
-        # time only, so the cached rows are mostly NULLs, which the columnar
-        # cache stores in next to no space.
-        flag = candidate_flag(hosts, purchase_event)
-        slim = batch.select(
-            "input_file",
-            "_mtime",
-            flag.alias("_cand"),
-            F.when(flag, F.col("referrer")).alias("referrer"),
-            F.when(flag, F.col("product_list")).alias("product_list"),
-        ).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # Newest file of the batch: one row per file reaches the driver.
-            files = slim.groupBy("input_file").agg(F.max("_mtime").alias("m"))
-            newest = files.orderBy(F.col("m").desc(), F.col("input_file").desc()).first()
-            if newest is None:
-                return
-            agg = sum_positive(attribute(slim.where("_cand"), params, keep=("input_file",)), ("input_file",))
-            _write_batch(agg, table_path, run_date, epoch_id)
-            # Its report (header only when none of its hits qualifies).
-            mine = agg.where(F.col("input_file") == F.lit(newest["input_file"])).drop("input_file")
-            write_report_file(labelled(mine), output_prefix, run_date)
-        finally:
-            slim.unpersist()
-
-    return handle
+            self._write(todo)
+            errors: dict[str, str] = {}
+        except (PySparkException, FileNotFoundError):
+            errors = self._one_by_one(todo)
+        if self.prefix is not None:
+            self._publish([t for t in todo if t[0] not in errors])
+        rows = [(p, m, d, errors.get(p)) for p, m, d in todo]
+        self.spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(child(self.table, "_ledger"))
+
+    def _one_by_one(self, todo: list) -> dict[str, str]:
+        errors = {}
+        for one in todo:
+            try:
+                self._write([one])
+            except (PySparkException, FileNotFoundError) as e:
+                errors[one[0]] = str(e)[:2000]
+        return errors
+
+    def _write(self, todo: list) -> None:
+        """Each upload's rows replace what its day and file held."""
+        hits = read_hits(self.spark, [t[0] for t in todo], multi_line=self.multi_line, with_input_file=True)
+        hits = hits.withColumn("input_file", _plain_path(F.col("input_file")))
+        agg = keyword_revenue(hits, extra_keys=("input_file",), **self.rules)
+        days = self.spark.createDataFrame([(p, d.isoformat(), _part(p)) for p, _, d in todo], "input_file string, run_date string, part string")
+        stage = child(self.table, f"_stage-{hashlib.sha256(repr(todo).encode()).hexdigest()[:12]}")
+        # ``days`` has a row per file of the micro-batch.
+        agg.join(F.broadcast(days), "input_file").write.mode("overwrite").partitionBy("run_date", "part").parquet(stage)
+        for path, _, day in todo:
+            at = f"run_date={day.isoformat()}/part={_part(path)}"
+            remove(self.spark, child(self.table, at))
+            if exists(self.spark, child(stage, at)):
+                move(self.spark, child(stage, at), child(self.table, at))
+        remove(self.spark, stage)
+
+    def _publish(self, done: list) -> None:
+        """The dated file of each day whose newest upload is among ``done``."""
+        ledger = read_ledger(self.spark, self.table).where(F.col("error").isNull())
+        for day in sorted({d for _, _, d in done}):
+            mine = max((m, p) for p, m, d in done if d == day)
+            before = ledger.where(F.col("run_date") == F.lit(day)).agg(F.max("mtime")).first()[0]
+            if before is not None and before > mine[0]:
+                continue
+            rows = read_report_table(self.spark, self.table, day, extra="input_file string")
+            mine_only = rows.where(F.col("input_file") == F.lit(mine[1])).select(DOMAIN, KEYWORD, REVENUE)
+            write_report_file(labelled(mine_only), self.prefix, day)
+
+
+def _start(writer, available_now: bool) -> StreamingQuery:
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()
+
+
+def _uploads(batch: DataFrame) -> list[Upload]:
+    """The files of a micro-batch; ``max_files_per_trigger`` bounds them."""
+    rows = batch.select(_plain_path(F.col("path")).alias("path"), "modificationTime").collect()
+    return [(r["path"], r["modificationTime"]) for r in rows]
 
 
 def incremental_report(
@@ -107,47 +159,50 @@ def incremental_report(
     run_date: dt.date | None = None,
     max_files_per_trigger: int | None = 1000,
     available_now: bool = True,
+    multi_line: bool = False,
     hosts: Sequence[str] = SEARCH_ENGINE_HOSTS,
     params: Sequence[str] = KEYWORD_PARAMS,
     purchase_event: str = PURCHASE_EVENT,
 ) -> StreamingQuery:
-    """Start the per-file report stream; with ``available_now`` it stops when caught up.
+    """Start the per-upload report stream; with ``available_now`` it stops when caught up.
 
-    ``max_files_per_trigger`` bounds a micro-batch, so a backlog is worked
-    off in batches of bounded size.
+    Files uploaded again are processed at the start and with every batch.
     """
-    run_date = run_date or dt.date.today()
-    stream = read_hits_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger).withColumn(
-        "_mtime", F.col("_metadata.file_modification_time")
-    )
-    writer = (
-        stream.writeStream.foreachBatch(
-            _file_report_batch(table_path, run_date, output_prefix, hosts, params, purchase_event)
-        )
-        .option("checkpointLocation", checkpoint_path)
-        .queryName(f"clicklens-incremental-{abs(hash(checkpoint_path))}")
-    )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
-
-
-def _append_changes(table_path: str):
+    rules = {"hosts": hosts, "params": params, "purchase_event": purchase_event}
+    reports = _Reports(spark, table_path, output_prefix, run_date, multi_line, rules)
+    if exists(spark, child(table_path, "_ledger")):
+        reports.process(reports.changed(input_dir))
+
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        (
-            batch.withColumn("batch_id", F.lit(epoch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(table_path)
-        )
+        reports.process(_uploads(batch))
+        reports.process(reports.changed(input_dir))
+
+    stream = read_hits_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger)
+    return _start(stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_path), available_now)
+
+
+# ----------------------------------------------------------- running totals
 
-    return handle
+
+def _numbered(spark: SparkSession, table_path: str, kind: str) -> list[int]:
+    if not exists(spark, table_path):
+        return []
+    names = (p.rpartition("/")[2] for p in listed(spark, table_path))
+    return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{kind}="))
+
+
+def _parts(spark: SparkSession, table_path: str) -> list[str]:
+    """The folders that make up the totals: the newest snapshot and the batches after it."""
+    snapshot = max(_numbered(spark, table_path, "snapshot"), default=-1)
+    tail = [f"batch={n}" for n in _numbered(spark, table_path, "batch") if n > snapshot]
+    return ([f"snapshot={snapshot}"] if snapshot >= 0 else []) + tail
 
 
 def read_running_revenue(spark: SparkSession, table_path: str) -> DataFrame:
-    """Latest running total of each (domain, keyword)."""
-    changes = spark.read.parquet(table_path)
-    return changes.groupBy(DOMAIN, KEYWORD).agg(F.max_by(REVENUE, "batch_id").alias(REVENUE))
+    """Running total of each (domain, keyword); no rows before the first batch."""
+    parts = [child(table_path, p) for p in _parts(spark, table_path)]
+    rows = spark.read.schema(SCHEMA).parquet(*parts) if parts else spark.createDataFrame([], SCHEMA)
+    return rows.groupBy(DOMAIN, KEYWORD).agg(exact_sum(REVENUE).alias(REVENUE))
 
 
 def running_revenue(
@@ -158,19 +213,25 @@ def running_revenue(
     *,
     max_files_per_trigger: int | None = 1000,
     available_now: bool = True,
+    multi_line: bool = False,
     hosts: Sequence[str] = SEARCH_ENGINE_HOSTS,
     params: Sequence[str] = KEYWORD_PARAMS,
     purchase_event: str = PURCHASE_EVENT,
 ) -> StreamingQuery:
-    """Running (domain, keyword, revenue) over every file so far; changes land in
-    ``table_path`` (read them with ``read_running_revenue``)."""
+    """Running (domain, keyword, revenue) over every file so far, in ``table_path``
+    (read it with ``read_running_revenue``)."""
+
+    def handle(batch: DataFrame, epoch_id: int) -> None:
+        files = [p for p, _ in _uploads(batch)]
+        if not files or epoch_id in _numbered(spark, table_path, "snapshot"):
+            return
+        hits = read_hits(spark, files, multi_line=multi_line)
+        replace_folder(keyword_revenue(hits, hosts, params, purchase_event), table_path, f"batch={epoch_id}")
+        if (epoch_id + 1) % SNAPSHOT_EVERY == 0:
+            old = _parts(spark, table_path)
+            replace_folder(read_running_revenue(spark, table_path), table_path, f"snapshot={epoch_id}")
+            for part in old:
+                remove(spark, child(table_path, part))
+
     stream = read_hits_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger)
-    hits = qualified_hits(stream, hosts, params, purchase_event)
-    totals = hits.groupBy(DOMAIN, KEYWORD).agg(exact_sum(REVENUE).alias(REVENUE))
-    writer = (
-        totals.writeStream.outputMode("update")
-        .foreachBatch(_append_changes(table_path))
-        .option("checkpointLocation", checkpoint_path)
-    )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    return _start(stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_path), available_now)
