@@ -1,10 +1,12 @@
 """DuckDB SQL equivalents of the registered queries (the correctness oracle).
 
 Each statement runs on the raw test tables (``events``, ``pages``) and
-re-derives the hit log with the same rules as ``sources.derived``. The rule
-expressions are written independently in DuckDB SQL (RE2 regexes, 1-based
-lists). Known limit: DuckDB's RE2 has no look-ahead, so stray ``%`` escapes are
-not repaired before ``url_decode``; the derived hits hold none.
+re-derives the hit log with the same rules as ``sources.derived``. The rules
+are written anew: nothing is taken from ``clicklens.functions``; URLs and
+event lists are cut by splitting, numbers by DuckDB's own cast, and sums by
+compensated addition, so a wrong pattern or a lossy sum shows. Known limit:
+stray ``%`` escapes are not repaired before ``url_decode``; the derived hits
+hold none.
 """
 
 from __future__ import annotations
@@ -17,7 +19,6 @@ from clicklens.constants import (
     SEARCH_ENGINE_HOSTS,
     WHITESPACE,
 )
-from clicklens.functions.hits import NUMBER_PATTERN, event_pattern
 
 # The white-space set as chr() calls, so the SQL text holds no control characters.
 _WS = "(" + " || ".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
@@ -35,8 +36,17 @@ def clean_url(x: str) -> str:
     return f"regexp_replace({strip(x)}, '^[\\x00-\\x20]+|[\\t\\n\\r]', '', 'g')"
 
 
+def _before(x: str, mark: str) -> str:
+    return f"string_split({x}, '{mark}')[1]"
+
+
 def netloc(u: str) -> str:
-    return f"regexp_extract({u}, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?//([^/?#]*)', 1)"
+    """Between ``//`` (at the start, or after a scheme) and the next slash, query or fragment."""
+    head = _before(_before(u, "#"), "?")
+    scheme = f"substr({head}, 1, instr({head}, '//') - 1)"
+    named = f"({scheme} = '' OR (ends_with({scheme}, ':') AND regexp_full_match({scheme}, '[A-Za-z][-+.A-Za-z0-9]*:')))"
+    rest = f"substr({head}, instr({head}, '//') + 2)"
+    return f"(CASE WHEN {u} IS NULL THEN NULL WHEN instr({head}, '//') > 0 AND {named} THEN {_before(rest, '/')} ELSE '' END)"
 
 
 def _valid(loc: str) -> str:
@@ -45,7 +55,9 @@ def _valid(loc: str) -> str:
 
 def domain(x: str) -> str:
     loc = netloc(clean_url(x))
-    return f"(CASE WHEN {_valid(loc)} THEN nullif(regexp_replace(lower({loc}), '^www\\.', ''), '') END)"
+    low = f"lower({loc})"
+    bare = f"(CASE WHEN starts_with({low}, 'www.') THEN substr({low}, 5) ELSE {low} END)"
+    return f"(CASE WHEN {_valid(loc)} THEN nullif({bare}, '') END)"
 
 
 def decode(s: str) -> str:
@@ -56,7 +68,8 @@ def query_value(x: str, names: tuple[str, ...]) -> str:
     """Decoded, trimmed first value among ``names`` (NULL when none)."""
     u = clean_url(x)
     loc = netloc(u)
-    query = f"(CASE WHEN {_valid(loc)} THEN regexp_extract({u}, '^[^?#]*\\?([^#]*)', 1) ELSE '' END)"
+    head = _before(u, "#")
+    query = f"(CASE WHEN {_valid(loc)} AND instr({head}, '?') > 0 THEN substr({head}, instr({head}, '?') + 1) ELSE '' END)"
     pairs = (
         f"list_filter(string_split({query}, '&'), "
         "lambda x: instr(x, '=') > 0 AND length(x) > instr(x, '='))"
@@ -78,12 +91,14 @@ def is_search(d: str) -> str:
 
 
 def purchase(x: str) -> str:
-    return f"coalesce(regexp_matches({x}, {_q(event_pattern())}), false)"
+    return f"coalesce(list_contains(list_transform(string_split({x}, ','), lambda t: {strip('t')}), '1'), false)"
 
 
 def price(t: str) -> str:
+    """A finite number as DuckDB's cast reads it; words such as nan and inf are none."""
     s = strip(t)
-    return f"(CASE WHEN regexp_matches({s}, {_q(NUMBER_PATTERN)}) THEN TRY_CAST(replace({s}, '_', '') AS DOUBLE) END)"
+    value = f"TRY_CAST({s} AS DOUBLE)"
+    return f"(CASE WHEN regexp_matches({s}, '^[-+.0-9]') AND isfinite({value}) THEN {value} END)"
 
 
 def revenue(x: str) -> str:
@@ -97,7 +112,8 @@ def has_text(x: str) -> str:
 
 
 def exact_sum(x: str) -> str:
-    return f"CAST(sum(TRY_CAST({x} AS DECIMAL(28,6))) AS DOUBLE)"
+    """Compensated sum; the tables' amounts are in cents."""
+    return f"CAST(CAST(round(fsum({x}), 2) AS DECIMAL(38, 2)) AS DOUBLE)"
 
 
 def _case(key: str, cases: dict[int, str], default: str) -> str:
@@ -152,8 +168,9 @@ HIT_COLS = (
 )
 
 
-def with_hits(body: str) -> str:
-    return f"WITH hits AS ({HITS_SELECT}) {body}"
+def with_hits(body: str, change: str = "*") -> str:
+    """``body`` over the hits; ``change`` is their SELECT list."""
+    return f"WITH hits AS (SELECT {change} FROM ({HITS_SELECT})) {body}"
 
 
 def qualified(params: tuple[str, ...] = ("q", "p"), where: str = "true", keep: str = "") -> str:
@@ -196,6 +213,15 @@ def _nullif_empty(cols: str) -> str:
     return ", ".join(f"nullif({c.strip()}, '') AS {c.strip()}" for c in cols.split(","))
 
 
+#: Prices of the extremes query by kind of hit, as numbers: the text forms are not parsed here.
+_EXTREMES = """
+SELECT 'bing.com' AS search_engine_domain, kind || CAST(event_id % 10 AS VARCHAR) AS search_keyword,
+  printf('%.9e', fsum(CASE WHEN kind = 'small' THEN CASE WHEN third THEN 5 ELSE 1e-7 END
+    ELSE CASE WHEN third THEN 2e22 ELSE 4.25 END END)) AS revenue
+FROM (SELECT event_id, event_id // 10 % 3 = 0 AS third, CASE WHEN event_id % 2 = 0 THEN 'small' ELSE 'large' END AS kind
+  FROM events) GROUP BY ALL
+"""
+
 _PRODUCT_PRICE = price("string_split(prods[idx + 1], ';')[4]")
 _STRIP_X = strip("x")
 
@@ -266,6 +292,26 @@ def oracle_sql() -> dict[str, str]:
         "report_empty": (
             f"SELECT '{REPORT_DOMAIN}' || chr(9) || '{REPORT_KEYWORD}' || chr(9) || '{REPORT_REVENUE}' AS line"
         ),
+        "hits_mixed_headers": with_hits(
+            f"SELECT {_nullif_empty(HIT_COLS)} FROM hits",
+            "* REPLACE (CASE WHEN event_id % 3 <> 2 THEN geo_city END AS geo_city)",
+        ),
+        "hits_multi_line": with_hits(
+            f"SELECT {_nullif_empty(HIT_COLS)} FROM hits",
+            "* REPLACE (CASE WHEN event_id % 5 = 0 THEN user_agent || chr(10) || chr(9) || 'second line' ELSE user_agent END AS user_agent)",
+        ),
+        "keyword_revenue_extremes": _EXTREMES,
+        "report_rerun_empty": (
+            f"SELECT '{REPORT_DOMAIN}' || chr(9) || '{REPORT_KEYWORD}' || chr(9) || '{REPORT_REVENUE}' AS line, CAST(0 AS BIGINT) AS table_rows"
+        ),
+        "report_rerun_by_input": with_hits(
+            f'SELECT "{REPORT_DOMAIN}", "{REPORT_KEYWORD}", {revenue_text} AS "{REPORT_REVENUE}" FROM ({report("event_id % 2 = 1")})'
+        ),
+        "report_line_break_keyword": with_hits(report_text, "* REPLACE (replace(referrer, 'q=ipod+', 'q=ipod%0A') AS referrer)"),
+        "incremental_dated_file": with_hits(
+            f'SELECT "{REPORT_DOMAIN}", "{REPORT_KEYWORD}", {revenue_text} AS "{REPORT_REVENUE}" FROM '
+            f'({report("substr(date_time, 1, 10) = (SELECT max(substr(date_time, 1, 10)) FROM hits)")})'
+        ),
         "incremental_report": with_hits(
             keyword_revenue(keep="substr(date_time, 1, 10) AS day, ", key="day, ")
         ),

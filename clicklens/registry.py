@@ -24,11 +24,11 @@ from clicklens.operators import (
     product_rows,
     purchase_hits,
     qualified_hits,
-    exact_sum,
+    revenue_by,
 )
-from clicklens.plans import SearchKeywordJob, read_input
+from clicklens.plans import SearchKeywordJob
 from clicklens.session import scratch_path
-from clicklens.sinks import read_report_file, read_report_table, write_report_file, write_report_table
+from clicklens.sinks import dated_name, read_report_file, read_report_table, write_report_file, write_report_table
 from clicklens.sources.derived import derived_hits, read_events
 from clicklens.sources.schema import typed
 from clicklens.sources.tsv import (
@@ -125,9 +125,9 @@ def q_pages_query_param(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_events_by_type_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    return read_events(spark, sf).groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("events"), exact_sum("value").alias(REVENUE)
-    )
+    events = read_events(spark, sf)
+    counts = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+    return counts.join(revenue_by(events, ["event_type"], "value"), "event_type")
 
 
 # --- sources: files written from the derived hits and read back -------------
@@ -178,7 +178,45 @@ def q_hits_short_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
     path = scratch_path(spark, "hits-short")
     write_lines(lines, "\t".join(SHORT_ROW_ORDER), path)
-    return keyword_report(read_input(spark, path))
+    return keyword_report(read_hits(spark, path))
+
+
+def q_hits_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """One folder, three kinds of files: the usual header, a reversed and padded
+    one, and one without ``geo_city`` but with a column of its own."""
+    path = scratch_path(spark, "hits-mixed")
+    hits = derived_hits(spark, sf)
+    third = F.pmod("event_id", F.lit(3))
+    usual = hits.where(third == 0).drop("event_id")
+    padded = hits.where(third == 1).drop("event_id")
+    padded = padded.select(*[F.col(c).alias(f" {c} ") for c in reversed(padded.columns)])
+    absent = hits.where(third == 2).withColumn("own", F.lit("x")).drop("event_id", "geo_city")
+    for name, part in (("usual", usual), ("padded", padded), ("absent", absent)):
+        write_hits_tsv(part, f"{path}/{name}")
+    return read_hits(spark, path)
+
+
+def q_hits_multi_line(spark: SparkSession, sf: str) -> DataFrame:
+    """Some user agents hold a line break and a tab inside quotes."""
+    hits = derived_hits(spark, sf)
+    broken = F.when(F.col("event_id") % 5 == 0, F.concat("user_agent", F.lit("\n\tsecond line"))).otherwise(F.col("user_agent"))
+    path = scratch_path(spark, "hits-multi")
+    write_hits_tsv(hits.withColumn("user_agent", broken).drop("event_id"), path)
+    return read_hits(spark, path, multi_line=True)
+
+
+def q_keyword_revenue_extremes(spark: SparkSession, sf: str) -> DataFrame:
+    """Prices far apart on the same keys: nothing is dropped or rounded away."""
+    eid = F.col("event_id")
+    third = F.floor(eid / 10) % 3 == 0
+    small = F.when(third, "A;B;1;1e400;,A;B;1;5;").otherwise("A;B;1;0.0000001;")
+    large = F.when(third, "A;B;1;2e22;").otherwise("A;B;1;4.25;")
+    kind = F.when(eid % 2 == 0, "small").otherwise("large")
+    hits = derived_hits(spark, sf).withColumn("event_list", F.lit("1"))
+    hits = hits.withColumn("product_list", F.when(kind == "small", small).otherwise(large))
+    hits = hits.withColumn("referrer", F.concat(F.lit("http://bing.com/s?q="), kind, (eid % 10).cast("string")))
+    out = keyword_revenue(hits)
+    return out.select(DOMAIN, KEYWORD, F.format_string("%.9e", REVENUE).alias(REVENUE))
 
 
 # --- sinks ------------------------------------------------------------------
@@ -225,39 +263,81 @@ def q_report_empty(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(out).withColumnRenamed("value", "line")
 
 
+def q_report_line_break_keyword(spark: SparkSession, sf: str) -> DataFrame:
+    """Keywords that hold a line break, through the file and back."""
+    hits = derived_hits(spark, sf)
+    hits = hits.withColumn("referrer", F.replace("referrer", F.lit("q=ipod+"), F.lit("q=ipod%0A")))
+    out = write_report_file(keyword_report(hits), scratch_path(spark, "break-out"), REPORT_DATE)
+    return read_report_file(spark, out)
+
+
+def _tsv(df: DataFrame, path: str) -> str:
+    write_hits_tsv(df.drop("event_id"), path)
+    return path
+
+
+def q_report_rerun_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """The same day again, now without a qualifying hit: no rows stay in the
+    table, and the file is a header."""
+    hits, work = derived_hits(spark, sf), scratch_path(spark, "rerun-empty")
+    full = _tsv(hits, f"{work}/full")
+    none = _tsv(hits.where(F.col("event_list").isNull() | ~F.col("event_list").contains("1")), f"{work}/none")
+    for source in (full, none):
+        job = SearchKeywordJob(source, f"{work}/out", REPORT_DATE, table_path=f"{work}/table")
+        out = job.run(spark).output_file
+    left = read_report_table(spark, f"{work}/table", REPORT_DATE).count()
+    return spark.read.text(out).select(F.col("value").alias("line"), F.lit(left).cast("bigint").alias("table_rows"))
+
+
+def q_report_rerun_by_input(spark: SparkSession, sf: str) -> DataFrame:
+    """Two inputs; one is corrected to no purchase and the day run again: its rows are gone."""
+    hits, work = derived_hits(spark, sf), scratch_path(spark, "rerun-input")
+    odd = hits.where(F.col("event_id") % 2 == 1)
+    _tsv(odd, f"{work}/in/b")
+    for first in (hits, hits.withColumn("event_list", F.lit("2"))):
+        _tsv(first.where(F.col("event_id") % 2 == 0), f"{work}/in/a")
+        job = SearchKeywordJob(f"{work}/in", f"{work}/out", REPORT_DATE, table_path=f"{work}/table", by_input=True)
+        out = job.run(spark).output_file
+    return read_report_file(spark, out)
+
+
 # --- streams ----------------------------------------------------------------
 
 
-def _daily_files(spark: SparkSession, sf: str) -> str:
-    """The derived hits as TSV files under day=YYYY-MM-DD/ folders (each writing
-    task writes its own file per day, so no day is gathered into one task)."""
-    path = scratch_path(spark, "daily-in")
+def _daily_files(spark: SparkSession, sf: str, path: str, days=None) -> str:
+    """The derived hits as TSV files under day=YYYY-MM-DD/ folders, one file per day."""
     hits = derived_hits(spark, sf).drop("event_id").withColumn("day", F.substring("date_time", 1, 10))
-    hits.write.mode("overwrite").options(**WRITE_OPTIONS).partitionBy("day").csv(path)
+    hits = hits if days is None else hits.where(days)
+    hits.repartition("day").write.mode("append").options(**WRITE_OPTIONS).partitionBy("day").csv(path)
     return path
 
 
 def q_incremental_report(spark: SparkSession, sf: str) -> DataFrame:
-    """A report per arriving file; a second run finds nothing new. The per-file
-    reports are rolled up by the day folder they came from, so a file missed or
-    processed twice shows up as a wrong total."""
-    src = _daily_files(spark, sf)
+    """A report per arriving file, told apart by the day folder it came from; a
+    second run finds nothing new."""
+    src = _daily_files(spark, sf, scratch_path(spark, "daily-in"))
     table, ckpt = scratch_path(spark, "incr-table"), scratch_path(spark, "incr-ckpt")
     for _ in range(2):
-        incremental_report(
-            spark, src, table, ckpt, output_prefix=scratch_path(spark, "incr-out"),
-            run_date=REPORT_DATE, max_files_per_trigger=16,
-        ).awaitTermination()
-    per_file = read_report_table(spark, table, REPORT_DATE).drop("batch_id").withColumn(
-        "day", F.regexp_extract("input_file", r"day=([0-9-]+)", 1)
-    )
-    return per_file.groupBy("day", DOMAIN, KEYWORD).agg(exact_sum(REVENUE).alias(REVENUE))
+        incremental_report(spark, src, table, ckpt, max_files_per_trigger=16).awaitTermination()
+    per_file = read_report_table(spark, table, extra="input_file string")
+    return per_file.select(F.regexp_extract("input_file", r"day=([0-9-]+)", 1).alias("day"), DOMAIN, KEYWORD, REVENUE)
+
+
+def q_incremental_dated_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The dated file is the newest upload's report: here that of the last day, which arrives last."""
+    path, out = scratch_path(spark, "dated-in"), scratch_path(spark, "dated-out")
+    table, ckpt = scratch_path(spark, "dated-table"), scratch_path(spark, "dated-ckpt")
+    last = derived_hits(spark, sf).agg(F.max(F.substring("date_time", 1, 10))).first()[0]
+    for days in (F.col("day") < last, F.col("day") == last):
+        _daily_files(spark, sf, path, days)
+        incremental_report(spark, path, table, ckpt, output_prefix=out, run_date=REPORT_DATE).awaitTermination()
+    return read_report_file(spark, f"{out}/{dated_name(REPORT_DATE)}")
 
 
 def q_running_revenue(spark: SparkSession, sf: str) -> DataFrame:
     """Running totals over every arriving file (several micro-batches, then a
     run with nothing new); equals the batch totals."""
-    src = _daily_files(spark, sf)
+    src = _daily_files(spark, sf, scratch_path(spark, "running-in"))
     table, ckpt = scratch_path(spark, "running-table"), scratch_path(spark, "running-ckpt")
     for _ in range(2):
         running_revenue(spark, src, table, ckpt, max_files_per_trigger=8).awaitTermination()
@@ -284,10 +364,17 @@ QUERIES: dict[str, Query] = {
     "hits_schema": q_hits_schema,
     "hits_from_lines": q_hits_from_lines,
     "hits_short_rows": q_hits_short_rows,
+    "hits_mixed_headers": q_hits_mixed_headers,
+    "hits_multi_line": q_hits_multi_line,
+    "keyword_revenue_extremes": q_keyword_revenue_extremes,
     "report_sink": q_report_sink,
     "report_rerun": q_report_rerun,
     "report_table": q_report_table,
     "report_empty": q_report_empty,
+    "report_rerun_empty": q_report_rerun_empty,
+    "report_rerun_by_input": q_report_rerun_by_input,
+    "report_line_break_keyword": q_report_line_break_keyword,
     "incremental_report": q_incremental_report,
+    "incremental_dated_file": q_incremental_dated_file,
     "running_revenue": q_running_revenue,
 }

@@ -200,11 +200,3 @@ def test_with_attribution_and_typed(spark):
     t = typed(df).select("hit_time_gmt", "date_time").first()
     assert t.hit_time_gmt == 1254033280
     assert str(t.date_time) == "2009-09-27 06:34:40"
-
-
-def test_spark_renamed_header_detection():
-    from clicklens.sources.tsv import _spark_renamed
-
-    assert not _spark_renamed(["hit_time_gmt", "referrer", "event_list"])
-    assert _spark_renamed(["Referrer0", "event_list", "referrer2"])
-    assert _spark_renamed(["a", "_c1", "b"])

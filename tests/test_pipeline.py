@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clicklens.constants import HIT_COLUMNS, REPORT_DOMAIN, REPORT_KEYWORD, REPORT_REVENUE
 from clicklens.operators import keyword_report, keyword_revenue, qualified_hits
 from clicklens.plans import SearchKeywordJob, read_input
-from clicklens.sinks import output_filename, read_report_file, read_report_table, write_report_file
+from clicklens.sinks import dated_name, read_report_file, read_report_table, write_report_file
 from clicklens.sources.derived import derived_hits
 from clicklens.sources.tsv import hits_from_lines, read_hits, write_hits_tsv
 from tests.conftest import SF_CHECK, SF_SMALL
@@ -79,8 +79,8 @@ def test_lines_same_key_sums(spark):
     assert report_rows(keyword_report(hits_from_lines(df))) == [("google.com", "zune", 150.0)]
 
 
-def test_output_filename():
-    assert output_filename(dt.date(2009, 10, 8)) == "2009-10-08_SearchKeywordPerformance.tab"
+def test_dated_name():
+    assert dated_name(dt.date(2009, 10, 8)) == "2009-10-08_SearchKeywordPerformance.tab"
 
 
 def test_file_shapes(spark, tmp):
@@ -207,7 +207,7 @@ def test_incremental_equals_batch_per_file(spark, tmp):
         write_hits_tsv(part.coalesce(1), f"{src}/upload{i}", mode="overwrite")
         incremental_report(spark, f"{src}/*", table, ckpt, output_prefix=out, run_date=day).awaitTermination()
     incremental_report(spark, f"{src}/*", table, ckpt, output_prefix=out, run_date=day).awaitTermination()
-    got = read_report_table(spark, table, day)
+    got = read_report_table(spark, table, day, extra="input_file string")
     assert got.select("input_file").distinct().count() == 2
     for i, part in enumerate(halves):
         want = {tuple(r) for r in keyword_revenue(part).collect()}
@@ -220,11 +220,11 @@ def test_incremental_equals_batch_per_file(spark, tmp):
     # Running totals over both uploads equal the batch totals.
     from clicklens.streaming import read_running_revenue
 
-    # One upload per micro-batch: the second batch appends only the totals it changed.
+    # One upload per micro-batch: each adds its own sums.
     running_revenue(spark, f"{src}/*", f"{tmp}/rt", f"{tmp}/rck", max_files_per_trigger=1).awaitTermination()
     want = {tuple(r) for r in keyword_revenue(hits).collect()}
     assert {tuple(r) for r in read_running_revenue(spark, f"{tmp}/rt").collect()} == want
-    assert spark.read.parquet(f"{tmp}/rt").select("batch_id").distinct().count() == 2
+    assert len([x for x in os.listdir(f"{tmp}/rt") if x.startswith("batch=")]) == 2
 
 
 def test_cli(spark, tmp, capsys):
@@ -232,9 +232,12 @@ def test_cli(spark, tmp, capsys):
 
     write_text(f"{tmp}/hits.tab", [HEADER] + GOLDEN)
     assert main([f"{tmp}/hits.tab", "--output-dir", f"{tmp}/o", "--run-date", "2009-10-08"]) == 0
-    assert "Wrote 3 rows" in capsys.readouterr().out
+    assert "3 report rows in" in capsys.readouterr().out
     assert os.path.exists(f"{tmp}/o/2009-10-08_SearchKeywordPerformance.tab")
     assert main([f"{tmp}/missing.tab"]) == 1
+    assert main([f"file:{tmp}/hits.tab", "--output-dir", f"{tmp}/u", "--run-date", "2009-10-08"]) == 0
+    assert main([f"{tmp}/h*.tab", "--output-dir", f"{tmp}/g", "--run-date", "2009-10-08"]) == 0
+    assert os.path.exists(f"{tmp}/u/2009-10-08_SearchKeywordPerformance.tab") and os.path.exists(f"{tmp}/g/2009-10-08_SearchKeywordPerformance.tab")
     assert main([]) == 1
     with open(f"{tmp}/payload.json", "w") as f:
         f.write(f'{{"input_path": "{tmp}/hits.tab", "output_path": "{tmp}/p"}}')
@@ -243,7 +246,7 @@ def test_cli(spark, tmp, capsys):
     assert main(["--input_path", f"{tmp}/hits.tab", "--output_path", f"{tmp}/q", "--run-date", "2009-10-10"]) == 0
     assert os.path.exists(f"{tmp}/q/2009-10-10_SearchKeywordPerformance.tab")
     assert main([f"{tmp}/hits.tab", "--output-dir", f"{tmp}/b", "--hosts", "bing.com", "--run-date", "2009-10-11"]) == 0
-    assert "Wrote 1 rows" in capsys.readouterr().out
+    assert "1 report rows in" in capsys.readouterr().out
 
 
 def test_entry_and_registry(spark):
@@ -312,7 +315,7 @@ def test_by_input_keeps_both_files_of_a_day(spark, tmp):
     day = dt.date(2024, 7, 1)
     res = SearchKeywordJob(f"{tmp}/in", f"{tmp}/o", day, table_path=f"{tmp}/t", by_input=True).run(spark)
     assert res.rows == 2
-    table = read_report_table(spark, f"{tmp}/t", day)
+    table = read_report_table(spark, f"{tmp}/t", day, extra="input_file string")
     assert table.select("input_file").distinct().count() == 2
     back = [(r[0], r[1], r[2]) for r in read_report_file(spark, res.output_file).collect()]
     assert back == [("google.com", "zune", "150.00"), ("bing.com", "ipod", "20.00")]
@@ -337,63 +340,200 @@ def test_repeated_header_name_in_files(spark, tmp):
     assert report_rows(keyword_report(read_input(spark, f"{tmp}/dup.tab"))) == [("bing.com", "b", 5.0)]
 
 
-def test_replayed_micro_batch_changes_nothing(spark, tmp):
-    """A batch handed to foreachBatch again (as after a failure) rewrites only itself."""
-    from clicklens.streaming.incremental import _append_changes, _file_report_batch
+def reversed_file(*rows):
+    """A file whose columns stand in reverse order under padded names."""
+    cells = [HEADER.split("\t")] + [r.split("\t") for r in rows]
+    return ["\t".join(f" {c} " if i == 0 else c for c in reversed(row)) for i, row in enumerate(cells)]
 
-    hits = derived_hits(spark, SF_SMALL).drop("event_id")
-    batch = hits.withColumn("input_file", F.lit("file:/in/a.tab")).withColumn(
-        "_mtime", F.lit(dt.datetime(2024, 1, 1))
-    )
-    day = dt.date(2024, 8, 1)
-    handle = _file_report_batch(f"{tmp}/t", day, f"{tmp}/o")
-    handle(batch, 0)
-    once = sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/t").collect())
-    handle(batch, 0)  # replay
-    handle(batch.where(F.lit(False)), 1)  # a later, empty batch
-    twice = sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/t").collect())
-    assert once == twice and len(once) > 0
-
-    totals = keyword_revenue(hits)
-    append = _append_changes(f"{tmp}/r")
-    append(totals, 0)
-    append(totals, 0)  # replay
-    assert spark.read.parquet(f"{tmp}/r").count() == totals.count()
-
-
-def test_files_with_different_headers_fail_instead_of_misreading(spark, tmp):
-    a = [HEADER, hit("http://www.google.com/search?q=a", "1", "A;B;1;5;")]
-    cols = HEADER.split("\t")
-    b = ["\t".join(reversed(cols)), "\t".join(reversed(hit("http://www.bing.com/?q=b", "1", "A;B;1;7;").split("\t")))]
-    write_text(f"{tmp}/in/a.tab", a)
-    write_text(f"{tmp}/in/b.tab", b)
-    with pytest.raises(Exception, match="(?i)header"):
-        keyword_report(read_input(spark, f"{tmp}/in")).collect()
-    # Each file alone reads fine.
-    assert report_rows(keyword_report(read_input(spark, f"{tmp}/in/b.tab"))) == [("bing.com", "b", 7.0)]
 
+def test_files_with_different_headers_are_read_by_name(spark, tmp):
+    write_text(f"{tmp}/in/a.tab", [HEADER, hit("http://www.google.com/search?q=a", "1", "A;B;1;5;")])
+    write_text(f"{tmp}/in/b.tab", reversed_file(hit("http://www.bing.com/?q=b", "1", "A;B;1;7;")))
+    write_text(f"{tmp}/in/c.tab", ["event_list\tproduct_list\treferrer", "1\tA;B;1;2;\thttp://msn.com/?q=c"])
+    write_text(f"{tmp}/in/_hidden.tab", ["x", "1"])
+    write_text(f"{tmp}/in/empty.tab", [])
+    want = [("bing.com", "b", 7.0), ("google.com", "a", 5.0), ("msn.com", "c", 2.0)]
+    for multi_line in (False, True):
+        assert report_rows(keyword_report(read_hits(spark, f"{tmp}/in", multi_line=multi_line))) == want
+        assert read_hits(spark, f"{tmp}/in", multi_line=multi_line).where("ip IS NULL").count() == 1
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_short_rows_are_dropped_by_default(spark, tmp, multi_line):
+    cols = ["referrer", "event_list", "product_list", "ip", "pagename"]
+    row = ["http://www.google.com/search?q=a", "1", "A;B;1;10;", "x", "y"]
+    write_text(f"{tmp}/s.tab", ["\t".join(cols), "\t".join(row), "\t".join(row[:3]), "", "\t".join([*row[:4]])])
+    assert report_rows(keyword_report(read_hits(spark, f"{tmp}/s.tab", multi_line=multi_line))) == [("google.com", "a", 10.0)]
+
+
+def test_line_breaks_in_fields_are_never_lost_silently(spark, tmp):
+    row = hit("http://www.google.com/search?q=a", "1", "A;B;1;7;", ua='"two\nlines"')
+    write_text(f"{tmp}/m.tab", [HEADER, row, hit("http://bing.com/?q=5", "1", "A;B;1;1;", ua='19" screen')])
+    with pytest.raises(Exception, match="multi_line=True"):
+        keyword_report(read_hits(spark, f"{tmp}/m.tab")).collect()
+    got = report_rows(keyword_report(read_hits(spark, f"{tmp}/m.tab", multi_line=True)))
+    assert got == [("google.com", "a", 7.0), ("bing.com", "5", 1.0)]
+
+
+DAY = dt.date(2024, 8, 1)
 
-def test_stream_rejects_a_file_with_another_header(spark, tmp):
-    from clicklens.streaming import incremental_report
 
-    cols = HEADER.split("\t")
-    row = hit("http://www.bing.com/?q=b", "1", "A;B;1;7;").split("\t")
-    write_text(f"{tmp}/inbox/odd.tab", ["\t".join(reversed(cols)), "\t".join(reversed(row))])
-    q = incremental_report(spark, f"{tmp}/inbox", f"{tmp}/t", f"{tmp}/ck", run_date=dt.date(2024, 9, 1))
-    with pytest.raises(Exception, match="(?i)header"):
-        q.awaitTermination()
+def upload(path, *rows, at=None):
+    write_text(path, [HEADER, *rows])
+    if at is not None:
+        os.utime(path, (at, at))
 
 
-def test_failed_publish_leaves_no_stage(spark, tmp, monkeypatch):
+def report_of(out, day=DAY):
+    with open(f"{out}/{dated_name(day)}", encoding="utf-8", newline="") as f:
+        return [line.split("\t") for line in f.read().split("\r\n")[1:-1]]
+
+
+A = hit("http://www.google.com/search?q=a", "1", "A;B;1;10;")
+B = hit("http://www.bing.com/search?q=b", "1", "A;B;1;5;")
+
+
+def run_stream(spark, tmp, ckpt="ck", **options):
+    from clicklens.streaming import incremental_report
+
+    incremental_report(spark, f"{tmp}/in", f"{tmp}/t", f"{tmp}/{ckpt}", output_prefix=f"{tmp}/o", **options).awaitTermination()
+
+
+def uploads_of(spark, tmp):
+    rows = read_report_table(spark, f"{tmp}/t", extra="input_file string").collect()
+    return sorted((os.path.basename(r["input_file"]), r["search_keyword"], r["revenue"], r["run_date"]) for r in rows)
+
+
+def test_newest_upload_without_hits_publishes_a_header(spark, tmp):
+    upload(f"{tmp}/in/a.tab", A, at=1_700_000_000)
+    upload(f"{tmp}/in/b.tab", at=1_700_000_100)
+    run_stream(spark, tmp, run_date=DAY)
+    assert report_of(f"{tmp}/o") == []
+    assert [r[0] for r in uploads_of(spark, tmp)] == ["a.tab"]
+
+
+def test_day_comes_from_the_upload_and_replay_changes_nothing(spark, tmp):
+    upload(f"{tmp}/in/a.tab", A, at=1_700_000_000)  # 2023-11-14 UTC
+    run_stream(spark, tmp)
+    once = uploads_of(spark, tmp)
+    assert once == [("a.tab", "a", 10.0, dt.date(2023, 11, 14))]
+    # A second stream with a checkpoint of its own sees the file anew, on another day.
+    run_stream(spark, tmp, ckpt="other", run_date=DAY)
+    assert uploads_of(spark, tmp) == once
+    upload(f"{tmp}/in/b.tab", B, at=1_700_000_100)
+    run_stream(spark, tmp, ckpt="other")
+    assert uploads_of(spark, tmp) == [*once, ("b.tab", "b", 5.0, dt.date(2023, 11, 14))]
+
+
+def test_upload_under_the_same_name_is_processed_again(spark, tmp):
+    upload(f"{tmp}/in/a.tab", A, at=1_700_000_000)
+    run_stream(spark, tmp, run_date=DAY)
+    upload(f"{tmp}/in/a.tab", B, at=1_700_000_500)
+    run_stream(spark, tmp, run_date=DAY)
+    assert uploads_of(spark, tmp) == [("a.tab", "b", 5.0, DAY)]
+    assert report_of(f"{tmp}/o") == [["bing.com", "b", "5.00"]]
+
+
+def test_odd_and_unreadable_uploads_do_not_stop_the_stream(spark, tmp):
+    from clicklens.streaming import read_ledger
+
+    write_text(f"{tmp}/in/odd.tab", reversed_file(B))
+    write_text(f"{tmp}/in/bad.tab", [HEADER, hit("http://bing.com/?q=x", "1", "A;B;1;7;", ua='"two\nlines"')])
+    upload(f"{tmp}/in/a.tab", A)
+    run_stream(spark, tmp, run_date=DAY)
+    assert [r[:2] for r in uploads_of(spark, tmp)] == [("a.tab", "a"), ("odd.tab", "b")]
+    errors = {os.path.basename(r["path"]): r["error"] for r in read_ledger(spark, f"{tmp}/t").collect()}
+    assert "multi_line" in errors.pop("bad.tab") and set(errors.values()) == {None}
+    upload(f"{tmp}/in/later.tab", B)
+    run_stream(spark, tmp, run_date=DAY)
+    assert "later.tab" in [r[0] for r in uploads_of(spark, tmp)]
+
+
+def test_running_totals_read_a_bounded_number_of_parts(spark, tmp, monkeypatch):
+    from clicklens.streaming import incremental, read_running_revenue, running_revenue
+
+    monkeypatch.setattr(incremental, "SNAPSHOT_EVERY", 4)
+    assert read_running_revenue(spark, f"{tmp}/none").collect() == []
+    for i in range(11):
+        upload(f"{tmp}/in/{i:02}.tab", *([A] if i else []))  # the first has no hit
+    running_revenue(spark, f"{tmp}/in", f"{tmp}/r", f"{tmp}/rck", max_files_per_trigger=1).awaitTermination()
+    parts = sorted(x for x in os.listdir(f"{tmp}/r") if "=" in x)
+    assert parts == ["batch=10", "batch=8", "batch=9", "snapshot=7"]
+    assert [tuple(r) for r in read_running_revenue(spark, f"{tmp}/r").collect()] == [("google.com", "a", 100.0)]
+
+
+def test_same_day_rerun_without_hits_leaves_no_rows(spark, tmp):
+    upload(f"{tmp}/a.tab", A)
+    upload(f"{tmp}/none.tab", hit("http://bing.com/?q=x", "2", "A;B;1;7;"))
+    table = f"{tmp}/t"
+    # A first run without a hit: a header, and a table that reads as no rows.
+    assert SearchKeywordJob(f"{tmp}/none.tab", f"{tmp}/o", DAY, table_path=table).run(spark).rows == 0
+    assert read_report_table(spark, table).collect() == [] and report_of(f"{tmp}/o") == []
+    assert SearchKeywordJob(f"{tmp}/a.tab", f"{tmp}/o", DAY, table_path=table).run(spark).rows == 1
+    other = DAY - dt.timedelta(days=1)
+    SearchKeywordJob(f"{tmp}/a.tab", f"{tmp}/o", other, table_path=table).run(spark)
+    assert SearchKeywordJob(f"{tmp}/none.tab", f"{tmp}/o", DAY, table_path=table).run(spark).rows == 0
+    assert read_report_table(spark, table, DAY).collect() == [] and report_of(f"{tmp}/o") == []
+    assert read_report_table(spark, table).count() == 1  # the other day stays
+
+
+def test_corrected_input_replaces_its_rows(spark, tmp):
+    upload(f"{tmp}/in/a.tab", A)
+    upload(f"{tmp}/in/b.tab", B)
+    run = lambda: SearchKeywordJob(f"{tmp}/in", f"{tmp}/o", DAY, table_path=f"{tmp}/t", by_input=True).run(spark)
+    assert run().rows == 2
+    upload(f"{tmp}/in/a.tab", A.replace("\t1\t", "\t2\t"))
+    assert run().rows == 1 and report_of(f"{tmp}/o") == [["bing.com", "b", "5.00"]]
+
+
+def test_failed_publish_keeps_a_full_report(spark, tmp, monkeypatch):
+    """The copy onto the target breaks off half way: the stage still holds everything."""
     from clicklens.sinks import report_file
 
     report = keyword_report(derived_hits(spark, SF_SMALL))
-    def boom(*args, **kwargs):
-        raise RuntimeError("publish failed")
-    monkeypatch.setattr(report_file, "publish_single_file", boom)
-    with pytest.raises(RuntimeError, match="publish failed"):
-        report_file.write_report_file(report, f"{tmp}/o", dt.date(2024, 10, 1))
-    assert [f for f in os.listdir(f"{tmp}/o") if "_stage" in f] == []
+    whole = write_report_file(report, f"{tmp}/whole", DAY).replace("file:", "")
+
+    def half(spark, source, target):
+        with open(source.replace("file:", ""), "rb") as f, open(target, "wb") as g:
+            g.write(f.read()[:40])
+        raise OSError("broke off")
+
+    monkeypatch.setattr(report_file, "copy_over", half)
+    with pytest.raises(OSError, match="broke off"):
+        write_report_file(report, f"{tmp}/whole", DAY)
+    stage = [x for x in os.listdir(f"{tmp}/whole") if "_stage" in x]
+    part = [x for x in os.listdir(f"{tmp}/whole/{stage[0]}") if x.startswith("part-")]
+    with open(f"{tmp}/whole/{stage[0]}/{part[0]}", "rb") as f:
+        kept = f.read()
+    monkeypatch.undo()
+    write_report_file(report, f"{tmp}/whole", DAY)
+    with open(whole, "rb") as f:
+        assert f.read() == kept
+
+
+def test_report_as_part_files(spark, tmp):
+    report = keyword_report(derived_hits(spark, SF_CHECK))
+    path = write_report_file(report, f"{tmp}/o", DAY, part_files=True).replace("file:", "")
+    rows = spark.read.option("lineSep", "\r\n").text(f"{path}/rows")
+    assert rows.count() == report.count() == 19
+    with open(f"{path}/header.tab", encoding="utf-8", newline="") as f:
+        assert f.read() == f"{REPORT_DOMAIN}\t{REPORT_KEYWORD}\t{REPORT_REVENUE}\r\n"
+
+
+def test_line_break_in_a_keyword_reads_back(spark, tmp):
+    upload(f"{tmp}/a.tab", hit("http://www.google.com/search?q=a%0Ab", "1", "A;B;1;10;"))
+    out = SearchKeywordJob(f"{tmp}/a.tab", f"{tmp}/o", DAY).run(spark).output_file
+    assert [tuple(r) for r in read_report_file(spark, out).collect()] == [("google.com", "a\nb", "10.00")]
+
+
+@pytest.mark.parametrize(
+    "prices, total",
+    [(["2e22", "5"], 2e22), (["0.0000004"] * 1000, 0.0004), (["1e400", "7"], 7.0), (["0.1"] * 10, 1.0), (["1e15", "0.25"], 1e15 + 0.25), (["1e-300"], 1e-300)],
+)
+def test_no_revenue_is_lost(spark, prices, total):
+    rows = [("http://www.google.com/search?q=a", "1", f"A;B;1;{p};") for p in prices]
+    hits = spark.createDataFrame(rows, "referrer string, event_list string, product_list string")
+    assert keyword_revenue(hits).first()["revenue"] == pytest.approx(total, rel=1e-15)
 
 
 def test_job_and_stream_take_other_lists(spark, tmp):

@@ -22,9 +22,9 @@ def test_report_plan_shape(spark, tmp):
     write_hits_tsv(derived_hits(spark, SF_SMALL).drop("event_id"), f"{tmp}/in")
     agg = keyword_revenue(read_input(spark, f"{tmp}/in"))
     plan = executed(agg)
-    # Column pruning: the scan reads only the three columns the rules use.
-    schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
-    assert sorted(f.split(":")[0] for f in schema.split(",")) == ["event_list", "product_list", "referrer"]
+    # Lines are split next to the scan; only the fields that the rules use are taken.
+    assert "ReadSchema: struct<value:string>" in plan
+    assert len(set(re.findall(r"_plain#\d+, (\d+)\]|_plain#\d+\[(\d+)\]", plan))) <= 3
     # One hash shuffle on the report keys, fed by a map-side partial sum.
     assert plan.count("Exchange hashpartitioning") == 1
     assert "partial_sum" in plan
