@@ -66,9 +66,13 @@ def url_domain(c: Column | str) -> Column:
     return domain_of_netloc(netloc(clean_url(c)))
 
 
-def query_string(url: Column) -> Column:
-    """Query part of a cleaned URL; '' when there is none or the URL is invalid."""
-    return F.when(_valid(netloc(url)), F.regexp_extract(url, _QUERY, 1)).otherwise(F.lit(""))
+def query_string(url: Column, loc: Column | None = None) -> Column:
+    """Query part of a cleaned URL; '' when there is none or the URL is invalid.
+
+    ``loc`` is its network location, where that is at hand.
+    """
+    loc = netloc(url) if loc is None else loc
+    return F.when(_valid(loc), F.regexp_extract(url, _QUERY, 1)).otherwise(F.lit(""))
 
 
 def percent_decode(c: Column) -> Column:
@@ -129,15 +133,22 @@ def raw_param(query: Column, name: str) -> Column:
 
 def query_param(c: Column | str, names: Sequence[str] | str) -> Column:
     """URL -> value of the first query parameter among ``names`` ('' if blank), or NULL."""
-    if isinstance(names, str):
-        names = (names,)
-    query = query_string(clean_url(c))
+    return param_of(query_string(clean_url(c)), (names,) if isinstance(names, str) else names)
+
+
+def param_of(query: Column, names: Sequence[str]) -> Column:
+    """Query string -> decoded, trimmed value of the first parameter among ``names``, or NULL."""
     return strip_ws(percent_decode(F.coalesce(*[raw_param(query, n) for n in names])))
 
 
+def keyword_of(query: Column, params: Sequence[str] = KEYWORD_PARAMS) -> Column:
+    """Query string -> search keyword; '(not set)' when absent or blank."""
+    return F.coalesce(F.nullif(param_of(query, params), F.lit("")), F.lit(KEYWORD_NOT_SET))
+
+
 def search_keyword(c: Column | str, params: Sequence[str] = KEYWORD_PARAMS) -> Column:
     """Referrer -> search keyword; '(not set)' when absent or blank."""
-    return F.coalesce(F.nullif(query_param(c, params), F.lit("")), F.lit(KEYWORD_NOT_SET))
+    return keyword_of(query_string(clean_url(c)), params)
 
 
 def accepted_domains(hosts: Sequence[str] = SEARCH_ENGINE_HOSTS) -> list[str]:

@@ -23,13 +23,16 @@ from clicklens.constants import (
     UNKNOWN_DOMAIN,
 )
 from clicklens.functions import (
+    clean_url,
     has_event,
     hit_revenue,
     is_search_domain,
     is_search_referrer,
+    query_string,
     search_keyword,
     url_domain,
 )
+from clicklens.functions.url import domain_of_netloc, keyword_of, netloc
 
 
 def with_domain(df: DataFrame) -> DataFrame:
@@ -72,11 +75,18 @@ def candidate_flag(
 
 
 def attribute(df: DataFrame, params: Sequence[str] = KEYWORD_PARAMS, keep: Sequence[str] = ()) -> DataFrame:
-    """``keep`` + domain, keyword, revenue for hits already known to be candidates."""
+    """``keep`` + domain, keyword, revenue for hits already known to be candidates.
+
+    The cleaned URL, its location and its query are columns of their own, one
+    select each, so that none is worked out again for every use.
+    """
+    df = df.select(*keep, "product_list", clean_url("referrer").alias("_url"))
+    df = df.select(*keep, "product_list", "_url", netloc(F.col("_url")).alias("_loc"))
+    df = df.select(*keep, "product_list", "_loc", query_string(F.col("_url"), F.col("_loc")).alias("_query"))
     return df.select(
         *keep,
-        F.coalesce(url_domain("referrer"), F.lit(UNKNOWN_DOMAIN)).alias(DOMAIN),
-        search_keyword("referrer", params).alias(KEYWORD),
+        F.coalesce(domain_of_netloc(F.col("_loc")), F.lit(UNKNOWN_DOMAIN)).alias(DOMAIN),
+        keyword_of(F.col("_query"), params).alias(KEYWORD),
         hit_revenue("product_list").alias(REVENUE),
     )
 
