@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -10,18 +12,22 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-# Workers live on from task to task: freed Arrow memory should go back to the system.
+# Workers live on from task to task: what they free should go back to the system. Arrow
+# takes its memory from malloc, and malloc maps large blocks (option -3) on their own.
 pa.set_memory_pool(pa.system_memory_pool())
+if sys.platform == "linux":
+    ctypes.CDLL(None).mallopt(-3, 1 << 20)
 
 #: Spaces as the text contracts have them: 0x20 and 0x09-0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 #: Bytes of text that are hashed at once; bounds the working arrays of a task.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -35,6 +41,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of two or three numbers that a join may send whole to every task.
+BROADCAST_ROWS = 200_000
+
+
+def small_side(stored_rows: DataFrame) -> DataFrame:
+    """A stored side of a join, to be broadcast if it is counted as small; else the join shuffles.
+
+    Either way the join's result is the same; the count reads file footers.
+    """
+    return F.broadcast(stored_rows) if stored_rows.count() <= BROADCAST_ROWS else stored_rows
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -125,11 +143,17 @@ def pieces(data: bytes) -> Iterator[bytes]:
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors' Python workers, once per application.
-
-    The same as passing it with ``--py-files``; needed because the workers run
-    functions of these modules and need not share the driver's folders.
+    """Makes a session ready for these operators; the registered queries call it.
+
+    Sends this package to the executors' Python workers, once per application:
+    the same as passing it with ``--py-files``, needed because the workers run
+    functions of these modules and need not share the driver's folders. Where
+    the session leaves Arrow batches at Spark's default of 10,000 rows, they
+    are set to ``BATCH_ROWS``: a row here is a whole text, and both the JVM and
+    the worker hold a batch of them.
     """
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     sc = spark.sparkContext
     if _SHIPPED.get("app") == sc.applicationId:
         return
@@ -143,3 +167,5 @@ def ship(spark: SparkSession) -> None:
 
 
 _SHIPPED: dict[str, str] = {}
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2000

@@ -27,7 +27,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, stored
+from .common import SPACE, small_side, stored
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -192,7 +192,7 @@ def allot(
     if units is None:
         met = met.withColumn("picks", F.expr("cast(array() as array<struct<pass:int,shard:int>>)"))
     else:
-        met = met.join(units, ["key", "block"], "left")
+        met = met.join(small_side(units), ["key", "block"], "left")
     in_part = F.struct("block", "place", "id", "size") <= F.col("last")
     met = met.withColumn("draws", F.when(F.col("size") > 0, F.col("passes") + in_part.cast("long")).otherwise(0))
     picks = F.coalesce(F.expr("filter(picks, p -> p.pass < draws)"), F.expr("cast(array() as array<struct<pass:int,shard:int>>)"))

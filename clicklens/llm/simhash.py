@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, stored
+from .common import WORD, small_side, stored
 from .components import components
 
 SEED = 42
@@ -196,13 +196,17 @@ def near_duplicates(docs: DataFrame, shingle: int, max_bits: int, text: str = "t
 
 def one_of_each(docs: DataFrame, shingle: int, max_bits: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each component: that of the smallest id (null last), then text hash."""
-    found = near_duplicates(docs, shingle, max_bits, text, doc_id)
+    found = stored(near_duplicates(docs, shingle, max_bits, text, doc_id), "simhash-found")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
     best = found.groupBy("group").agg(F.min(order).alias("b"))
-    best = best.select(F.coalesce("b.doc_id", F.lit(NULL_ID)).alias("_key"), F.col("b.th").alias("_th")).distinct()
+    own = found.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_key"), F.col("th").alias("_th"))
+    kept = best.select(F.coalesce("b.doc_id", F.lit(NULL_ID)).alias("_key"), F.col("b.th").alias("_th"))
+    gone = stored(own.distinct().join(kept.distinct(), ["_key", "_th"], "left_anti"), "simhash-gone")
     rows = docs.withColumn("_key", F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID))).withColumn("_th", F.xxhash64(text))
-    # Rows of equal id and text are one document.
-    return rows.join(stored(best, "simhash-best"), ["_key", "_th"], "left_semi").dropDuplicates(["_key", "_th"]).select(*docs.columns)
+    rows = rows.join(small_side(gone), ["_key", "_th"], "left_anti")
+    if own.groupBy("_key", "_th").count().filter("count > 1").limit(1).count():
+        rows = rows.dropDuplicates(["_key", "_th"])  # rows of equal id and text are one document
+    return rows.select(*docs.columns)
 
 
 def hex_print(fp) -> F.Column:

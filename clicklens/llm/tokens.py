@@ -55,7 +55,7 @@ BLOCKS = (
 #: A comma or full stop that belongs to a run of marks, so that its word must stay whole.
 _ODD_MARK = r"[^\p{L}\p{N}\s][,.][ \n]"
 #: Texts whose words are encoded together.
-SLICE = 2000
+SLICE = 1000
 
 
 class TextEncoder:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicklens.llm import decontam, langid, mixing, queries, simhash, tokens
-from clicklens.llm.common import ship, stored, table
+from clicklens.llm.common import ship, small_side, stored, table
 from clicklens.session import scratch_path
 
 #: Documents whose best language has a smaller share of the outputs are rejected.
@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     # Searched by a hash of the text, so that null and repeated ids cannot take clean documents along.
     texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
     found = decontam.contaminated(texts, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_th")).distinct()
-    return docs.withColumn("_th", F.xxhash64("text")).join(stored(found, "contaminated"), "_th", "left_anti").select(*docs.columns)
+    return docs.withColumn("_th", F.xxhash64("text")).join(small_side(stored(found, "contaminated")), "_th", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
