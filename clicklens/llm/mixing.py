@@ -171,11 +171,19 @@ def _units(cuts: DataFrame, shards: int) -> DataFrame:
     return at.groupBy("key", "block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("picks"))
 
 
-def allot(
+def allot(docs: DataFrame, **options) -> DataFrame:
+    """The documents with size, source_size, target and picks, an array of (pass, shard): one for each time drawn.
+
+    Options: the names ``source``, ``text`` and ``doc_id`` of the columns, and ``block_words``, ``shard_words``.
+    """
+    return _allotted(docs, **options)[0]
+
+
+def _allotted(
     docs: DataFrame, source: str = "source", text: str = "text", doc_id: str = "doc_id",
     block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
-) -> DataFrame:
-    """The documents with size, source_size, target and picks, an array of (pass, shard): one for each time drawn."""
+) -> tuple[DataFrame, int]:
+    """``allot``'s result and the number of output shards."""
     key = F.coalesce(F.concat(F.lit("s"), F.col(f"row.{source}").cast("string")), F.lit("null"))
     rows = docs.select(F.struct("*").alias("row"))
     rows = rows.select(
@@ -186,7 +194,8 @@ def allot(
     cuts = stored(_cuts(sized, source_targets(sized), block_words), "mix-cuts")
     words = cuts.agg(F.sum("target")).first()[0] or 0
     # An empty table has no sources and no tree.
-    units = stored(_units(cuts.filter("quota > 0"), max(1, math.ceil(words / shard_words))), "mix-units") if words else None
+    shards = max(1, math.ceil(words / shard_words))
+    units = stored(_units(cuts.filter("quota > 0"), shards), "mix-units") if words else None
     met = rows.join(cuts.select("key", "source_size", "target", "passes", "blocks", "last"), "key")
     met = met.withColumn("block", block_of("place", "blocks"))
     if units is None:
@@ -198,15 +207,18 @@ def allot(
     picks = F.coalesce(F.expr("filter(picks, p -> p.pass < draws)"), F.expr("cast(array() as array<struct<pass:int,shard:int>>)"))
     met = met.withColumn("picks", picks)
     new = ["size", "source_size", "target", "picks"]
-    return met.select(*(F.col(f"row.`{c}`") for c in docs.columns if c not in new), *new)
+    return met.select(*(F.col(f"row.`{c}`") for c in docs.columns if c not in new), *new), shards
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix: every drawn document, as often as drawn, with its pass and shard, shuffled within shards."""
-    out = allot(docs, **options).withColumn("pick", F.explode("picks"))
+    out, shards = _allotted(docs, **options)
+    out = out.withColumn("pick", F.explode("picks"))
     keep = [c for c in docs.columns if c not in ("size", "source_size", "target", "picks", "pass", "shard")]
     doc_id = options.get("doc_id", "doc_id")
-    out = out.select(*keep, "pick.pass", "pick.shard").repartition("shard")
+    # A task holds about a shard, however many shards there are.
+    parts = max(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    out = out.select(*keep, "pick.pass", "pick.shard").repartition(parts, "shard")
     return out.sortWithinPartitions("shard", F.xxhash64(F.lit(SEED), F.col(doc_id), "pass"))
 
 
