@@ -74,6 +74,7 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.model = self.tokenizer.model
         # The visible character that stands for each byte of a word of letters.
         alone = ByteLevel(add_prefix_space=False, use_regex=False)
         self.shown = {c: "".join(p for p, _ in alone.pre_tokenize_str(chr(c))) for c in range(128, 0x250) if chr(c).isalpha()}
@@ -93,18 +94,23 @@ class TextEncoder:
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, word: str) -> list[int] | None:
-        """Ids of a word that is one run of lower-case Latin letters, straight from the tokenizer's model."""
-        if not word.isalpha():
-            return None
-        if not word.isascii():
-            if max(word) > "\u024f" or not word.islower() or not unicodedata.is_normalized("NFC", word):
-                return None
-            word = word.translate(self.shown)
-        return [t.id for t in self.tokenizer.model.tokenize(word)]
+    def _letters(self, words: list[str]) -> list[list[int] | None]:
+        """Ids of words that are one run of lower-case Latin letters, straight from the tokenizer's model; else None."""
+        tokenize, shown, out = self.model.tokenize, self.shown, []
+        for w in words:
+            if not w.isalpha():
+                out.append(None)
+                continue
+            if not w.isascii():
+                if max(w) > "\u024f" or not w.islower() or not unicodedata.is_normalized("NFC", w):
+                    out.append(None)
+                    continue
+                w = w.translate(shown)
+            out.append([t.id for t in tokenize(w)])
+        return out
 
     def _learn(self, words: list[str], hashes: np.ndarray) -> None:
-        ids = [self._word(w) for w in words]
+        ids = self._letters(words)
         rest = [i for i, x in enumerate(ids) if x is None]
         for i, x in zip(rest, self._whole([words[i] for i in rest]), strict=True):
             ids[i] = x
