@@ -12,7 +12,9 @@ many kinds of markup among menus, headers, footers, sidebars, notices,
 adverts, forms, related links and reader comments. Training is seeded, so
 reruns agree.
 
-Scripts, styles and other raw elements are never blocks. Character references
+Scripts, styles and other raw elements are never blocks. One that is not closed
+inside its parent loses its tag alone, so that the page's text stays; scripts,
+styles, titles and text areas run to the page's end. Character references
 are decoded, white space in a block becomes one space, empty blocks go.
 
 Defined cases: a null page is empty and has no text; text without markup is
@@ -41,6 +43,8 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template title textarea svg math iframe object select".split())
+#: Of these, text to the closing tag, or to the page's end; elements that a slash closes; the others hold elements.
+RAW_TEXT, FOREIGN = frozenset("script style title textarea".split()), frozenset("svg math".split())
 #: A start tag of the first kind ends an open element of the second, up to the nearest of the third.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -62,6 +66,47 @@ TRAIN_PAGES, EPOCHS, SEED = 600, 14, 7
 BATCH_BLOCKS = 8192
 
 
+_IFRAME = re.compile(r"<(/?)iframe(?=[\s/>])[^>]*+>", re.I)
+
+
+def _raw_text_end(page: str, name: str, at: int) -> int:
+    end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+    return end.end() if end else len(page)
+
+
+def _raw_ends(page: str) -> dict[int, int]:
+    """Where the raw elements that are closed inside their parents end, by the place after their start tags."""
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    held: dict[str, int] = {}
+    at = 0
+    while m := _TAG.search(page, at):
+        at = m.end()
+        name = (m[2] or m[5] or "").lower()
+        # Tags that may be left out or stand across others end no parent.
+        if not name or name in INLINE or name in VOID or name == "p":
+            continue
+        if m[1] or m[4]:
+            if held.get(name):
+                while True:
+                    top, start = stack.pop()
+                    held[top] -= 1
+                    if top == name:
+                        break
+                if name in RAW:
+                    ends[start] = at
+        elif name in RAW_TEXT:
+            at = _raw_text_end(page, name, at)
+        elif name == "iframe":
+            end = _IFRAME.search(page, at)
+            if end and end[1]:
+                ends[at] = at = end.end()
+        elif not (name in FOREIGN and (m[3] or m[6] or "").rstrip().endswith("/")):
+            stack.append((name, at))
+            held[name] = held.get(name, 0) + 1
+    return ends
+
+
 @dataclass
 class Block:
     path: tuple[str, ...]
@@ -77,6 +122,7 @@ def blocks_of(page: str | None) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked = links = 0
+    raw_ends: dict[int, int] | None = None
 
     def end_block() -> None:
         nonlocal linked
@@ -121,9 +167,13 @@ def blocks_of(page: str | None) -> list[Block]:
                 if inline and stack[i][0] not in INLINE:
                     break
             continue
+        if name in RAW_TEXT:
+            at = _raw_text_end(page, name, at)
+            continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            if name not in FOREIGN or not (m[3] or m[6] or "").rstrip().endswith("/"):
+                raw_ends = _raw_ends(page) if raw_ends is None else raw_ends
+                at = raw_ends.get(at, at)
             continue
         if name in VOID:
             continue

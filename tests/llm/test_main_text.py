@@ -120,3 +120,23 @@ def test_odd_rows_and_empty_tables(lspark, model):
     assert texts[:3] == [(0, ""), (1, ""), (1, "")] and len(texts) == 5
     none = pages.limit(0)
     assert main_text.extract(none, main_text.fit(none)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "tag",
+    ["<svg class=icon/>", '<svg class="icon" />', "<math/>", "<select><option>", "<noscript>", '<object data="x">', "<template>", "<iframe src=x>", "<svg>", "<div><svg></div>"],
+)
+@pytest.mark.parametrize("after", ["", "<svg><title>a</title><path d=x /></svg>", "<noscript>no</noscript><iframe>no</iframe>"])
+def test_unclosed_raw_elements_take_no_text_along(tag, after):
+    page = f"<html><body><header>{tag}</header><article><p>First text.</p>{after}<p>Second text.</p></article>{after}</body></html>"
+    assert [b.text for b in main_text.blocks_of(page)] == ["First text.", "Second text."]
+
+
+def test_closed_raw_elements_are_never_blocks():
+    for name in sorted(main_text.RAW):
+        page = f"<div><p>Before.<{name} class=x>inside <i>it</i></{name}><p>After.</div>"
+        assert [b.text for b in main_text.blocks_of(page)] == ["Before.", "After."]
+    nested = "<p>Before.</p><svg><svg><g></svg>x</svg><object><object></object><div>x</div></object><p>After.</p>"
+    assert [b.text for b in main_text.blocks_of(nested)] == ["Before.", "After."]
+    assert [b.text for b in main_text.blocks_of("<p>Before.</p><svg><p>Unclosed to the end.</p>")] == ["Before.", "Unclosed to the end."]
+    assert main_text.blocks_of("<p>a</p>" + "<svg><select>" * 50_000)[0].text == "a"
