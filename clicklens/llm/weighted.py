@@ -133,7 +133,8 @@ def with_edits(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
 def fingerprints(docs: DataFrame, samples: int = SAMPLES, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: its fingerprint, that of its edited text, and their likenesses."""
     rows = with_edits(docs, text, doc_id).withColumn("row", F.xxhash64("text"))
-    prints = signatures(rows, "text", "edited", ["id", "row"], samples)
+    # Repeated rows share their keys: counted together, their words would weigh double.
+    prints = signatures(rows.dropDuplicates(["id", "row"]), "text", "edited", ["id", "row"], samples)
     facts = rows.select("id", "row", "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     nothing = F.lit(NO_SAMPLE * samples)
     found = facts.join(prints, ["id", "row"], "left").select(

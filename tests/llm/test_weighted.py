@@ -82,3 +82,13 @@ def test_odd_rows_and_empty_tables(lspark, odd_docs, no_docs):
 def test_no_python_on_the_main_path(lspark):
     plan = queries.QUERIES["op10_fingerprints"](lspark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeated_rows_weigh_once(lspark):
+    """Equal texts have equal fingerprints, also where one of them stands in repeated rows."""
+    rnd = np.random.default_rng(5)
+    text = " ".join(f"w{n}" for n in rnd.integers(0, 60, 200))
+    rows = [(1, text), (1, text), (1, text), (2, text), (3, "another text with other words"), (1, "a second text of one id")]
+    got = weighted.fingerprints(lspark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    assert len({r["fingerprint"] for r in got if r["n_chars"] == len(text)}) == 1
