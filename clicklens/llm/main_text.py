@@ -61,6 +61,8 @@ PATH_DIMS, WORD_DIMS, RATIOS = 192, 48, 8
 DIMS = PATH_DIMS + WORD_DIMS + RATIOS
 HIDDEN = 20
 SAMPLE_PAGES = 400
+#: Characters of a sampled page, from its start, and of a block of it, that training layouts are filled from.
+SAMPLE_CHARS, SAMPLE_BLOCK_CHARS = 20_000, 600
 TRAIN_PAGES, EPOCHS, SEED = 600, 14, 7
 #: Blocks of a batch of pages that are scored together.
 BATCH_BLOCKS = 8192
@@ -444,9 +446,9 @@ def fit(pages: DataFrame, html: str = "html") -> Labeller:
     rate = min(1.0, 3 * SAMPLE_PAGES / max(1, pages.count()))
     h = F.xxhash64(*pages.columns)
     thin = pages.filter(F.col(html).isNotNull() & (F.pmod(h, F.lit(1 << 30)) <= int(rate * (1 << 30))))
-    part = thin.select(F.substring(F.col(html), 1, 20_000).alias("html"), h.alias("h"))
+    part = thin.select(F.substring(F.col(html), 1, SAMPLE_CHARS).alias("html"), h.alias("h"))
     rows = part.orderBy("h", "html").limit(SAMPLE_PAGES).collect()
-    texts = sorted({entities.escape(b.text[:600]) for r in rows for b in blocks_of(r["html"])})
+    texts = sorted({entities.escape(b.text[:SAMPLE_BLOCK_CHARS]) for r in rows for b in blocks_of(r["html"])})
     words = sorted({w for t in texts for w in t.split()})[:: max(1, len(texts) // 2000)] or _WORDS
     rng = np.random.default_rng(SEED)
     made = [labelled_page(rng, texts or _WORDS, words) for _ in range(TRAIN_PAGES)]

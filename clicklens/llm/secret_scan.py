@@ -8,7 +8,7 @@ under the two, per transition, says whether it looks random; tokens past
 Samples are drawn from the corpus: random strings are digests of document ids
 written in several alphabets (label random); identifiers are its words, alone
 and joined in snake and camel case, free of pattern matches (label ordinary).
-Both are bounded by ``SAMPLE_ROWS`` documents; the scan covers all.
+Both are bounded by ``SAMPLE_ROWS`` documents and ``SAMPLE_WORDS`` words of each; the scan covers all.
 
 Everything is DataFrame expressions. Positions count code points: a pattern's
 pieces between its matches and the matches themselves give them by their
@@ -42,6 +42,8 @@ THRESHOLD = 0.6
 #: Distinct characters that such a token has at least; rulers and runs have fewer.
 DISTINCT = 8
 SAMPLE_ROWS = 20_000
+#: Words of a sampled document, from its start, that stand for it; the scan itself reads whole texts.
+SAMPLE_WORDS = 200
 #: Alphabet: every other character is the last symbol.
 SYMBOLS = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ_-+/="
 N = len(SYMBOLS) + 1
@@ -99,8 +101,7 @@ def labelled_tokens(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     plain = F.base64(F.unhex(digest))
     strings = F.array(digest, plain, F.upper(F.conv(F.substring(digest, 1, 15), 16, 36)), F.lower(F.conv(F.substring(digest, 17, 15), 16, 36)), F.translate(F.base64(F.unhex(F.sha2(digest, 256))), "+/=", "-_"))
     random = part.select(F.lit(1).alias("label"), F.explode(strings).alias("token"))
-    # The first 200 words stand for a sampled document; the scan itself reads whole texts.
-    words = F.expr(r"filter(slice(regexp_extract_all(t, '[\\p{L}]{2,}', 0), 1, 200), w -> w rlike '^[A-Za-z]+$')")
+    words = F.expr(rf"filter(slice(regexp_extract_all(t, '[\\p{{L}}]{{2,}}', 0), 1, {SAMPLE_WORDS}), w -> w rlike '^[A-Za-z]+$')")
     ways = (  # identifiers as code writes them, from three words in a row
         "concat_ws('_', lower(w[i - 1]), lower(w[i]), lower(w[i + 1]))", "concat(lower(w[i - 1]), initcap(w[i]), initcap(w[i + 1]))",
         "concat(w[i - 1], lower(w[i]))", "upper(concat_ws('_', w[i - 1], w[i], w[i + 1]))", "upper(concat(w[i - 1], w[i]))",

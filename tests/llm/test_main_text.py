@@ -140,3 +140,17 @@ def test_closed_raw_elements_are_never_blocks():
     assert [b.text for b in main_text.blocks_of(nested)] == ["Before.", "After."]
     assert [b.text for b in main_text.blocks_of("<p>Before.</p><svg><p>Unclosed to the end.</p>")] == ["Before.", "Unclosed to the end."]
     assert main_text.blocks_of("<p>a</p>" + "<svg><select>" * 50_000)[0].text == "a"
+
+
+def test_training_text_is_bounded_by_the_parameters(lspark, monkeypatch):
+    pages = lspark.createDataFrame([(1, f"<p>{'a' * 50}</p><p>{'b' * 50}</p>")], "page_id long, html string")
+    seen = []
+    monkeypatch.setattr(main_text, "TRAIN_PAGES", 1)
+    monkeypatch.setattr(main_text, "labelled_page", lambda rng, texts, words: (seen.append(texts), ([], []))[1])
+    monkeypatch.setattr(main_text, "vectors", lambda blocks: blocks)
+    monkeypatch.setattr(main_text, "train", lambda made: made)
+    monkeypatch.setattr(main_text, "SAMPLE_BLOCK_CHARS", 7)
+    main_text.fit(pages)
+    monkeypatch.setattr(main_text, "SAMPLE_CHARS", 55)
+    main_text.fit(pages)
+    assert seen == [["a" * 7, "b" * 7], ["a" * 7]]

@@ -90,3 +90,10 @@ def test_odd_rows_and_empty_tables(lspark, odd_docs, no_docs, model):
 def test_no_python_on_the_main_path(lspark):
     plan = queries.QUERIES["op9_secrets"](lspark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_training_words_are_bounded_by_the_parameter(lspark, monkeypatch):
+    docs = lspark.createDataFrame([(i, "plain words of a text " * 20) for i in range(5)], "doc_id long, text string")
+    many = secret_scan.labelled_tokens(docs).count()
+    monkeypatch.setattr(secret_scan, "SAMPLE_WORDS", 3)
+    assert secret_scan.labelled_tokens(docs).count() < many
