@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, langid, main_text, mixing, secret_scan, suffixes, warc, weighted
-from .common import ship, stored, table
+from . import decontam, langid, main_text, mixing, runs, secret_scan, suffixes, warc, weighted
+from .common import SPACE, ship, stored, table
 from .simhash import hex_print, near_duplicates
 from .tokens import read_token_digests, token_ids, write_token_files
 
@@ -91,7 +91,32 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.fingerprints(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op1_token_files, op2_repeats, op3_mixing, op4_decontamination, op5_main_text, op6_simhash, op7_language, op8_warc, op9_secrets, op10_fingerprints]
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The contract's texts: where crc32 of the id ends in 0, the words from one place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split("text", SPACE), lambda w: w != "")
+    rows = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    n = F.size("words")
+    rows = rows.withColumn("a", F.when(n > 0, F.col("g") % n))
+    rows = rows.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    picked = F.transform(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1), lambda i: F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(picked, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, and its text without their repeats."""
+    found = runs.find_runs(_with_planted_runs(table(spark, sf_dir, "documents")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    # The greatest by length, then the smallest by start and period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    start, length, period = -F.col("best.s"), F.col("best.length"), -F.col("best.p")
+    milli = F.expr("1000 * best.length div -best.p")
+    return found.select("doc_id", "n_runs", start.alias("start"), length.alias("length"), period.alias("period"), milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+_QUERIES = [op1_token_files, op2_repeats, op3_mixing, op4_decontamination, op5_main_text, op6_simhash, op7_language, op8_warc, op9_secrets, op10_fingerprints, op11_runs]
 
 
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
