@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, langid, main_text, mixing, runs, secret_scan, suffixes, warc, weighted
+from . import decontam, langid, main_text, mixing, runs, secret_scan, suffixes, toxicity, warc, weighted
 from .common import SPACE, ship, stored, table
 from .simhash import hex_print, near_duplicates
 from .tokens import read_token_digests, token_ids, write_token_files
@@ -116,7 +116,15 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_runs", start.alias("start"), length.alias("length"), period.alias("period"), milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
-_QUERIES = [op1_token_files, op2_repeats, op3_mixing, op4_decontamination, op5_main_text, op6_simhash, op7_language, op8_warc, op9_secrets, op10_fingerprints, op11_runs]
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))))
+    found = toxicity.score_texts(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+_QUERIES = [op1_token_files, op2_repeats, op3_mixing, op4_decontamination, op5_main_text, op6_simhash, op7_language, op8_warc, op9_secrets, op10_fingerprints, op11_runs, op12_toxicity]
 
 
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
