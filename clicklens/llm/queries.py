@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, langid, main_text, mixing, runs, secret_scan, suffixes, toxicity, warc, weighted
+from . import collocations, decontam, langid, main_text, mixing, runs, secret_scan, suffixes, toxicity, warc, weighted
 from .common import SPACE, ship, stored, table
 from .simhash import hex_print, near_duplicates
 from .tokens import read_token_digests, token_ids, write_token_files
@@ -124,7 +124,12 @@ def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
-_QUERIES = [op1_token_files, op2_repeats, op3_mixing, op4_decontamination, op5_main_text, op6_simhash, op7_language, op8_warc, op9_secrets, op10_fingerprints, op11_runs, op12_toxicity]
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leading phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+_QUERIES = [op1_token_files, op2_repeats, op3_mixing, op4_decontamination, op5_main_text, op6_simhash, op7_language, op8_warc, op9_secrets, op10_fingerprints, op11_runs, op12_toxicity, op13_collocations]
 
 
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
@@ -137,4 +142,4 @@ def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 
 QUERIES = {q.__name__: _shipped(q) for q in _QUERIES}
-ORACLE_SQL: dict[str, str] = {"op3_mixing": mixing.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_mixing": mixing.ORACLE_SQL, "op13_collocations": collocations.ORACLE_SQL}
