@@ -1,14 +1,14 @@
 """Phrase collocations from FM-indexes over word numbers, one per shard.
 
-1. *Shards.* Texts are cut into pieces and words; the words of each language
-   are numbered in the order met, up to about ``SHARD_WORDS`` a shard. A shard
+1. *Strips.* Texts are cut into pieces and words; the words of each language
+   are numbered in the order met, up to about ``STRIP_WORDS`` a strip. A strip
    is a row: its words with their counts, and the pieces as numbers.
 2. *Words.* Counts are summed over shards; words met ``least`` times or more
    get a number of their own. Others end phrases: no phrase with a rarer word
    can be a candidate.
-3. *Index.* Each shard is renumbered by its frequent words (the numbers come
-   back to a shard by a join on its own words) and indexed: the
-   Burrows-Wheeler transform of the sequence and of the reversed sequence,
+3. *Index.* Strips of a language are put together to shards of about
+   ``SHARD_WORDS``, renumbered by the frequent words (the numbers come back by
+   a join on each strip's own words) and indexed: the Burrows-Wheeler transform of the sequence and of the reversed sequence,
    their suffixes sorted as deep as a phrase may be long, which is all that
    phrases of ``LONGEST`` words need.
 4. *Pairs.* Every word's interval is extended to the left by all its preceding
@@ -24,7 +24,8 @@
 
 Every count is exact: pruning only leaves out what cannot reach ``least``.
 Counts move as one row per shard and phrase, so a hot language, text or word
-is summed within shards first; no list of a language's phrases is ever held by
+is summed within shards first; a shard fits in a task's memory (about 100
+bytes a word); no list of a language's phrases is ever held by
 one task.
 
 Defined cases: null texts are empty; a null language is ``und``; an empty
@@ -42,10 +43,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import small_side, stored
 
-#: Words of a shard; the last text of a shard may take it past this.
-SHARD_WORDS = 1 << 21
+#: Words of a strip, of all open strips of a task, and of a shard; the last text or strip may take it past this.
+STRIP_WORDS, OPEN_WORDS, SHARD_WORDS = 1 << 20, 1 << 22, 3 << 20
 #: Words of the longest phrase, and how deep suffixes are sorted.
 LONGEST = 4
 LEAST, TOP = 30, 2000
@@ -58,14 +59,14 @@ _CLEAN = bytes(
     255 if chr(c) in ".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256)
 )
 
-_SHARD = "shard long, lang string, words array<string>, counts array<long>, sequence binary"
-_SHARD_ROW = pa.schema(
-    [("shard", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("sequence", pa.binary())]
+_STRIP = "strip long, lang string, words array<string>, counts array<long>, sequence binary"
+_STRIP_ROW = pa.schema(
+    [("strip", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("sequence", pa.binary())]
 )
 _KEYS = [f"w{k}" for k in range(LONGEST)]
 
 
-class _Shard:
+class _Strip:
     """Words of one language as numbers; 0 stands between pieces."""
 
     def __init__(self, lang: str):
@@ -82,7 +83,17 @@ class _Shard:
     def columns(self) -> tuple[list[str], list[int], bytes]:
         sequence = np.concatenate(self.parts)
         words = [w.decode("utf-8") for w in list(self.numbers)[1:]]
-        return words, np.bincount(sequence, minlength=len(words) + 1)[1:].tolist(), sequence.tobytes()
+        return words, np.bincount(sequence, minlength=len(words) + 1)[1:].tolist(), _packed(sequence)
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    return len(numbers).to_bytes(8, "little") + pa.compress(numbers.astype("<i4").tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: pa.Scalar) -> np.ndarray:
+    raw = data.as_buffer()
+    size = 4 * int.from_bytes(raw[:8].to_pybytes(), "little")
+    return np.frombuffer(pa.decompress(raw[8:], size, "zstd"), "<i4")
 
 
 class _Numbers(dict):
@@ -91,39 +102,52 @@ class _Numbers(dict):
         return n
 
 
-def shards(docs: DataFrame, text: str, lang: str, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """One row per shard: (shard, lang, words, counts, sequence)."""
+def strips(docs: DataFrame, text: str, lang: str, strip_words: int = STRIP_WORDS) -> DataFrame:
+    """One row per strip: (strip, lang, words, counts, sequence)."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)), F.col(text).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         made = TaskContext.get().partitionId() << 32
-        open_: dict[str, _Shard] = {}
+        open_: dict[str, _Strip] = {}
 
-        def close(s: _Shard) -> pa.RecordBatch:
+        def close(s: _Strip) -> pa.RecordBatch:
             nonlocal made
             made += 1
             values = ([made - 1], [s.lang], *([x] for x in s.columns()))
-            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, _SHARD_ROW, strict=True)], schema=_SHARD_ROW)
+            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, _STRIP_ROW, strict=True)], schema=_STRIP_ROW)
 
+        size = 0
         for b in batches:
             langs, texts = b.column(0).to_pylist(), b.column(1).cast(pa.binary())
             for k, name in enumerate(langs):
                 data = texts[k].as_py()
                 if not data:
                     continue
-                shard = open_.get(name) or open_.setdefault(name, _Shard(name))
-                shard.add(data)
-                # All languages of a task share the room, so that many of them need no more.
-                if sum(s.size for s in open_.values()) >= shard_words:
-                    largest = max(open_.values(), key=lambda s: s.size)
-                    yield close(open_.pop(largest.lang))
+                strip = open_.get(name) or open_.setdefault(name, _Strip(name))
+                size -= strip.size
+                strip.add(data)
+                size += strip.size
+                # Many languages share the room of a task.
+                full = strip if strip.size >= strip_words else max(open_.values(), key=lambda s: s.size) if size >= OPEN_WORDS else None
+                if full:
+                    size -= full.size
+                    yield close(open_.pop(full.lang))
         for s in open_.values():
             if s.size:
                 yield close(s)
 
-    return rows.mapInArrow(run, _SHARD)
+    return rows.mapInArrow(run, _STRIP)
+
+
+def shards(sizes: DataFrame, shard_words: int) -> DataFrame:
+    """Which shard each strip (strip, lang, size) goes to: strips of a language in order, up to ``shard_words``.
+
+    The window holds three numbers per strip.
+    """
+    before = F.sum("size").over(Window.partitionBy("lang").orderBy("strip")) - F.col("size")
+    return sizes.select("strip", F.xxhash64("lang", F.floor(before / shard_words)).alias("shard"))
 
 
 def numbered(rows: DataFrame, name: str) -> DataFrame:
@@ -150,7 +174,7 @@ def transform(sequence: np.ndarray, depth: int) -> np.ndarray:
         reach *= 2
         if reach < depth:
             rank = np.unique(rank, return_inverse=True)[1].astype(np.int64)
-    return sequence[np.argsort(rank, kind="stable") - 1] if n else sequence
+    return sequence[np.argsort(rank) - 1] if n else sequence
 
 
 class Side:
@@ -158,7 +182,7 @@ class Side:
 
     def __init__(self, bwt: np.ndarray):
         self.bwt = bwt
-        order = np.argsort(bwt, kind="stable")
+        order = np.argsort(bwt.astype(np.int64) * len(bwt) + np.arange(len(bwt)))
         self.step = np.empty(len(bwt), np.int64)  # where a rotation goes when its last number comes first
         self.step[order] = np.arange(len(bwt))
         counts = np.bincount(bwt, minlength=1)
@@ -171,12 +195,13 @@ class Side:
         of = np.repeat(np.arange(len(low)), size)
         place = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(len(of))
         key = of * (len(self.ends) + 1) + self.bwt[place]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key = key[order]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
         count = np.diff(np.append(first, len(key)))
-        of, begin = of[order[first]], self.step[place[order[first]]]
-        number = self.bwt[place[order[first]]].astype(np.int64)
+        of, number = of[order[first]], self.bwt[place[order[first]]].astype(np.int64)
+        # Rotations with the same last number keep their order when it comes first.
+        begin = np.minimum.reduceat(self.step[place[order]], first) if len(key) else first
         behind = first - (np.cumsum(size) - size)[of]
         real = number > 0
         return of[real], number[real], begin[real], (begin + count)[real], behind[real]
@@ -238,85 +263,100 @@ def longer_phrases(index: Index, pairs: np.ndarray) -> Iterator[tuple[np.ndarray
 
 
 def _build(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-    """Index of one shard, from its row and the numbers of its frequent words."""
-    number = np.zeros(len(left.column("words")[0]) + 1, np.int64)
-    at, found = right.column("at").to_numpy(), right.column("number").to_numpy()
+    """Index of one shard, from its strips and the numbers of their frequent words."""
+    if not left.num_rows or not right.num_rows:
+        return _INDEX.empty_table()
+    strip, at, found = (right.column(c).to_numpy() for c in ("strip", "at", "number"))
     # Numbers of the shard follow the words' own numbers.
-    order = np.argsort(found, kind="stable")
-    number[at[order]] = np.arange(1, len(found) + 1)
-    sequence = number[np.frombuffer(left.column("sequence")[0].as_buffer(), np.int32)]
-    keep = (sequence > 0) | np.append(True, sequence[:-1] > 0)
-    sequence = np.append(0, sequence[keep]).astype(np.int32)
-    forward, backward = transform(sequence, LONGEST), transform(sequence[::-1], LONGEST)
-    return pa.table({"shard": left.column("shard"), "numbers": [found[order].tolist()], "forward": [forward.tobytes()], "backward": [backward.tobytes()]}, schema=_INDEX)
+    numbers, short = np.unique(found, return_inverse=True)
+    parts = [np.zeros(1, np.int32)]
+    for k in range(left.num_rows):
+        sequence = _unpacked(left.column("sequence")[k])
+        number = np.zeros(int(sequence.max()) + 1, np.int32)
+        mine = strip == left.column("strip")[k].as_py()
+        number[at[mine]] = short[mine] + 1
+        sequence = number[sequence]
+        parts.append(sequence[(sequence > 0) | np.append(False, sequence[:-1] > 0)])
+    sequence = np.concatenate(parts)
+    sides = (_packed(transform(s, LONGEST)) for s in (sequence, sequence[::-1]))
+    return pa.table({"shard": [key[0].as_py()], "numbers": [numbers.tolist()], **dict(zip(("forward", "backward"), ([x] for x in sides), strict=True))}, schema=_INDEX)
 
 
 _INDEX = pa.schema([("shard", pa.int64()), ("numbers", pa.list_(pa.int64())), ("forward", pa.binary()), ("backward", pa.binary())])
 
 
-def _read(numbers: pa.ListScalar, forward: pa.Scalar, backward: pa.Scalar) -> tuple[np.ndarray, Index]:
-    sides = (np.frombuffer(x.as_buffer(), np.int32) for x in (forward, backward))
-    return np.append(0, numbers.values.to_numpy()), Index(*sides)
+def _joined(a: np.ndarray, b: np.ndarray) -> pa.Array:
+    """Two word numbers as one long."""
+    return pa.array(a << 32 | b)
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for k in range(b.num_rows):
-            _, index = _read(*(b.column(c)[k] for c in (1, 2, 3)))
             numbers = np.append(0, b.column(1)[k].values.to_numpy())
-            words, low, high, _ = index.to_left(index.words())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), b.column(0)[k].as_py())), *(pa.array(numbers[w]) for w in words.T), pa.array(high - low)], ["shard", "w0", "w1", "n"])
+            side = Side(_unpacked(b.column(2)[k]))
+            number = np.flatnonzero(side.ends > side.begins)[1:]
+            of, before, low, high, _ = side.extend(side.begins[number], side.ends[number])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(of), b.column(0)[k].as_py())), _joined(numbers[before], numbers[number[of]]), pa.array(high - low)], ["shard", "pair", "n"])
+
+
+_LONGER = pa.schema([("front", pa.int64()), ("rest", pa.int64()), ("n", pa.int64())])
 
 
 def _longer(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     """Counts of one shard's longer phrases, from its index and its frequent pairs."""
-    numbers, index = _read(*(left.column(c)[0] for c in ("numbers", "forward", "backward")))
-    pairs = np.column_stack([np.searchsorted(numbers, right.column(c).to_numpy()) for c in ("w0", "w1")])
-    out = []
+    if not left.num_rows or not right.num_rows:
+        return _LONGER.empty_table()
+    numbers = np.append(0, left.column("numbers")[0].values.to_numpy())
+    index = Index(*(_unpacked(left.column(c)[0]) for c in ("forward", "backward")))
+    pair = right.column("pair").to_numpy()
+    pairs = np.column_stack([np.searchsorted(numbers, x) for x in (pair >> 32, pair & 0xFFFFFFFF)])
+    out = [_LONGER.empty_table()]
     for words, n in longer_phrases(index, pairs):
-        columns = [pa.array(numbers[words[:, k]]) if k < words.shape[1] else pa.array(np.zeros(len(words), np.int64)) for k in range(LONGEST)]
-        out.append(pa.table([*columns, pa.array(n)], names=[*_KEYS, "n"]))
-    return pa.concat_tables(out) if out else pa.table({c: pa.array([], pa.int64()) for c in [*_KEYS, "n"]})
+        w = [numbers[words[:, k]] if k < words.shape[1] else np.zeros(len(words), np.int64) for k in range(LONGEST)]
+        out.append(pa.table([_joined(w[0], w[1]), _joined(w[2], w[3]), pa.array(n)], schema=_LONGER))
+    return pa.concat_tables(out)
 
 
-def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, strip_words: int = STRIP_WORDS, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(languages with their word counts, frequent words, frequent phrases).
 
     Words: (lang, word, number, f). Phrases of 1 to ``LONGEST`` words: their
-    words' numbers in ``w0``, ``w1`` ... (0 behind the last) and f.
+    words' numbers in ``w0``, ``w1`` ... (0 behind the last) and f. Numbers
+    stay under 2**31, so that two of them make a long.
     """
-    cut = stored(shards(docs, text, lang, shard_words), "collocation-shards")
-    words = cut.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "_one"))
-    words = words.select("shard", "lang", (F.col("at") + 1).alias("at"), F.col("_one.words").alias("word"), F.col("_one.counts").alias("n"))
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    cut = stored(strips(docs, text, lang, strip_words), "collocation-strips")
+    sizes = cut.select("strip", "lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, n: a + n).alias("size"))
+    sizes = stored(sizes, "collocation-sizes")
+    totals = sizes.groupBy("lang").agg(F.sum("size").alias("n"))
+    # A row per strip.
+    homes = small_side(stored(shards(sizes, shard_words), "collocation-shards"))
+
+    words = cut.select(F.col("strip").alias("_strip"), "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "_one"))
+    words = words.select("_strip", "lang", (F.col("at") + 1).alias("at"), F.col("_one.words").alias("word"), F.col("_one.counts").alias("n"))
     frequent = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
     frequent = stored(numbered(frequent, "number"), "collocation-words")
 
-    back = words.join(frequent, ["lang", "word"]).select(F.col("shard").alias("home"), "at", "number")
-    ddl = "shard long, numbers array<long>, forward binary, backward binary"
-    index = cut.select("shard", "words", "sequence").groupBy("shard").cogroup(back.groupBy("home")).applyInArrow(_build_if_any, ddl)
-    index = stored(index, "collocation-index")
-
-    pairs = stored(index.mapInArrow(_pairs, "shard long, w0 long, w1 long, n long"), "collocation-pairs")
-    often = pairs.groupBy("w0", "w1").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    often = stored(often, "collocation-frequent-pairs")
-    mine = pairs.select(F.col("shard").alias("home"), "w0", "w1").join(often, ["w0", "w1"]).select("home", "w0", "w1")
-    longer = index.groupBy("shard").cogroup(mine.groupBy("home")).applyInArrow(_longer_if_any, ", ".join(f"{c} long" for c in [*_KEYS, "n"]))
-    longer = longer.groupBy(*_KEYS).agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    back = words.join(frequent, ["lang", "word"]).withColumnRenamed("_strip", "strip").join(homes, "strip").select(F.col("shard").alias("home"), "strip", "at", "number")
+    index = cut.select("strip", "sequence").join(homes, "strip").groupBy("shard").cogroup(back.groupBy("home"))
+    index = stored(index.applyInArrow(_build, "shard long, numbers array<long>, forward binary, backward binary"), "collocation-index")
+
+    # One exchange: a pair's counts of all shards meet, and each goes on with their sum.
+    pairs = index.mapInArrow(_pairs, "shard long, pair long, n long")
+    pairs = pairs.withColumn("f", F.sum("n").over(Window.partitionBy("pair"))).filter(F.col("f") >= least)
+    pairs = stored(pairs.select(F.col("shard").alias("home"), "pair", "f"), "collocation-pairs")
+    often = pairs.select("pair", "f").distinct()
+    longer = index.groupBy("shard").cogroup(pairs.select("home", "pair").groupBy("home")).applyInArrow(_longer, "front long, rest long, n long")
+    longer = longer.groupBy("front", "rest").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
     zero = F.lit(0).cast("long")
-    singles = frequent.select(F.col("number").alias("w0"), *(zero.alias(c) for c in _KEYS[1:]), "f")
-    doubles = often.select("w0", "w1", *(zero.alias(c) for c in _KEYS[2:]), "f")
-    return totals, frequent, stored(singles.unionByName(doubles).unionByName(longer), "collocation-phrases")
-
-
-def _build_if_any(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-    return _build(key, left, right) if left.num_rows and right.num_rows else _INDEX.empty_table()
-
-
-def _longer_if_any(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-    if left.num_rows and right.num_rows:
-        return _longer(key, left, right)
-    return pa.table({c: pa.array([], pa.int64()) for c in [*_KEYS, "n"]})
+    table = [
+        frequent.select(F.shiftleft(F.col("number"), 32).alias("front"), zero.alias("rest"), "f"),
+        often.select(F.col("pair").alias("front"), zero.alias("rest"), "f"),
+        longer,
+    ]
+    table = stored(table[0].unionByName(table[1]).unionByName(table[2]), "collocation-phrases")
+    halves = [h for c in ("front", "rest") for h in (F.shiftright(F.col(c), 32), F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)))]
+    return totals, frequent, table.select(*(h.alias(k) for h, k in zip(halves, _KEYS, strict=True)), "f")
 
 
 def _size() -> Column:
@@ -332,13 +372,13 @@ def _part(begin: Column, length: Column) -> Column:
 _SCORE = f"(cast(a as decimal(20,0)) * cast({SCALE} as decimal(10,0))) div (cast(l as decimal(20,0)) + cast(r as decimal(20,0)))"
 
 
-def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, top: int = TOP, shard_words: int = SHARD_WORDS) -> DataFrame:
+def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, top: int = TOP, strip_words: int = STRIP_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """Each language's first ``top`` phrases: lang, rank, phrase, a, l, r, n, score.
 
     ``a``, ``l`` and ``r`` count the phrase and the parts of its weakest cut,
     ``n`` all words of the language; the score is floor(``SCALE`` a / (l + r)).
     """
-    totals, words, counted = phrase_counts(docs, text, lang, least, shard_words)
+    totals, words, counted = phrase_counts(docs, text, lang, least, strip_words, shard_words)
     table = counted.select(F.array(*_KEYS).alias("ws"), _size().alias("size"), "f")
     parts = table.select(F.col("ws").alias("part"), F.col("f").alias("part_f"))
     phrases = table.filter(F.col("size") >= 2)

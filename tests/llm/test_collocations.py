@@ -54,8 +54,8 @@ def got(df):
 def test_against_counting_all_phrases(lspark):
     rows = [*corpus(1, 300), ("", "en"), (None, "en"), (None, None), (" \t. ", "de"), ("one two", "xx"), *([("same words over and over", "en")] * 20)]
     docs = lspark.createDataFrame(rows, "text string, lang string").repartition(3)
-    for least, top, shard in ((3, 10_000, 200), (5, 25, 1 << 21)):
-        found = C.collocations(docs, least=least, top=top, shard_words=shard)
+    for least, top, strip, shard in ((3, 10_000, 100, 250), (5, 25, 1 << 20, 1 << 21)):
+        found = C.collocations(docs, least=least, top=top, strip_words=strip, shard_words=shard)
         assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
         want = brute(rows, least, top)
         assert got(found) == want and len(want) > 20
