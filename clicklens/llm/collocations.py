@@ -14,9 +14,10 @@
 4. *Pairs.* Every word's interval is extended to the left by all its preceding
    words at once; counts are summed over shards, and a shard gets back which
    of its pairs are frequent.
-5. *Longer phrases.* From the frequent pairs, intervals are extended to the
-   left in the index and then to the right in the reversed index, both kept in
-   step, as far as every pair within a phrase is frequent. Counts are summed.
+5. *Longer phrases*, a word more each time. The intervals of the frequent
+   phrases are found again and extended to the left in the index or to the
+   right in the reversed index, both kept in step, where the new phrase's other
+   end is frequent too. Counts are summed, and the frequent ones come back.
 6. *Scores.* Parts are counted phrases themselves, found by joins. A phrase is
    dropped for a longer one if its most frequent extension by one word to the
    left or right is frequent enough; that covers longer ones, for every phrase
@@ -36,6 +37,7 @@ looked at; ties are ordered by count, then phrase.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -235,28 +237,44 @@ def _chosen(phrases: tuple[np.ndarray, ...], keep: np.ndarray) -> tuple[np.ndarr
     return tuple(p[keep] for p in phrases)
 
 
-def longer_phrases(index: Index, pairs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Phrases of 3 to ``LONGEST`` words all of whose pairs (rows of ``pairs``) are given, with their counts."""
-    size = len(index.forward.ends)
-    known = np.unique(pairs[:, 0].astype(np.int64) * size + pairs[:, 1])
-
-    def among(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        key = a * size + b
-        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-        return known[at] == key
-
-    if not len(known):
-        return
-    now = index.to_left(index.words())
-    now = _chosen(now, among(now[0][:, 0], now[0][:, 1]))
-    for length in range(3, LONGEST + 1):
-        if length % 2:
-            now = index.to_left(now)
-            now = _chosen(now, among(now[0][:, 0], now[0][:, 1]))
-        else:
-            now = index.to_right(now)
-            now = _chosen(now, among(now[0][:, -2], now[0][:, -1]))
-        yield now[0], now[2] - now[1]
+class _Known:
+    """A set of phrases of one length, given as rows; looked up column by column."""
+
+    def __init__(self, phrases: np.ndarray, size: int):
+        self.size, self.levels = size, []
+        at = phrases[:, 0].astype(np.int64)
+        for column in phrases.T[1:]:
+            keys, at = np.unique(at * size + column, return_inverse=True)
+            self.levels.append(keys)
+
+    def among(self, words: np.ndarray) -> np.ndarray:
+        """Which rows begin one of the phrases, or are one where they are as long."""
+        at, found = words[:, 0].astype(np.int64), np.ones(len(words), bool)
+        for keys, column in zip(self.levels, words.T[1:], strict=False):
+            key = at * self.size + column
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            found &= keys[at] == key
+        return found
+
+
+def extended(index: Index, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases a word longer than the rows of ``frequent`` that begin and end with one of them, and their counts."""
+    length, size = frequent.shape[1], len(index.forward.ends)
+    known = _Known(frequent, size)
+    # Found from right to left: what is met on the way ends a frequent phrase.
+    ends = [_Known(frequent[:, length - k :], size) for k in range(1, length + 1)]
+    now = index.words()
+    now = _chosen(now, np.isin(now[0][:, 0], frequent[:, -1]))
+    for k in range(1, length):
+        now = index.to_left(now)
+        now = _chosen(now, ends[k].among(now[0]))
+    if length % 2:
+        now = index.to_right(now)
+        now = _chosen(now, known.among(now[0][:, 1:]))
+    else:
+        now = index.to_left(now)
+        now = _chosen(now, known.among(now[0][:, :-1]))
+    return now[0], now[2] - now[1]
 
 
 # ------------------------------------------------------------------ the stages
@@ -300,22 +318,29 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(of), b.column(0)[k].as_py())), _joined(numbers[before], numbers[number[of]]), pa.array(high - low)], ["shard", "pair", "n"])
 
 
-_LONGER = pa.schema([("front", pa.int64()), ("rest", pa.int64()), ("n", pa.int64())])
+_LONGER = pa.schema([("shard", pa.int64()), ("front", pa.int64()), ("rest", pa.int64()), ("n", pa.int64())])
 
 
-def _longer(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-    """Counts of one shard's longer phrases, from its index and its frequent pairs."""
+def _longer(length: int, key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Counts of one shard's phrases of ``length`` words, from its index and its frequent shorter ones."""
     if not left.num_rows or not right.num_rows:
         return _LONGER.empty_table()
     numbers = np.append(0, left.column("numbers")[0].values.to_numpy())
     index = Index(*(_unpacked(left.column(c)[0]) for c in ("forward", "backward")))
-    pair = right.column("pair").to_numpy()
-    pairs = np.column_stack([np.searchsorted(numbers, x) for x in (pair >> 32, pair & 0xFFFFFFFF)])
-    out = [_LONGER.empty_table()]
-    for words, n in longer_phrases(index, pairs):
-        w = [numbers[words[:, k]] if k < words.shape[1] else np.zeros(len(words), np.int64) for k in range(LONGEST)]
-        out.append(pa.table([_joined(w[0], w[1]), _joined(w[2], w[3]), pa.array(n)], schema=_LONGER))
-    return pa.concat_tables(out)
+    front, rest = right.column("front").to_numpy(), right.column("rest").to_numpy()
+    given = [front >> 32, front & 0xFFFFFFFF, rest >> 32, rest & 0xFFFFFFFF][: length - 1]
+    words, n = extended(index, np.column_stack([np.searchsorted(numbers, x) for x in given]))
+    w = [numbers[words[:, k]] if k < length else np.zeros(len(words), np.int64) for k in range(LONGEST)]
+    return pa.table([pa.array(np.full(len(n), key[0].as_py())), _joined(w[0], w[1]), _joined(w[2], w[3]), pa.array(n)], schema=_LONGER)
+
+
+def _frequent(counts: DataFrame, least: int, name: str) -> DataFrame:
+    """Of (shard, front, rest, n): the phrases met ``least`` times in all, for each shard that holds them.
+
+    One exchange: a phrase's counts of all shards meet, and each goes on with their sum.
+    """
+    summed = counts.withColumn("f", F.sum("n").over(Window.partitionBy("front", "rest"))).filter(F.col("f") >= least)
+    return stored(summed.select(F.col("shard").alias("home"), "front", "rest", "f"), name)
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, strip_words: int = STRIP_WORDS, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -341,20 +366,19 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     index = cut.select("strip", "sequence").join(homes, "strip").groupBy("shard").cogroup(back.groupBy("home"))
     index = stored(index.applyInArrow(_build, "shard long, numbers array<long>, forward binary, backward binary"), "collocation-index")
 
-    # One exchange: a pair's counts of all shards meet, and each goes on with their sum.
-    pairs = index.mapInArrow(_pairs, "shard long, pair long, n long")
-    pairs = pairs.withColumn("f", F.sum("n").over(Window.partitionBy("pair"))).filter(F.col("f") >= least)
-    pairs = stored(pairs.select(F.col("shard").alias("home"), "pair", "f"), "collocation-pairs")
-    often = pairs.select("pair", "f").distinct()
-    longer = index.groupBy("shard").cogroup(pairs.select("home", "pair").groupBy("home")).applyInArrow(_longer, "front long, rest long, n long")
-    longer = longer.groupBy("front", "rest").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
     zero = F.lit(0).cast("long")
-    table = [
-        frequent.select(F.shiftleft(F.col("number"), 32).alias("front"), zero.alias("rest"), "f"),
-        often.select(F.col("pair").alias("front"), zero.alias("rest"), "f"),
-        longer,
-    ]
-    table = stored(table[0].unionByName(table[1]).unionByName(table[2]), "collocation-phrases")
+    counts = index.mapInArrow(_pairs, "shard long, pair long, n long").select("shard", F.col("pair").alias("front"), zero.alias("rest"), "n")
+    tables = [frequent.select(F.shiftleft(F.col("number"), 32).alias("front"), zero.alias("rest"), "f")]
+    for length in range(2, LONGEST + 1):
+        if length > 2:
+            given = often.select("home", "front", "rest").groupBy("home")
+            counts = index.groupBy("shard").cogroup(given).applyInArrow(partial(_longer, length), "shard long, front long, rest long, n long")
+        if length < LONGEST:
+            often = _frequent(counts, least, f"collocation-{length}-words")
+            tables.append(often.select("front", "rest", "f").distinct())
+        else:
+            tables.append(counts.groupBy("front", "rest").agg(F.sum("n").alias("f")).filter(F.col("f") >= least))
+    table = stored(reduce(DataFrame.unionByName, tables), "collocation-phrases")
     halves = [h for c in ("front", "rest") for h in (F.shiftright(F.col(c), 32), F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)))]
     return totals, frequent, table.select(*(h.alias(k) for h, k in zip(halves, _KEYS, strict=True)), "f")
 

@@ -77,12 +77,19 @@ def test_index_finds_every_phrase():
                 assert dict(zip(map(tuple, now[0].tolist()), (now[2] - now[1]).tolist(), strict=True)) == want
 
 
-def test_longer_phrases_hold_only_given_pairs():
-    seq = np.array([0, 1, 2, 3, 4, 0, 1, 2, 3, 1, 2, 0], np.int32)
-    index = C.Index(C.transform(seq, C.LONGEST), C.transform(seq[::-1], C.LONGEST))
-    found = {tuple(w.tolist()): int(c) for words, n in C.longer_phrases(index, np.array([[1, 2], [2, 3]])) for w, c in zip(words, n, strict=True)}
-    assert found == {(1, 2, 3): 2}
-    assert list(C.longer_phrases(index, np.zeros((0, 2), int))) == []
+def test_extended_phrases_begin_and_end_with_given_ones():
+    r = np.random.default_rng(7)
+    for size, letters in ((12, 3), (400, 4), (3000, 9)):
+        seq = np.append(0, r.integers(1, letters, size)).astype(np.int32)
+        index = C.Index(C.transform(seq, C.LONGEST), C.transform(seq[::-1], C.LONGEST))
+        body = seq[1:].tolist()
+        for k in (2, 3):
+            shorter = {tuple(body[i : i + k]) for i in range(len(body) - k + 1)}
+            given = sorted(g for g in shorter if r.random() < 0.5)
+            want = Counter(tuple(body[i : i + k + 1]) for i in range(len(body) - k))
+            want = {g: n for g, n in want.items() if g[1:] in given and g[:-1] in given}
+            words, n = C.extended(index, np.array(given))
+            assert dict(zip(map(tuple, words.tolist()), n.tolist(), strict=True)) == want
 
 
 def test_products_past_64_bits(lspark):
