@@ -307,6 +307,9 @@ def oracle_sql() -> dict[str, str]:
         "report_rerun_by_input": with_hits(
             f'SELECT "{REPORT_DOMAIN}", "{REPORT_KEYWORD}", {revenue_text} AS "{REPORT_REVENUE}" FROM ({report("event_id % 2 = 1")})'
         ),
+        "report_by_input_two_files": with_hits(
+            " UNION ALL ".join(f"SELECT '{k}' AS input, * FROM ({keyword_revenue(where=f'event_id % 2 = {k}')})" for k in (0, 1))
+        ),
         "report_line_break_keyword": with_hits(report_text, "* REPLACE (replace(referrer, 'q=ipod+', 'q=ipod%0A') AS referrer)"),
         "incremental_dated_file": with_hits(
             f'SELECT "{REPORT_DOMAIN}", "{REPORT_KEYWORD}", {revenue_text} AS "{REPORT_REVENUE}" FROM '

@@ -18,7 +18,8 @@ from clicklens.constants import (
 )
 from clicklens.operators import exact_sum, keyword_report, keyword_revenue, labelled
 from clicklens.sinks import read_report_table, write_report_file, write_report_table
-from clicklens.sources.tsv import read_hits
+from clicklens.sinks.report_table import write_report_parts
+from clicklens.sources.tsv import data_files, read_hits
 
 
 def transform_hits(hits: DataFrame) -> DataFrame:
@@ -60,14 +61,21 @@ class SearchKeywordJob:
 
     def run(self, spark: SparkSession) -> JobResult:
         """With ``by_input`` the table keeps one report per input file (column
-        ``input_file``); the dated file still holds the report over all inputs."""
+        ``input_file``): a run replaces those of its own inputs and leaves the
+        day's others; the dated file holds the report over this run's inputs."""
         run_date = self.run_date or dt.date.today()
         hits = read_input(spark, self.input_path, self.multi_line, with_input_file=self.by_input)
         keys = ("input_file",) if self.by_input else ()
         agg = keyword_revenue(hits, self.hosts, self.params, self.purchase_event, extra_keys=keys)
         if self.table_path:
-            write_report_table(agg, self.table_path, run_date)
-            agg = read_report_table(spark, self.table_path, run_date, extra=", ".join(f"{k} string" for k in keys))
+            if self.by_input:
+                inputs = data_files(spark, self.input_path)
+                write_report_parts(agg, self.table_path, run_date, inputs)
+                mine = spark.createDataFrame([(i,) for i in inputs], "input_file string")
+                agg = read_report_table(spark, self.table_path, run_date, extra="input_file string").join(mine, "input_file", "left_semi")
+            else:
+                write_report_table(agg, self.table_path, run_date)
+                agg = read_report_table(spark, self.table_path, run_date)
             agg = agg.drop("run_date")
         if self.by_input:
             agg = agg.groupBy(DOMAIN, KEYWORD).agg(exact_sum(REVENUE).alias(REVENUE))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from clicklens.constants import DOMAIN, HIT_COLUMNS, KEYWORD, REVENUE
 from clicklens.functions import has_text, hit_revenue, query_param, search_keyword, url_domain
 from clicklens.operators import (
+    exact_sum,
     with_attribution,
     external_search_hits,
     keyword_report,
@@ -301,6 +302,17 @@ def q_report_rerun_by_input(spark: SparkSession, sf: str) -> DataFrame:
     return read_report_file(spark, out)
 
 
+def q_report_by_input_two_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Two inputs of one day, each its own run: the table keeps both reports."""
+    hits, work = derived_hits(spark, sf), scratch_path(spark, "two-inputs")
+    for k in (0, 1):
+        _tsv(hits.where(F.col("event_id") % 2 == k), f"{work}/in/{k}")
+        SearchKeywordJob(f"{work}/in/{k}", f"{work}/out", REPORT_DATE, table_path=f"{work}/table", by_input=True).run(spark)
+    rows = read_report_table(spark, f"{work}/table", REPORT_DATE, extra="input_file string")
+    rows = rows.withColumn("input", F.regexp_extract("input_file", "/in/([01])/", 1))
+    return rows.groupBy("input", DOMAIN, KEYWORD).agg(exact_sum(REVENUE).alias(REVENUE))
+
+
 # --- streams ----------------------------------------------------------------
 
 
@@ -373,6 +385,7 @@ QUERIES: dict[str, Query] = {
     "report_empty": q_report_empty,
     "report_rerun_empty": q_report_rerun_empty,
     "report_rerun_by_input": q_report_rerun_by_input,
+    "report_by_input_two_files": q_report_by_input_two_files,
     "report_line_break_keyword": q_report_line_break_keyword,
     "incremental_report": q_incremental_report,
     "incremental_dated_file": q_incremental_dated_file,

@@ -9,13 +9,15 @@ that filter on ``run_date`` read only that partition.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicklens.constants import DOMAIN, KEYWORD, REVENUE
-from clicklens.sinks.files import child, exists, move, remove
+from clicklens.sinks.files import child, exists, listed, move, remove
 
 SCHEMA = f"{DOMAIN} string, {KEYWORD} string, {REVENUE} double"
 
@@ -42,6 +44,42 @@ def write_report_table(agg: DataFrame, path: str, run_date: dt.date, part: str |
     replace_folder(agg, path, f"{day}/part={part}" if part else day)
 
 
+def plain_path(c: Column) -> Column:
+    """A file path as the file source's metadata and a listing both spell it."""
+    decoded = F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^([a-z0-9]+):/+", "$1:/")
+
+
+def part_name(path: str) -> str:
+    """Folder name of one input file's rows within a day."""
+    return hashlib.sha256(path.encode()).hexdigest()[:16]
+
+
+def write_report_parts(agg: DataFrame, path: str, run_date: dt.date, inputs: Sequence[str]) -> None:
+    """Replace the rows of these ``inputs`` in the day, those without rows included; other inputs' rows stay.
+
+    ``agg`` has a column ``input_file``. The rows are written beside the table
+    once, then each input's folder is exchanged. Rows that a run without parts
+    left in the day go.
+    """
+    spark = agg.sparkSession
+    mark, day = uuid.uuid4().hex[:12], child(path, f"run_date={run_date.isoformat()}")
+    stage, old = child(path, f"_stage-{mark}"), child(path, f"_old-{mark}")
+    rows = agg.withColumn("input_file", plain_path(F.col("input_file")))
+    rows.withColumn("part", F.substring(F.sha2("input_file", 256), 1, 16)).write.partitionBy("part").parquet(stage)
+    if exists(spark, day):
+        for left in listed(spark, day):
+            if "=" not in left.rpartition("/")[2]:
+                remove(spark, left)
+    for one in sorted({f"part={part_name(i)}" for i in inputs}):
+        if exists(spark, child(day, one)):
+            move(spark, child(day, one), child(old, one))
+        if exists(spark, child(stage, one)):
+            move(spark, child(stage, one), child(day, one))
+    remove(spark, old)
+    remove(spark, stage)
+
+
 def read_report_table(
     spark: SparkSession, path: str, run_date: dt.date | None = None, extra: str = ""
 ) -> DataFrame:

@@ -1,16 +1,18 @@
 """Tab-separated hit logs: batch files, lines of text, and a file stream.
 
 Format: one header line, tab separator, ``"`` quotes with ``""`` inside a
-quoted field. Columns are resolved by (trimmed) header name, file by file:
-files are grouped by their header lines and each group is read by its own
-names, so files with padded, reordered or absent columns mix freely.
+quoted field; text behind a closing quote belongs to its field. Columns are
+resolved by (trimmed) header name, file by file, so files with padded,
+reordered or absent columns mix freely: one scan reads them all, and where
+headers differ each row looks up the places of its file's columns.
 
 Rows with fewer fields than their header (and blank lines) are dropped; extra
-fields are ignored. Lines are split where they are read, whole files may be
-split over tasks. Lines without a quote are split at the tabs; the others go
-through ``from_csv``. A line that leaves a quote open belongs to a field with
-a line break in it: reading it line by line would lose the row, so the read
-fails and asks for ``multi_line=True``, which reads each file in one task.
+fields are ignored. Lines are split where they are read, and once: whole files
+may be split over tasks. A line is cut at its tabs; only lines with a quote
+inside a quoted field, or a tab there, are parsed field by field. A line that
+leaves a quote open belongs to a field with a line break in it: reading it
+line by line would lose the row, so the read fails and asks for
+``multi_line=True``, which reads each file in one task.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +44,10 @@ WRITE_OPTIONS = {
 _FIELD_AND_TAB = r'\G(?:"(?:[^"]|"")*"[^\t]*|[^\t"][^\t]*|)\t'
 
 
+#: Files that one scan reads under different headers; their places are broadcast (about 300 bytes a file).
+FILES_A_SCAN = 50_000
+
+
 def data_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
     """Files under a path, glob, or list of them (folders searched, hidden names skipped), in order."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -75,19 +82,15 @@ def header_line(spark: SparkSession, file: str) -> str | None:
     return line.removeprefix("\ufeff") if line else None
 
 
-def header_groups(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
-    """Header line -> the files that begin with it; files without a line are left out.
+def file_headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, str]:
+    """File -> its header line; files without a line are left out.
 
     Reads one line of each file, 32 files at a time.
     """
     files = data_files(spark, path)
     with ThreadPoolExecutor(32) as pool:
         lines = list(pool.map(lambda f: header_line(spark, f), files))
-    groups: dict[str, list[str]] = {}
-    for f, line in zip(files, lines, strict=True):
-        if line:
-            groups.setdefault(line, []).append(f)
-    return groups
+    return {f: line for f, line in zip(files, lines, strict=True) if line}
 
 
 def header_names(line: str) -> list[str]:
@@ -107,23 +110,47 @@ def read_hits(
     ``with_input_file`` adds ``input_file``, the path of each row's file.
     """
     keep = ("input_file",) if with_input_file else ()
-    out = None
-    for line, files in header_groups(spark, path).items():
+    headers = file_headers(spark, path)
+    parts = []
+    if multi_line:
+        for line in sorted(set(headers.values())):
+            files = [f for f, h in headers.items() if h == line]
+            parts.append(conform(_whole_records(spark, files, header_names(line), keep), columns, keep=keep))
+    else:
+        files = list(headers)
+        for at in range(0, len(files), FILES_A_SCAN):
+            parts.append(_scan(spark, {f: headers[f] for f in files[at : at + FILES_A_SCAN]}, columns, with_input_file))
+    if parts:
+        return reduce(DataFrame.unionByName, parts)
+    schema = ", ".join(f"`{c}` string" for c in (*columns, *keep))
+    return spark.createDataFrame([], schema)
+
+
+def _scan(spark: SparkSession, headers: dict[str, str], columns: Sequence[str], with_input_file: bool) -> DataFrame:
+    """Hits of these files, each by its own header, in one scan."""
+    text = spark.read.text(list(headers))
+    if with_input_file or len(set(headers.values())) > 1:
+        text = text.select("value", F.col("_metadata.file_path").alias("input_file"))
+    keep = ("input_file",) if with_input_file else ()
+    if len(set(headers.values())) == 1:
+        line = next(iter(headers.values()))
+        names = header_names(line)
+        # A byte order mark may stand before the first file's header.
+        text = text.where(~F.col("value").isin(line, "\ufeff" + line))
+        places, width = {c: F.lit(i) for c, i in _places(names).items()}, F.lit(len(names))
+        return _picked(_fields(text, keep), width, places, columns, keep)
+    uri = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    rows = []
+    for file, line in headers.items():
         names = header_names(line)
-        if multi_line:
-            part = conform(_whole_records(spark, files, names, keep), columns, keep=keep)
-        else:
-            text = spark.read.text(files)
-            if with_input_file:
-                text = text.withColumn("input_file", F.col("_metadata.file_path"))
-            # A byte order mark may stand before the first file's header.
-            text = text.where(~F.col("value").isin(line, "\ufeff" + line))
-            part = hits_from_lines(text, names, columns=columns, keep=keep)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        schema = ", ".join(f"`{c}` string" for c in (*columns, *keep))
-        return spark.createDataFrame([], schema)
-    return out
+        at = _places(names)
+        rows.append((uri(file).toUri().toString(), line, len(names), [at.get(c, -1) for c in columns]))
+    # At most FILES_A_SCAN rows.
+    layout = F.broadcast(spark.createDataFrame(rows, "input_file string, _line string, _width int, _at array<int>"))
+    text = text.join(layout, "input_file")
+    text = text.where((F.col("value") != F.col("_line")) & (F.col("value") != F.concat(F.lit("\ufeff"), "_line")))
+    places = {c: F.nullif(F.col("_at")[i], F.lit(-1)) for i, c in enumerate(columns)}
+    return _picked(_fields(text, ("_width", "_at", *keep)), F.col("_width"), places, columns, keep)
 
 
 def _whole_records(spark: SparkSession, files: Sequence[str], names: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -139,7 +166,7 @@ def _whole_records(spark: SparkSession, files: Sequence[str], names: Sequence[st
     # Read along with a field: the reader refuses to give its marks alone.
     record = F.when(F.length(F.coalesce("_f0", F.lit(""))) >= 0, F.col("_record"))
     raw = raw.where(record.isNull() | (field_count(record) >= len(names))).drop("_record")
-    return raw.toDF(*_fields(names), *keep)
+    return raw.toDF(*_unique(names), *keep)
 
 
 def field_count(line: Column) -> Column:
@@ -154,7 +181,7 @@ def _ddl(count: int) -> str:
     return ", ".join(f"_f{i} STRING" for i in range(count))
 
 
-def _fields(names: Sequence[str]) -> list[str]:
+def _unique(names: Sequence[str]) -> list[str]:
     """Names of the fields; of a repeated name the last field keeps it."""
     return [f"_dup{i}" if n in names[i + 1 :] or not n else n for i, n in enumerate(names)]
 
@@ -194,36 +221,63 @@ def hits_from_lines(
     names = [n.strip() for n in names]
     if not names:
         return conform(body.where(F.lit(False)).select(), columns)
-    return conform(_split_lines(body, names, drop_short_rows, keep), columns, keep=keep)
+    places, width = {c: F.lit(i) for c, i in _places(names).items()}, F.lit(len(names) if drop_short_rows else 0)
+    return _picked(_fields(body, keep), width, places, columns, keep)
 
 
-def _split_lines(body: DataFrame, names: Sequence[str], drop_short_rows: bool, keep: Sequence[str]) -> DataFrame:
-    """Fields of the lines ``value`` under ``names``.
+def _places(names: Sequence[str]) -> dict[str, int]:
+    """Place of each column; of a repeated name the last."""
+    return {n: i for i, n in enumerate(names) if n}
 
-    Plain lines are split at the tabs once; only lines with a quote are
-    parsed. An open quote means the row goes on in the next line.
+
+def _once(c: Column) -> Column:
+    """``c``, worked out once per row.
+
+    The condition is always true, but depends on the task: the optimizer does
+    not repeat such a column in the filters and columns that are made of it.
     """
-    quoted = F.instr("value", '"') > 0
-    staged = body.select(
-        F.when(~quoted, F.split("value", "\t", -1)).alias("_plain"), F.when(quoted, F.col("value")).alias("_quoted"), *keep
-    )
-    count = F.coalesce(F.size("_plain"), field_count(F.col("_quoted")))
-    text = "a line leaves a quote open: a field holds a line break; read the input with multi_line=True"
-    opens = F.coalesce(F.col("_quoted").rlike(_OPEN_QUOTE), F.lit(False))
-    staged = staged.where(F.when(opens, F.raise_error(F.lit(text)).cast("boolean")).otherwise(F.lit(True)))
-    if drop_short_rows:
-        staged = staged.where(count >= len(names))
-    staged = staged.select("_plain", F.from_csv("_quoted", _ddl(len(names)), TSV_OPTIONS).alias("_parsed"), *keep)
-    picked = [
-        F.nullif(F.coalesce(F.get("_plain", i), F.col(f"_parsed._f{i}")), F.lit("")).alias(f"_f{i}")
-        for i in range(len(names))
-    ]
-    return staged.select(*picked, *keep).toDF(*_fields(names), *keep)
-
-
-# Whole fields and their tabs, then a field that begins with a quote which the
-# line does not end.
-_OPEN_QUOTE = r'^(?:(?:"(?:[^"]|"")*+"[^\t]*+|[^"\t][^\t]*+|)\t)*+"(?:[^"]|"")*+$'
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
+#: A field that begins with a quote and is not one of ``"text without quote or tab"``.
+_UNLIKE_PLAIN = r'(?:^|\t)"(?![^"\t]*+"(?:\t|\z))'
+#: A field and the tab behind it, where the one before ends: a quoted field and
+#: what follows its closing quote, or text that does not begin with a quote.
+_FIELD = r'\G("[^"]*+(?:""[^"]*+)*+"(?!")[^\t]*+|(?!")[^\t]*+)\t'
+_QUOTE_OPEN = "a line leaves a quote open: a field holds a line break; read the input with multi_line=True"
+
+
+def _fields(text: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The fields of the lines ``value`` in an array ``_fields``; blank lines are left out."""
+    text = text.where(F.col("value") != F.lit(""))
+    quoted = F.contains("value", F.lit('"'))
+    odd = quoted & F.rlike("value", F.lit(_UNLIKE_PLAIN))
+    cut = text.select("value", quoted.alias("_quoted"), _once(odd).alias("_odd"), *keep)
+    parsed = F.regexp_extract_all(F.concat("value", F.lit("\t")), F.lit(_FIELD), F.lit(1))
+    raw = _once(F.when(F.col("_odd"), parsed).otherwise(F.split("value", "\t", -1)))
+    cut = cut.select(raw.alias("_raw"), F.when(F.col("_odd"), F.length("value")).alias("_length"), "_quoted", *keep)
+    # A match stops where a quote stays open.
+    opens = F.coalesce(F.length(F.array_join("_raw", "\t")) != F.col("_length"), F.lit(False))
+    cut = cut.where(F.when(opens, F.raise_error(F.lit(_QUOTE_OPEN)).cast("boolean")).otherwise(F.lit(True)))
+    plain = F.when(F.col("_quoted"), F.transform("_raw", _unquoted)).otherwise(F.col("_raw"))
+    return cut.select(_once(plain).alias("_fields"), *keep)
+
+
+def _unquoted(field: Column) -> Column:
+    """A field without its quotes; what follows its closing quote is as it stands."""
+    behind = F.regexp_extract(field, _QUOTED_THEN_TEXT, 2)
+    before = F.replace(F.regexp_extract(field, _QUOTED_THEN_TEXT, 1), F.lit('""'), F.lit('"'))
+    return F.when(~field.startswith('"'), field).otherwise(F.concat(before, behind))
+
+
+_QUOTED_THEN_TEXT = r'(?s)^"([^"]*+(?:""[^"]*+)*+)"(.*)$'
+
+
+def _picked(rows: DataFrame, width: Column, places: dict[str, Column], columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The contract columns by their places; rows with fewer fields than ``width`` are dropped."""
+    rows = rows.where(F.size("_fields") >= width)
+    absent = F.lit(None).cast("string")
+    return rows.select(*(_once(F.nullif(F.get("_fields", places[c]), F.lit(""))).alias(c) if c in places else absent.alias(c) for c in columns), *keep)
 
 
 def read_hits_stream(

@@ -11,23 +11,27 @@ only where none of its hits qualifies). The day is the upload's modification
 date (UTC) unless given. A ledger beside the table lists what was processed,
 by path and modification time: a replayed batch, or another stream into the
 same table, finds its uploads done and changes nothing, and a file uploaded
-again under its name is processed again. A file that cannot be read is noted
-in the ledger with its error and does not stop the others.
+again under its name is processed again. A file whose content cannot be read
+is noted in the ledger with its error and does not stop the others. Any other
+fault (a lost executor, a store that does not answer) is tried ``ATTEMPTS``
+times and then fails the batch, which runs again when the stream is started
+again: no upload is given up for it.
 
 ``running_revenue``: totals over all files seen so far. Each micro-batch adds
 its own sums, replaced where the batch is replayed; every ``SNAPSHOT_EVERY``
 batches they are folded into a snapshot, so a read sees one snapshot and a
-bounded tail however long the stream runs.
+bounded tail however long the stream runs. Files whose content cannot be read
+are set aside in ``_errors`` and the others counted.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -42,23 +46,24 @@ from clicklens.constants import (
 from clicklens.operators import exact_sum, keyword_revenue, labelled
 from clicklens.sinks import read_report_table, write_report_file
 from clicklens.sinks.files import child, exists, listed, move, remove
-from clicklens.sinks.report_table import SCHEMA, replace_folder
+from clicklens.sinks.report_table import SCHEMA, part_name, plain_path, replace_folder
 from clicklens.sources.tsv import read_hits, read_hits_stream
 
 LEDGER = "path string, mtime timestamp, run_date date, error string"
+ERRORS = "path string, error string"
 SNAPSHOT_EVERY = 50
+#: Times that work is tried where a fault may pass.
+ATTEMPTS = 3
 
 Upload = tuple[str, dt.datetime]
 
 
-def _plain_path(c: Column) -> Column:
-    """A file path as the file source's metadata and a listing both spell it."""
-    decoded = F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, "^([a-z0-9]+):/+", "$1:/")
+def of_the_data(error: Exception) -> bool:
+    """Whether a file's content is at fault (or the file is gone), so that trying again is of no use."""
+    return isinstance(error, FileNotFoundError) or any(mark in str(error) for mark in _DATA_FAULTS)
 
 
-def _part(path: str) -> str:
-    return hashlib.sha256(path.encode()).hexdigest()[:16]
+_DATA_FAULTS = ("USER_RAISED_EXCEPTION", "MALFORMED_", "PATH_NOT_FOUND", "FILE_NOT_EXIST", "not in GZIP format", "incorrect header check", "ZipException")
 
 
 def read_ledger(spark: SparkSession, table_path: str) -> DataFrame:
@@ -67,6 +72,26 @@ def read_ledger(spark: SparkSession, table_path: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(path) if exists(spark, path) else spark.createDataFrame([], LEDGER)
 
 
+def set_aside(files: list, work: Callable[[tuple], None]) -> dict[str, str]:
+    """Does ``work`` for each file (a tuple that begins with its path); errors of those whose content is at fault.
+
+    Other faults are raised after ``ATTEMPTS`` tries.
+    """
+    errors: dict[str, str] = {}
+    for one in files:
+        for attempt in range(1, ATTEMPTS + 1):
+            try:
+                work(one)
+                break
+            except (PySparkException, FileNotFoundError) as e:
+                if of_the_data(e):
+                    errors[one[0]] = str(e)[:2000]
+                    break
+                if attempt == ATTEMPTS:
+                    raise
+    return errors
+
+
 class _Reports:
     """Processes uploads into the report table, the ledger and the dated files."""
 
@@ -78,7 +103,7 @@ class _Reports:
         """Files of the folder whose modification time is later than the ledger's."""
         ledger = read_ledger(self.spark, self.table).groupBy("path").agg(F.max("mtime").alias("done"))
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(input_dir)
-        files = files.select(_plain_path(F.col("path")).alias("path"), "modificationTime")
+        files = files.select(plain_path(F.col("path")).alias("path"), "modificationTime")
         again = files.join(ledger, "path").where(F.col("modificationTime") > F.col("done"))
         return [(r["path"], r["modificationTime"]) for r in again.select("path", "modificationTime").collect()]
 
@@ -95,32 +120,23 @@ class _Reports:
             self._write(todo)
             errors: dict[str, str] = {}
         except (PySparkException, FileNotFoundError):
-            errors = self._one_by_one(todo)
+            errors = set_aside(todo, lambda one: self._write([one]))
         if self.prefix is not None:
             self._publish([t for t in todo if t[0] not in errors])
         rows = [(p, m, d, errors.get(p)) for p, m, d in todo]
         self.spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(child(self.table, "_ledger"))
 
-    def _one_by_one(self, todo: list) -> dict[str, str]:
-        errors = {}
-        for one in todo:
-            try:
-                self._write([one])
-            except (PySparkException, FileNotFoundError) as e:
-                errors[one[0]] = str(e)[:2000]
-        return errors
-
     def _write(self, todo: list) -> None:
         """Each upload's rows replace what its day and file held."""
         hits = read_hits(self.spark, [t[0] for t in todo], multi_line=self.multi_line, with_input_file=True)
-        hits = hits.withColumn("input_file", _plain_path(F.col("input_file")))
+        hits = hits.withColumn("input_file", plain_path(F.col("input_file")))
         agg = keyword_revenue(hits, extra_keys=("input_file",), **self.rules)
-        days = self.spark.createDataFrame([(p, d.isoformat(), _part(p)) for p, _, d in todo], "input_file string, run_date string, part string")
+        days = self.spark.createDataFrame([(p, d.isoformat(), part_name(p)) for p, _, d in todo], "input_file string, run_date string, part string")
         stage = child(self.table, f"_stage-{hashlib.sha256(repr(todo).encode()).hexdigest()[:12]}")
         # ``days`` has a row per file of the micro-batch.
         agg.join(F.broadcast(days), "input_file").write.mode("overwrite").partitionBy("run_date", "part").parquet(stage)
         for path, _, day in todo:
-            at = f"run_date={day.isoformat()}/part={_part(path)}"
+            at = f"run_date={day.isoformat()}/part={part_name(path)}"
             remove(self.spark, child(self.table, at))
             if exists(self.spark, child(stage, at)):
                 move(self.spark, child(stage, at), child(self.table, at))
@@ -139,13 +155,20 @@ class _Reports:
             write_report_file(labelled(mine_only), self.prefix, day)
 
 
+def read_set_aside(spark: SparkSession, table_path: str) -> DataFrame:
+    """Files that the running totals could not read: path and error."""
+    path = child(table_path, "_errors")
+    rows = spark.read.schema(f"{ERRORS}, batch long").parquet(path) if exists(spark, path) else spark.createDataFrame([], ERRORS)
+    return rows.select("path", "error")
+
+
 def _start(writer, available_now: bool) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()
 
 
 def _uploads(batch: DataFrame) -> list[Upload]:
     """The files of a micro-batch; ``max_files_per_trigger`` bounds them."""
-    rows = batch.select(_plain_path(F.col("path")).alias("path"), "modificationTime").collect()
+    rows = batch.select(plain_path(F.col("path")).alias("path"), "modificationTime").collect()
     return [(r["path"], r["modificationTime"]) for r in rows]
 
 
@@ -225,8 +248,16 @@ def running_revenue(
         files = [p for p, _ in _uploads(batch)]
         if not files or epoch_id in _numbered(spark, table_path, "snapshot"):
             return
-        hits = read_hits(spark, files, multi_line=multi_line)
-        replace_folder(keyword_revenue(hits, hosts, params, purchase_event), table_path, f"batch={epoch_id}")
+
+        def sums(paths: list[str]) -> DataFrame:
+            return keyword_revenue(read_hits(spark, paths, multi_line=multi_line), hosts, params, purchase_event)
+
+        try:
+            replace_folder(sums(files), table_path, f"batch={epoch_id}")
+        except (PySparkException, FileNotFoundError):
+            errors = set_aside([(f,) for f in files], lambda one: sums([one[0]]).write.format("noop").mode("overwrite").save())
+            replace_folder(spark.createDataFrame(list(errors.items()), ERRORS), child(table_path, "_errors"), f"batch={epoch_id}")
+            replace_folder(sums([f for f in files if f not in errors]), table_path, f"batch={epoch_id}")
         if (epoch_id + 1) % SNAPSHOT_EVERY == 0:
             old = _parts(spark, table_path)
             replace_folder(read_running_revenue(spark, table_path), table_path, f"snapshot={epoch_id}")
