@@ -58,6 +58,10 @@ _ODD_MARK = r"[^\p{L}\p{N}\s][,.][ \n]"
 SLICE = 1000
 
 
+#: What may be a special token, and the one letter whose lower case ends in a mark, which belongs to the punctuation behind it.
+_NOT_BY_WORD = "<\\||\u0130"
+
+
 class TextEncoder:
     """Encodes texts with a tokenizer that cuts at white space and ignores case.
 
@@ -158,10 +162,10 @@ class TextEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's ids begin and the last one's end."""
-        special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False) if self.by_word else np.ones(len(texts), bool)
+        special = pc.match_substring_regex(texts, _NOT_BY_WORD).to_numpy(zero_copy_only=False) if self.by_word else np.ones(len(texts), bool)
         if not special.any():
             return self._by_words(texts)
-        # A text that may hold a special token, or any text of an unknown tokenizer, is encoded whole.
+        # A text that words may not tell, or any text of an unknown tokenizer, is encoded whole.
         whole = self._whole([t.as_py() for t in texts.filter(pa.array(special))])
         ids, cuts = self._by_words(texts.filter(pa.array(~special))) if not special.all() else (np.zeros(0, np.uint32), np.zeros(1, np.int64))
         rest, parts = iter(np.split(ids, cuts[1:-1])), iter(whole)

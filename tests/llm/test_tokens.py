@@ -1,8 +1,10 @@
 """Token files: exact round trip, against the tokenizer and zlib alone."""
 
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from clicklens.llm import queries, tokens
@@ -105,3 +107,15 @@ def test_coder_round_trip(n, steps):
 def test_joined_checksums():
     a, b = b"some bytes", b"and the rest of them" * 100
     assert tokens._combine(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+
+
+def test_random_texts_as_the_library_encodes_them():
+    """Letters whose lower case is longer, marks, digits, scripts without spaces, controls and punctuation."""
+    r = random.Random(11)
+    alphabet = [*"aAbBzZ09.,;!?'\"-_<|> \n\t\r", "\u0130", "\u0131", "\u0307", "\u0301", "\u00df", "\u1e9e", "\u01c5", "\u03a3", "\u4e2d", "\u6587", "\u3042", "\u0e01", "\u0e31", "\u0915", "\u094d", "\u0660", "\u00b2", "\u00bd", "\u2019", "\u00a0", "\u200d", "\x00", "\x1c", "\x85", "\U0001f600", "\u00e9", "e\u0301", "\u00c9"]
+    texts = ["".join(r.choices(alphabet, k=r.randint(1, 12))) for _ in range(20_000)]
+    encoder = tokens.TextEncoder(queries.word_tokenizer())
+    ids, cuts = encoder.encode(pa.array(texts))
+    want = encoder._whole(texts)
+    wrong = [(t, got.tolist(), w) for t, got, w in zip(texts, np.split(ids, cuts[1:-1]), want, strict=True) if got.tolist() != w]
+    assert wrong == []
