@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from .common import small_side, stored
 
 #: Words of a strip, of all open strips of a task, and of a shard; the last text or strip may take it past this.
-STRIP_WORDS, OPEN_WORDS, SHARD_WORDS = 1 << 20, 1 << 22, 3 << 20
+STRIP_WORDS, OPEN_WORDS, SHARD_WORDS = 1 << 20, 1 << 22, 2 << 20
 #: Words of the longest phrase, and how deep suffixes are sorted.
 LONGEST = 4
 LEAST, TOP = 30, 2000
