@@ -12,7 +12,8 @@ may be split over tasks. A line is cut at its tabs; only lines with a quote
 inside a quoted field, or a tab there, are parsed field by field. A line that
 leaves a quote open belongs to a field with a line break in it: reading it
 line by line would lose the row, so the read fails and asks for
-``multi_line=True``, which reads each file in one task.
+``multi_line=True``, which joins lines to records first, files in splits all
+the same (``records``).
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicklens.constants import HIT_COLUMNS
+from clicklens.sources.records import records
 from clicklens.sources.schema import conform
 
 TSV_OPTIONS = {"sep": "\t", "quote": '"', "escape": '"'}
@@ -36,14 +38,6 @@ WRITE_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
-# One match per field separator: a field (quoted, with doubled quotes inside
-# and free text after the closing quote; or plain, not starting with a quote;
-# or empty) and the tab after it,
-# each match starting where the previous one ended (\G). A match is never
-# empty, so no separator is skipped; the last field has no tab after it.
-_FIELD_AND_TAB = r'\G(?:"(?:[^"]|"")*"[^\t]*|[^\t"][^\t]*|)\t'
-
-
 #: Files that one scan reads under different headers; their places are broadcast (about 300 bytes a file).
 FILES_A_SCAN = 50_000
 
@@ -111,25 +105,19 @@ def read_hits(
     """
     keep = ("input_file",) if with_input_file else ()
     headers = file_headers(spark, path)
-    parts = []
-    if multi_line:
-        for line in sorted(set(headers.values())):
-            files = [f for f, h in headers.items() if h == line]
-            parts.append(conform(_whole_records(spark, files, header_names(line), keep), columns, keep=keep))
-    else:
-        files = list(headers)
-        for at in range(0, len(files), FILES_A_SCAN):
-            parts.append(_scan(spark, {f: headers[f] for f in files[at : at + FILES_A_SCAN]}, columns, with_input_file))
+    parts, files = [], list(headers)
+    for at in range(0, len(files), FILES_A_SCAN):
+        parts.append(_scan(spark, {f: headers[f] for f in files[at : at + FILES_A_SCAN]}, columns, with_input_file, multi_line))
     if parts:
         return reduce(DataFrame.unionByName, parts)
     schema = ", ".join(f"`{c}` string" for c in (*columns, *keep))
     return spark.createDataFrame([], schema)
 
 
-def _scan(spark: SparkSession, headers: dict[str, str], columns: Sequence[str], with_input_file: bool) -> DataFrame:
+def _scan(spark: SparkSession, headers: dict[str, str], columns: Sequence[str], with_input_file: bool, multi_line: bool) -> DataFrame:
     """Hits of these files, each by its own header, in one scan."""
-    text = spark.read.text(list(headers))
-    if with_input_file or len(set(headers.values())) > 1:
+    text = records(spark, list(headers)) if multi_line else spark.read.text(list(headers))
+    if not multi_line and (with_input_file or len(set(headers.values())) > 1):
         text = text.select("value", F.col("_metadata.file_path").alias("input_file"))
     keep = ("input_file",) if with_input_file else ()
     if len(set(headers.values())) == 1:
@@ -153,39 +141,6 @@ def _scan(spark: SparkSession, headers: dict[str, str], columns: Sequence[str],
     return _picked(_fields(text, ("_width", "_at", *keep)), F.col("_width"), places, columns, keep)
 
 
-def _whole_records(spark: SparkSession, files: Sequence[str], names: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """Records that may span lines, each file in one task; short ones are dropped.
-
-    The reader marks records of another length than the header; columns are
-    not pruned, for the mark depends on all of them.
-    """
-    reader = spark.read.schema(f"{_ddl(len(names))}, _record STRING").options(header="true", multiLine="true", **TSV_OPTIONS)
-    raw = reader.options(columnNameOfCorruptRecord="_record", columnPruning="false").csv(list(files))
-    if keep:
-        raw = raw.withColumn("input_file", F.col("_metadata.file_path"))
-    # Read along with a field: the reader refuses to give its marks alone.
-    record = F.when(F.length(F.coalesce("_f0", F.lit(""))) >= 0, F.col("_record"))
-    raw = raw.where(record.isNull() | (field_count(record) >= len(names))).drop("_record")
-    return raw.toDF(*_unique(names), *keep)
-
-
-def field_count(line: Column) -> Column:
-    """Number of tab-separated fields of a line, honouring quotes."""
-    plain = F.size(F.split(line, "\t", -1))
-    quoted = F.size(F.regexp_extract_all(line, F.lit(_FIELD_AND_TAB), F.lit(0))) + 1
-    return F.when(F.instr(line, '"') == 0, plain).otherwise(quoted)
-
-
-def _ddl(count: int) -> str:
-    """Fields by position; names may differ in case only, which a schema cannot hold."""
-    return ", ".join(f"_f{i} STRING" for i in range(count))
-
-
-def _unique(names: Sequence[str]) -> list[str]:
-    """Names of the fields; of a repeated name the last field keeps it."""
-    return [f"_dup{i}" if n in names[i + 1 :] or not n else n for i, n in enumerate(names)]
-
-
 def lines_frame(spark: SparkSession, lines: Sequence[str]) -> DataFrame:
     """A DataFrame of lines from a Python list (for small, in-memory inputs)."""
     return spark.createDataFrame([(line,) for line in lines], "value string")
