@@ -319,4 +319,5 @@ def oracle_sql() -> dict[str, str]:
             keyword_revenue(keep="substr(date_time, 1, 10) AS day, ", key="day, ")
         ),
         "running_revenue": with_hits(KEYWORD_REVENUE),
+        "running_revenue_reupload": with_hits(keyword_revenue(where="NOT (CAST(substr(date_time, 9, 2) AS INTEGER) % 2 = 0 AND event_id % 3 = 0)")),
     }

@@ -17,11 +17,16 @@ fault (a lost executor, a store that does not answer) is tried ``ATTEMPTS``
 times and then fails the batch, which runs again when the stream is started
 again: no upload is given up for it.
 
-``running_revenue``: totals over all files seen so far. Each micro-batch adds
-its own sums, replaced where the batch is replayed; every ``SNAPSHOT_EVERY``
-batches they are folded into a snapshot, so a read sees one snapshot and a
-bounded tail however long the stream runs. Files whose content cannot be read
-are set aside in ``_errors`` and the others counted.
+``running_revenue``: totals over the newest upload of every file so far. Each
+step logs its uploads' own sums and, for a file uploaded again, the sums that
+it had before with the sign turned, so the totals follow corrections. An
+upload that the log holds is not added again (replayed batches, a stream with
+a new checkpoint). Totals of many steps are kept as one table, so a read sees
+that and a bounded tail of steps however long the stream runs. Files whose
+content cannot be read are set aside with their error and the others counted;
+what such a file held before stays. One stream at a time writes to a table.
+
+The logs are ``uploads.Log``s: a batch reads what is as late as its own files.
 """
 
 from __future__ import annotations
@@ -48,16 +53,15 @@ from clicklens.sinks import read_report_table, write_report_file
 from clicklens.sinks.files import child, exists, listed, move, remove
 from clicklens.sinks.report_table import SCHEMA, part_name, plain_path, replace_folder
 from clicklens.sources.tsv import read_hits, read_hits_stream
+from clicklens.streaming.uploads import Changes, Log, Upload
 
 LEDGER = "path string, mtime timestamp, run_date date, error string"
-ERRORS = "path string, error string"
-SNAPSHOT_EVERY = 50
+#: A row per upload (no domain; its error, if any), and its sums by pair: sign 1, or -1 where they are taken back.
+SUMS = f"path string, mtime timestamp, error string, {SCHEMA}, sign int"
+TOTALS = f"{SCHEMA}, uploads long"
 #: Times that work is tried where a fault may pass.
 ATTEMPTS = 3
 
-Upload = tuple[str, dt.datetime]
-
-
 def of_the_data(error: Exception) -> bool:
     """Whether a file's content is at fault (or the file is gone), so that trying again is of no use."""
     return isinstance(error, FileNotFoundError) or any(mark in str(error) for mark in _DATA_FAULTS)
@@ -68,8 +72,7 @@ _DATA_FAULTS = ("USER_RAISED_EXCEPTION", "MALFORMED_", "PATH_NOT_FOUND", "FILE_N
 
 def read_ledger(spark: SparkSession, table_path: str) -> DataFrame:
     """Processed uploads: path, modification time, day, and the error of those that could not be read."""
-    path = child(table_path, "_ledger")
-    return spark.read.schema(LEDGER).parquet(path) if exists(spark, path) else spark.createDataFrame([], LEDGER)
+    return Log(spark, child(table_path, "_ledger"), LEDGER).rows()
 
 
 def set_aside(files: list, work: Callable[[tuple], None]) -> dict[str, str]:
@@ -98,22 +101,19 @@ class _Reports:
     def __init__(self, spark: SparkSession, table_path: str, output_prefix: str | None, run_date: dt.date | None, multi_line: bool, rules: dict):
         self.spark, self.table, self.prefix, self.run_date = spark, table_path, output_prefix, run_date
         self.multi_line, self.rules = multi_line, rules
+        self.log = Log(spark, child(table_path, "_ledger"), LEDGER)
 
-    def changed(self, input_dir: str) -> list[Upload]:
-        """Files of the folder whose modification time is later than the ledger's."""
-        ledger = read_ledger(self.spark, self.table).groupBy("path").agg(F.max("mtime").alias("done"))
-        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(input_dir)
-        files = files.select(plain_path(F.col("path")).alias("path"), "modificationTime")
-        again = files.join(ledger, "path").where(F.col("modificationTime") > F.col("done"))
-        return [(r["path"], r["modificationTime"]) for r in again.select("path", "modificationTime").collect()]
+    def _days(self, uploads: list[Upload]) -> list[dt.date]:
+        """Day of each upload, in the session's time zone."""
+        if not uploads or self.run_date:
+            return [self.run_date] * len(uploads)
+        rows = self.spark.createDataFrame([(i, m) for i, (_, m) in enumerate(uploads)], "i int, mtime timestamp")
+        return [r["day"] for r in sorted(rows.select("i", F.to_date("mtime").alias("day")).collect())]
 
     def process(self, uploads: list[Upload]) -> None:
         """``uploads`` is a micro-batch's list of files; those in the ledger are left alone."""
-        if not uploads:
-            return
-        given = self.spark.createDataFrame(uploads, "path string, mtime timestamp")
-        given = given.join(read_ledger(self.spark, self.table), ["path", "mtime"], "left_anti")
-        todo = sorted({(r["path"], r["mtime"], self.run_date or r["day"]) for r in given.withColumn("day", F.to_date("mtime")).collect()})
+        new = self.log.unknown(uploads)
+        todo = [(p, m, self.run_date or d) for (p, m), d in zip(new, self._days(new), strict=True)]
         if not todo:
             return
         try:
@@ -124,7 +124,9 @@ class _Reports:
         if self.prefix is not None:
             self._publish([t for t in todo if t[0] not in errors])
         rows = [(p, m, d, errors.get(p)) for p, m, d in todo]
-        self.spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(child(self.table, "_ledger"))
+        self.log.add(self.spark.createDataFrame(rows, LEDGER).coalesce(1))
+        if self.log.full():
+            self.log.fold()
 
     def _write(self, todo: list) -> None:
         """Each upload's rows replace what its day and file held."""
@@ -155,13 +157,6 @@ class _Reports:
             write_report_file(labelled(mine_only), self.prefix, day)
 
 
-def read_set_aside(spark: SparkSession, table_path: str) -> DataFrame:
-    """Files that the running totals could not read: path and error."""
-    path = child(table_path, "_errors")
-    rows = spark.read.schema(f"{ERRORS}, batch long").parquet(path) if exists(spark, path) else spark.createDataFrame([], ERRORS)
-    return rows.select("path", "error")
-
-
 def _start(writer, available_now: bool) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()
 
@@ -189,43 +184,111 @@ def incremental_report(
 ) -> StreamingQuery:
     """Start the per-upload report stream; with ``available_now`` it stops when caught up.
 
-    Files uploaded again are processed at the start and with every batch.
+    Files uploaded again are processed at the start and then with the batches, at
+    most every ``uploads.RELIST_SECONDS``.
     """
     rules = {"hosts": hosts, "params": params, "purchase_event": purchase_event}
     reports = _Reports(spark, table_path, output_prefix, run_date, multi_line, rules)
-    if exists(spark, child(table_path, "_ledger")):
-        reports.process(reports.changed(input_dir))
+    return _follow(reports, input_dir, checkpoint_path, max_files_per_trigger, available_now)
+
+
+def _follow(work, input_dir: str, checkpoint_path: str, max_files_per_trigger: int | None, available_now: bool) -> StreamingQuery:
+    """Streams the folder's uploads, new and changed, into ``work.process``."""
+    changes = Changes(work.log, input_dir)
+    if exists(work.spark, work.log.path):
+        work.process(changes.find())
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        reports.process(_uploads(batch))
-        reports.process(reports.changed(input_dir))
+        work.process(_uploads(batch))
+        if changes.due():
+            work.process(changes.find())
 
-    stream = read_hits_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger)
+    stream = read_hits_stream(work.spark, input_dir, max_files_per_trigger=max_files_per_trigger)
     return _start(stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_path), available_now)
 
 
 # ----------------------------------------------------------- running totals
 
 
-def _numbered(spark: SparkSession, table_path: str, kind: str) -> list[int]:
-    if not exists(spark, table_path):
-        return []
-    names = (p.rpartition("/")[2] for p in listed(spark, table_path))
-    return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{kind}="))
+class _Totals:
+    """Adds uploads to the log of sums, and folds its steps into the totals."""
 
+    def __init__(self, spark: SparkSession, table_path: str, multi_line: bool = False, rules: dict | None = None):
+        self.spark, self.table, self.multi_line, self.rules = spark, table_path, multi_line, rules or {}
+        self.log = Log(spark, child(table_path, "_sums"), SUMS)
 
-def _parts(spark: SparkSession, table_path: str) -> list[str]:
-    """The folders that make up the totals: the newest snapshot and the batches after it."""
-    snapshot = max(_numbered(spark, table_path, "snapshot"), default=-1)
-    tail = [f"batch={n}" for n in _numbered(spark, table_path, "batch") if n > snapshot]
-    return ([f"snapshot={snapshot}"] if snapshot >= 0 else []) + tail
+    def process(self, uploads: list[Upload]) -> None:
+        """``uploads`` is a micro-batch's list of files; of a file listed twice the newest counts."""
+        todo = sorted({p: m for p, m in sorted(self.log.unknown(uploads))}.items())
+        if not todo:
+            return
+        before = self._before(todo)
+        # Of an earlier version that a replay brings, the later one's sums stand.
+        todo = [(p, m) for p, m in todo if p not in before or m > before[p]]
+        try:
+            self._add(todo, before, {})
+        except (PySparkException, FileNotFoundError):
+            errors = set_aside(todo, lambda one: self._sums([one[0]]).write.format("noop").mode("overwrite").save())
+            self._add(todo, before, errors)
+        if self.log.full():
+            self.fold()
+
+    def _before(self, todo: list[Upload]) -> dict[str, dt.datetime]:
+        """The version that counts so far, of those files that have one."""
+        given = F.broadcast(self.spark.createDataFrame(todo, "path string, _given timestamp"))
+        rows = self.log.rows().where(F.col(DOMAIN).isNull() & F.col("error").isNull()).join(given, "path")
+        return {r["path"]: r["mtime"] for r in rows.groupBy("path").agg(F.max("mtime").alias("mtime")).collect()}
+
+    def _sums(self, paths: list[str]) -> DataFrame:
+        hits = read_hits(self.spark, paths, multi_line=self.multi_line, with_input_file=True)
+        return keyword_revenue(hits.withColumn("input_file", plain_path(F.col("input_file"))), extra_keys=("input_file",), **self.rules)
+
+    def _add(self, todo: list[Upload], before: dict[str, dt.datetime], errors: dict[str, str]) -> None:
+        good = [(p, m) for p, m in todo if p not in errors]
+        marks = [(p, m, errors.get(p), None, None, None, 1) for p, m in todo]
+        rows = self.spark.createDataFrame(marks, SUMS)
+        if good:
+            # Both lists have a row per file of the micro-batch.
+            given = F.broadcast(self.spark.createDataFrame(good, "input_file string, mtime timestamp"))
+            sums = self._sums([p for p, _ in good]).join(given, "input_file")
+            rows = rows.unionByName(sums.select(F.col("input_file").alias("path"), "mtime", F.lit(None).cast("string").alias("error"), DOMAIN, KEYWORD, REVENUE, F.lit(1).alias("sign")))
+        if again := [(p, before[p]) for p, _ in good if p in before]:
+            old = F.broadcast(self.spark.createDataFrame(again, "path string, mtime timestamp"))
+            back = self.log.rows().where(F.col(DOMAIN).isNotNull() & (F.col("sign") == 1)).join(old, ["path", "mtime"], "left_semi")
+            rows = rows.unionByName(back.withColumn("sign", F.lit(-1)))
+        self.log.add(rows.coalesce(8))
+
+    def _newest(self) -> int:
+        names = (p.rpartition("/")[2] for p in listed(self.spark, self.table)) if exists(self.spark, self.table) else ()
+        return max((int(n.partition("=")[2]) for n in names if n.startswith("totals=")), default=-1)
+
+    def totals(self) -> DataFrame:
+        """Revenue of each pair, and in how many files it stands; pairs that stand in none are left out."""
+        newest = self._newest()
+        tail = self.log.rows(after=newest).where(F.col(DOMAIN).isNotNull())
+        rows = tail.select(DOMAIN, KEYWORD, (F.col(REVENUE) * F.col("sign")).alias(REVENUE), F.col("sign").cast("long").alias("uploads"))
+        if newest >= 0:
+            rows = rows.unionByName(self.spark.read.schema(TOTALS).parquet(child(self.table, f"totals={newest}")))
+        sums = rows.groupBy(DOMAIN, KEYWORD).agg(exact_sum(REVENUE).alias(REVENUE), F.sum("uploads").alias("uploads"))
+        return sums.where(F.col("uploads") > 0)
+
+    def fold(self) -> None:
+        """The open steps go into new totals, then into a fold of the log: a fault between leaves both right."""
+        old, last = self._newest(), self.log.last()
+        replace_folder(self.totals(), self.table, f"totals={last}")
+        if old >= 0:
+            remove(self.spark, child(self.table, f"totals={old}"))
+        self.log.fold()
+
+
+def read_set_aside(spark: SparkSession, table_path: str) -> DataFrame:
+    """Uploads that the running totals could not read: path and error."""
+    return _Totals(spark, table_path).log.rows().where(F.col("error").isNotNull()).select("path", "error")
 
 
 def read_running_revenue(spark: SparkSession, table_path: str) -> DataFrame:
     """Running total of each (domain, keyword); no rows before the first batch."""
-    parts = [child(table_path, p) for p in _parts(spark, table_path)]
-    rows = spark.read.schema(SCHEMA).parquet(*parts) if parts else spark.createDataFrame([], SCHEMA)
-    return rows.groupBy(DOMAIN, KEYWORD).agg(exact_sum(REVENUE).alias(REVENUE))
+    return _Totals(spark, table_path).totals().select(DOMAIN, KEYWORD, REVENUE)
 
 
 def running_revenue(
@@ -241,28 +304,7 @@ def running_revenue(
     params: Sequence[str] = KEYWORD_PARAMS,
     purchase_event: str = PURCHASE_EVENT,
 ) -> StreamingQuery:
-    """Running (domain, keyword, revenue) over every file so far, in ``table_path``
-    (read it with ``read_running_revenue``)."""
-
-    def handle(batch: DataFrame, epoch_id: int) -> None:
-        files = [p for p, _ in _uploads(batch)]
-        if not files or epoch_id in _numbered(spark, table_path, "snapshot"):
-            return
-
-        def sums(paths: list[str]) -> DataFrame:
-            return keyword_revenue(read_hits(spark, paths, multi_line=multi_line), hosts, params, purchase_event)
-
-        try:
-            replace_folder(sums(files), table_path, f"batch={epoch_id}")
-        except (PySparkException, FileNotFoundError):
-            errors = set_aside([(f,) for f in files], lambda one: sums([one[0]]).write.format("noop").mode("overwrite").save())
-            replace_folder(spark.createDataFrame(list(errors.items()), ERRORS), child(table_path, "_errors"), f"batch={epoch_id}")
-            replace_folder(sums([f for f in files if f not in errors]), table_path, f"batch={epoch_id}")
-        if (epoch_id + 1) % SNAPSHOT_EVERY == 0:
-            old = _parts(spark, table_path)
-            replace_folder(read_running_revenue(spark, table_path), table_path, f"snapshot={epoch_id}")
-            for part in old:
-                remove(spark, child(table_path, part))
-
-    stream = read_hits_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger)
-    return _start(stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_path), available_now)
+    """Running (domain, keyword, revenue) over the newest upload of every file so far, in
+    ``table_path`` (read it with ``read_running_revenue``)."""
+    rules = {"hosts": hosts, "params": params, "purchase_event": purchase_event}
+    return _follow(_Totals(spark, table_path, multi_line, rules), input_dir, checkpoint_path, max_files_per_trigger, available_now)

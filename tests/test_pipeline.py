@@ -224,7 +224,7 @@ def test_incremental_equals_batch_per_file(spark, tmp):
     running_revenue(spark, f"{src}/*", f"{tmp}/rt", f"{tmp}/rck", max_files_per_trigger=1).awaitTermination()
     want = {tuple(r) for r in keyword_revenue(hits).collect()}
     assert {tuple(r) for r in read_running_revenue(spark, f"{tmp}/rt").collect()} == want
-    assert len([x for x in os.listdir(f"{tmp}/rt") if x.startswith("batch=")]) == 2
+    assert len([x for x in os.listdir(f"{tmp}/rt/_sums") if x.startswith("step=")]) == 2
 
 
 def test_cli(spark, tmp, capsys):
@@ -450,15 +450,16 @@ def test_odd_and_unreadable_uploads_do_not_stop_the_stream(spark, tmp):
 
 
 def test_running_totals_read_a_bounded_number_of_parts(spark, tmp, monkeypatch):
-    from clicklens.streaming import incremental, read_running_revenue, running_revenue
+    from clicklens.streaming import read_running_revenue, running_revenue, uploads
 
-    monkeypatch.setattr(incremental, "SNAPSHOT_EVERY", 4)
+    monkeypatch.setattr(uploads, "FOLD_EVERY", 4)
     assert read_running_revenue(spark, f"{tmp}/none").collect() == []
     for i in range(11):
         upload(f"{tmp}/in/{i:02}.tab", *([A] if i else []))  # the first has no hit
     running_revenue(spark, f"{tmp}/in", f"{tmp}/r", f"{tmp}/rck", max_files_per_trigger=1).awaitTermination()
-    parts = sorted(x for x in os.listdir(f"{tmp}/r") if "=" in x)
-    assert parts == ["batch=10", "batch=8", "batch=9", "snapshot=7"]
+    log = sorted(x.split("-")[0] for x in os.listdir(f"{tmp}/r/_sums") if "=" in x)
+    assert log == ["fold=3", "fold=7", "step=10", "step=8", "step=9"]
+    assert [x for x in os.listdir(f"{tmp}/r") if "=" in x] == ["totals=7"]
     assert [tuple(r) for r in read_running_revenue(spark, f"{tmp}/r").collect()] == [("google.com", "a", 100.0)]
 
 
