@@ -20,7 +20,7 @@ from clicklens.constants import (
     REVENUE_SUM_TYPE,
     SEARCH_ENGINE_HOSTS,
 )
-from clicklens.operators.attribution import search_purchases
+from clicklens.operators.attribution import Hosts, search_purchases
 
 
 def exact_sum(c: Column | str) -> Column:
@@ -49,7 +49,7 @@ def revenue_by(df: DataFrame, keys: Sequence[str], value: str = REVENUE, name: s
 
 def keyword_revenue(
     hits: DataFrame,
-    hosts: Sequence[str] = SEARCH_ENGINE_HOSTS,
+    hosts: Hosts = SEARCH_ENGINE_HOSTS,
     params: Sequence[str] = KEYWORD_PARAMS,
     purchase_event: str = PURCHASE_EVENT,
     extra_keys: Sequence[str] = (),
@@ -95,7 +95,7 @@ def labelled(agg: DataFrame) -> DataFrame:
 
 def keyword_report(
     hits: DataFrame,
-    hosts: Sequence[str] = SEARCH_ENGINE_HOSTS,
+    hosts: Hosts = SEARCH_ENGINE_HOSTS,
     params: Sequence[str] = KEYWORD_PARAMS,
     purchase_event: str = PURCHASE_EVENT,
 ) -> DataFrame:

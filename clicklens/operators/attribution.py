@@ -57,8 +57,38 @@ def with_attribution(
     )
 
 
-def external_search_hits(df: DataFrame, hosts: Sequence[str] = SEARCH_ENGINE_HOSTS) -> DataFrame:
-    """Hits whose referrer host is a search engine, with ``search_engine_domain``."""
+#: Host tables of up to this many rows are sent to every task.
+FEW_HOSTS = 200_000
+
+Hosts = Sequence[str] | DataFrame
+
+
+def from_hosts(df: DataFrame, hosts: DataFrame) -> DataFrame:
+    """Hits whose referrer's domain is in a table of hosts (its first column), the match
+    being that of ``is_search_domain``: a listed host also stands for itself without
+    one leading ``www.``.
+
+    Nulls, empty and repeated hosts change nothing. The table is counted: up to
+    ``FEW_HOSTS`` rows it goes to every task; beyond, both sides are dealt by
+    domain, a hot domain's hits being split by adaptive execution.
+    """
+    host = F.lower(hosts[hosts.columns[0]].cast("string"))
+    listed = hosts.select(host.alias("_host")).where(F.col("_host") != "")
+    bare = F.when(F.col("_host").startswith("www.") & (F.length("_host") > 4), F.substring("_host", F.lit(5), F.length("_host") - 4))
+    accepted = listed.select(F.explode(F.array_compact(F.array("_host", bare))).alias("_host")).distinct()
+    few = accepted.limit(FEW_HOSTS + 1).count() <= FEW_HOSTS
+    # Hits without a host are dropped ahead of the join.
+    keyed = df.withColumn("_host", url_domain("referrer")).where(F.col("_host").isNotNull())
+    return keyed.join(F.broadcast(accepted) if few else accepted, "_host", "left_semi").select(*df.columns)
+
+
+def external_search_hits(df: DataFrame, hosts: Hosts = SEARCH_ENGINE_HOSTS) -> DataFrame:
+    """Hits whose referrer host is a search engine, with ``search_engine_domain``.
+
+    ``hosts`` is a list, or a table whose first column names them.
+    """
+    if isinstance(hosts, DataFrame):
+        return with_domain(from_hosts(df, hosts))
     return with_domain(df.where(is_search_referrer("referrer", hosts)))
 
 
@@ -93,7 +123,7 @@ def attribute(df: DataFrame, params: Sequence[str] = KEYWORD_PARAMS, keep: Seque
 
 def search_purchases(
     df: DataFrame,
-    hosts: Sequence[str] = SEARCH_ENGINE_HOSTS,
+    hosts: Hosts = SEARCH_ENGINE_HOSTS,
     params: Sequence[str] = KEYWORD_PARAMS,
     purchase_event: str = PURCHASE_EVENT,
     keep: Sequence[str] = (),
@@ -105,14 +135,17 @@ def search_purchases(
     this order: the purchase test (a substring check, then a short regex)
     first, because purchases are the rarer condition, then the host test (one
     regex and a set lookup) only on purchases. Keyword and revenue are
-    computed once, only for hits that pass both.
+    computed once, only for hits that pass both. A table of hosts is joined to
+    the purchases alone.
     """
+    if isinstance(hosts, DataFrame):
+        return attribute(from_hosts(purchase_hits(df, purchase_event), hosts), params, keep)
     return attribute(df.where(candidate_flag(hosts, purchase_event)), params, keep)
 
 
 def qualified_hits(
     df: DataFrame,
-    hosts: Sequence[str] = SEARCH_ENGINE_HOSTS,
+    hosts: Hosts = SEARCH_ENGINE_HOSTS,
     params: Sequence[str] = KEYWORD_PARAMS,
     purchase_event: str = PURCHASE_EVENT,
     keep: Sequence[str] = (),

@@ -260,6 +260,11 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT event_id, d AS search_engine_domain FROM "
             f"(SELECT event_id, {domain('referrer')} AS d FROM hits) WHERE {is_search('d')}"
         ),
+        "external_search_hits_table": with_hits(
+            f"SELECT event_id, d AS search_engine_domain FROM (SELECT event_id, {domain('referrer')} AS d FROM hits) "
+            f"WHERE d IN (SELECT {domain('referrer')} FROM hits WHERE {purchase('event_list')}) "
+            f"OR d IN (SELECT 'www.' || {domain('referrer')} FROM hits WHERE {purchase('event_list')})"
+        ),
         "purchase_hits": with_hits(f"SELECT event_id, event_list FROM hits WHERE {purchase('event_list')}"),
         "qualified_hits": with_hits(QUALIFIED),
         "keyword_revenue": with_hits(KEYWORD_REVENUE),

@@ -88,6 +88,13 @@ def q_external_search_hits(spark: SparkSession, sf: str) -> DataFrame:
     return external_search_hits(derived_hits(spark, sf)).select("event_id", DOMAIN)
 
 
+def q_external_search_hits_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The hosts are a table: those that purchases came from, in upper case and with ``www.``."""
+    hits = derived_hits(spark, sf)
+    hosts = purchase_hits(hits).select(F.upper(F.concat(F.lit("www."), url_domain("referrer"))).alias("host"))
+    return external_search_hits(hits, hosts).select("event_id", DOMAIN)
+
+
 def q_purchase_hits(spark: SparkSession, sf: str) -> DataFrame:
     return purchase_hits(derived_hits(spark, sf)).select("event_id", "event_list")
 
@@ -382,6 +389,7 @@ QUERIES: dict[str, Query] = {
     "hit_attribution": q_hit_attribution,
     "product_rows": q_product_rows,
     "external_search_hits": q_external_search_hits,
+    "external_search_hits_table": q_external_search_hits_table,
     "purchase_hits": q_purchase_hits,
     "qualified_hits": q_qualified_hits,
     "keyword_revenue": q_keyword_revenue,
