@@ -15,7 +15,9 @@ reruns agree.
 Scripts, styles and other raw elements are never blocks. One that is not closed
 inside its parent loses its tag alone, so that the page's text stays; scripts,
 styles, titles and text areas run to the page's end. Character references
-are decoded, white space in a block becomes one space, empty blocks go.
+are decoded, white space in a block becomes one space, empty blocks go. Cutting
+takes time linear in the page, and a page of more than ``BATCH_BLOCKS`` blocks is
+scored in parts, so that broken or endless markup is bounded in time and memory.
 
 Defined cases: a null page is empty and has no text; text without markup is
 one block; broken markup is read to its end; repeated rows are all returned;
@@ -28,6 +30,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -64,31 +67,103 @@ SAMPLE_PAGES = 400
 #: Characters of a sampled page, from its start, and of a block of it, that training layouts are filled from.
 SAMPLE_CHARS, SAMPLE_BLOCK_CHARS = 20_000, 600
 TRAIN_PAGES, EPOCHS, SEED = 600, 14, 7
-#: Blocks of a batch of pages that are scored together.
+#: Blocks of a batch of pages that are scored together; a longer page is scored in parts of as many.
 BATCH_BLOCKS = 8192
 
 
+_START = re.compile(r"(<!--)|<(/?)([a-zA-Z][^\s/>]*+)|<[!?][^>]*+>")
+_QUOTED = re.compile("[>\"']")
 _IFRAME = re.compile(r"<(/?)iframe(?=[\s/>])[^>]*+>", re.I)
 
 
+@dataclass
+class Tag:
+    start: int
+    end: int
+    name: str  # empty: a comment or declaration
+    closing: bool
+    attributes: str
+
+
+class Tags:
+    """Finds a page's tags, in time linear in the page.
+
+    A tag ends at the first ``>`` outside its quotes, or at the first ``>`` if
+    there is none outside. The pattern finds that out by reading on, at worst to
+    the page's end; the first time that it does so in vain, the ends of all
+    further tags are worked out in one pass from the end.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        #: Behind the last ``>`` only a comment can begin.
+        self.last = page.rfind(">") + 1
+        self.marks: list[int] | None = None
+        self.ends: list[int] = []
+
+    def next(self, at: int) -> Tag | None:
+        if self.marks is None:
+            m = _TAG.search(self.page, at, self.last)
+            if m is None:
+                return self._comment(self.page.find("<!--", max(at, self.last)))
+            if m[5] is None:
+                if m[2] is None and m[0].startswith("<!--"):
+                    return self._comment(m.start())
+                return Tag(m.start(), m.end(), (m[2] or "").lower(), bool(m[1]), m[3] or "")
+            self._work_out()
+        m = _START.search(self.page, at, self.last)
+        if m is None:
+            return self._comment(self.page.find("<!--", max(at, self.last)))
+        if m[1]:
+            return self._comment(m.start())
+        if m[3] is None:
+            return Tag(m.start(), m.end(), "", False, "")
+        place = bisect_left(self.marks, m.end())
+        end = self.ends[place] if place < len(self.ends) else -1
+        if end < 0:
+            end = self.page.find(">", m.end())
+        return Tag(m.start(), end + 1, m[3].lower(), bool(m[2]), self.page[m.end() : end])
+
+    def _comment(self, start: int) -> Tag | None:
+        if start < 0:
+            return None
+        end = self.page.find("-->", start + 4)
+        return Tag(start, len(self.page) if end < 0 else end + 3, "", False, "")
+
+    def _work_out(self) -> None:
+        """``ends``: of each quote or ``>``, where a tag ends that is read up to there outside quotes (-1: nowhere)."""
+        self.marks = [m.start() for m in _QUOTED.finditer(self.page)]
+        self.ends = [-1] * len(self.marks)
+        plain = double = single = -1  # the end from here on, read outside quotes or inside either kind
+        for i in range(len(self.marks) - 1, -1, -1):
+            c = self.page[self.marks[i]]
+            if c == ">":
+                plain = self.marks[i]
+            elif c == '"':
+                plain, double = double, plain
+            else:
+                plain, single = single, plain
+            self.ends[i] = plain
+
+
 def _raw_text_end(page: str, name: str, at: int) -> int:
     end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
     return end.end() if end else len(page)
 
 
-def _raw_ends(page: str) -> dict[int, int]:
+def _raw_ends(tags: Tags) -> dict[int, int]:
     """Where the raw elements that are closed inside their parents end, by the place after their start tags."""
+    page = tags.page
     ends: dict[int, int] = {}
     stack: list[tuple[str, int]] = []
     held: dict[str, int] = {}
     at = 0
-    while m := _TAG.search(page, at):
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+    while tag := tags.next(at):
+        at, name = tag.end, tag.name
         # Tags that may be left out or stand across others end no parent.
         if not name or name in INLINE or name in VOID or name == "p":
             continue
-        if m[1] or m[4]:
+        if tag.closing:
             if held.get(name):
                 while True:
                     top, start = stack.pop()
@@ -100,30 +175,107 @@ def _raw_ends(page: str) -> dict[int, int]:
         elif name in RAW_TEXT:
             at = _raw_text_end(page, name, at)
         elif name == "iframe":
-            end = _IFRAME.search(page, at)
+            end = _IFRAME.search(page, at, tags.last)
             if end and end[1]:
                 ends[at] = at = end.end()
-        elif not (name in FOREIGN and (m[3] or m[6] or "").rstrip().endswith("/")):
+        elif not (name in FOREIGN and tag.attributes.rstrip().endswith("/")):
             stack.append((name, at))
             held[name] = held.get(name, 0) + 1
     return ends
 
 
+@dataclass(eq=False)
+class Element:
+    """An open element: its name with its class and id words, and what it takes over from those around it."""
+
+    around: Element | None
+    names: tuple[str, ...]
+    depth: int  # names up to here
+    bits: int  # hashed names up to here
+
+    @staticmethod
+    def within(around: Element | None, names: list[str]) -> Element:
+        bits = around.bits if around else 0
+        for n in names:
+            bits |= 1 << _place(n) % PATH_DIMS
+        return Element(around, tuple(names), (around.depth if around else 0) + len(names), bits)
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    element: Element | None
     text: str
     linked: int  # characters inside links
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        parts, e = [], self.element
+        while e:
+            parts.append(e.names)
+            e = e.around
+        return tuple(n for names in reversed(parts) for n in names)
+
+
+class Open:
+    """The open elements, with the places of each name, so that no tag searches the whole stack."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, Element]] = []
+        self.places: dict[str, list[int]] = {}
+        self.solid: list[int] = []  # of elements that stand in no line
+
+    @property
+    def top(self) -> Element | None:
+        return self.stack[-1][1] if self.stack else None
+
+    def links(self) -> int:
+        return len(self.places.get("a", ()))
+
+    def push(self, name: str, names: list[str]) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name not in INLINE:
+            self.solid.append(len(self.stack))
+        self.stack.append((name, Element.within(self.top, names)))
+
+    def pop_to(self, at: int) -> None:
+        while len(self.stack) > at:
+            name, _ = self.stack.pop()
+            self.places[name].pop()
+            if name not in INLINE:
+                self.solid.pop()
+
+    def close(self, name: str) -> None:
+        """An end tag ends the nearest element of its name; one of a line does so inside its block only."""
+        found = self.places.get(name)
+        if found and not (name in INLINE and self.solid and self.solid[-1] > found[-1]):
+            self.pop_to(found[-1])
+
+    def make_room(self, name: str) -> None:
+        """Ends what the start tag of a block ends: a paragraph it stands in, or elements of ``CLOSES``."""
+        if name not in CLOSES:
+            if self.solid and self.stack[self.solid[-1]][0] == "p":
+                self.pop_to(self.solid[-1])
+            return
+        ended, within = CLOSES[name]
+        barrier = max((self.places[n][-1] for n in within if self.places.get(n)), default=-1)
+        lowest = len(self.stack)
+        for n in ended | {"p"}:
+            found = self.places.get(n, [])
+            i = bisect_right(found, barrier)
+            if i < len(found):
+                lowest = min(lowest, found[i])
+        self.pop_to(lowest)
+
 
 def blocks_of(page: str | None) -> list[Block]:
     """Leaf blocks of a page in order."""
     if not page:
         return []
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    open_ = Open()
+    tags = Tags(page)
     parts: list[str] = []
-    linked = links = 0
+    linked = 0
     raw_ends: dict[int, int] | None = None
 
     def end_block() -> None:
@@ -131,7 +283,7 @@ def blocks_of(page: str | None) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(tuple(n for _, names in stack for n in names), text, linked))
+                out.append(Block(open_.top, text, linked))
             parts.clear()
         linked = 0
 
@@ -140,20 +292,13 @@ def blocks_of(page: str | None) -> list[Block]:
         if raw:
             text = entities.unescape(raw) if "&" in raw else raw
             parts.append(text)
-            if links:
+            if open_.links():
                 linked += len(text)
 
-    def pop_to(at: int) -> None:
-        nonlocal links
-        for name, _ in stack[at:]:
-            links -= name == "a"
-        del stack[at:]
-
     at = 0
-    while m := _TAG.search(page, at):
-        add(page[at : m.start()])
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+    while tag := tags.next(at):
+        add(page[at : tag.start])
+        at, name = tag.end, tag.name
         if not name:
             continue
         inline = name in INLINE
@@ -161,38 +306,25 @@ def blocks_of(page: str | None) -> list[Block]:
             end_block()
         elif name == "br":
             parts.append(" ")
-        if m[1] or m[4]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    pop_to(i)
-                    break
-                if inline and stack[i][0] not in INLINE:
-                    break
+        if tag.closing:
+            open_.close(name)
             continue
         if name in RAW_TEXT:
             at = _raw_text_end(page, name, at)
             continue
         if name in RAW:
-            if name not in FOREIGN or not (m[3] or m[6] or "").rstrip().endswith("/"):
-                raw_ends = _raw_ends(page) if raw_ends is None else raw_ends
+            if name not in FOREIGN or not tag.attributes.rstrip().endswith("/"):
+                raw_ends = _raw_ends(tags) if raw_ends is None else raw_ends
                 at = raw_ends.get(at, at)
             continue
         if name in VOID:
             continue
         if not inline:
-            ended, within = CLOSES.get(name, ({"p"}, set()))
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ended or stack[i][0] == "p":
-                    pop_to(i)
-                    if name not in CLOSES:
-                        break
-                elif stack[i][0] in within or (name not in CLOSES and stack[i][0] not in INLINE):
-                    break
+            open_.make_room(name)
         names = [name]
-        for a in _ATTR.findall(m[3] or m[6] or ""):
+        for a in _ATTR.findall(tag.attributes):
             names += [f".{w}" for w in _NAME.findall("".join(a).lower())]
-        stack.append((name, tuple(names)))
-        links += name == "a"
+        open_.push(name, names)
     add(page[at:])
     end_block()
     return out
@@ -212,17 +344,18 @@ def _place(key: str) -> int:
     return found
 
 
-def vectors(blocks: list[Block]) -> np.ndarray:
-    """One row per block: hashed tag path, hashed words, ratios."""
+def vectors(blocks: list[Block], first: int = 0, total: int | None = None) -> np.ndarray:
+    """One row per block: hashed tag path, hashed words, ratios.
+
+    The blocks may be a part of a page of ``total`` blocks, from its ``first`` on.
+    """
     n = len(blocks)
+    total = n if total is None else total
     x = np.zeros((n, DIMS), np.float32)
-    row, col = [], []
-    for i, b in enumerate(blocks):
-        names = list(dict.fromkeys(b.path))
-        row += [i] * (len(names) + 1)
-        col += [_place(p) % PATH_DIMS for p in names]
-        col.append(_place("last:" + (b.path[-1] if b.path else "")) % PATH_DIMS)
-    x[row, col] = 1
+    tops = [b.element for b in blocks]
+    lasts = [1 << _place("last:" + (e.names[-1] if e else "")) % PATH_DIMS for e in tops]
+    bits = b"".join(((e.bits if e else 0) | last).to_bytes(PATH_DIMS // 8, "little") for e, last in zip(tops, lasts, strict=True))
+    x[:, :PATH_DIMS] = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").reshape(n, PATH_DIMS)
     words = [b.text.lower().split() for b in blocks]
     counts = np.array([len(w) for w in words])
     places = np.fromiter((_place(w) for ws in words for w in ws), np.int64, int(counts.sum()))
@@ -236,9 +369,9 @@ def vectors(blocks: list[Block]) -> np.ndarray:
     r[:, 1] = np.minimum(1, np.array([b.linked for b in blocks]) / np.maximum(length, 1))
     r[:, 2] = counts < 4
     r[:, 3] = [b.text[-1] in ".!?…:;\"”" for b in blocks]
-    r[:, 4] = np.arange(n) / max(1, n)
-    r[:, 5] = min(1, n / 100)
-    r[:, 6] = [min(1, len(b.path) / 12) for b in blocks]
+    r[:, 4] = np.arange(first, first + n) / max(1, total)
+    r[:, 5] = min(1, total / 100)
+    r[:, 6] = [min(1, (e.depth if e else 0) / 12) for e in tops]
     r[:, 7] = 1
     return x
 
@@ -266,11 +399,11 @@ class Labeller:
         w["o"], w["oc"] = rng.normal(0, 0.15, 2 * HIDDEN), np.zeros(1)
         return Labeller({k: v.astype(np.float32) for k, v in w.items()})
 
-    def _pass(self, d: str, x: np.ndarray, mask: np.ndarray, keep: bool):
-        """States (steps, pages, HIDDEN) of one direction; ``mask`` is 0 past a page's end."""
+    def _pass(self, d: str, x: np.ndarray, mask: np.ndarray, keep: bool, state: tuple[np.ndarray, np.ndarray] | None = None):
+        """States (steps, pages, HIDDEN) of one direction, from ``state`` on; ``mask`` is 0 past a page's end."""
         steps, pages, _ = x.shape
         z_all = x @ self.w[f"x{d}"] + self.w[f"c{d}"]
-        h = c = np.zeros((pages, HIDDEN), np.float32)
+        h, c = state or (np.zeros((pages, HIDDEN), np.float32),) * 2
         out, trace = np.zeros((steps, pages, HIDDEN), np.float32), []
         for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
             z = z_all[t] + h @ self.w[f"h{d}"]
@@ -284,14 +417,26 @@ class Labeller:
                 trace.append((t, h, c, i, f, o, g, tc, m))
             h, c = h_new, c_new
             out[t] = h
-        return out, trace
+        return out, trace, (h, c)
 
     def scores(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
         both = np.concatenate([self._pass(d, x, mask, False)[0] for d in "fb"], axis=2)
         return _sigmoid(both @ self.w["o"] + self.w["oc"])
 
+    def page_scores(self, blocks: list[Block], step: int) -> np.ndarray:
+        """Scores of one page of any length; ``step`` blocks at a time stand as vectors, the state goes on."""
+        both = np.zeros((len(blocks), 2 * HIDDEN), np.float32)
+        starts = range(0, len(blocks), step)
+        for k, (d, order) in enumerate((("f", starts), ("b", reversed(starts)))):
+            state = None
+            for at in order:
+                x = vectors(blocks[at : at + step], at, len(blocks))[:, None]
+                out, _, state = self._pass(d, x, np.ones((len(x), 1), np.float32), False, state)
+                both[at : at + step, k * HIDDEN : (k + 1) * HIDDEN] = out[:, 0]
+        return _sigmoid(both @ self.w["o"] + self.w["oc"])
+
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        (hf, tf), (hb, tb) = self._pass("f", x, mask, True), self._pass("b", x, mask, True)
+        (hf, tf, _), (hb, tb, _) = self._pass("f", x, mask, True), self._pass("b", x, mask, True)
         both = np.concatenate([hf, hb], axis=2)
         err = (_sigmoid(both @ self.w["o"] + self.w["oc"]) - y) * mask / max(1, mask.sum())
         g = {"o": np.einsum("tp,tph->h", err, both), "oc": np.array([err.sum()])}
@@ -463,6 +608,10 @@ def extract(pages: DataFrame, model: Labeller, html: str = "html", result: str =
     schema = pages.select(*keep, F.lit("").alias(result)).schema
 
     def kept(group: list[tuple[int, list[Block]]], out: list[str]) -> None:
+        if len(group) == 1 and len(group[0][1]) > BATCH_BLOCKS:
+            i, blocks = group[0]
+            out[i] = "\n".join(b.text for b, s in zip(blocks, shared.value.page_scores(blocks, BATCH_BLOCKS), strict=True) if s > 0.5)
+            return
         xs = [vectors(b) for _, b in group]
         x, mask = padded(xs)
         p = shared.value.scores(x, mask)

@@ -1,7 +1,9 @@
 """Main text: the pages' articles cut out by their markup, held-out layouts, hostile markup."""
 
 import html
+import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -154,3 +156,38 @@ def test_training_text_is_bounded_by_the_parameters(lspark, monkeypatch):
     monkeypatch.setattr(main_text, "SAMPLE_CHARS", 55)
     main_text.fit(pages)
     assert seen == [["a" * 7, "b" * 7], ["a" * 7]]
+
+
+LONG = ['<a "' * 250_000, "<div>x" * 100_000, '<a ">"' * 150_000, "<b>" * 50_000 + "</i>" * 50_000, "<div>" * 50_000 + "<li>x" * 50_000 + "</q1>" * 50_000, "<!--" * 200_000]
+
+
+@pytest.mark.parametrize("page", LONG, ids=[p[:6] for p in LONG])
+def test_long_broken_pages_take_linear_time(page):
+    began = time.process_time()
+    main_text.blocks_of(page)
+    assert time.process_time() - began < 10
+
+
+def test_tags_end_as_the_pattern_finds_them():
+    """The ends worked out from behind are those the pattern finds, whatever the quotes."""
+    rng = random.Random(5)
+    bits = ['<a "', "<p '", '"', "'", ">", "<", "<p>", "</p>", "x ", "<!--", "-->", "<!d>", '<img alt="a>b">', "</b >", "<b"]
+    for _ in range(20_000):
+        page = "".join(rng.choice(bits) for _ in range(rng.randint(1, 20)))
+        want, got = [], []
+        at = 0
+        while m := main_text._TAG.search(page, at):
+            at = m.end()
+            want.append((m.start(), at, (m[2] or m[5] or "").lower(), bool(m[1] or m[4]), m[3] or m[6] or ""))
+        tags, at = main_text.Tags(page), 0
+        while t := tags.next(at):
+            at = t.end
+            got.append((t.start, t.end, t.name, t.closing, t.attributes))
+        assert got == want, page
+
+
+def test_a_page_scored_in_parts_has_the_scores_of_the_whole():
+    blocks = main_text.blocks_of('<div>x<p class="q">y z</p>' * 500)
+    model = main_text.Labeller.new(np.random.default_rng(0))
+    x, mask = main_text.padded([main_text.vectors(blocks)])
+    np.testing.assert_allclose(model.page_scores(blocks, 64), model.scores(x, mask)[:, 0], atol=1e-5)
