@@ -53,6 +53,30 @@ def small_side(stored_rows: DataFrame) -> DataFrame:
     return F.broadcast(stored_rows) if stored_rows.count() <= BROADCAST_ROWS else stored_rows
 
 
+def let(name: str, value: str, body: str) -> str:
+    """SQL: ``body`` with ``name`` standing for ``value``, which is worked out once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def in_rows(array: str) -> str:
+    """SQL: an array (a name) cut into about as many rows as each is long; an empty one has none."""
+    width = f"greatest(1, cast(ceil(sqrt(size({array}))) as int))"
+    cut = let("_w", width, f"transform(sequence(0, (size({array}) - 1) div _w), _k -> slice({array}, _k * _w + 1, _w))")
+    return f"if(size({array}) > 0, {cut}, array())"
+
+
+def sums_before(numbers: str) -> str:
+    """SQL: of each element of an array<int> the sum of those before it.
+
+    A fold that appends to its own array copies it each time; summed row by row
+    of ``in_rows`` a copy is a row long at most, so n numbers take n times the root of n.
+    """
+    fold = "aggregate({0}, named_struct('at', 0, 'to', cast(array() as array<int>)), (_a, _x) -> named_struct('at', _a.at + {1}, 'to', array_append(_a.to, _a.at)))"
+    whole = f"flatten(zip_with(_r, {fold.format('_r', '_x.at')}.to, (_s, _o) -> transform(_s.to, _v -> _v + _o)))"
+    rows = let("_n", numbers, f"transform({in_rows('_n')}, _c -> {fold.format('_c', '_x')})")
+    return f"{let('_r', rows, whole)}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -26,7 +26,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import in_rows, let, sums_before
 
 #: Fixed patterns of the contract, in listing order, and the least length of the part that counts.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -53,13 +53,10 @@ def _matches(text: str, pattern: str) -> str:
     """SQL: the spans (start, stop, value) of all leftmost matches of a pattern, in code points."""
     q = pattern.replace("\\", "\\\\").replace("'", "\\'")
     found, between = f"regexp_extract_all({text}, '{q}', 0)", f"split({text}, '{q}', -1)"
-    zero = "named_struct('at', 0, 'spans', cast(array() as array<struct<start:int,stop:int,value:string>>))"
-    step = (
-        "named_struct('at', a.at + m.gap + length(m.value), 'spans', array_append(a.spans,"
-        " named_struct('start', a.at + m.gap, 'stop', a.at + m.gap + length(m.value), 'value', m.value)))"
-    )
-    pairs = f"zip_with({found}, {between}, (v, g) -> if(v is null, null, named_struct('value', v, 'gap', length(g))))"
-    return f"aggregate(filter({pairs}, m -> m is not null), {zero}, (a, m) -> {step}, a -> a.spans)"
+    pairs = f"filter(zip_with({found}, {between}, (v, g) -> if(v is null, null, named_struct('value', v, 'gap', length(g)))), m -> m is not null)"
+    before = sums_before("transform(_m, m -> m.gap + length(m.value))")
+    place = "named_struct('start', b + m.gap, 'stop', b + m.gap + length(m.value), 'value', m.value)"
+    return let("_m", pairs, f"zip_with(_m, {before}, (m, b) -> {place})")
 
 
 def _spans(text: str, pattern: str, kind: str, order: int, keep: str = "true") -> F.Column:
@@ -143,8 +140,12 @@ def scan(docs: DataFrame, table: list[float], text: str = "text") -> DataFrame:
     random = f"size(array_distinct(split(s.value, ''))) >= {DISTINCT} and {_ratio('s.value', table)} > {THRESHOLD}"
     tokens = _spans("_text", TOKEN, "markov", 3, random)
     rows = rows.withColumn("_more", tokens).drop("_text")
-    free = F.expr("filter(_more, m -> not exists(base, b -> b.start < m.stop and m.start < b.stop))")
-    return rows.withColumn("spans", F.array_sort(F.concat("base", free))).drop("_more")
+    # Base spans in rows with their bounds: a token looks into the few rows that it can meet.
+    bounds = "named_struct('start', r[0].start, 'stop', array_max(transform(r, b -> b.stop)), 'row', r)"
+    meets = "exists(_b, r -> r.start < m.stop and m.start < r.stop and exists(r.row, b -> b.start < m.stop and m.start < b.stop))"
+    free = let("_b", f"transform({in_rows('base')}, r -> {bounds})", f"filter(_more, m -> not {meets})")
+    free = f"if(size(_more) = 0 or size(base) = 0, _more, {free})"
+    return rows.withColumn("spans", F.array_sort(F.concat("base", F.expr(free)))).drop("_more")
 
 
 def listed(spans: str) -> F.Column:
