@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import let, stored, sums_before
 
 SEGMENT_BYTES = 64 << 10
 REVISIT_BYTES = 100
@@ -42,15 +42,15 @@ _KEEP = 2
 DATE = "2024-01-01T00:00:00Z"
 
 
-def _cuts(payload: F.Column, segment_bytes: int) -> F.Column:
+def _cuts(column: str, segment_bytes: int) -> F.Column:
     """Segments of a binary payload as an array of (at, to): cut by size, and within version strings."""
+    payload = F.col(column)
     text = payload.cast("string")
-    marks = F.transform(F.split(text, VERSION.replace(".", r"\.")), F.octet_length)  # bytes between them
-    raw = F.aggregate(
-        marks, F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("cuts")),
-        lambda a, n: F.struct((a["at"] + n + len(VERSION)).alias("at"), F.array_append(a["cuts"], a["at"] + n + _KEEP).alias("cuts")),
-        lambda a: F.slice(a["cuts"], 1, F.greatest(F.size(a["cuts"]) - 1, F.lit(0))),
-    )
+    pattern = VERSION.replace(".", "[.]")
+    # Bytes up to the end of each version string; the last piece ends in none.
+    marks = f"transform(split(cast({column} as string), '{pattern}', -1), t -> octet_length(t) + {len(VERSION)})"
+    ends = f"zip_with(_p, {sums_before('_p')}, (n, b) -> b + n - {len(VERSION) - _KEEP})"
+    raw = F.expr(let("_p", marks, f"slice({ends}, 1, size(_p) - 1)"))
     odd = F.when(text.contains(VERSION), raw).otherwise(F.expr("cast(array() as array<int>)"))
     size = F.octet_length(payload)
     even = F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0)), F.lit(segment_bytes))
@@ -82,7 +82,7 @@ def records(pages: DataFrame, payload: str = "html", page_id: str = "page_id", u
 def write_archive(recs: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES) -> None:
     """Writes ``recs`` (of ``records``) as WARC files under ``path``."""
     body = F.when(F.col("refers_to").isNull(), F.col("payload")).otherwise(F.lit(b""))
-    rows = recs.withColumn("payload", body).withColumn("cuts", _cuts(F.col("payload"), segment_bytes))
+    rows = recs.withColumn("payload", body).withColumn("cuts", _cuts("payload", segment_bytes))
     rows = rows.withColumn("segments", F.size("cuts")).select("*", F.posexplode("cuts").alias("n", "cut")).drop("cuts")
     rows = rows.withColumn("block", F.expr("substring(payload, cut.at + 1, cut.to - cut.at)"))
     first, last, parted = F.col("n") == 0, F.col("n") == F.col("segments") - 1, F.col("segments") > 1

@@ -104,3 +104,9 @@ def test_empty_and_clashing(lspark):
     path = scratch_path(lspark, "warc")
     warc.write_archive(warc.records(rows), path)
     assert [r["bytes"] for r in warc.read_records(lspark, path).collect()] == [200]
+
+
+def test_many_version_strings_in_one_payload(lspark):
+    rows = [(1, "u", "".join(f"{i}\r\n\r\nWARC/1.1\r\n" for i in range(20_000)))]
+    _, got = through(lspark, rows, 1000)
+    assert [tuple(r) for r in got] == expected(rows)
