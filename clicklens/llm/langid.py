@@ -36,6 +36,8 @@ RIDGE = 1e-3
 UNKNOWN = "und"
 #: Characters hashed at once, and texts scored at once.
 PIECE, BATCH = 1 << 20, 64
+#: Rows of the sample that the fit has as numbers at once (128 KiB each).
+FIT_ROWS = 128
 
 _ASCII = np.array([c if 97 <= c <= 122 else 32 for c in range(128)], np.uint32)
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
@@ -83,6 +85,13 @@ def presence(texts: list[str | None]) -> np.ndarray:
     return out
 
 
+def _unit_rows(bits: np.ndarray) -> np.ndarray:
+    """Packed presence rows as numbers, over the root of each one's count."""
+    x = np.unpackbits(bits, axis=1).astype(np.float32)
+    x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+    return x
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Model:
     """Trains on a sample of ``labelled`` chosen by a hash of the id, up to about ``PER_LANGUAGE`` rows each.
 
@@ -111,13 +120,14 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
     if not rows:
         return Model([], np.zeros((DIMS, 0), np.float32), np.zeros((0, 0), np.float32))
     languages = sorted({r["lang"] for r in rows})
-    x = np.unpackbits(np.stack([np.frombuffer(r["bits"], np.uint8) for r in rows]), axis=1).astype(np.float32)
-    x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+    bits = np.stack([np.frombuffer(r["bits"], np.uint8) for r in rows])
     names = np.array([r["lang"] for r in rows])
+    del rows
     per = max(1, LANDMARKS // len(languages))
-    chosen = np.concatenate([np.flatnonzero(names == n)[:per] for n in languages])
-    marks = x[chosen]
-    k_mm, k_nm = (marks @ marks.T).astype(float), (x @ marks.T).astype(float)
+    marks = _unit_rows(bits[np.concatenate([np.flatnonzero(names == n)[:per] for n in languages])])
+    k_mm = (marks @ marks.T).astype(float)
+    # The sample stays packed; FIT_ROWS of it stand as numbers at a time.
+    k_nm = np.concatenate([_unit_rows(bits[i : i + FIT_ROWS]) @ marks.T for i in range(0, len(bits), FIT_ROWS)]).astype(float)
     y = (names[:, None] == np.array(languages)[None, :]).astype(float)
     weight = 1 / np.array([(names == n).sum() for n in names])[:, None]  # languages count alike
     left = k_nm.T @ (k_nm * weight) + RIDGE * (k_mm + 1e-6 * np.eye(len(k_mm)))
