@@ -1,5 +1,6 @@
 """The corpus pipeline, stage by stage, against plain versions of the decisions."""
 
+import random
 from collections import Counter
 
 import duckdb
@@ -87,3 +88,16 @@ def test_empty_table(lspark, no_docs):
     for name, f in pipeline.STAGES:
         docs = stored(f(lspark, docs, SF), name)
         assert docs.count() == 0
+
+
+@pytest.mark.parametrize("languages", [1, 4, 30])
+def test_clean_documents_stay_whatever_the_number_of_languages(lspark, languages):
+    rng = random.Random(languages)
+    rows = []
+    for k in range(languages):
+        letters = rng.sample("abcdefghijklmnopqrstuvwxyz", 14)
+        words = ["".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(300)]
+        rows += [(len(rows) + i, " ".join(rng.choices(words, k=60)), f"l{k:02}", "s") for i in range(40)]
+    docs = lspark.createDataFrame([*rows, (-1, "12 34 !", "l00", "s")], "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"] for r in pipeline.language_id(lspark, docs, SF).collect()}
+    assert -1 not in kept and len(kept) >= 0.99 * len(rows)
