@@ -22,17 +22,22 @@ from clicklens.llm import decontam, langid, mixing, queries, simhash, tokens
 from clicklens.llm.common import ship, small_side, stored, table
 from clicklens.session import scratch_path
 
-#: Documents whose best language has a smaller share of the outputs are rejected.
-LEAST_SCORE = 0.28
+#: Documents whose best language has a smaller share of the outputs are rejected: this share,
+#: or where many languages share the outputs, this many times an even share.
+LEAST_SCORE, LEAST_TIMES_EVEN = 0.28, 1.12
 
 ORACLE_SQL = None
 
 
+def least_score(languages: int) -> float:
+    return min(LEAST_SCORE, LEAST_TIMES_EVEN / max(1, languages))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     model = langid.fit(langid.training_rows(docs))
     found = langid.predict(docs, model, names=("_language", "_share"))
-    return found.filter((F.col("_language") != langid.UNKNOWN) & (F.col("_share") >= LEAST_SCORE)).select(*docs.columns)
+    return found.filter((F.col("_language") != langid.UNKNOWN) & (F.col("_share") >= least_score(len(model.languages)))).select(*docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
