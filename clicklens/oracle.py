@@ -132,27 +132,27 @@ SELECT event_id,
   CASE event_type
     WHEN 'purchase' THEN {_case("event_id % 4", {0: "'1'", 1: "'2,1,200'", 2: "'2, 1'"}, "'12,1'")}
     WHEN 'click' THEN '2' WHEN 'view' THEN '' WHEN 'signup' THEN '12,11' ELSE NULL END AS event_list,
-  'Salem' AS geo_city, 'OR' AS geo_region, 'US' AS geo_country,
+  'Lisbon' AS geo_city, 'LX' AS geo_region, 'PT' AS geo_country,
   event_type AS pagename,
   'https://shop.example.com/' || event_type || '/?id=' || CAST(event_id AS VARCHAR) AS page_url,
   {_case("event_id % 9", {
-      0: f"'Electronics;Zune - 32GB;1;' || {_V} || ';'",
-      1: f"'Electronics;Zune;1;' || {_V} || ';,Office;Folders;4;4.00;'",
-      2: "'Electronics;Ipod;1;;'",
-      3: "'Electronics;Ipod;1'",
+      0: f"'Garden;Rake - 90cm;1;' || {_V} || ';'",
+      1: f"'Garden;Rake;1;' || {_V} || ';,Kitchen;Bowls;4;4.00;'",
+      2: "'Garden;Lantern;1;;'",
+      3: "'Garden;Lantern;1'",
       4: f"'A;B;1;abc;, ,C;D;1; ' || {_V} || ' ;'",
       5: "NULL",
       6: "'A;B;1;-5;'",
       7: f"'A;B;1;-1.5;,C;D;2;' || {_V} || ';200=3'",
   }, f"'A;B;1;' || {_V}")} AS product_list,
   {_case("event_id % 13", {
-      0: "'http://www.google.com/search?hl=en&q=ipod+' || CAST(user_id % 7 AS VARCHAR) || '&aq=f'",
-      1: "'http://search.yahoo.com/search?p=cd+player&toggle=1'",
-      2: "'http://www.bing.com/search?q=&p=zune'",
-      3: "'https://WWW.Google.com?q=Ipod%20Nano#top'",
-      4: "'http://www.esshopzilla.com/search/?k=Ipod'",
+      0: "'http://www.google.com/search?hl=en&q=oak+' || CAST(user_id % 7 AS VARCHAR) || '&aq=f'",
+      1: "'http://search.yahoo.com/search?p=tin+kettle&toggle=1'",
+      2: "'http://www.bing.com/search?q=&p=rake'",
+      3: "'https://WWW.Google.com?q=Oak%20Lantern#top'",
+      4: "'http://www.gardenfinder.com/search/?k=Lantern'",
       5: "NULL",
-      6: "'  http://search.msn.com/results?q=zune%2032gb  '",
+      6: "'  http://search.msn.com/results?q=rake%2090cm  '",
       7: "'http://wwwxgoogle.com/search?q=fake'",
       8: "'http://yahoo.com/'",
       9: "'bing.com/search?q=noscheme'",
@@ -315,7 +315,7 @@ def oracle_sql() -> dict[str, str]:
         "report_by_input_two_files": with_hits(
             " UNION ALL ".join(f"SELECT '{k}' AS input, * FROM ({keyword_revenue(where=f'event_id % 2 = {k}')})" for k in (0, 1))
         ),
-        "report_line_break_keyword": with_hits(report_text, "* REPLACE (replace(referrer, 'q=ipod+', 'q=ipod%0A') AS referrer)"),
+        "report_line_break_keyword": with_hits(report_text, "* REPLACE (replace(referrer, 'q=oak+', 'q=oak%0A') AS referrer)"),
         "incremental_dated_file": with_hits(
             f'SELECT "{REPORT_DOMAIN}", "{REPORT_KEYWORD}", {revenue_text} AS "{REPORT_REVENUE}" FROM '
             f'({report("substr(date_time, 1, 10) = (SELECT max(substr(date_time, 1, 10)) FROM hits)")})'

@@ -275,7 +275,7 @@ def q_report_empty(spark: SparkSession, sf: str) -> DataFrame:
 def q_report_line_break_keyword(spark: SparkSession, sf: str) -> DataFrame:
     """Keywords that hold a line break, through the file and back."""
     hits = derived_hits(spark, sf)
-    hits = hits.withColumn("referrer", F.replace("referrer", F.lit("q=ipod+"), F.lit("q=ipod%0A")))
+    hits = hits.withColumn("referrer", F.replace("referrer", F.lit("q=oak+"), F.lit("q=oak%0A")))
     out = write_report_file(keyword_report(hits), scratch_path(spark, "break-out"), REPORT_DATE)
     return read_report_file(spark, out)
 

@@ -43,10 +43,10 @@ def hits_from_events(events: DataFrame) -> DataFrame:
     product_list = _case(
         eid % 9,
         {
-            0: F.concat(F.lit("Electronics;Zune - 32GB;1;"), value, F.lit(";")),
-            1: F.concat(F.lit("Electronics;Zune;1;"), value, F.lit(";,Office;Folders;4;4.00;")),
-            2: "Electronics;Ipod;1;;",
-            3: "Electronics;Ipod;1",
+            0: F.concat(F.lit("Garden;Rake - 90cm;1;"), value, F.lit(";")),
+            1: F.concat(F.lit("Garden;Rake;1;"), value, F.lit(";,Kitchen;Bowls;4;4.00;")),
+            2: "Garden;Lantern;1;;",
+            3: "Garden;Lantern;1",
             4: F.concat(F.lit("A;B;1;abc;, ,C;D;1; "), value, F.lit(" ;")),
             5: None,
             6: "A;B;1;-5;",
@@ -58,16 +58,16 @@ def hits_from_events(events: DataFrame) -> DataFrame:
         eid % 13,
         {
             0: F.concat(
-                F.lit("http://www.google.com/search?hl=en&q=ipod+"),
+                F.lit("http://www.google.com/search?hl=en&q=oak+"),
                 (uid % 7).cast("string"),
                 F.lit("&aq=f"),
             ),
-            1: "http://search.yahoo.com/search?p=cd+player&toggle=1",
-            2: "http://www.bing.com/search?q=&p=zune",
-            3: "https://WWW.Google.com?q=Ipod%20Nano#top",
-            4: "http://www.esshopzilla.com/search/?k=Ipod",
+            1: "http://search.yahoo.com/search?p=tin+kettle&toggle=1",
+            2: "http://www.bing.com/search?q=&p=rake",
+            3: "https://WWW.Google.com?q=Oak%20Lantern#top",
+            4: "http://www.gardenfinder.com/search/?k=Lantern",
             5: None,
-            6: "  http://search.msn.com/results?q=zune%2032gb  ",
+            6: "  http://search.msn.com/results?q=rake%2090cm  ",
             7: "http://wwwxgoogle.com/search?q=fake",
             8: "http://yahoo.com/",
             9: "bing.com/search?q=noscheme",
@@ -83,9 +83,9 @@ def hits_from_events(events: DataFrame) -> DataFrame:
         "user_agent": F.concat(F.lit('Mozilla/5.0 ("'), etype, F.lit('"; rv:'), (uid % 50).cast("string"), F.lit(")")),
         "ip": F.concat(F.lit("10."), (uid % 256).cast("string"), F.lit("."), (eid % 256).cast("string"), F.lit(".1")),
         "event_list": event_list,
-        "geo_city": F.lit("Salem"),
-        "geo_region": F.lit("OR"),
-        "geo_country": F.lit("US"),
+        "geo_city": F.lit("Lisbon"),
+        "geo_region": F.lit("LX"),
+        "geo_country": F.lit("PT"),
         "pagename": etype,
         "page_url": F.concat(F.lit("https://shop.example.com/"), etype, F.lit("/?id="), eid.cast("string")),
         "product_list": product_list,
