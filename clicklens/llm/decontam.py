@@ -1,10 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Passages of 32 words give document frequencies of hashed terms, over the
-   whole corpus. 2. A randomised SVD (range finder with power rounds; products
-with the TF-IDF matrix run over its rows in Spark) of the benchmark's and a
-bounded sample of the corpus's passages gives ``RANK`` latent directions, those
-after the leading few, which only tell languages apart.
+1. Passages of 32 words give document frequencies of hashed terms. 2. A
+randomised SVD (range finder with power rounds; products with the TF-IDF matrix
+run over its rows in Spark) of all passages of the corpus and the benchmark
+gives ``RANK`` latent directions, those after the leading few, which only tell
+languages apart. Each task sends TERMS x (SKIPPED + RANK + OVERSAMPLE) numbers a round.
 3. Every document's windows, at every eighth word, are compared with the
 benchmark's passages by cosine in the latent space (each direction scaled to
 unit variance). 4. Candidates are checked word by word: the longest common
@@ -52,10 +52,10 @@ SHORT_ITEM = 25
 LEAST_WORDS = 8
 #: Directions of the space, after the ``SKIPPED`` leading ones, which tell languages and common words.
 RANK, SKIPPED, OVERSAMPLE, ROUNDS, SEED = 96, 8, 16, 2, 11
-#: Corpus passages that the SVD is fitted on, about; the benchmark's are all in.
-FIT_PASSAGES = 40_000
-#: Tasks that the bounded sample is dealt to; each sends TERMS x (SKIPPED + RANK + OVERSAMPLE) numbers a round.
-FIT_TASKS = 4
+#: Passages of a stored row, and of the rows that a task works on at once.
+PASSAGE_ROWS, CHUNK = 256, 16_384
+#: Rows that are summed at once, where those of a term are added up.
+FAN = 16
 COSINE = 0.6
 LCS_SURE, LCS_LEAST, ANSWER_WORDS = 0.75, 0.6, 5
 #: Rare words of an item that a run must have to be looked at; any number from 1 gives the same result.
@@ -65,7 +65,7 @@ ITEMS_AT_ONCE = 2000
 #: Words whose vectors a task holds at once; longer documents go in sections that overlap
 #: by OVERLAP words, or by the longest run that is searched for where that is more.
 SECTION, OVERLAP, GROUP_WORDS = 24_000, 512, 24_000
-ROWS_PER_BLOCK = 1024
+ROWS_PER_BLOCK = 64
 
 _CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -105,117 +105,160 @@ def _passages(hashes: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return rows
 
 
-def term_counts(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, int]:
-    """Passages that hold each term, and all passages; a task sends one row per term."""
+def _passage_rows(docs: DataFrame, text: str) -> DataFrame:
+    """The passages of all texts, up to ``PASSAGE_ROWS`` of them in a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, passages = np.zeros(TERMS + 1, np.int64), 0
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 for _, h, cuts in word_hashes(_bytes(b.column(0).slice(at, 1000).to_pylist())):
                     rows = _passages(h, cuts)
-                    total += np.bincount(rows.ravel(), minlength=TERMS + 1)
-                    passages += len(rows)
+                    parts = [rows[k : k + PASSAGE_ROWS].tobytes() for k in range(0, len(rows), PASSAGE_ROWS)]
+                    yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["terms"])
+
+    return docs.select(text).mapInArrow(run, "terms binary")
+
+
+def _unpacked(column: pa.Array) -> Iterator[np.ndarray]:
+    """Passages of packed rows, about ``CHUNK`` at a time."""
+    step = CHUNK // PASSAGE_ROWS
+    for at in range(0, len(column), step):
+        yield np.frombuffer(b"".join(column.slice(at, step).to_pylist()), np.uint16).reshape(-1, PASSAGE)
+
+
+def _counted(passages: DataFrame) -> tuple[np.ndarray, int]:
+    """Passages that hold each term, and all passages; a task sends one row per term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, passages = np.zeros(TERMS + 1, np.int64), 0
+        for b in batches:
+            for rows in _unpacked(b.column(0)):
+                total += np.bincount(rows.ravel(), minlength=TERMS + 1)
+                passages += len(rows)
         total[TERMS] = passages
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(TERMS + 1)), pa.array(total)], ["term", "n"])
 
-    found = docs.select(text).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    found = passages.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(TERMS + 1, np.int64)
     for r in found:  # one row per term
         out[r["term"]] = r["n"]
     return out[:TERMS], int(out[TERMS])
 
 
-# ------------------------------------------------------------- latent space
+def term_counts(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, int]:
+    """Passages that hold each term, and all passages."""
+    return _counted(_passage_rows(docs, text))
 
 
-def _passage_rows(docs: DataFrame, text: str) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                for _, h, cuts in word_hashes(_bytes(b.column(0).slice(at, 1000).to_pylist())):
-                    rows = _passages(h, cuts)
-                    yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary())], ["terms"])
-
-    return docs.select(text).mapInArrow(run, "terms binary")
+# ------------------------------------------------------------- latent space
 
 
-def _weights(rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    w = np.append(idf, np.float32(0))[rows]
-    return w / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-9)
+def _row_sums(rows: np.ndarray, table: np.ndarray, block: int = 512) -> np.ndarray:
+    """Sums of the rows of ``table`` that each row of ``rows`` lists, a block at a time; a row of zeros follows them."""
+    out = np.empty((len(rows) + 1, table.shape[1]), table.dtype)
+    out[-1] = 0
+    held = np.empty((block, table.shape[1]), table.dtype)
+    for at in range(0, len(rows), block):
+        columns = np.ascontiguousarray(rows[at : at + block].T).astype(np.intp)
+        total, part = out[at : at + columns.shape[1]], held[: columns.shape[1]]
+        np.take(table, columns[0], axis=0, out=total, mode="clip")
+        for column in columns[1:]:
+            np.take(table, column, axis=0, out=part, mode="clip")
+            total += part
+    return out
 
 
-def _gram_times(matrix: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """A^T A q, where A's rows are the TF-IDF vectors of ``matrix``.
+def _sums_by_term(rows: np.ndarray, values: np.ndarray, total: np.ndarray) -> None:
+    """Adds to ``total[term]`` the values of the rows that hold the term: sums of ``FAN`` of them, of these, and so on.
 
-    Tasks send partial products in blocks of ``ROWS_PER_BLOCK`` terms, which
-    are summed by block; terms times directions come to the driver.
+    ``values`` has a row of zeros after those of ``rows``.
     """
-    shared = matrix.sparkSession.sparkContext.broadcast((idf, q.astype(np.float32)))
-    width = q.shape[1]
+    order = np.argsort(rows.ravel(), kind="stable").astype(np.int32)
+    term = rows.ravel()[order]
+    term = term[: np.searchsorted(term, TERMS)].astype(np.int32)
+    ids = order[: len(term)] // np.int32(PASSAGE)
+    while len(term):
+        first = np.flatnonzero(np.append(True, term[1:] != term[:-1])).astype(np.int32)
+        size = np.diff(np.append(first, np.int32(len(term))))
+        one = first[size == 1]
+        total[term[one]] += values[ids[one]]
+        more = np.repeat(size > 1, size)
+        first, size = first[size > 1], size[size > 1]
+        names, ids = term[first], ids if more.all() else ids[more]
+        groups = -(-size // FAN)
+        base = np.cumsum(groups) - groups
+        listed = np.full(groups.sum() * FAN, len(values) - 1, np.int32)
+        listed[np.arange(len(ids), dtype=np.int32) + np.repeat((base * FAN - (np.cumsum(size) - size)).astype(np.int32), size)] = ids
+        values = _row_sums(listed.reshape(-1, FAN), values)
+        term, ids = np.repeat(names, groups), np.arange(len(values) - 1, dtype=np.int32)
+
+
+def _products(passages: DataFrame, idf: np.ndarray, q: np.ndarray, gram: bool) -> np.ndarray:
+    """A^T A q, or with ``gram`` (A q)^T A q, where A's rows are the unit TF-IDF vectors of all ``passages``.
+
+    Tasks send partial products in blocks of ``ROWS_PER_BLOCK`` rows, which
+    are summed by block; terms (or directions) times directions come to the driver.
+    """
+    height, width = (q.shape[1] if gram else TERMS), q.shape[1]
+    table = np.vstack([idf[:, None] * q, np.zeros((1, width))]).astype(np.float32)
+    shared = passages.sparkSession.sparkContext.broadcast((np.append(idf * idf, np.float32(0)), table))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, basis = shared.value
-        basis = np.vstack([basis, np.zeros((1, width), np.float32)])
-        z = np.zeros((TERMS + 1, width), np.float32)
+        squares, table = shared.value
+        z = np.zeros((height, width), np.float64 if gram else np.float32)
         for b in batches:
-            for at in range(0, b.num_rows, 2000):
-                rows = np.frombuffer(b"".join(b.column(0).slice(at, 2000).to_pylist()), np.uint16).reshape(-1, PASSAGE)
-                w = _weights(rows, weight)
-                y = np.einsum("nj,njk->nk", w, basis[rows], optimize=True)
-                order = np.argsort(rows.ravel(), kind="stable")
-                term = rows.ravel()[order]
-                parts = w.ravel()[order][:, None] * y[order // PASSAGE]
-                first = np.flatnonzero(np.diff(term.astype(np.int64), prepend=-1))
-                if len(first):
-                    z[term[first]] += np.add.reduceat(parts, first, axis=0)
-        blocks = range(0, TERMS, ROWS_PER_BLOCK)
-        yield pa.RecordBatch.from_arrays([pa.array([k // ROWS_PER_BLOCK for k in blocks], pa.int64()), pa.array([z[k : k + ROWS_PER_BLOCK].tobytes() for k in blocks], pa.binary())], ["block", "part"])
+            for rows in _unpacked(b.column(0)):
+                square = np.maximum(squares[rows].sum(axis=1), 1e-18)[:, None]
+                y = _row_sums(rows, table)
+                if gram:
+                    y[:-1] /= np.sqrt(square)
+                    z += y.T @ y
+                else:
+                    y[:-1] /= square
+                    _sums_by_term(rows, y, z)
+        blocks = range(0, height, ROWS_PER_BLOCK)
+        yield pa.RecordBatch.from_arrays([pa.array([k // ROWS_PER_BLOCK for k in blocks], pa.int64()), pa.array([z[k : k + ROWS_PER_BLOCK].astype(np.float32).tobytes() for k in blocks], pa.binary())], ["block", "part"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(ROWS_PER_BLOCK * width, np.float32)
-        for p in frame["part"]:
+        total = np.zeros(len(frame["part"].iloc[0]) // 4)
+        for p in sorted(frame["part"]):  # in one order, however they arrive
             total += np.frombuffer(p, np.float32)
-        return pd.DataFrame({"block": [frame["block"].iloc[0]], "part": [total.tobytes()]})
+        return pd.DataFrame({"block": [frame["block"].iloc[0]], "part": [total.astype(np.float32).tobytes()]})
 
-    found = matrix.mapInArrow(run, "block long, part binary").groupBy("block").applyInPandas(add, "block long, part binary").collect()
-    out = np.zeros((TERMS, width))
+    found = passages.mapInArrow(run, "block long, part binary").groupBy("block").applyInPandas(add, "block long, part binary").collect()
+    out = np.zeros((height, width))
     for r in found:
         out[r["block"] * ROWS_PER_BLOCK : (r["block"] + 1) * ROWS_PER_BLOCK] = np.frombuffer(r["part"], np.float32).reshape(-1, width)
     shared.destroy()
-    return out
+    return out if gram else idf[:, None] * out
 
 
 @dataclass
 class Space:
-    projection: np.ndarray  # TERMS x RANK: idf times the scaled right singular vectors
+    projection: np.ndarray  # TERMS + 1 x RANK: idf times the scaled right singular vectors, and zeros for no term
     idf: np.ndarray
 
 
 def fit(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Space:
-    """The latent space; term counts are of all passages, the SVD of a bounded sample."""
-    counts, passages = term_counts(docs, text)
-    own, items = term_counts(benchmark, text)
-    idf = np.log((1 + passages + items) / (1 + counts + own)).astype(np.float32)
-    rate = min(1.0, FIT_PASSAGES / max(1, passages))
-    # A document's hash decides, so that a sample is whole documents and reruns agree.
-    part = docs.filter(F.pmod(F.xxhash64(text, F.lit(SEED)), F.lit(1 << 30)) < int(rate * (1 << 30)) + 1)
-    matrix = _passage_rows(benchmark, text).union(_passage_rows(part, text))
-    matrix = stored(matrix.repartition(FIT_TASKS), "latent-passages")
+    """The latent space, of all passages of the corpus and the benchmark."""
+    passages = stored(_passage_rows(docs, text).union(_passage_rows(benchmark, text)), "latent-passages")
+    counts, total = _counted(passages)
+    idf = np.log((1 + total) / (1 + counts)).astype(np.float32)
     rng = np.random.default_rng(SEED)
     q = np.linalg.qr(rng.normal(size=(TERMS, SKIPPED + RANK + OVERSAMPLE)))[0]
     for _ in range(ROUNDS):
-        q = np.linalg.qr(_gram_times(matrix, idf, q))[0]
-    small = q.T @ _gram_times(matrix, idf, q)
+        q = np.linalg.qr(_products(passages, idf, q, gram=False))[0]
+    small = _products(passages, idf, q, gram=True)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     order = np.argsort(-values)
     order = order[values[order] > 1e-6 * max(values.max(), 1e-12)]  # a small corpus has fewer directions
     # As many directions as passages would set every passage apart, near copies included.
-    rank = min(RANK, max(8, matrix.count() // 4))
+    rank = min(RANK, max(8, total // 4))
     skipped = min(SKIPPED, max(0, len(order) - RANK))
     top = order[skipped : skipped + rank]
     scale = 1 / np.sqrt(values[top])
-    return Space((idf[:, None] * (q @ vectors[:, top]) * scale).astype(np.float32), idf)
+    projection = idf[:, None] * (q @ vectors[:, top]) * scale
+    return Space(np.vstack([projection, np.zeros((1, len(top)))]).astype(np.float32), idf)
 
 
 # ------------------------------------------------------------------- search
@@ -243,9 +286,13 @@ class Items:
     passages: list[tuple[int, np.ndarray]]  # of each item: words of a passage, vectors
     widths: np.ndarray  # words of the runs that are searched for each item
     needs: np.ndarray  # words of each item that such a run must have in order
+    needed: list[int]  # the same as a list
+    sizes: np.ndarray  # words of each item
+    slacks: np.ndarray  # words that may stand before and behind it
     least: list[float]  # share of each item that holds with the answer, and without
     sure: list[float]
     known: list[np.ndarray]  # distinct words of each item, sorted
+    masks: list[dict[int, int]]  # of each item's words, see _lcs_length
     rare: Rare
 
 
@@ -305,21 +352,33 @@ def items_of(rows: list[tuple[int | None, str | None, str | None]], space: Space
         words.append(w)
         answers.append(a if len(a) else w[-ANSWER_WORDS:])
     queries = {k: (_unit(np.stack([f[0] for f in v])), np.array([f[1] for f in v]), np.array([f[2] for f in v])) for k, v in found.items() if v}
-    needs = np.array(needs, np.int64)
-    return Items(ids, words, answers, queries, passages, np.array(widths, np.int64), needs, least, sure, [np.unique(w) for w in words], _rare(words, needs, space.idf))
+    needed, needs = needs, np.array(needs, np.int64)
+    sizes, slacks = (np.array([f(w) for w in words], np.int64) for f in (len, _slack))
+    return Items(ids, words, answers, queries, passages, np.array(widths, np.int64), needs, needed, sizes, slacks, least, sure, [np.unique(w) for w in words], [_masks(w) for w in words], _rare(words, needs, space.idf))
 
 
-def _lcs(item: np.ndarray, text: list[int]) -> int:
-    """Length of the longest common subsequence, a text word at a time on the item's bits."""
+def _masks(item: np.ndarray) -> dict[int, int]:
+    """The places of each word of an item, as bits."""
     masks: dict[int, int] = {}
     for i, w in enumerate(item.tolist()):
         masks[w] = masks.get(w, 0) | 1 << i
-    row = full = (1 << len(item)) - 1
-    for w in text:
-        if m := masks.get(w):
-            u = row & m
-            row = ((row + u) | (row - u)) & full
-    return len(item) - row.bit_count()
+    return masks
+
+
+def _lcs_length(masks: dict[int, int], size: int, text: list[int], least: int = 0) -> int:
+    """Length of the longest common subsequence, a text word at a time on the item's bits; 0 if it cannot be ``least``."""
+    found = [*filter(None, map(masks.get, text))]
+    if len(found) < least:
+        return 0
+    row = full = (1 << size) - 1
+    for m in found:
+        u = row & m
+        row = ((row + u) | (row - u)) & full
+    return size - row.bit_count()
+
+
+def _lcs(item: np.ndarray, text: list[int]) -> int:
+    return _lcs_length(_masks(item), len(item), text)
 
 
 def _holds(text: np.ndarray, part: np.ndarray) -> bool:
@@ -351,37 +410,50 @@ def _sections(groups, items: Items | None = None) -> Iterator[list[tuple[int, in
 def _matches(sections: list[tuple[int, int, np.ndarray]], space: Space, items: Items) -> Iterator[tuple[int, int, float, float, int, bool]]:
     """(text, item, cosine, share of the item in order, first word, answer found) of verified candidates."""
     sizes = np.array([len(s[2]) for s in sections])
-    terms = _terms(np.concatenate([s[2] for s in sections]))
+    terms = np.append(_terms(np.concatenate([s[2] for s in sections])), np.uint16(TERMS))
     per = -(-sizes // STEP)
     base, begin = np.cumsum(per) - per, np.cumsum(sizes) - sizes
-    starts = np.repeat(begin - base * STEP, per) + np.arange(per.sum()) * STEP
-    sums = np.add.reduceat(space.projection.take(terms, axis=0, mode="clip"), starts, axis=0)
     owner = np.repeat(np.arange(len(sections)), per)
+    place = ((begin - base * STEP)[owner] + np.arange(per.sum()) * STEP)[:, None] + np.arange(STEP)
+    # Behind the end of a section stands no term.
+    sums = _row_sums(terms[np.where(place < (begin + sizes)[owner, None], place, len(terms) - 1)], space.projection)[:-1]
+    texts = [s[2].tolist() for s in sections]
+    end = (base + per)[owner]
     for steps, (vectors, item, offset) in items.queries.items():
         # A window is ``steps`` sums of its section from each start on; a short section is one window.
-        every, end = np.arange(len(sums)), (base + per)[owner]
-        first = np.flatnonzero((every + steps <= end) | (every == base[owner]))
-        for at in range(0, len(first), 8192):
-            chosen = first[at : at + 8192]
-            windows = sums[chosen]
+        every = np.arange(len(sums))
+        inside = every + steps <= end
+        first = inside | (every == base[owner])
+        padded = np.vstack([sums, np.zeros((steps - 1, sums.shape[1]), np.float32)])
+        start, query, near = [], [], []
+        for at in range(0, len(sums), 2048):
+            windows = sums[at : at + 2048].copy()
             for j in range(1, steps):
-                inside = np.flatnonzero(chosen + j < end[chosen])
-                windows[inside] += sums[chosen[inside] + j]
-            cosine = _unit(windows) @ vectors.T
-            near_w, near_q = np.divmod(np.flatnonzero((cosine > COSINE).ravel()), len(vectors))
-            for w, q in zip(near_w.tolist(), near_q.tolist(), strict=True):
-                s = int(chosen[w])
-                text, shift, words = sections[owner[s]]
-                word = (s - int(base[owner[s]])) * STEP
-                own = items.words[item[q]]
-                slack = _slack(own)
-                lo = max(0, word - int(offset[q]) - slack)
-                around = words[lo : word - int(offset[q]) + len(own) + slack]
-                share = _lcs(own, around.tolist()) / len(own)
-                if share >= LCS_LEAST:
-                    answer = _holds(around, items.answers[item[q]])
-                    if share >= LCS_SURE or answer:
-                        yield text, int(item[q]), float(cosine[w, q]), share, shift + lo, answer
+                windows += padded[at + j : at + j + len(windows)]
+            for k in np.flatnonzero(first[at : at + 2048] & ~inside[at : at + 2048]).tolist():
+                windows[k] = sums[at + k : end[at + k]].sum(axis=0)
+            product = windows @ vectors.T
+            size = np.maximum(np.sqrt(np.einsum("ij,ij->i", windows, windows)), 1e-9)
+            w, q = np.divmod(np.flatnonzero((product > np.where(first[at : at + 2048], COSINE * size, np.inf)[:, None]).ravel()), len(vectors))
+            start.append(at + w)
+            query.append(q)
+            near.append(product[w, q] / size[w])
+        start, query, near = (np.concatenate(x) for x in (start, query, near))
+        # Passages of an item that point to the same place of it in the text are one candidate, with the best cosine.
+        k, i, at = owner[start], item[query], (start - base[owner[start]]) * STEP - offset[query]
+        order = np.lexsort((-near, at, i, k))
+        k, i, at, near = k[order], i[order], at[order], near[order]
+        fresh = np.append(True, (k[1:] != k[:-1]) | (i[1:] != i[:-1]) | (at[1:] != at[:-1]))[: len(k)]
+        k, i, at, near = k[fresh], i[fresh], at[fresh], near[fresh]
+        lo, hi = np.maximum(0, at - items.slacks[i]), at + items.sizes[i] + items.slacks[i]
+        for k, i, lo, hi, near in zip(k.tolist(), i.tolist(), lo.tolist(), hi.tolist(), near.tolist(), strict=True):
+            own = items.words[i]
+            share = _lcs_length(items.masks[i], len(own), texts[k][lo:hi], items.needed[i]) / len(own)
+            if share >= LCS_LEAST:
+                text, shift, words = sections[k]
+                answer = _holds(words[lo:hi], items.answers[i])
+                if share >= LCS_SURE or answer:
+                    yield text, i, near, share, shift + lo, answer
     yield from _exact_matches(sections, space, items)
 
 
@@ -422,7 +494,7 @@ def _best_run(items: Items, i: int, text: np.ndarray, first: int, last: int, bes
     while ranges:
         x, y = ranges.pop()
         part = text[x : y + width]
-        share = _lcs(own, part.tolist()) / len(own)
+        share = _lcs_length(items.masks[i], len(own), part.tolist(), items.needed[i]) / len(own)
         if share < items.least[i] or best and share < best[0]:
             continue
         holds = _holds(part, items.answers[i])
@@ -466,7 +538,7 @@ def _exact_matches(sections: list[tuple[int, int, np.ndarray]], space: Space, it
         low, high = 0, len(around) - 1
         while low < high:
             middle = (low + high + 1) // 2
-            low, high = (middle, high) if _lcs(own, around[middle:].tolist()) / len(own) == share else (low, middle - 1)
+            low, high = (middle, high) if _lcs_length(items.masks[i], len(own), around[middle:].tolist()) / len(own) == share else (low, middle - 1)
         sums = np.cumsum(np.vstack([np.zeros((1, vectors.shape[1])), space.projection[_terms(around)]]), axis=0)
         size = min(size, len(around))
         cosine = float((_unit(sums[size:] - sums[: len(sums) - size]) @ vectors.T).max())

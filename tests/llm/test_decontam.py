@@ -203,3 +203,29 @@ def test_items_longer_than_the_overlap_across_a_boundary(lspark):
     # The answer is cut off, so that the share alone decides.
     assert sorted((r["doc_id"], r["answer"]) for r in got) == [(0, False), (1, False)]
     assert all(r["lcs"] >= 0.85 for r in got)
+
+
+def test_space_is_of_all_passages(lspark):
+    """Each direction is scaled to unit variance over every passage of a corpus of more than 40,000."""
+    rnd = random.Random(15)
+    vocabulary = [f"v{i}" for i in range(300)]
+    docs = [(i, " ".join(rnd.choices(vocabulary, k=4))) for i in range(50_000)]
+    benchmark = docs[:3]
+    space = decontam.fit(*(lspark.createDataFrame(x, "doc_id long, text string") for x in (docs, benchmark)))
+    rows = np.concatenate([decontam._passages(h, cuts) for _, h, cuts in word_hashes([t.encode() for _, t in docs + benchmark])])
+    assert len(rows) == 50_003
+    weight = np.append(space.idf, 0)[rows]
+    projection = np.vstack([space.projection[: decontam.TERMS], np.zeros((1, space.projection.shape[1]))])
+    along = projection[rows].sum(axis=1) / np.linalg.norm(weight, axis=1, keepdims=True)
+    assert np.allclose((along**2).sum(axis=0), 1, atol=1e-3)
+
+
+def test_sums_by_term():
+    rng = np.random.default_rng(3)
+    words = np.minimum(rng.zipf(1.3, 32 * 700), 5000).astype(np.uint64) << np.uint64(50)
+    rows = decontam._passages(words, np.array([0, len(words)]))
+    values = np.vstack([rng.normal(size=(len(rows), 5)), np.zeros((1, 5))])
+    want, got = np.zeros((decontam.TERMS + 1, 5)), np.zeros((decontam.TERMS, 5))
+    np.add.at(want, rows, values[:-1, None])
+    decontam._sums_by_term(rows, values, got)
+    assert np.allclose(got, want[:-1])
