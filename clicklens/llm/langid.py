@@ -3,9 +3,9 @@
 The kernel of two texts is the number of distinct character n-grams of 1 to 3
 characters that both hold, over the root of the product of their own numbers
 (blended-spectrum presence kernel, normalised). N-grams are hashed to ``DIMS``
-places. A bounded sample of labelled texts trains one-versus-rest kernel ridge
-regression in the span of Nystroem landmarks; texts are then scored in batches
-as (presence x landmarks) x coefficients.
+places. All labelled texts train one-versus-rest kernel ridge regression in the
+span of Nystroem landmarks, some of these texts; texts are then scored in
+batches as (presence x landmarks) x coefficients.
 
 Letters are compared in lower case; runs of ASCII characters other than
 letters count as one space. The score is the winner's share of the positive
@@ -24,20 +24,21 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 N_MAX = 3
 DIMS = 1 << 15
-#: Bounds of the labelled sample: rows of each language, rows of all, landmarks of all.
-PER_LANGUAGE, TRAIN_ROWS, LANDMARKS = 400, 4000, 96
+#: Landmarks of all languages, of each as many, and one at least.
+LANDMARKS = 96
 RIDGE = 1e-3
 UNKNOWN = "und"
 #: Characters hashed at once, and texts scored at once.
 PIECE, BATCH = 1 << 20, 64
-#: Rows of the sample that the fit has as numbers at once (128 KiB each).
-FIT_ROWS = 128
 
 _ASCII = np.array([c if 97 <= c <= 122 else 32 for c in range(128)], np.uint32)
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
@@ -85,53 +86,76 @@ def presence(texts: list[str | None]) -> np.ndarray:
     return out
 
 
-def _unit_rows(bits: np.ndarray) -> np.ndarray:
-    """Packed presence rows as numbers, over the root of each one's count."""
-    x = np.unpackbits(bits, axis=1).astype(np.float32)
-    x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
-    return x
+def _kernel(texts: list[str | None], marks: np.ndarray) -> np.ndarray:
+    """The kernel of each text with each landmark."""
+    x = presence(texts)
+    return x @ marks / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+
+
+def _landmarks(rows: DataFrame, named: DataFrame, per: int) -> np.ndarray:
+    """Of (lang, text, h) ``rows``: ``per`` texts of each language, the first by the hash of the id, as unit columns.
+
+    ``named`` are their (lang, h, hash of the text). The landmarks' presence bits (4 KiB each) come to the driver.
+    """
+    first = named.withColumn("_place", F.row_number().over(Window.partitionBy("lang").orderBy("h", "th"))).filter(F.col("_place") <= per)
+    first = stored(first.groupBy("lang", "h", "th").agg(F.count("*").alias("times")), "language-landmarks")
+    texts = rows.withColumn("th", F.xxhash64("text")).join(F.broadcast(first), ["lang", "h", "th"])
+    texts = texts.groupBy("lang", "h", "th", "times").agg(F.first("text").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, BATCH):
+                part = b.slice(at, BATCH)
+                bits = np.packbits(presence(part.column("text").to_pylist()).astype(bool), axis=1)
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array([x.tobytes() for x in bits], pa.binary())], ["lang", "h", "th", "times", "bits"])
+
+    found = texts.mapInArrow(run, "lang string, h long, th long, times long, bits binary").collect()
+    found.sort(key=lambda r: (r["lang"], r["h"], r["th"]))
+    marks = np.unpackbits(np.stack([np.frombuffer(r["bits"], np.uint8) for r in found for _ in range(r["times"])]), axis=1).astype(np.float32)
+    marks /= np.sqrt(np.maximum(marks.sum(axis=1, keepdims=True), 1))
+    return np.ascontiguousarray(marks.T)
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Model:
-    """Trains on a sample of ``labelled`` chosen by a hash of the id, up to about ``PER_LANGUAGE`` rows each.
+    """Ridge regression over all of ``labelled``, in the span of ``LANDMARKS`` of its texts.
 
-    The sample's presence bits (4 KiB a row, ``TRAIN_ROWS`` rows) are all that
-    comes to the driver besides one row per language.
+    Tasks send the sums of their rows' products, landmarks times landmarks and
+    languages; these and one row per language come to the driver.
     """
-    counts = {r[lang]: r["count"] for r in labelled.groupBy(lang).count().collect()}
+    rows = labelled.filter(F.col(text).rlike(r"\p{L}")).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id).cast("string")).alias("h"))
+    named = stored(rows.select("lang", "h", F.xxhash64("text").alias("th")), "language-rows")
+    counts = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect()}
     languages = sorted(counts)
     if not languages:
         return Model([], np.zeros((DIMS, 0), np.float32), np.zeros((0, 0), np.float32))
-    each = max(1, min(PER_LANGUAGE, TRAIN_ROWS // len(languages)))
-    place = F.pmod(F.xxhash64(F.col(doc_id).cast("string")), F.lit(1 << 20))
-    rate = F.lit(0)
-    for name in languages:
-        rate = F.when(F.col(lang) == name, int(min(1.0, each / counts[name]) * (1 << 20)) + 1).otherwise(rate)
-    sample = labelled.filter((place < rate) & F.col(text).rlike(r"\p{L}")).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id).cast("string")).alias("h"))
+    marks = _landmarks(rows, named, max(1, LANDMARKS // len(languages)))
+    m = marks.shape[1]
+    weight = 1 / np.array([counts[n] for n in languages])  # languages count alike
+    shared = labelled.sparkSession.sparkContext.broadcast(({n: i for i, n in enumerate(languages)}, weight, marks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, weight, marks = shared.value
+        total = np.zeros((m, m + len(place)))
         for b in batches:
             for at in range(0, b.num_rows, BATCH):
                 part = b.slice(at, BATCH)
-                bits = np.packbits(presence(part.column(1).to_pylist()).astype(bool), axis=1)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([x.tobytes() for x in bits], pa.binary())], ["lang", "h", "bits"])
+                k = _kernel(part.column(1).to_pylist(), marks).astype(float)
+                name = np.array([place[n] for n in part.column(0).to_pylist()])
+                weighed = k * weight[name][:, None]
+                total[:, :m] += k.T @ weighed
+                np.add.at(total.T, m + name, weighed)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(m)), pa.array([x.tobytes() for x in total], pa.binary())], ["mark", "part"])
 
-    rows = sorted(sample.mapInArrow(run, "lang string, h long, bits binary").collect(), key=lambda r: (r["h"], r["lang"], bytes(r["bits"])))
-    if not rows:
-        return Model([], np.zeros((DIMS, 0), np.float32), np.zeros((0, 0), np.float32))
-    languages = sorted({r["lang"] for r in rows})
-    bits = np.stack([np.frombuffer(r["bits"], np.uint8) for r in rows])
-    names = np.array([r["lang"] for r in rows])
-    del rows
-    per = max(1, LANDMARKS // len(languages))
-    marks = _unit_rows(bits[np.concatenate([np.flatnonzero(names == n)[:per] for n in languages])])
-    k_mm = (marks @ marks.T).astype(float)
-    # The sample stays packed; FIT_ROWS of it stand as numbers at a time.
-    k_nm = np.concatenate([_unit_rows(bits[i : i + FIT_ROWS]) @ marks.T for i in range(0, len(bits), FIT_ROWS)]).astype(float)
-    y = (names[:, None] == np.array(languages)[None, :]).astype(float)
-    weight = 1 / np.array([(names == n).sum() for n in names])[:, None]  # languages count alike
-    left = k_nm.T @ (k_nm * weight) + RIDGE * (k_mm + 1e-6 * np.eye(len(k_mm)))
-    return Model(languages, np.ascontiguousarray(marks.T), np.linalg.solve(left, k_nm.T @ (y * weight)).astype(np.float32))
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(p) for p in sorted(frame["part"]))  # in one order, however they arrive
+        return pd.DataFrame({"mark": [frame["mark"].iloc[0]], "part": [total.tobytes()]})
+
+    sums = np.zeros((m, m + len(languages)))
+    for r in rows.select("lang", "text").mapInArrow(run, "mark long, part binary").groupBy("mark").applyInPandas(add, "mark long, part binary").collect():
+        sums[r["mark"]] = np.frombuffer(r["part"])
+    shared.destroy()
+    left = sums[:, :m] + RIDGE * ((marks.T @ marks).astype(float) + 1e-6 * np.eye(m))
+    return Model(languages, marks, np.linalg.solve(left, sums[:, m:]).astype(np.float32))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
@@ -152,8 +176,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str,
                     best += [UNKNOWN] * len(texts)
                     score += [0.0] * len(texts)
                     continue
-                x = presence([t if ok else None for t, ok in zip(texts, lettered, strict=True)])
-                k = x @ m.landmarks / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+                k = _kernel([t if ok else None for t, ok in zip(texts, lettered, strict=True)], m.landmarks)
                 f = np.maximum(k @ m.coefficients, 0).astype(float)
                 top, total = f.argmax(axis=1), f.sum(axis=1)
                 share = np.where(total > 0, f[np.arange(len(f)), top] / np.where(total > 0, total, 1), 0)

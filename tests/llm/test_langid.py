@@ -1,5 +1,6 @@
 """Language identification: held-out accuracy, and the kernel against sets of n-grams."""
 
+import random
 import zlib
 
 import numpy as np
@@ -57,3 +58,30 @@ def test_odd_rows(lspark, odd_docs):
 
 def test_empty_table(lspark, no_docs):
     assert langid.predict(no_docs, langid.fit(langid.training_rows(no_docs))).collect() == []
+
+
+def test_every_labelled_text_is_learned_from(lspark):
+    """Against ridge regression over all rows at once, of more than 400 of a language."""
+    rnd = random.Random(2)
+    syllables = {"xa": ["ka", "lo", "mi", "nu"], "xb": ["ka", "lo", "tse", "ri"], "xc": ["mi", "ri", "tse", "gu"]}
+    rows = [(i, " ".join("".join(rnd.choices(syllables[n], k=3)) for _ in range(4)), n) for i, n in enumerate(rnd.choices([*syllables], [6, 2, 1], k=1500))]
+    model = langid.fit(lspark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3))
+    assert model.languages == sorted(syllables)
+    x = langid.presence([t for _, t, _ in rows]).astype(float)
+    k = (x / np.sqrt(x.sum(axis=1, keepdims=True))) @ model.landmarks
+    y = np.array([[n == m for m in model.languages] for _, _, n in rows], float)
+    weight = (y / y.sum(axis=0)).sum(axis=1, keepdims=True)
+    marks = model.landmarks.T.astype(float) @ model.landmarks
+    left = k.T @ (k * weight) + langid.RIDGE * (marks + 1e-6 * np.eye(len(marks)))
+    want = k @ np.linalg.solve(left, k.T @ (y * weight))
+    assert np.abs(k @ model.coefficients - want).max() < 1e-3
+
+
+def test_landmarks_are_first_by_the_hash_of_the_id(lspark):
+    rows = [(i // 2, f"{'ab'[i % 2]} text {chr(97 + i % 26) * (1 + i % 5)}", ("en", "de")[i % 3 == 0]) for i in range(600)]
+    docs = lspark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = docs.select("lang", "text", F.xxhash64(F.col("doc_id").cast("string")).alias("h"), F.xxhash64("text").alias("th")).collect()
+    per = langid.LANDMARKS // 2
+    first = [r["text"] for n in ("de", "en") for r in sorted((r for r in found if r["lang"] == n), key=lambda r: (r["h"], r["th"]))[:per]]
+    x = langid.presence(first)
+    assert np.allclose(langid.fit(docs).landmarks, (x / np.sqrt(x.sum(axis=1, keepdims=True))).T)
