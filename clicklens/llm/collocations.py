@@ -25,8 +25,8 @@
 
 Every count is exact: pruning only leaves out what cannot reach ``least``.
 Counts move as one row per shard and phrase, so a hot language, text or word
-is summed within shards first; a shard fits in a task's memory (about 100
-bytes a word); no list of a language's phrases is ever held by
+is summed within shards first; a shard fits in a task's memory (about 50
+bytes a word; its intervals are extended ``SLICE`` places at a time); no list of a language's phrases is ever held by
 one task.
 
 Defined cases: null texts are empty; a null language is ``und``; an empty
@@ -36,8 +36,8 @@ looked at; ties are ordered by count, then phrase.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import partial, reduce
+from collections.abc import Callable, Iterator
+from functools import cached_property, partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -61,9 +61,9 @@ _CLEAN = bytes(
     255 if chr(c) in ".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256)
 )
 
-_STRIP = "strip long, lang string, words array<string>, counts array<long>, sequence binary"
+_STRIP = "strip long, lang string, size long, words array<string>, counts array<long>, sequence binary"
 _STRIP_ROW = pa.schema(
-    [("strip", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("sequence", pa.binary())]
+    [("strip", pa.int64()), ("lang", pa.string()), ("size", pa.int64()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("sequence", pa.binary())]
 )
 _KEYS = [f"w{k}" for k in range(LONGEST)]
 
@@ -105,7 +105,7 @@ class _Numbers(dict):
 
 
 def strips(docs: DataFrame, text: str, lang: str, strip_words: int = STRIP_WORDS) -> DataFrame:
-    """One row per strip: (strip, lang, words, counts, sequence)."""
+    """One row per strip: (strip, lang, size, words, counts, sequence); ``size`` is the sum of the counts."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)), F.col(text).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +117,8 @@ def strips(docs: DataFrame, text: str, lang: str, strip_words: int = STRIP_WORDS
         def close(s: _Strip) -> pa.RecordBatch:
             nonlocal made
             made += 1
-            values = ([made - 1], [s.lang], *([x] for x in s.columns()))
+            words, counts, sequence = s.columns()
+            values = ([x] for x in (made - 1, s.lang, sum(counts), words, counts, sequence))
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, _STRIP_ROW, strict=True)], schema=_STRIP_ROW)
 
         size = 0
@@ -166,17 +167,45 @@ def numbered(rows: DataFrame, name: str) -> DataFrame:
 # ------------------------------------------------------------------ the index
 
 
+def _order(key: np.ndarray) -> np.ndarray:
+    """Stable order of whole numbers from 0 on: places are sorted along in the low bits, where there is room."""
+    bits = len(key).bit_length()
+    if not len(key) or int(key.max()).bit_length() + bits > 63:
+        return np.argsort(key, kind="stable")
+    place = key.astype(np.int64)
+    place <<= bits
+    place |= np.arange(len(key), dtype=np.int32 if bits < 32 else np.int64)
+    place.sort()
+    place &= (1 << bits) - 1
+    return place
+
+
+def _ranks(key: np.ndarray) -> np.ndarray:
+    """The rank of each number among the distinct ones."""
+    order = _order(key)
+    key = key[order]
+    new = np.append(False, key[1:] != key[:-1])
+    rank = np.empty(len(key), np.int32)
+    rank[order] = np.cumsum(new, dtype=np.int32)
+    return rank
+
+
 def transform(sequence: np.ndarray, depth: int) -> np.ndarray:
     """Burrows-Wheeler transform of a cyclic sequence, its rotations sorted by their first ``depth`` numbers."""
     n, reach = len(sequence), 1
-    rank = sequence.astype(np.int64)
+    rank = sequence
     while reach < depth:
         # Ranks by twice as many numbers, from those of a rotation and of the one ``reach`` on.
-        rank = rank * (int(rank.max()) + 1) + np.roll(rank, -reach)
+        key = rank.astype(np.int64)
+        key *= int(rank.max()) + 1
+        key += np.roll(rank, -reach)
         reach *= 2
-        if reach < depth:
-            rank = np.unique(rank, return_inverse=True)[1].astype(np.int64)
-    return sequence[np.argsort(rank) - 1] if n else sequence
+        rank = _ranks(key) if reach < depth else key
+    return sequence[_order(rank) - 1] if n else sequence
+
+
+#: Places of an index that are extended at once; bounds the working arrays beside it.
+SLICE = 1 << 18
 
 
 class Side:
@@ -184,13 +213,17 @@ class Side:
 
     def __init__(self, bwt: np.ndarray):
         self.bwt = bwt
-        order = np.argsort(bwt.astype(np.int64) * len(bwt) + np.arange(len(bwt)))
-        self.step = np.empty(len(bwt), np.int64)  # where a rotation goes when its last number comes first
-        self.step[order] = np.arange(len(bwt))
         counts = np.bincount(bwt, minlength=1)
         self.ends = np.cumsum(counts)
         self.begins = self.ends - counts
 
+    @cached_property
+    def step(self) -> np.ndarray:
+        """Where a rotation goes when its last number comes first."""
+        step = np.empty(len(self.bwt), np.int32)
+        step[_order(self.bwt)] = np.arange(len(self.bwt), dtype=np.int32)
+        return step
+
     def extend(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
         """All extensions of disjoint intervals: (interval, number before it, low, high, place behind smaller numbers)."""
         size = high - low
@@ -237,6 +270,27 @@ def _chosen(phrases: tuple[np.ndarray, ...], keep: np.ndarray) -> tuple[np.ndarr
     return tuple(p[keep] for p in phrases)
 
 
+def _slices(phrases: tuple[np.ndarray, ...]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Phrases in parts of up to ``SLICE`` places; one with more is a part by itself. At least one part."""
+    before = np.cumsum(phrases[2] - phrases[1])
+    a, done = 0, 0
+    while True:
+        b = max(a + 1, int(np.searchsorted(before, done + SLICE, "right")))
+        yield tuple(p[a:b] for p in phrases)
+        if b >= len(before):
+            return
+        a, done = b, before[b - 1]
+
+
+def _widened(phrases: tuple[np.ndarray, ...], extend: Callable, keep: Callable) -> tuple[np.ndarray, ...]:
+    """All extensions whose words ``keep`` takes, a slice at a time."""
+    found = []
+    for part in _slices(phrases):
+        made = extend(part)
+        found.append(_chosen(made, keep(made[0])))
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
+
 class _Known:
     """A set of phrases of one length, given as rows; looked up column by column."""
 
@@ -266,14 +320,11 @@ def extended(index: Index, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray
     now = index.words()
     now = _chosen(now, np.isin(now[0][:, 0], frequent[:, -1]))
     for k in range(1, length):
-        now = index.to_left(now)
-        now = _chosen(now, ends[k].among(now[0]))
+        now = _widened(now, index.to_left, ends[k].among)
     if length % 2:
-        now = index.to_right(now)
-        now = _chosen(now, known.among(now[0][:, 1:]))
+        now = _widened(now, index.to_right, lambda words: known.among(words[:, 1:]))
     else:
-        now = index.to_left(now)
-        now = _chosen(now, known.among(now[0][:, :-1]))
+        now = _widened(now, index.to_left, lambda words: known.among(words[:, :-1]))
     return now[0], now[2] - now[1]
 
 
@@ -314,8 +365,9 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             numbers = np.append(0, b.column(1)[k].values.to_numpy())
             side = Side(_unpacked(b.column(2)[k]))
             number = np.flatnonzero(side.ends > side.begins)[1:]
-            of, before, low, high, _ = side.extend(side.begins[number], side.ends[number])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(of), b.column(0)[k].as_py())), _joined(numbers[before], numbers[number[of]]), pa.array(high - low)], ["shard", "pair", "n"])
+            for number, begin, end in _slices((number, side.begins[number], side.ends[number])):
+                of, before, low, high, _ = side.extend(begin, end)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(of), b.column(0)[k].as_py())), _joined(numbers[before], numbers[number[of]]), pa.array(high - low)], ["shard", "pair", "n"])
 
 
 _LONGER = pa.schema([("shard", pa.int64()), ("front", pa.int64()), ("rest", pa.int64()), ("n", pa.int64())])
@@ -351,8 +403,7 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     stay under 2**31, so that two of them make a long.
     """
     cut = stored(strips(docs, text, lang, strip_words), "collocation-strips")
-    sizes = cut.select("strip", "lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, n: a + n).alias("size"))
-    sizes = stored(sizes, "collocation-sizes")
+    sizes = cut.select("strip", "lang", "size")
     totals = sizes.groupBy("lang").agg(F.sum("size").alias("n"))
     # A row per strip.
     homes = small_side(stored(shards(sizes, shard_words), "collocation-shards"))

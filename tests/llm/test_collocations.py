@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from clicklens.llm import collocations as C
@@ -92,6 +94,61 @@ def test_extended_phrases_begin_and_end_with_given_ones():
             assert dict(zip(map(tuple, words.tolist()), n.tolist(), strict=True)) == want
 
 
+def test_slices_change_nothing(monkeypatch):
+    r = np.random.default_rng(9)
+    seq = np.append(0, r.zipf(1.5, 4000) % 12).astype(np.int32)
+    seq = seq[(seq > 0) | np.append(True, seq[:-1] > 0)]
+    index = C.Index(C.transform(seq, C.LONGEST), C.transform(seq[::-1], C.LONGEST))
+    numbers = list(range(1, len(index.forward.ends)))
+    row = pa.RecordBatch.from_arrays([pa.array([5]), pa.array([numbers]), pa.array([C._packed(index.forward.bwt)])], ["shard", "numbers", "forward"])
+
+    def results():
+        pairs = pa.Table.from_batches(C._pairs(iter([row])))
+        found = [C.extended(index, np.unique(np.lib.stride_tricks.sliding_window_view(seq[seq > 0], k)[::2], axis=0)) for k in (2, 3)]
+        return pairs.to_pydict(), [(w.tolist(), n.tolist()) for w, n in found]
+
+    whole = results()
+    body = seq.tolist()
+    want = Counter((a, b) for a, b in zip(body, body[1:] + body[:1], strict=True) if a and b)
+    assert dict(zip(whole[0]["pair"], whole[0]["n"], strict=True)) == {a << 32 | b: n for (a, b), n in want.items()}
+    for size in (1, 7, 500):
+        monkeypatch.setattr(C, "SLICE", size)
+        assert results() == whole
+
+
+def test_memory_of_a_shard_is_a_few_bytes_a_word():
+    """Beside its input a shard takes under 45 bytes a word to index, and under 33 to count pairs and longer phrases."""
+    r = np.random.default_rng(11)
+    n = 1 << 21
+    seq = np.append(0, (r.random(n) ** 3 * 20_000).astype(np.int32))
+
+    def peak(of):
+        tracemalloc.start()
+        try:
+            out = of()
+            return out, tracemalloc.get_traced_memory()[1] / n
+        finally:
+            tracemalloc.stop()
+
+    forward, made = peak(lambda: C.transform(seq, C.LONGEST))
+    assert made < 45
+    row = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([list(range(1, 20_000))]), pa.array([C._packed(forward)])], ["shard", "numbers", "forward"])
+    total, made = peak(lambda: sum(b.num_rows for b in C._pairs(iter([row]))))
+    assert made < 33 and total > n // 4
+    backward = C.transform(seq[::-1], C.LONGEST)
+    given = np.unique(np.column_stack([seq[1:-1], seq[2:]])[:2000], axis=0)
+    given = given[(given > 0).all(axis=1)]
+    _, made = peak(lambda: C.extended(C.Index(forward, backward), given))
+    assert made < 33
+
+
+def test_order_and_ranks():
+    r = np.random.default_rng(12)
+    for key in (r.integers(0, 9, 1000), r.integers(0, 1 << 60, 1000), np.repeat(r.integers(0, 1 << 60, 10), 9), np.zeros(0, np.int64), np.array([7])):
+        assert (C._order(key) == np.argsort(key, kind="stable")).all()
+        assert (C._ranks(key) == np.unique(key, return_inverse=True)[1]).all()
+
+
 def test_products_past_64_bits(lspark):
     a, left, right = 4 * 10**18, 5 * 10**18, 4 * 10**18 + 1
     row = lspark.createDataFrame([(a, left, right)], "a long, l long, r long").select(F.expr(C._SCORE).alias("score")).first()
