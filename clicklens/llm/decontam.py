@@ -66,6 +66,8 @@ ITEMS_AT_ONCE = 2000
 #: by OVERLAP words, or by the longest run that is searched for where that is more.
 SECTION, OVERLAP, GROUP_WORDS = 24_000, 512, 24_000
 ROWS_PER_BLOCK = 64
+#: Windows that are compared at once.
+WINDOWS = 512
 
 _CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -153,13 +155,17 @@ def term_counts(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, int]:
 # ------------------------------------------------------------- latent space
 
 
-def _row_sums(rows: np.ndarray, table: np.ndarray, block: int = 512) -> np.ndarray:
-    """Sums of the rows of ``table`` that each row of ``rows`` lists, a block at a time; a row of zeros follows them."""
+def _row_sums(rows: np.ndarray, table: np.ndarray, sizes: np.ndarray | None = None, block: int = 512) -> np.ndarray:
+    """Sums of the rows of ``table`` that each row of ``rows`` lists, a block at a time; a row of zeros follows them.
+
+    With ``sizes``, in descending order, only so many of a row's first numbers count; zeros stand behind them.
+    """
     out = np.empty((len(rows) + 1, table.shape[1]), table.dtype)
     out[-1] = 0
     held = np.empty((block, table.shape[1]), table.dtype)
     for at in range(0, len(rows), block):
-        columns = np.ascontiguousarray(rows[at : at + block].T).astype(np.intp)
+        width = rows.shape[1] if sizes is None else sizes[at]
+        columns = np.ascontiguousarray(rows[at : at + block, :width].T).astype(np.intp)
         total, part = out[at : at + columns.shape[1]], held[: columns.shape[1]]
         np.take(table, columns[0], axis=0, out=total, mode="clip")
         for column in columns[1:]:
@@ -176,7 +182,7 @@ def _sums_by_term(rows: np.ndarray, values: np.ndarray, total: np.ndarray) -> No
     order = np.argsort(rows.ravel(), kind="stable").astype(np.int32)
     term = rows.ravel()[order]
     term = term[: np.searchsorted(term, TERMS)].astype(np.int32)
-    ids = order[: len(term)] // np.int32(PASSAGE)
+    ids = order[: len(term)] >> np.int32(PASSAGE.bit_length() - 1)
     while len(term):
         first = np.flatnonzero(np.append(True, term[1:] != term[:-1])).astype(np.int32)
         size = np.diff(np.append(first, np.int32(len(term))))
@@ -189,8 +195,13 @@ def _sums_by_term(rows: np.ndarray, values: np.ndarray, total: np.ndarray) -> No
         base = np.cumsum(groups) - groups
         listed = np.full(groups.sum() * FAN, len(values) - 1, np.int32)
         listed[np.arange(len(ids), dtype=np.int32) + np.repeat((base * FAN - (np.cumsum(size) - size)).astype(np.int32), size)] = ids
-        values = _row_sums(listed.reshape(-1, FAN), values)
-        term, ids = np.repeat(names, groups), np.arange(len(values) - 1, dtype=np.int32)
+        # By size, so that a block adds up no more than its own largest group has.
+        held = np.full(len(listed) // FAN, FAN, np.int8)
+        held[base + groups - 1] = size - FAN * (groups - 1)
+        by_size = np.argsort(-held, kind="stable")
+        values = _row_sums(listed.reshape(-1, FAN)[by_size], values, held[by_size])
+        term, ids = np.repeat(names, groups), np.empty(len(held), np.int32)
+        ids[by_size] = np.arange(len(held), dtype=np.int32)
 
 
 def _products(passages: DataFrame, idf: np.ndarray, q: np.ndarray, gram: bool) -> np.ndarray:
@@ -384,7 +395,12 @@ def _lcs(item: np.ndarray, text: list[int]) -> int:
 def _holds(text: np.ndarray, part: np.ndarray) -> bool:
     if not len(part) or len(text) < len(part):
         return False
-    return bool((np.lib.stride_tricks.sliding_window_view(text, len(part)) == part).all(axis=1).any())
+    found = text[: len(text) - len(part) + 1] == part[0]
+    for k in range(1, len(part)):
+        if not found.any():
+            return False
+        found &= text[k : k + len(found)] == part[k]
+    return bool(found.any())
 
 
 def _sections(groups, items: Items | None = None) -> Iterator[list[tuple[int, int, np.ndarray]]]:
@@ -415,26 +431,27 @@ def _matches(sections: list[tuple[int, int, np.ndarray]], space: Space, items: I
     base, begin = np.cumsum(per) - per, np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(sections)), per)
     place = ((begin - base * STEP)[owner] + np.arange(per.sum()) * STEP)[:, None] + np.arange(STEP)
-    # Behind the end of a section stands no term.
-    sums = _row_sums(terms[np.where(place < (begin + sizes)[owner, None], place, len(terms) - 1)], space.projection)[:-1]
-    texts = [s[2].tolist() for s in sections]
+    # Behind the end of a section stands no term, nor behind the last section.
+    place = np.where(place < (begin + sizes)[owner, None], place, len(terms) - 1)
+    behind = np.full((PASSAGE // STEP, STEP), len(terms) - 1)
+    padded = _row_sums(terms[np.concatenate([place, behind])], space.projection)
+    sums = padded[: len(place)]
     end = (base + per)[owner]
     for steps, (vectors, item, offset) in items.queries.items():
         # A window is ``steps`` sums of its section from each start on; a short section is one window.
         every = np.arange(len(sums))
         inside = every + steps <= end
         first = inside | (every == base[owner])
-        padded = np.vstack([sums, np.zeros((steps - 1, sums.shape[1]), np.float32)])
         start, query, near = [], [], []
-        for at in range(0, len(sums), 2048):
-            windows = sums[at : at + 2048].copy()
+        for at in range(0, len(sums), WINDOWS):
+            windows = sums[at : at + WINDOWS].copy()
             for j in range(1, steps):
                 windows += padded[at + j : at + j + len(windows)]
-            for k in np.flatnonzero(first[at : at + 2048] & ~inside[at : at + 2048]).tolist():
+            for k in np.flatnonzero(first[at : at + WINDOWS] & ~inside[at : at + WINDOWS]).tolist():
                 windows[k] = sums[at + k : end[at + k]].sum(axis=0)
             product = windows @ vectors.T
             size = np.maximum(np.sqrt(np.einsum("ij,ij->i", windows, windows)), 1e-9)
-            w, q = np.divmod(np.flatnonzero((product > np.where(first[at : at + 2048], COSINE * size, np.inf)[:, None]).ravel()), len(vectors))
+            w, q = np.divmod(np.flatnonzero((product > np.where(first[at : at + WINDOWS], COSINE * size, np.inf)[:, None]).ravel()), len(vectors))
             start.append(at + w)
             query.append(q)
             near.append(product[w, q] / size[w])
@@ -448,7 +465,7 @@ def _matches(sections: list[tuple[int, int, np.ndarray]], space: Space, items: I
         lo, hi = np.maximum(0, at - items.slacks[i]), at + items.sizes[i] + items.slacks[i]
         for k, i, lo, hi, near in zip(k.tolist(), i.tolist(), lo.tolist(), hi.tolist(), near.tolist(), strict=True):
             own = items.words[i]
-            share = _lcs_length(items.masks[i], len(own), texts[k][lo:hi], items.needed[i]) / len(own)
+            share = _lcs_length(items.masks[i], len(own), sections[k][2][lo:hi].tolist(), items.needed[i]) / len(own)
             if share >= LCS_LEAST:
                 text, shift, words = sections[k]
                 answer = _holds(words[lo:hi], items.answers[i])
@@ -519,9 +536,10 @@ def _exact_matches(sections: list[tuple[int, int, np.ndarray]], space: Space, it
         first, last, width = first - int(begin[k]), last - int(begin[k]), int(items.widths[i])
         known, words = items.known[i], sections[k][2]
         part = words[first : last + width]
-        count = np.append(0, np.cumsum(known[np.minimum(np.searchsorted(known, part), len(known) - 1)] == part))
-        if count[-1] < items.needs[i]:
+        own = known.take(known.searchsorted(part), mode="clip") == part
+        if np.count_nonzero(own) < items.needed[i]:
             continue
+        count = np.append(0, np.cumsum(own))
         start = np.arange(last - first + 1)
         full = count[np.minimum(start + width, len(count) - 1)] - count[start] >= items.needs[i]
         edge = np.flatnonzero(np.diff(full, prepend=False, append=False)) + first
