@@ -167,3 +167,20 @@ def test_empty_table(lspark, no_docs):
 def test_numbers_have_no_gaps(lspark):
     rows = lspark.range(0, 1000, 1, 7)
     assert sorted(r["n"] for r in C.numbered(rows.filter("id % 3 = 0"), "n").collect()) == list(range(1, 335))
+
+
+def test_copies_of_a_text_add_no_rows():
+    text = np.random.default_rng(5).integers(1, 30, 600)
+    grams = {k: Counter(tuple(text[i : i + k].tolist()) for i in range(len(text) - k + 1)) for k in (2, 3, 4)}
+    for copies in (1, 5, 25):
+        sequence = np.append(0, np.tile(np.append(text, 0), copies)).astype(np.int32)
+        sides = [C._packed(C.transform(s, C.LONGEST)) for s in (sequence, sequence[::-1])]
+        index = pa.table({"shard": [7], "numbers": [list(range(1, 30))], "forward": sides[:1], "backward": sides[1:]}, schema=C._INDEX)
+        pairs = pa.Table.from_batches(C._pairs(iter(index.to_batches())))
+        # A row for each phrase of the shard, whatever its count.
+        assert pairs.num_rows == len(grams[2]) and sum(pairs.column("n").to_pylist()) == copies * grams[2].total()
+        given = pa.table({"home": [7] * pairs.num_rows, "front": pairs.column("pair"), "rest": [0] * pairs.num_rows})
+        for length in (3, 4):
+            found = C._longer(length, (pa.scalar(7),), index, given)
+            assert found.num_rows == len(grams[length]) and sum(found.column("n").to_pylist()) == copies * grams[length].total()
+            given = pa.table({"home": found.column("shard"), "front": found.column("front"), "rest": found.column("rest")})
